@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact_dedup, mixing, packing, sharding, url_filter
+from tessera.llm import exact_dedup, mixing, packing, quality, sharding, url_filter
 from tessera.llm.sql import ORACLES  # noqa: F401  registered beside the queries
 
 #: Rules of the URL query as (host, path, verdict).
@@ -43,11 +43,22 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality.Model:
+    return quality.fit(docs, labels.where(~quality.held_out(F.col("doc_id"))))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = quality_model(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = quality.score(docs.select("doc_id", F.col("text").alias("whole")), model, "whole")
+    return scored.select("doc_id", F.coalesce(quality.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_dedup.dedup(documents(spark, sf_dir).select("doc_id", "text"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op4_sharding, op6_url_filter, op7_mixing, op10_exact_dedup)
+    f.__name__: f for f in (op1_packing, op4_sharding, op6_url_filter, op7_mixing, op9_quality, op10_exact_dedup)
 }
