@@ -1,6 +1,6 @@
 """Document fingerprints: a quartile bucket digest with a bounded difference score.
 
-Six byte triplets in every five-byte window are hashed into 256 buckets. A
+Six byte triplets in every five-byte window are hashed into 1024 buckets. A
 bucket's two-bit code says in which quartile of all bucket counts its own lies;
 the digest is the text's length on a logarithmic scale, a checksum and the codes. Two
 digests differ by their codes and lengths; the difference is cut off at what
@@ -19,18 +19,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS = 256
+BUCKETS = 1024
 #: Offsets of the triplets in a five-byte window (all that hold its first byte), with a multiplier for each byte.
 TRIPLETS = [(1, 2), (1, 3), (2, 3), (1, 4), (2, 4), (3, 4)]
 _FACTORS = [(0x9E37, 0x79B1, 0x85EB), (0xC2B3, 0x27D5, 0x1657), (0xB54D, 0x3C6F, 0xA54F), (0x510F, 0x9B05, 0x1F83), (0xCBBB, 0x629B, 0x9159), (0x152F, 0x6733, 0x8EB5)]
 #: Difference at which two digests count as unrelated: the mean of random two-bit codes, 1.25 a bucket.
 BOUND = BUCKETS * 5 // 4
 #: Weight and limit of the length's part of a difference.
-LENGTH_WEIGHT, LENGTH_MOST = 1, 32
+LENGTH_WEIGHT, LENGTH_MOST = 4, 32
 
 
 def digest(data: bytes) -> bytes:
-    """Length byte, checksum byte and 64 bytes of codes; equal texts have equal digests."""
+    """Length byte, checksum byte and 256 bytes of codes; equal texts have equal digests."""
     b = np.frombuffer(data, np.uint8).astype(np.uint16)
     n = len(b)
     counts = np.zeros(BUCKETS, np.int64)
@@ -44,7 +44,7 @@ def digest(data: bytes) -> bytes:
                 h += part[j : j + m] * np.uint16(y)
                 h ^= part[l : l + m] * np.uint16(z)
                 h *= np.uint16(0x9E35)
-                np.right_shift(h, 8, out=found[k])
+                np.right_shift(h, 6, out=found[k])
             counts += np.bincount(found.ravel(), minlength=BUCKETS)
     if 0 < n < 5:
         counts[b] += 1

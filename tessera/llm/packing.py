@@ -19,7 +19,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 #: Tokens whose cuts are chosen together; bounds a worker's memory (longer documents are blocks of their own).
@@ -137,7 +136,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, ends = tokenizer(vocabulary)
-        sequence = TaskContext.get().partitionId() << 40
+        sequence = -1
         line: list[np.ndarray] = []
         keys: list = []
         size = 0
@@ -156,6 +155,8 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary() if i == 3 else pa.int64()) for i, x in enumerate(part)], names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
 
         for batch in batches:
+            if sequence < 0 and batch.num_rows:
+                sequence = batch.column(2)[0].as_py() << 40  # the table's own partition
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids = np.concatenate([encode(t.as_py() or ""), close])
                 if size + len(ids) > BLOCK_TOKENS:
@@ -164,5 +165,5 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
                 size += len(ids)
         yield from flush()
 
-    packed = docs.selectExpr(f"cast(`{key}` as long) as doc_id", f"`{text}` as text").mapInArrow(run, SCHEMA)
+    packed = docs.selectExpr(f"cast(`{key}` as long) as doc_id", f"`{text}` as text", "spark_partition_id() as at").mapInArrow(run, SCHEMA)
     return packed.withColumnRenamed("doc_id", key)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact_dedup, fingerprint, mixing, packing, quality, sharding, url_filter
+from tessera.llm import exact_dedup, fingerprint, lm_scoring, mixing, packing, quality, sharding, url_filter
 from tessera.llm.sql import ORACLES  # noqa: F401  registered beside the queries
 
 #: Rules of the URL query as (host, path, verdict).
@@ -27,6 +27,11 @@ def packed_pieces(docs: DataFrame) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm_scoring.score_documents(documents(spark, sf_dir))
+    return scored.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"))
+
+
 def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return fingerprint.compare_edits(docs, partitions=fingerprint.runs_for(docs))
@@ -65,5 +70,5 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op3_fingerprint, op4_sharding, op6_url_filter, op7_mixing, op9_quality, op10_exact_dedup)
+    f.__name__: f for f in (op1_packing, op2_lm_scoring, op3_fingerprint, op4_sharding, op6_url_filter, op7_mixing, op9_quality, op10_exact_dedup)
 }

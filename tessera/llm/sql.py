@@ -24,4 +24,23 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
-ORACLES: dict[str, str] = {"op6_url_filter": _URL, "op10_exact_dedup": _DEDUP}
+_LM = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), w AS (
+  SELECT r, i, ws[i] AS w1, CASE WHEN i > 1 THEN ws[i - 1] END AS w2, CASE WHEN i > 2 THEN ws[i - 2] END AS w3
+  FROM (SELECT r, ws, unnest(range(1, len(ws) + 1)) AS i FROM d)
+), c AS (
+  SELECT r, i, w2, w3, count(*) OVER () AS c0, count(*) OVER (PARTITION BY w1) AS c1,
+    count(*) OVER (PARTITION BY w2, w1) AS c2, count(*) OVER (PARTITION BY w3, w2, w1) AS c3 FROM w
+), s AS (
+  SELECT r, i, w2, w3, c1, c2, c3, c0, lag(c1) OVER p AS x1, lag(CASE WHEN w2 IS NOT NULL THEN c2 END) OVER p AS x2 FROM c WINDOW p AS (PARTITION BY r ORDER BY i)
+), t AS (
+  SELECT r, w3, c3, x2, CASE WHEN w2 IS NULL THEN ln(c1) - ln(c0) WHEN c2 >= 2 THEN ln(c2) - ln(x1) ELSE ln(0.4) + ln(c1) - ln(c0) END AS two FROM s
+), u AS (
+  SELECT r, sum(CASE WHEN w3 IS NULL THEN two WHEN c3 >= 2 THEN ln(c3) - ln(x2) ELSE ln(0.4) + two END) AS total FROM t GROUP BY r
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, round(coalesce(total, 0.0), 4)::DOUBLE AS log_score FROM d LEFT JOIN u USING (r)
+"""
+
+ORACLES: dict[str, str] = {"op2_lm_scoring": _LM, "op6_url_filter": _URL, "op10_exact_dedup": _DEDUP}
