@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact_dedup, fingerprint, lm_scoring, mixing, packing, quality, sharding, url_filter
+from tessera.llm import exact_dedup, fingerprint, jaccard, lm_scoring, mixing, packing, quality, sharding, url_filter
 from tessera.llm.sql import ORACLES  # noqa: F401  registered beside the queries
 
 #: Rules of the URL query as (host, path, verdict).
@@ -43,6 +43,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(rows, "doc_id", 16, order=("size", "text_crc32"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_copies(documents(spark, sf_dir))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     return url_filter.judge_urls(pages, URL_RULES).drop("url")
@@ -70,5 +74,5 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_lm_scoring, op3_fingerprint, op4_sharding, op6_url_filter, op7_mixing, op9_quality, op10_exact_dedup)
+    f.__name__: f for f in (op1_packing, op2_lm_scoring, op3_fingerprint, op4_sharding, op5_jaccard_join, op6_url_filter, op7_mixing, op9_quality, op10_exact_dedup)
 }
