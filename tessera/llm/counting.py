@@ -124,7 +124,7 @@ def count_and_finish(rows: DataFrame, keys_of: KeysOf, finish: Finish, schema: s
     """
     spark = rows.sparkSession
     buckets = buckets_for(spark)
-    rows = rows.select(*rows.columns[:2], F.spark_partition_id().alias("at"))
+    rows = rows.toDF("id", "data").withColumn("of", F.spark_partition_id())
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, _, data, offsets in _blocks(batches, block_bytes):

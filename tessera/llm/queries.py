@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact_dedup, fingerprint, jaccard, lm_scoring, mixing, packing, quality, sharding, url_filter
+from tessera.llm import exact_dedup, fingerprint, jaccard, lm_scoring, mixing, packing, quality, repeats, sharding, url_filter
 from tessera.llm.sql import ORACLES  # noqa: F401  registered beside the queries
 
 #: Rules of the URL query as (host, path, verdict).
@@ -57,6 +57,12 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.remove_repeats(documents(spark, sf_dir))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def quality_model(docs: DataFrame, labels: DataFrame) -> quality.Model:
     return quality.fit(docs, labels.where(~quality.held_out(F.col("doc_id"))))
 
@@ -74,5 +80,5 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_lm_scoring, op3_fingerprint, op4_sharding, op5_jaccard_join, op6_url_filter, op7_mixing, op9_quality, op10_exact_dedup)
+    f.__name__: f for f in (op1_packing, op2_lm_scoring, op3_fingerprint, op4_sharding, op5_jaccard_join, op6_url_filter, op7_mixing, op8_suffix_dedup, op9_quality, op10_exact_dedup)
 }
