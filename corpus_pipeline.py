@@ -3,19 +3,34 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import exact_dedup, mixing, queries
+from tessera.llm import exact_dedup, jaccard, mixing, quality, queries
 from tessera.llm.common import written
 
+#: Documents under this probability of being good are rejected: unsure ones stay.
+REJECT_BELOW = 0.5
 
-def dedup_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go (operator 9)."""
+    model = queries.quality_model(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score(docs, model, name="_quality").where(F.col("_quality") >= REJECT_BELOW).select(*docs.columns)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each set of equal texts stays (operator 10)."""
     return exact_dedup.distinct_texts(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays (operator 5)."""
+    return jaccard.one_of_each(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources mixed to their target weights; a row per pass, cut to what the mix takes (operator 7)."""
-    return mixing.mixed_rows(docs)
+    return mixing.mixed_rows(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,7 +38,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return queries.packed_pieces(docs)
 
 
-STAGES = [("exact dedup", dedup_exact), ("mixing", mix), ("packing", pack)]
+STAGES = [("quality classifier", keep_quality), ("exact dedup", drop_copies), ("n-gram Jaccard join", drop_near_copies), ("mixing sources", mix), ("packing", pack)]
 
 #: SQL expresses neither the trained classifier nor the tokenizer.
 ORACLE_SQL = None
