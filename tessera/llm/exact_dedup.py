@@ -25,6 +25,8 @@ STATE = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "8",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
@@ -89,18 +91,17 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", digest: Colu
 def _compared(marked: DataFrame) -> DataFrame:
     """Check every hit's bytes against the row that stays; fail on a difference.
 
-    Only rows with copies are compared. The keeper's row is repeated once per
+    Only rows with copies are compared; they are written first, so the whole
+    table's texts are shuffled once. The keeper's row is repeated once per
     ``SALT_ROWS`` rows of its group, so the hottest group spreads over many tasks.
     """
-    hit = marked.where("group_size > 1")
     salts = F.expr(f"group_size div {SALT_ROWS} + 1")
-    keepers = hit.where("kept").select(F.col("_kept_at").alias("_k"), F.col("_whole").alias("_text"), F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("_salt"))
+    hit = written(marked.where("group_size > 1"), "dedup-hits")
+    keepers = hit.where("kept").select(F.col("_kept_at").alias("_k"), F.col("_whole").alias("_text"), F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("_s"))
     salted = hit.withColumn("_salt", F.pmod(F.col("_locator"), salts))
-    names = [c for c in marked.columns]
-    checked = salted.join(keepers.withColumnRenamed("_salt", "_s"), (F.col("_kept_at") == F.col("_k")) & (F.col("_salt") == F.col("_s")))
+    checked = salted.join(keepers, (F.col("_kept_at") == F.col("_k")) & (F.col("_salt") == F.col("_s")))
     same = F.when(F.col("_whole") == F.col("_text"), F.col("kept")).otherwise(F.raise_error(F.lit("two different texts share a digest")).cast("boolean"))
-    checked = checked.withColumn("kept", same).select(*names)
-    return marked.where("group_size = 1").unionByName(checked)
+    return marked.where("group_size = 1").unionByName(checked.withColumn("kept", same).select(*marked.columns))
 
 
 def distinct_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
