@@ -92,15 +92,29 @@ def unpack_counts(data: memoryview) -> np.ndarray:
 
 
 def _pack_keys(keys: np.ndarray) -> bytes:
-    """The lower 48 bits of each key: with the bucket's bits, 54 or more tell keys apart, growing with the buckets."""
-    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+    """The lower 48 bits of sorted keys: with the bucket's bits, 54 or more tell keys apart, growing with the buckets.
+
+    Steps between neighbours, byte plane by byte plane, so that the upper planes compress.
+    """
+    low = keys & np.uint64((1 << 48) - 1)
+    steps = np.diff(low, prepend=np.uint64(0)).astype("<u8")
+    return steps.view(np.uint8).reshape(-1, 8)[:, :6].T.tobytes()
 
 
 def _unpack_keys(data: bytes | memoryview) -> np.ndarray:
-    six = np.frombuffer(data, np.uint8).reshape(-1, 6)
-    out = np.zeros((len(six), 8), np.uint8)
-    out[:, :6] = six
-    return out.view("<u8").ravel()
+    planes = np.frombuffer(data, np.uint8).reshape(6, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :6] = planes.T
+    return np.cumsum(out.view("<u8").ravel(), dtype=np.uint64)
+
+
+def _squeeze(data: bytes) -> bytes:
+    return struct.pack("<I", len(data)) + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _expand(cell: pa.Scalar) -> memoryview:
+    data = memoryview(cell.as_buffer())
+    return memoryview(pa.decompress(pa.py_buffer(data[4:]), struct.unpack_from("<I", data)[0], codec="zstd", asbytes=True))
 
 
 def shorten(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -136,7 +150,7 @@ def count_and_finish(rows: DataFrame, keys_of: KeysOf, finish: Finish, schema: s
                     if edge[b + 1] > edge[b]:
                         part = slice(edge[b], edge[b + 1])
                         packed = pack_counts(counts[part])
-                        out.append((order, b, block, packed + _pack_keys(own[part])))
+                        out.append((order, b, block, _squeeze(packed + _pack_keys(own[part]))))
                 if out:
                     yield _batch(out)
 
@@ -145,7 +159,7 @@ def count_and_finish(rows: DataFrame, keys_of: KeysOf, finish: Finish, schema: s
         order, bucket = table.column("kind")[0].as_py(), table.column("part")[0].as_py()
         keys, counts, sizes = [], [], []
         for cell in table.column("data"):
-            view = memoryview(cell.as_buffer())
+            view = _expand(cell)
             n = struct.unpack_from("<I", view)[0]
             keys.append(_unpack_keys(view[len(view) - 6 * n :]))
             counts.append(unpack_counts(view[: len(view) - 6 * n]))
@@ -159,7 +173,7 @@ def count_and_finish(rows: DataFrame, keys_of: KeysOf, finish: Finish, schema: s
         answer = np.empty(len(every), np.int64)
         answer[rank] = total[np.cumsum(first) - 1]
         ends = np.cumsum(sizes)
-        out = [pack_counts(answer[e - n : e]) for e, n in zip(ends, sizes, strict=True)]
+        out = [_squeeze(pack_counts(answer[e - n : e])) for e, n in zip(ends, sizes, strict=True)]
         blocks = table.column("block").to_pylist()
         return pa.Table.from_arrays([pa.array([order] * len(out), pa.int32()), pa.array([bucket] * len(out), pa.int32()), pa.array(blocks, pa.int64()), pa.array(out, pa.binary())], names=_NAMES)
 
@@ -183,7 +197,7 @@ def count_and_finish(rows: DataFrame, keys_of: KeysOf, finish: Finish, schema: s
         totals: dict[int, list] = {}
         for i, kind in enumerate(kinds):
             if kind >= 0:
-                totals.setdefault(kind, []).append((parts[i], unpack_counts(memoryview(data[i].as_buffer()))))
+                totals.setdefault(kind, []).append((parts[i], unpack_counts(_expand(data[i]))))
         tables = []
         for order, keys in enumerate(keys_of(text, offsets)):
             own = distinct(shorten(keys, buckets))[0]
