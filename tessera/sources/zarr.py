@@ -20,13 +20,21 @@ REPORTED_KEYS = (
 
 
 def _text(spark: SparkSession, path: str) -> str | None:
-    """Whole text of a small file by Spark's reader; null where there is none."""
-    from pyspark.errors import AnalysisException
+    """Whole text of a small file in any store that Spark reaches; null where there is none.
 
-    try:
-        return spark.read.text(path, wholetext=True).first()[0]
-    except (AnalysisException, TypeError):
+    Data sources skip names that start with a dot, as the metadata files' do,
+    so the file is opened through Hadoop's file system.
+    """
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    store = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(at):
         return None
+    stream = store.open(at)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def array_info(spark: SparkSession, path: str, level: str = "0") -> dict:
