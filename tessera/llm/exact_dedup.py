@@ -77,6 +77,8 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", digest: Colu
     key one stays). ``digest`` may replace SHA-256 as the state's key; the
     byte comparison fails the job if different texts ever share it. An empty
     table gives an empty table; columns named like the added ones are replaced.
+    ``docs`` must list its rows in the same order each time it is read, as files
+    do; the job fails if it does not.
     """
     docs = docs.drop("keep_id", "group_size", "kept", "text_sha256")
     whole = F.coalesce(F.col(text), F.lit(""))
@@ -99,11 +101,13 @@ def _compared(marked: DataFrame) -> DataFrame:
     hit = written(marked.where("group_size > 1"), "dedup-hits")
     keepers = hit.where("kept").select(F.col("_kept_at").alias("_k"), F.col("_whole").alias("_text"), F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("_s"))
     salted = hit.withColumn("_salt", F.pmod(F.col("_locator"), salts))
-    checked = salted.join(keepers, (F.col("_kept_at") == F.col("_k")) & (F.col("_salt") == F.col("_s")))
-    same = F.when(F.col("_whole") == F.col("_text"), F.col("kept")).otherwise(F.raise_error(F.lit("two different texts share a digest")).cast("boolean"))
-    return marked.where("group_size = 1").unionByName(checked.withColumn("kept", same).select(*marked.columns))
+    checked = salted.join(keepers, (F.col("_kept_at") == F.col("_k")) & (F.col("_salt") == F.col("_s")), "left")
+    problem = F.when(F.col("_text").isNull(), "docs changed its order between two reads").otherwise("two different texts share a digest")
+    same = F.when(F.col("_whole") == F.col("_text"), F.col("kept")).otherwise(F.raise_error(problem).cast("boolean"))
+    return marked.where("group_size = 1").withColumn("kept", F.lit(True)).unionByName(checked.withColumn("kept", same).select(*marked.columns))
 
 
 def distinct_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Only the rows that stay, with the columns of ``docs``."""
-    return dedup(docs, key, text).where("kept").select(*docs.columns)
+    """Only the rows that stay, with the columns of ``docs`` as they are, whatever their names."""
+    packed = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.struct(*docs.columns).alias("row"))
+    return dedup(packed, "k", "t").where("kept").select("row.*")
