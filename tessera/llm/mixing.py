@@ -9,7 +9,6 @@ block numbers says which blocks a quota takes.
 from __future__ import annotations
 
 import math
-import random
 from dataclasses import dataclass
 from fractions import Fraction
 
@@ -24,13 +23,19 @@ MAX_SOURCES = 100_000
 
 
 def water_fill(caps: list[float], weights: list[float], total: float) -> list[float]:
-    """Shares of ``total`` by weight, none above its cap; the excess is shared again by weight."""
-    targets, open_, left = [0.0] * len(caps), [i for i, c in enumerate(caps) if c > 0], float(total)
-    for i in sorted(open_, key=lambda i: (caps[i] / weights[i], i)):
-        level = left / sum(weights[j] for j in open_)
-        targets[i] = min(float(caps[i]), level * weights[i])
-        left -= targets[i]
-        open_.remove(i)
+    """Shares of ``total`` by weight, none above its cap; the excess is shared again by weight.
+
+    Sources reach their caps in the order of cap / weight; those that don't share one level.
+    """
+    order = sorted((i for i, c in enumerate(caps) if c > 0), key=lambda i: (caps[i] / weights[i], i))
+    targets = [0.0] * len(caps)
+    for at, i in enumerate(order):
+        level = (total - sum(caps[j] for j in order[:at])) / sum(weights[j] for j in order[at:])
+        if level * weights[i] <= caps[i]:
+            for j in order[at:]:
+                targets[j] = level * weights[j]
+            break
+        targets[i] = float(caps[i])
     return targets
 
 
@@ -95,12 +100,11 @@ def plan_mix(sizes: list[tuple[str | None, int]], weights: tuple[float, ...] = (
     runs = [sainte_lague(targets, limits, seats * (k + 1) // shards) for k in range(shards)]
     mixes = []
     for i, (source, n) in enumerate(ordered):
-        draw = random.Random(f"{seed}:{i}")
         step = max(1, round(blocks[i] * 0.6180339887498949))
         while math.gcd(step, blocks[i] or 1) != 1:
             step += 1
         grown = [r[i] for r in runs]
-        mixes.append(Mix(i, source, n, targets[i], blocks[i], grown[-1], tuple(b - a for a, b in zip([0, *grown], grown, strict=False)), step, draw.randrange(max(1, blocks[i]))))
+        mixes.append(Mix(i, source, n, targets[i], blocks[i], grown[-1], tuple(b - a for a, b in zip([0, *grown], grown, strict=False)), step, seed * 1_000_003 * (i + 1) % max(1, blocks[i])))
     return mixes
 
 

@@ -43,4 +43,47 @@ WITH d AS (
 SELECT doc_id, len(ws)::BIGINT AS n_words, round(coalesce(total, 0.0), 4)::DOUBLE AS log_score FROM d LEFT JOIN u USING (r)
 """
 
-ORACLES: dict[str, str] = {"op2_lm_scoring": _LM, "op6_url_filter": _URL, "op10_exact_dedup": _DEDUP}
+_MIX = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 6))::BIGINT % 256 AS chunk FROM documents
+), s AS (
+  SELECT source, n, pos, [3.0, 1.0, 2.0][pos % 3 + 1]::DOUBLE AS w, 2.0::DOUBLE * n AS cap, ceil(n / 128.0)::BIGINT AS blocks
+  FROM (SELECT source, sum(size)::BIGINT AS n, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS pos FROM d GROUP BY source)
+), l AS (
+  SELECT *, (1.5::DOUBLE * (SELECT sum(n) FROM s) - coalesce(sum(cap) OVER (ORDER BY cap / w, pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(w) OVER (ORDER BY cap / w, pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level, row_number() OVER (ORDER BY cap / w, pos) AS k FROM s WHERE cap > 0
+), f AS (SELECT min(k) AS k, arg_min(level, k) AS level FROM l WHERE level * w <= cap), t AS (
+  SELECT s.*, coalesce(CASE WHEN l.k >= (SELECT k FROM f) THEN (SELECT level FROM f) * s.w ELSE l.cap END, 0.0) AS target FROM s LEFT JOIN l USING (pos)
+), q AS (
+  SELECT pos, row_number() OVER (ORDER BY target / (2 * seat.range + 1) DESC, pos) AS place FROM t, range((SELECT 2 * max(blocks) FROM t)) seat WHERE seat.range < 2 * blocks AND target > 0
+), g AS (SELECT pos, count(*) AS quota FROM q WHERE place <= (SELECT floor(sum(target) / 128 + 0.5) FROM t) GROUP BY pos), m AS (
+  SELECT t.*, coalesce(quota, 0) AS quota, (7 * 1000003 * (t.pos + 1)) % greatest(blocks, 1) AS shift,
+    (SELECT min(k.range) FROM range(400) k0, LATERAL (SELECT k0.range + greatest(1, round_even(blocks * 0.6180339887498949::DOUBLE, 0)::BIGINT) AS range) k WHERE gcd(k.range, greatest(blocks, 1)) = 1) AS step
+  FROM t LEFT JOIN g USING (pos)
+), c AS (
+  SELECT source, chunk, coalesce(sum(n) OVER (PARTITION BY source ORDER BY chunk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first
+  FROM (SELECT source, chunk, sum(size) AS n FROM d GROUP BY source, chunk)
+), p AS (
+  SELECT d.r, d.doc_id, d.size, m.n, m.target, m.blocks, m.quota, m.step, m.shift,
+    first + sum(d.size) OVER (PARTITION BY d.source, d.chunk ORDER BY d.doc_id NULLS FIRST, d.size, d.r ROWS UNBOUNDED PRECEDING) - d.size AS spot
+  FROM d JOIN m ON d.source IS NOT DISTINCT FROM m.source JOIN c ON c.source IS NOT DISTINCT FROM d.source AND c.chunk = d.chunk
+), b AS (SELECT *, unnest(range((spot // 128)::BIGINT, ((spot + size - 1) // 128)::BIGINT + 1)) AS k FROM p WHERE size > 0), e AS (
+  SELECT r, sum(least((k + 1) * 128, spot + size) - greatest(k * 128, spot)) AS extra FROM b WHERE (k * step + shift) % blocks < quota % blocks GROUP BY r
+)
+SELECT doc_id, size, n AS source_size, target, (quota // greatest(blocks, 1) * size + coalesce(extra, 0))::BIGINT AS taken FROM p LEFT JOIN e USING (r)
+"""
+
+_NEAR = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END)) AS shingle FROM d
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (shingle) WHERE a.doc_id < b.doc_id GROUP BY ALL
+), l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)), e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(node, root) AS (SELECT doc_id, doc_id FROM d UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node)
+SELECT node AS doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(root) AS component_id FROM r LEFT JOIN n ON n.doc_id = node GROUP BY node
+"""
+
+ORACLES: dict[str, str] = {"op2_lm_scoring": _LM, "op5_jaccard_join": _NEAR, "op7_mixing": _MIX, "op6_url_filter": _URL, "op10_exact_dedup": _DEDUP}
