@@ -10,6 +10,9 @@ TIFF_SUFFIXES = ("tif", "tiff")
 READERS = {"tif": "tiff", "tiff": "tiff", "czi": "czi", "nd2": "nd2", "lif": "lif", "h5": "hdf5", "hdf5": "hdf5"}
 ZARR_SUFFIX = ".ome.zarr"
 ARCHIVE_SUFFIX = "ozx"
+#: Folder of resampled volumes, and the merged export's name.
+OUTPUT_FOLDER = "Top_shear"
+MERGED_NAME = "deskewed_merged.tif"
 #: Contract of the batch workflow for input names.
 INPUT_PATTERN = r"(?i)\.(tif|tiff|czi|nd2|lif|h5|hdf5|ozx|ome\.zarr)$"
 CHANNEL_PATTERN = r"^CH(\d+)_(\d+)(?:_registered_consistent)?\.tiff?$"
@@ -54,7 +57,7 @@ def channel(name: Column) -> Column:
 
 
 def derived_output(inputs: Column, image_path: Column, output_dir: Column) -> Column:
-    """``<output_dir>/Top_shear/<stem><suffix>`` of the first input, else of the image path.
+    """``<output_dir>/<folder>/<stem><suffix>`` of the first input, else of the image path.
 
     Given inputs make Zarr; an image path keeps its own suffix, and without one makes Zarr, too.
     """
@@ -62,4 +65,4 @@ def derived_output(inputs: Column, image_path: Column, output_dir: Column) -> Co
     base = F.regexp_extract(first, r"([^/]*)/*$", 1)
     own = F.regexp_extract(base, r".(\.[^.]*)$", 1)
     end = F.when(inputs.isNotNull() | (own == ""), F.lit(ZARR_SUFFIX)).otherwise(own)
-    return F.concat(output_dir, F.lit("/Top_shear/"), stem(base), end)
+    return F.concat(output_dir, F.lit(f"/{OUTPUT_FOLDER}/"), stem(base), end)

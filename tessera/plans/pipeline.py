@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions import geometry
+from tessera.functions import geometry, names
 from tessera.functions.params import RunParams, index_triple
 from tessera.operators import block_resample, compare
 from tessera.session import ship
@@ -106,7 +106,7 @@ def export(spark: SparkSession, folder: str, target: str, formats: tuple[str, ..
     volumes = discover.volumes_in(spark, folder)
     out = archive.export_archives(volumes, target) if "ozx" in formats else []
     if "tiff" in formats:
-        merged = str(Path(target) / "deskewed_merged.tif")
+        merged = str(Path(target) / names.MERGED_NAME)
         merge(spark, volumes, merged)
         out.append(merged)
     return out
@@ -141,7 +141,7 @@ def compare_files(spark: SparkSession, reference: str, candidate: str, level: st
     summary = found.summary.first().asDict(recursive=True)
     out = {
         "shape": list(shapes[0]), "summary": summary,
-        "metadata": {n: {"path": p, **(zarr_source.reported(zarr_source.attributes(spark, p)) if discover.kind_of(p) == "zarr" else {})} for n, p in (("reference", reference), ("candidate", candidate))},
+        "metadata": {n: {"path": p, **(zarr_source.reported(zarr_source.attributes(spark, f"{p}/{component}" if component else p)) if discover.kind_of(p) == "zarr" else {})} for n, p in (("reference", reference), ("candidate", candidate))},
         "pages": [r.asDict() for r in found.pages.orderBy("z").collect()], "line_profiles": [r.asDict() for r in found.lines.orderBy("z", "axis").collect()],
     }
     if report:
@@ -167,7 +167,7 @@ def output_of(params: dict) -> str:
     name = Path(str(first)).name
     is_zarr = name.lower().endswith(".ome.zarr")
     suffix = ".ome.zarr" if "input" in params or is_zarr else Path(name).suffix or ".ome.zarr"
-    return str(Path(str(params["output_dir"])) / "Top_shear" / ((name[:-9] if is_zarr else Path(name).stem) + suffix))
+    return str(Path(str(params["output_dir"])) / names.OUTPUT_FOLDER / ((name[:-9] if is_zarr else Path(name).stem) + suffix))
 
 
 def comparison_of(first: str, second: str) -> dict:

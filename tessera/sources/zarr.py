@@ -14,9 +14,17 @@ from tessera.sources.codec import decode
 
 #: Metadata keys that a comparison report shows.
 REPORTED_KEYS = (
-    "storage_policy_analysis_outputs", "storage_policy_data", "chunk_shape_tpczyx", "resolution_pyramid_factors_tpczyx", "voxel_size_um_zyx",
-    "geometry_shear_um", "geometry_rotation_deg", "output_origin_xyz_um", "applied_shear", "applied_rotation_deg_xyz",
-)
+    "axes",
+    "voxel_size_um_zyx",
+    "voxel_size_resolution_source",
+    "output_origin_xyz_um",
+    "affine_matrix_xyz",
+    "affine_offset_xyz_um",
+    "inverse_affine_matrix_xyz",
+    "inverse_affine_offset_xyz_um",
+    "applied_rotation_deg_xyz",
+    "multiscales",
+)
 
 
 def _text(spark: SparkSession, path: str) -> str | None:
@@ -63,9 +71,9 @@ def axis_names(attrs: dict) -> list[str]:
 
 
 def reported(attrs: dict) -> dict:
-    """Recognised metadata, at the top or under the affine record."""
-    nested = attrs.get("affine_resample")
-    merged = {**(nested if isinstance(nested, dict) else {}), **attrs}
+    """Recognised metadata, at the top level or within a nested affine record of any name."""
+    nested = next((v for v in attrs.values() if isinstance(v, dict) and "affine_matrix_xyz" in v), {})
+    merged = {**nested, **attrs}
     return {k: merged[k] for k in REPORTED_KEYS if k in merged}
 
 
