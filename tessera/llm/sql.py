@@ -86,4 +86,22 @@ r(node, root) AS (SELECT doc_id, doc_id FROM d UNION SELECT e.b, r.root FROM r J
 SELECT node AS doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(root) AS component_id FROM r LEFT JOIN n ON n.doc_id = node GROUP BY node
 """
 
-ORACLES: dict[str, str] = {"op2_lm_scoring": _LM, "op5_jaccard_join": _NEAR, "op7_mixing": _MIX, "op6_url_filter": _URL, "op10_exact_dedup": _DEDUP}
+_SHARDS = r"""
+WITH RECURSIVE slots(n, c, i) AS (
+  SELECT range, range, 0 FROM range(256) UNION ALL SELECT n, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i + 1 FROM slots WHERE i < 8
+), crc AS (SELECT list(c ORDER BY n) AS t FROM slots WHERE i = 8), d AS (
+  SELECT row_number() OVER () AS r, doc_id, strlen(coalesce(text, '')) + 1 AS size, list_transform(regexp_extract_all(hex(coalesce(text, '')), '..'), lambda b: ('0x' || b)::BIGINT) AS bytes FROM documents
+), k AS (
+  SELECT r, doc_id, size, xor(list_reduce(list_prepend(4294967295, bytes), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS text_crc32 FROM d, crc
+), j(r, state, jump, chunk, a, b, i) AS (
+  SELECT r, (coalesce(doc_id, 0)::HUGEINT + 18446744073709551616) % 18446744073709551616, 0::BIGINT, NULL::BIGINT, 0::BIGINT, 0::BIGINT, 0 FROM k
+  UNION ALL
+  SELECT r, next, CASE WHEN jump < 17 THEN least(floor((jump + 1)::DOUBLE * (2147483648.0::DOUBLE / (draw + 1)::DOUBLE)), 17)::BIGINT ELSE jump END, coalesce(chunk, draw),
+    CASE WHEN jump < 16 THEN jump ELSE a END, CASE WHEN jump < 17 THEN jump ELSE b END, i + 1
+  FROM (SELECT *, (next // 8589934592)::BIGINT AS draw FROM (SELECT *, (state * 2862933555777941757 + 1) % 18446744073709551616 AS next FROM j)) WHERE i < 18
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, a::INTEGER AS shard, row_number() OVER (PARTITION BY a ORDER BY chunk % 1024, doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, b::INTEGER AS grown_shard
+FROM k JOIN j USING (r) WHERE i = 18
+"""
+
+ORACLES: dict[str, str] = {"op2_lm_scoring": _LM, "op4_sharding": _SHARDS, "op5_jaccard_join": _NEAR, "op7_mixing": _MIX, "op6_url_filter": _URL, "op10_exact_dedup": _DEDUP}
