@@ -143,18 +143,19 @@ def voxel_scan(spark, sf_dir):
 
 @query(f"WITH {VE} SELECT y, x, v FROM ve WHERE z = 7")
 def plane_slice(spark, sf_dir):
-    return project.plane(tables.embedding_volume(spark, sf_dir), "z", 7)
+    return project.plane(tables.embedding_volume(spark, sf_dir, planes=(7, 8)), "z", 7)
 
 
 @query(f"WITH {VE} SELECT z, y, v FROM ve WHERE x = 33 AND z BETWEEN 1 AND (SELECT max(z) - 1 FROM ve) AND y BETWEEN 2 AND 22")
 def axis_slice(spark, sf_dir):
     shape = tables.embedding_shape(spark, sf_dir)
-    return project.plane(project.trim(tables.embedding_volume(spark, sf_dir), shape, (1, 2, 0)), "x", 33)
+    return project.plane(project.trim(tables.embedding_volume(spark, sf_dir, planes=(1, shape[0] - 1)), shape, (1, 2, 0)), "x", 33)
 
 
 @query(f"WITH {VE} SELECT z, y, x, v FROM ve WHERE z BETWEEN 2 AND (SELECT max(z) - 2 FROM ve) AND y BETWEEN 1 AND 23 AND x BETWEEN 5 AND 58")
 def trim_crop(spark, sf_dir):
-    return project.trim(tables.embedding_volume(spark, sf_dir), tables.embedding_shape(spark, sf_dir), (2, 1, 5))
+    shape = tables.embedding_shape(spark, sf_dir)
+    return project.trim(tables.embedding_volume(spark, sf_dir, planes=(2, shape[0] - 2)), shape, (2, 1, 5))
 
 
 @query(f"WITH {VE} SELECT z, y // 4 AS y, x // 4 AS x, v FROM ve WHERE y % 4 = 0 AND x % 4 = 0")

@@ -10,9 +10,16 @@ PLANE_ROWS = 25
 WIDTH = 64
 
 
-def embedding_volume(spark: SparkSession, sf_dir: str, raw: bool = False) -> DataFrame:
-    """Vectors as image rows: z, y from the id, x the position; v scaled to counts, or raw."""
-    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", F.posexplode("embedding").alias("x", "e"))
+def embedding_volume(spark: SparkSession, sf_dir: str, raw: bool = False, planes: tuple[int, int] | None = None) -> DataFrame:
+    """Vectors as image rows: z, y from the id, x the position; v scaled to counts, or raw.
+
+    ``planes`` = (from, to) reads those planes only: the range is one of the stored
+    ids, so it prunes row groups, which a filter on the computed z can't.
+    """
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    if planes is not None:
+        rows = rows.where((F.col("vec_id") >= planes[0] * PLANE_ROWS) & (F.col("vec_id") < planes[1] * PLANE_ROWS))
+    rows = rows.select("vec_id", F.posexplode("embedding").alias("x", "e"))
     value = F.col("e").cast("double")
     return rows.select(
         F.expr(f"vec_id div {PLANE_ROWS}").alias("z"), (F.col("vec_id") % PLANE_ROWS).alias("y"), F.col("x").cast("long").alias("x"),

@@ -41,3 +41,15 @@ def test_entry(spark):
 
 def test_fits_have_a_row_per_line(spark):
     assert QUERIES["profile_fit"](spark, SF).count() == 40
+
+
+def test_plane_ranges_reach_the_scan(spark):
+    plan = QUERIES["plane_slice"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(vec_id,175)" in plan and "LessThan(vec_id,200)" in plan
+    narrow = QUERIES["max_intensity_projection"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "label" not in narrow.split("ReadSchema")[1]
+
+
+def test_top_view_shuffles_voxels_once(spark):
+    plan = QUERIES["topview"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 2 and "CartesianProduct" not in plan
