@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -55,3 +57,36 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     at = np.frombuffer(offsets, np.int64 if wide else np.int32)[column.offset : column.offset + n + 1].astype(np.int64)
     whole = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     return whole[at[0] : at[-1]], at - at[0]
+
+
+#: Bytes of an Arrow batch that goes to a Python worker; ten thousand long texts would not fit in memory.
+BATCH_BYTES = 2 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes in this session, unless it sets a bound itself."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
+def release() -> None:
+    """Give freed memory back to the system: idle workers live on beside the next stage's."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow`` with byte-bounded batches, whose workers give their memory back at the end of a task."""
+    bounded_batches(df.sparkSession)
+
+    def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return df.mapInArrow(released, schema)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import utf8
+from tessera.llm.common import mapped, release, utf8
 
 #: Bytes of a block's rows.
 BLOCK_BYTES = 8 << 20
@@ -205,7 +205,10 @@ def count_and_finish(rows: DataFrame, keys_of: KeysOf, finish: Finish, schema: s
             if len(own) != len(counts):
                 raise RuntimeError("a block's rows differ between two reads of the table")
             tables.append((own, counts))
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(finish(ids, text, offsets, tables), types, strict=True)], names=[f.split()[0] for f in schema.split(", ")])
+        out = pa.Table.from_arrays([pa.array(c, t) for c, t in zip(finish(ids, text, offsets, tables), types, strict=True)], names=[f.split()[0] for f in schema.split(", ")])
+        del raw, text, tables, totals
+        release()
+        return out
 
-    answers = rows.mapInArrow(send, _PACKED).groupBy("kind", "part").applyInArrow(add_up, _PACKED)
-    return answers.unionByName(rows.mapInArrow(own_rows, _PACKED)).groupBy("block").applyInArrow(settle, schema)
+    answers = mapped(rows, send, _PACKED).groupBy("kind", "part").applyInArrow(add_up, _PACKED)
+    return answers.unionByName(mapped(rows, own_rows, _PACKED)).groupBy("block").applyInArrow(settle, schema)

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import mapped
+
 BUCKETS = 1024
 #: Offsets of the triplets in a five-byte window (all that hold its first byte), with a multiplier for each byte.
 TRIPLETS = [(1, 2), (1, 3), (2, 3), (1, 4), (2, 4), (3, 4)]
@@ -126,7 +128,8 @@ def with_next(docs: DataFrame, key: str, text: str, partitions: int) -> tuple[Da
                 part = batch if rows is None else batch.take(pa.array(rows, pa.int64()))
                 yield pa.RecordBatch.from_arrays([pa.array(where), pa.array(np.full(len(where), ahead, np.int32)), *part.columns], names=["run", "ahead", "key", "text"])
 
-    placed = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).mapInArrow(place, "run int, ahead int, key long, text string")
+    placed = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    placed = mapped(placed, place, "run int, ahead int, key long, text string")
     n = len(bounds) + 1
     return placed.repartitionById(n, F.col("run")).sortWithinPartitions("ahead", "key", "text").select("ahead", "key", "text"), n
 
@@ -177,7 +180,7 @@ def compare_edits(docs: DataFrame, key: str = "doc_id", text: str = "text", part
             yield batch_of(out)
 
     schema = "key long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return placed.mapInArrow(run, schema).withColumnRenamed("key", key)
+    return mapped(placed, run, schema).withColumnRenamed("key", key)
 
 
 def runs_for(docs: DataFrame) -> int:

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WORD, written
+from tessera.llm.common import WORD, bounded_batches, written
 
 #: Rows of the per-source tables on the driver; more sources than this are refused.
 MAX_SOURCES = 100_000
@@ -170,6 +170,7 @@ def mixed_rows(docs: DataFrame, text: str = "text", source: str = "source", key:
     which nothing is taken, go. ``docs`` must list its rows in the same order
     each time it is read, as written tables do; the job fails if it does not.
     """
+    bounded_batches(docs.sparkSession)
     located = docs.withColumn("_at", F.monotonically_increasing_id())
     takes = mix_sources(located, text, source, key, carry=("_at",), **options).where(F.size("passes") > 0)
     takes = takes.select(F.col("_at").alias("_a"), F.col(key).alias("_k"), F.col("size").alias("_n"), F.col("passes").alias("_p"))

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import mapped
 from tessera.llm.hashing import chunks, hash_runs
 
 #: Word buckets (hashed), vector length, neighbours on either side.
@@ -25,7 +26,7 @@ BUCKETS, WIDTH, NEAR = 1 << 15, 32, 2
 #: Labelled documents that a model is fitted on: the bound of the driver's sample.
 MAX_TRAIN = 6_000
 #: Text bytes tokenised together, tokens pooled together.
-CHUNK, POOL = 1 << 20, 1 << 16
+CHUNK, POOL = 1 << 19, 1 << 15
 
 #: Byte classes: 0 blank, 1 letters and all bytes of other alphabets, 2 digits, 3 punctuation, 4 line feed.
 CLASS = np.full(256, 3, np.uint8)
@@ -115,7 +116,7 @@ def document_features(docs: DataFrame, text: str, schema: str, row_of) -> DataFr
                     found.append(row_of(ids[at[d] : at[d + 1]], line_repeats(data, offsets[d], offsets[d + 1])))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(found, kinds[last[1]])], names=[*names, last[0]])
 
-    return ordered.mapInArrow(run, schema)
+    return mapped(ordered, run, schema)
 
 
 @dataclass

@@ -5,6 +5,8 @@
    a repeated string.
 2. The starts under a repeated anchor, with the bytes their strings cover, go to
    the anchor's shard; equal pieces are sent once per block with all their places.
+   Under an anchor that is very common, as in a short standing phrase, only starts
+   whose whole string occurs twice by its hash go on, so such a shard stays small.
 3. A shard sorts its suffixes by external induced sorting with common prefixes
    (``induced``); neighbours that share ``depth`` bytes are repeated strings.
 4. Their byte ranges return to the documents.
@@ -19,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import utf8
+from tessera.llm.common import mapped, utf8, written
 from tessera.llm.counting import buckets_for, count_and_finish, shorten
 from tessera.llm.hashing import mix
 from tessera.llm.induced import repeated_starts
@@ -28,8 +30,10 @@ from tessera.llm.induced import repeated_starts
 GRAM = 64
 #: Bytes whose anchors are found together; a place in them takes 21 bits beside 43 bits of hash.
 SEGMENT_BITS = 21
+#: Occurrences of an anchor from which whole strings are counted, too.
+COMMON = 2_000
 #: Text bytes sorted together; an anchor with more is sorted alone, its queues on disk.
-SHARD_BYTES = 768 << 10
+SHARD_BYTES = 320 << 10
 
 _ODD = 0x9E3779B97F4A7C15
 _TABLE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
@@ -100,27 +104,57 @@ def anchors(data: np.ndarray, offsets: np.ndarray, depth: int) -> tuple[np.ndarr
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def _candidates(rows: DataFrame, depth: int) -> DataFrame:
+def _candidates(rows: DataFrame, depth: int, common: int) -> DataFrame:
     """``anchor``, ``piece`` and its places (``ids``, ``starts``) for all runs under repeated anchors."""
     buckets = buckets_for(rows.sparkSession)
+    schema = "anchor bigint, piece binary, ids array<bigint>, starts array<bigint>"
+    types = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+
+    def listed(pieces: dict[tuple, tuple[list, list]]) -> list[list]:
+        return [np.array([k for k, _ in pieces], np.uint64).view(np.int64), [p for _, p in pieces], [x for x, _ in pieces.values()], [y for _, y in pieces.values()]]
 
     def finish(ids: list, data: np.ndarray, offsets: np.ndarray, tables: list) -> list[list]:
         first, last, keys = anchors(data, offsets, depth)
         own, totals = tables[0]
-        again = np.flatnonzero(totals[np.searchsorted(own, shorten(keys, buckets))] >= 2) if len(keys) else []
+        often = totals[np.searchsorted(own, shorten(keys, buckets))] if len(keys) else keys
         pieces: dict[tuple, tuple[list, list]] = {}
+        many: set[tuple] = set()
         doc = np.searchsorted(offsets, first, side="right") - 1
-        for i in again:
-            piece = data[first[i] : last[i] + depth].tobytes()
-            where = pieces.setdefault((int(keys[i]), piece), ([], []))
+        for i in np.flatnonzero(often >= 2):
+            name = int(keys[i]), data[first[i] : last[i] + depth].tobytes()
+            where = pieces.setdefault(name, ([], []))
             where[0].append(ids[doc[i]])
             where[1].append(int(first[i] - offsets[doc[i]]))
-        return [np.array([k for k, _ in pieces], np.uint64).view(np.int64), [p for _, p in pieces], [x for x, _ in pieces.values()], [y for _, y in pieces.values()]]
-
-    return count_and_finish(
-        rows, lambda data, offsets: [anchors(data, offsets, depth)[2]], finish,
-        "anchor bigint, piece binary, ids array<bigint>, starts array<bigint>", [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())],
-    )
+            if often[i] > common:
+                many.add(name)
+        # of a common anchor: 1 for a piece with one place, which must prove itself (its anchor and start go before it); 2 for one with several, a witness
+        role = [(1 if len(places[0]) == 1 else 2) if name in many else 0 for name, places in pieces.items()]
+        out = listed(pieces)
+        out[1] = [np.array([k, y[0]], np.int64).tobytes() + p if r == 1 else p for k, p, y, r in zip(out[0], out[1], out[3], role, strict=True)]
+        return [*out, role]
+
+    def counted(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+        return [np.concatenate([gram_hashes(data[a + 16 : b], depth) for a, b in zip(offsets[:-1], offsets[1:], strict=True)] or [np.zeros(0, np.uint64)])]
+
+    def repeated(ids: list, data: np.ndarray, offsets: np.ndarray, tables: list) -> list[list]:
+        own, totals = tables[0]
+        pieces: dict[tuple, tuple[list, list]] = {}
+        for i, a, b in zip(ids, offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+            if i < 0:
+                continue
+            anchor, start = data[a : a + 16].view(np.int64).tolist()
+            twice = totals[np.searchsorted(own, shorten(gram_hashes(data[a + 16 : b], depth), buckets))] >= 2
+            edge = np.flatnonzero(np.diff(np.concatenate([[0], twice.astype(np.int8), [0]])))
+            for x, y in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
+                where = pieces.setdefault((anchor % (1 << 64), data[a + 16 + x : a + 15 + y + depth].tobytes()), ([], []))
+                where[0].append(i)
+                where[1].append(start + x)
+        return listed(pieces)
+
+    found = written(count_and_finish(rows, lambda data, offsets: [anchors(data, offsets, depth)[2]], finish, schema + ", role int", [*types, pa.int32()]), "pieces")
+    alone = F.col("role") == 1
+    again = found.where("role > 0").select(F.when(alone, F.col("ids")[0]).otherwise(-1).alias("id"), F.when(alone, F.col("piece")).otherwise(F.concat(F.lit(bytes(16)), "piece")).alias("data"))
+    return found.where(~alone).drop("role").unionByName(count_and_finish(again, counted, repeated, schema, types))
 
 
 def _sort_shards(batches: Iterator[pa.RecordBatch], depth: int, limit: int) -> Iterator[pa.RecordBatch]:
@@ -172,7 +206,7 @@ def _union(spans: list, n: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in merged]
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int = 400, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int = 400, shard_bytes: int = SHARD_BYTES, common: int = COMMON) -> DataFrame:
     """Key, ``n_bytes``, ``spans`` (merged byte ranges removed) and ``kept`` (the remaining bytes) of every row.
 
     A byte goes if a string of ``depth`` bytes over it also starts anywhere else, in the
@@ -183,9 +217,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", dep
     read, as files do.
     """
     located = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("at", F.monotonically_increasing_id())
-    found = _candidates(located.select("at", "text"), depth)
+    found = _candidates(located.select("at", "text"), depth, common)
     sharded = found.repartition("anchor").sortWithinPartitions("anchor")
-    ranges = sharded.mapInArrow(lambda batches: _sort_shards(batches, depth, shard_bytes), "id long, start long, end long")
+    ranges = mapped(sharded, lambda batches: _sort_shards(batches, depth, shard_bytes), "id long, start long, end long")
     spans = ranges.groupBy(F.col("id").alias("_id")).agg(F.collect_list(F.struct("start", "end")).alias("found"))
     joined = located.join(spans, F.col("at") == F.col("_id"), "left").select("key", "text", "found")
 
@@ -208,4 +242,4 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", dep
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(offsets), pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())], names=["key", "n_bytes", "spans", "kept"])
 
     kind = dict(docs.dtypes)[key]
-    return joined.mapInArrow(cut, f"key {kind}, n_bytes long, spans array<struct<start:bigint,end:bigint>>, kept binary").withColumnRenamed("key", key)
+    return mapped(joined, cut, f"key {kind}, n_bytes long, spans array<struct<start:bigint,end:bigint>>, kept binary").withColumnRenamed("key", key)

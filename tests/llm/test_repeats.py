@@ -40,10 +40,10 @@ def brute(rows, depth):
     return sorted(out)
 
 
-@pytest.mark.parametrize(("depth", "shard"), [(400, 1 << 20), (400, 500), (90, 2000), (30, 1 << 20)])
-def test_against_brute_force(spark, tmp_path, depth, shard):
+@pytest.mark.parametrize(("depth", "shard", "common"), [(400, 1 << 20, 2000), (400, 500, 1), (90, 2000, 3), (30, 1 << 20, 2000), (30, 1 << 20, 1)])
+def test_against_brute_force(spark, tmp_path, depth, shard, common):
     docs = documents(spark, tmp_path)
-    got = sorted((str(r["key" if "key" in r else "doc_id"]), r["n_bytes"], [(s["start"], s["end"]) for s in r["spans"]], bytes(r["kept"])) for r in repeats.remove_repeats(docs, depth=depth, shard_bytes=shard).collect())
+    got = sorted((str(r["key" if "key" in r else "doc_id"]), r["n_bytes"], [(s["start"], s["end"]) for s in r["spans"]], bytes(r["kept"])) for r in repeats.remove_repeats(docs, depth=depth, shard_bytes=shard, common=common).collect())
     assert got == brute([(r["doc_id"], (r["text"] or "").encode()) for r in docs.collect()], depth)
 
 
