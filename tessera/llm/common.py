@@ -28,8 +28,18 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/tessera/{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/tessera/{name}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_written(spark: SparkSession) -> None:
+    """Delete every intermediate table of this application; results still unread must be written first."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import WORD, bounded_batches, written
 
 #: Rows of the per-source tables on the driver; more sources than this are refused.
-MAX_SOURCES = 100_000
+MAX_SOURCES = 10_000
 
 
 def water_fill(caps: list[float], weights: list[float], total: float) -> list[float]:
