@@ -24,8 +24,8 @@ SALT_ROWS = 2_000
 STATE = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
-    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "8",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "100",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "2",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
@@ -82,15 +82,15 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", digest: Colu
     """
     docs = docs.drop("keep_id", "group_size", "kept", "text_sha256")
     whole = F.coalesce(F.col(text), F.lit(""))
-    sha = F.sha2(whole, 256)
-    located = docs.withColumns({"_locator": F.monotonically_increasing_id(), "_whole": whole, "text_sha256": sha, "_digest": F.unhex(F.sha2(whole, 256)) if digest is None else digest})
+    located = docs.withColumns({"_locator": F.monotonically_increasing_id(), "_digest": F.unhex(F.sha2(whole, 256)) if digest is None else digest})
     keyed = located.select(F.col("_digest").alias("digest"), F.col(key).alias("key"), F.col("_locator").alias("locator"))
     groups = written(stream_groups(keyed).select(F.col("digest").alias("_d"), F.col("keep.key").alias("keep_id"), F.col("keep.locator").alias("_kept_at"), F.col("n").alias("group_size")), "dedup-final")
     marked = located.join(groups, F.col("_digest") == F.col("_d")).drop("_d").withColumn("kept", F.col("_locator") == F.col("_kept_at"))
-    return _compared(marked).select(*docs.columns, "keep_id", F.col("group_size").cast("long").alias("group_size"), "kept", "text_sha256")
+    sha = F.lower(F.hex("_digest")) if digest is None else F.sha2(whole, 256)
+    return _compared(marked, whole).select(*docs.columns, "keep_id", F.col("group_size").cast("long").alias("group_size"), "kept", sha.alias("text_sha256"))
 
 
-def _compared(marked: DataFrame) -> DataFrame:
+def _compared(marked: DataFrame, whole: Column) -> DataFrame:
     """Check every hit's bytes against the row that stays; fail on a difference.
 
     Only rows with copies are compared; they are written first, so the whole
@@ -99,15 +99,17 @@ def _compared(marked: DataFrame) -> DataFrame:
     """
     salts = F.expr(f"group_size div {SALT_ROWS} + 1")
     hit = written(marked.where("group_size > 1"), "dedup-hits")
-    keepers = hit.where("kept").select(F.col("_kept_at").alias("_k"), F.col("_whole").alias("_text"), F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("_s"))
+    keepers = hit.where("kept").select(F.col("_kept_at").alias("_k"), whole.alias("_text"), F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("_s"))
     salted = hit.withColumn("_salt", F.pmod(F.col("_locator"), salts))
     checked = salted.join(keepers, (F.col("_kept_at") == F.col("_k")) & (F.col("_salt") == F.col("_s")), "left")
     problem = F.when(F.col("_text").isNull(), "docs changed its order between two reads").otherwise("two different texts share a digest")
-    same = F.when(F.col("_whole") == F.col("_text"), F.col("kept")).otherwise(F.raise_error(problem).cast("boolean"))
+    same = F.when(whole == F.col("_text"), F.col("kept")).otherwise(F.raise_error(problem).cast("boolean"))
     return marked.where("group_size = 1").withColumn("kept", F.lit(True)).unionByName(checked.withColumn("kept", same).select(*marked.columns))
 
 
 def distinct_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Only the rows that stay, with the columns of ``docs`` as they are, whatever their names."""
-    packed = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.struct(*docs.columns).alias("row"))
-    return dedup(packed, "k", "t").where("kept").select("row.*")
+    rest = F.struct(F.lit(0).alias("_"), *[c for c in docs.columns if c != text])
+    packed = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), rest.alias("row"))
+    kept = dedup(packed, "k", "t").where("kept")
+    return kept.select(*[F.col("t").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns])
