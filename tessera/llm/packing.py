@@ -27,7 +27,7 @@ from tessera.llm.common import mapped, release
 #: Tokens whose cuts are chosen together; bounds a worker's memory (longer documents are blocks of their own).
 BLOCK_TOKENS = 1 << 18
 #: Token ids that close a document, and penalties in tokens of padding.
-SEPARATOR, SENTENCE_COST, STRIDE_COST, STRIDE = 0, 2.0, 48.0, 32
+SEPARATOR, SENTENCE_COST, STRIDE_COST, STRIDE = 0, 2.0, 12.0, 16
 
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
