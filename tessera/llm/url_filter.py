@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.common import written
+
 #: Filters travel inside the plan; they are O(listed keys) and may not exceed this.
 MAX_FILTER_BITS = 8 * 64 * 1024 * 1024
 
@@ -136,7 +138,8 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], url: str = "
     pages = pages.drop(*[c for c in ("host", "path", "rule", "verdict") if c != url])
     split = pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
     keyed = split.withColumn("_keys", candidate_keys(F.col("host"), F.col("path"), lengths))
-    universe = keyed.select(F.explode("_keys.key").alias("key"))
+    # the distinct keys are written once; every level of the cascades then reads them, not the pages
+    universe = written(keyed.select(F.explode("_keys.key").alias("key")).distinct(), "url-keys")
     cascades = {}
     for n, verdict in enumerate(("block", "allow")):
         listed = spark.createDataFrame([(h + p,) for h, p, v in rules if v == verdict], "key string")
