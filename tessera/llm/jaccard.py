@@ -6,10 +6,11 @@
 2. A class's prefix are its rarest shingles, just as many that two linked classes share
    one. Classes with one prefix and size form a group.
 3. Group pairs that share a prefix shingle pass the size and the position filter,
-   are expanded to their members and verified on whole shingle sets. First every group
-   meets its likeliest partners, and linked groups merge; then all pairs that
-   are left between different components are verified, so no link between components is lost,
-   while a large group of near copies never meets itself pair by pair.
+   are expanded to their members, which pass the parity bitmaps' filter and are verified
+   on whole shingle sets. First every group meets its likeliest partners, and linked
+   groups merge; then all pairs that are left between different components are verified,
+   so no link between components is lost, while a large group of near copies never meets
+   itself pair by pair.
 """
 
 from __future__ import annotations
@@ -157,22 +158,46 @@ def verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return mapped(pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y"), run, "a binary, b binary")
 
 
-def _may_link(a: str, b: str, percent: int) -> Column:
+def _needed(n: Column, m: Column, percent: int) -> Column:
+    """Fewest common shingles of linked sets of n and m."""
+    return F.ceil(percent * (n + m) / (100 + percent) - F.lit(1e-6))
+
+
+def _differ(a: str, b: str) -> Column:
+    """Bits that differ between two parity bitmaps (columns with prefix a and b)."""
+    return sum((F.bit_count(F.col(f"{a}bits{i}").bitwiseXOR(F.col(f"{b}bits{i}"))) for i in range(1, BITS // 64)), F.bit_count(F.col(a + "bits0").bitwiseXOR(F.col(b + "bits0"))))
+
+
+def _bits_may_link(a: str, b: str, percent: int) -> Column:
+    """Whether two sets' own parity bitmaps (columns with prefix a and b) let them link."""
+    n, m = F.col(a + "n"), F.col(b + "n")
+    return _differ(a, b) <= n + m - 2 * _needed(n, m, percent)
+
+
+def _posts_may_link(a: str, b: str, percent: int) -> Column:
     """Whether two posts of one shingle (columns with prefix a and b) can belong to linked sets.
 
-    Size filter; position filter over the shared shingles, of which ``k`` come before
-    this one and ``shared`` - ``k`` - 1 after it; and the parity bitmap's lower
-    bound of the difference. None of them drops a linked pair.
+    Size filter, and position filter over the shared shingles, of which ``k`` come before
+    this one and ``shared`` - ``k`` - 1 after it. Both read only what all members of
+    a group have in common, so they hold for a group as for its head.
     """
 
     def of(x: str, name: str) -> Column:
         return F.col(x + name)
 
     n, m = of(a, "n"), of(b, "n")
-    needed = F.ceil(percent * (n + m) / (100 + percent) - F.lit(1e-6))
     most = F.least(of(a, "k"), of(b, "k")) + 1 + F.least(of(a, "shared") - of(a, "k"), of(b, "shared") - of(b, "k")) - 1
-    differ = sum((F.bit_count(of(a, f"bits{i}").bitwiseXOR(of(b, f"bits{i}"))) for i in range(1, BITS // 64)), F.bit_count(of(a, "bits0").bitwiseXOR(of(b, "bits0"))))
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (most >= needed) & (differ <= n + m - 2 * needed)
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (most >= _needed(n, m, percent))
+
+
+def _groups_may_link(a: str, b: str, percent: int) -> Column:
+    """Whether any members of two entities can link, by their heads' bitmaps.
+
+    ``radius`` is the most bits in which a member differs from its head, so two members
+    differ in no fewer bits than their heads do, less both radii.
+    """
+    n, m = F.col(a + "n"), F.col(b + "n")
+    return _posts_may_link(a, b, percent) & (_differ(a, b) - F.col(a + "radius") - F.col(b + "radius") <= n + m - 2 * _needed(n, m, percent))
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -198,12 +223,16 @@ def link_classes(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     inside = found.join(heads, "gid").where("sig != head").select(F.col("head").alias("a"), F.col("sig").alias("b"))
     joined = written(verified(inside, classes, percent), "group-links").select(F.col("b").alias("sig"), F.col("a").alias("head"))
     # an entity is a group's head with the members linked to it; a member that isn't stands for itself
-    members = written(found.select("sig").join(joined, "sig", "left").select("sig", F.coalesce("head", "sig").alias("e")), "members")
+    bits = [f"bits{i}" for i in range(BITS // 64)]
+    own_bits = [F.col("bits")[i].alias(name) for i, name in enumerate(bits)]
+    members = written(found.join(joined, "sig", "left").select("sig", F.coalesce("head", "sig").alias("e"), "n", *own_bits), "members")
     heads_only = members.where("sig = e").select("e")
-    known = ["n", "k", "shared", *[f"bits{i}" for i in range(BITS // 64)]]
+    centres = members.where("sig = e").select("e", *[F.col(c).alias("head_" + c) for c in bits])
+    radii = members.where("sig != e").join(centres, "e").groupBy("e").agg(F.max(_differ("", "head_")).alias("radius"))
+    known = ["n", "k", "shared", *bits]
     posts = written(
         found.join(heads_only, F.col("sig") == F.col("e"))
-        .select("e", "n", (F.col("n") - F.col("lead")).alias("shared"), *[F.col("bits")[i].alias(f"bits{i}") for i in range(BITS // 64)], F.posexplode("tokens").alias("k", "token"))
+        .select("e", "n", (F.col("n") - F.col("lead")).alias("shared"), *own_bits, F.posexplode("tokens").alias("k", "token"))
         .select("token", "e", *known),
         "posts",
     )
@@ -219,7 +248,7 @@ def link_classes(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
         lists = by_label.groupBy("token").agg(*reps, F.count("*").alias("kinds")).where("kinds > 1")
         lists = lists.select("token", F.array_distinct(F.array("best", "big.rep", "other.rep")).alias("reps"))
         met = listed.join(lists, "token").select("e", "label", *known, F.explode("reps").alias("r"))
-        met = met.where((F.col("label") != F.col("r.label")) & _may_link("", "r.", percent))
+        met = met.where((F.col("label") != F.col("r.label")) & _posts_may_link("", "r.", percent) & _bits_may_link("", "r.", percent))
         votes = met.groupBy(F.least("e", "r.e").alias("a"), F.greatest("e", "r.e").alias("b"), "e").agg(F.count("*").alias("c"))
         if tested is not None:
             votes = votes.join(tested, ["a", "b"], "left_anti")
@@ -230,12 +259,12 @@ def link_classes(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
         if links.isEmpty():
             break
         labels = _merged(labels, links)
-    open_ = _open_posts(posts, labels)
+    open_ = _open_posts(posts, labels).join(radii, "e", "left").withColumn("radius", F.coalesce("radius", F.lit(0)))
     left, right = (open_.toDF(*[side + c if c != "token" else c for c in open_.columns]) for side in ("left_", "right_"))
-    rest = left.join(right, "token").where((F.col("left_label") < F.col("right_label")) & _may_link("left_", "right_", percent))
+    rest = left.join(right, "token").where((F.col("left_label") < F.col("right_label")) & _groups_may_link("left_", "right_", percent))
     rest = rest.select(F.least("left_e", "right_e").alias("a"), F.greatest("left_e", "right_e").alias("b")).distinct()
-    one, two = members.toDF("ma", "a"), members.toDF("mb", "b")
-    expanded = rest.join(one, "a").join(two, "b")
+    one, two = (members.toDF("m" + side, side, *[f"{side}_{c}" for c in ("n", *bits)]) for side in ("a", "b"))
+    expanded = rest.join(one, "a").join(two, "b").where(_bits_may_link("a_", "b_", percent)).select("ma", "mb")
     done = tested.select(F.col("a").alias("ma"), F.col("b").alias("mb")) if tested is not None else None
     expanded = expanded if done is None else expanded.join(done, ["ma", "mb"], "left_anti").join(done.toDF("mb", "ma"), ["ma", "mb"], "left_anti")
     pairs = expanded.select(F.col("ma").alias("a"), F.col("mb").alias("b"))

@@ -63,6 +63,23 @@ def test_chains_and_groups_of_near_copies(spark, tmp_path, seed):
     assert found(docs) == brute([(r["doc_id"], r["text"]) for r in docs.collect()])
 
 
+def test_members_link_where_their_heads_fail_the_bitmap_bound(spark, tmp_path):
+    rows = []
+    for family in range(30):
+        words = [f"f{family}w{i}" for i in range(104)]
+
+        def edited(*places):
+            return " ".join(f"{w}x{len(rows)}" if i in places else w for i, w in enumerate(words))  # noqa: B023
+
+        # two sets of one prefix; the third links only with the second, and the head is either
+        for places in ((15,), (35,), (35, 55)):
+            rows.append(edited(*places))
+        rows += [" ".join(words[:n]) for n in (80, 79, 78, 77)]  # the edited places are common, the rare rest is whole
+    table = [(i, t, "en", "s") for i, t in enumerate(rows)]
+    docs = documents(spark, tmp_path, table)
+    assert found(docs) == brute([(r["doc_id"], r["text"]) for r in docs.collect()])
+
+
 def test_one_of_each_keeps_columns(spark, tmp_path):
     docs = documents(spark, tmp_path)
     kept = jaccard.one_of_each(docs)
