@@ -299,7 +299,15 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows whose key is their component's smallest, with the columns of ``docs``; rows without words all stay."""
-    found = near_copies(docs, key, text, size, percent)
-    out = found.where((F.col(key) == F.col("component_id")) | F.col(key).isNull()).select(F.col(key).alias("_k")).distinct()
-    return docs.join(out, F.col(key).eqNullSafe(F.col("_k")), "left_semi")
+    """One row of each component, with the columns of ``docs``; rows without words all stay.
+
+    The row with the smallest key stays (null keys lose; of rows with the same key the
+    first). ``docs`` must list its rows in the same order each time it is read, as files
+    do; the job fails if it does not.
+    """
+    located = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.struct(*docs.columns).alias("row"), F.monotonically_increasing_id().alias("at"))
+    found = near_copies(located, "at", "t", size, percent).select("at", "component_id")
+    least = F.min(F.struct(F.col("k").isNull().alias("last"), "k", "at")).alias("one")
+    kept = found.join(located.select("at", "k"), "at").groupBy("component_id").agg(least).select("one.at", F.col("one.k").alias("was"))
+    same = F.when(F.col("k").eqNullSafe(F.col("was")), True).otherwise(F.raise_error(F.lit("docs changed its order between two reads")).cast("boolean"))
+    return located.join(kept, "at").where(same).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -87,6 +87,17 @@ def test_one_of_each_keeps_columns(spark, tmp_path):
     assert {r["doc_id"] for r in kept.collect() if r["doc_id"] is not None} == {r["component_id"] for r in jaccard.near_copies(docs).collect() if r["component_id"] is not None}
 
 
+def test_one_row_of_each_component_whatever_its_keys(spark, tmp_path):
+    def near(tag, end):
+        return " ".join(f"{tag}{i}" for i in range(60)) + f" end{end}"
+
+    keys = {"a": (5, None), "b": (None, None), "c": (7, 7), "d": (3, 7), "e": (None, 7, 7, 9)}
+    table = [(k, near(tag, i), tag, "s") for tag, own in keys.items() for i, k in enumerate(own)]
+    docs = documents(spark, tmp_path, [*table, (None, "", "none", "s"), (None, None, "none", "s"), (7, " ", "none", "s")])
+    kept = sorted((r["lang"], str(r["doc_id"])) for r in jaccard.one_of_each(docs).collect())
+    assert kept == [("a", "5"), ("b", "None"), ("c", "7"), ("d", "3"), ("e", "7"), ("none", "7"), ("none", "None"), ("none", "None")]
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (7, 7)], "a long, b long")
     roots = collections.defaultdict(set)
