@@ -2,8 +2,9 @@
 
 A source's rows form a stream in a fixed pseudo-random order; the stream is cut
 into blocks of equally many words. The highest quotients target / (2 k + 1)
-give the block quotas, shard by shard, and a seeded permutation of a source's
-block numbers says which blocks a quota takes.
+give the block quotas, and a seeded permutation of a source's block numbers says
+which blocks a quota takes. Quotas act on the whole corpus; a plan's quotas per
+shard select nothing.
 """
 
 from __future__ import annotations
