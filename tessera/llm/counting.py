@@ -10,12 +10,13 @@ shuffles, and no task holds more than a bucket or a block.
 
 from __future__ import annotations
 
+import hashlib
 import struct
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import mapped, release, utf8
@@ -28,14 +29,23 @@ KeysOf = Callable[[np.ndarray, np.ndarray], list[np.ndarray]]
 #: Rows from a block: ids, data, offsets, and for each order its sorted distinct keys and their totals.
 Finish = Callable[[list, np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]], list[list]]
 
+#: Kinds of rows beside the keys of each order: a block's rows, and their checksum.
+ROWS, CHECK = -1, -2
+CHANGED = "a block's rows differ between two reads of the table"
+
 _PACKED = "kind int, part int, block long, data binary"
 _NAMES = ["kind", "part", "block", "data"]
 _TYPES = [pa.int32(), pa.int32(), pa.int64(), pa.binary()]
 
 
-def buckets_for(spark: SparkSession) -> int:
-    """A power of two, about four buckets for each shuffle partition, so buckets stay small as the input grows."""
-    return 1 << max(6, (4 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
+#: Text bytes whose keys share a bucket.
+BUCKET_BYTES = 4 << 20
+
+
+def buckets_for(rows: DataFrame) -> int:
+    """A power of two that grows with the bytes of ``rows`` (an id and the data), whatever the session's settings are."""
+    size = rows.toDF("id", "data").agg(F.sum(F.octet_length("data"))).first()[0] or 0
+    return 1 << max(6, (size // BUCKET_BYTES).bit_length())
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[int, list, np.ndarray, np.ndarray]]:
@@ -123,25 +133,28 @@ def shorten(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((keys >> (np.uint64(64) - bits)) << np.uint64(48)) | (keys & np.uint64((1 << 48) - 1))
 
 
+def _checksum(data: np.ndarray, offsets: np.ndarray) -> bytes:
+    return hashlib.blake2b(np.diff(offsets).astype("<i8").tobytes() + data.tobytes(), digest_size=16).digest()
+
+
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _TYPES, strict=True)], names=_NAMES)
 
 
-def count_and_finish(rows: DataFrame, keys_of: KeysOf, finish: Finish, schema: str, types: list[pa.DataType], minimum: int = 1, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def count_and_finish(rows: DataFrame, keys_of: KeysOf, finish: Finish, schema: str, types: list[pa.DataType], buckets: int, minimum: int = 1, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Run ``finish`` on every block with the corpus totals of the block's keys.
 
     ``rows``: an id (long) and a string or binary column, in the same order each time they
     are read (files or a written table; a block whose rows differ between the two reads
     fails the job). ``keys_of`` gives 64-bit hashes; keys are shortened, see
-    ``shorten``, before ``finish`` sees them. Totals under ``minimum`` are
-    answered as 0.
+    ``shorten``, for ``buckets`` (from ``buckets_for``) before ``finish`` sees them. Totals
+    under ``minimum`` are answered as 0.
     """
-    spark = rows.sparkSession
-    buckets = buckets_for(spark)
     rows = rows.toDF("id", "data").withColumn("of", F.spark_partition_id())
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, _, data, offsets in _blocks(batches, block_bytes):
+            yield _batch([(CHECK, block % buckets, block, _checksum(data, offsets))])
             for order, keys in enumerate(keys_of(data, offsets)):
                 own, counts = distinct(shorten(keys, buckets))
                 edge = np.searchsorted(own, np.arange(buckets + 1, dtype=np.uint64) << np.uint64(48)) if len(own) else np.zeros(buckets + 1, int)
@@ -157,6 +170,8 @@ def count_and_finish(rows: DataFrame, keys_of: KeysOf, finish: Finish, schema: s
     def add_up(table: pa.Table) -> pa.Table:
         """All blocks' keys of one order and bucket; the totals go back in each block's order."""
         order, bucket = table.column("kind")[0].as_py(), table.column("part")[0].as_py()
+        if order == CHECK:
+            return table
         keys, counts, sizes = [], [], []
         for cell in table.column("data"):
             view = _expand(cell)
@@ -183,17 +198,21 @@ def count_and_finish(rows: DataFrame, keys_of: KeysOf, finish: Finish, schema: s
             known = np.array([i is not None for i in ids], np.uint8)
             head = struct.pack("<I", n) + known.tobytes() + np.array([i or 0 for i in ids], "<i8").tobytes() + np.diff(offsets).astype("<i8").tobytes()
             body = pa.compress(head + data.tobytes(), codec="zstd", asbytes=True)
-            yield _batch([(-1, len(head) + len(data), block, body)])
+            yield _batch([(ROWS, len(head) + len(data), block, body)])
 
     def settle(table: pa.Table) -> pa.Table:
         kinds, parts, data = table.column("kind").to_pylist(), table.column("part").to_pylist(), table.column("data")
-        at = kinds.index(-1)
+        if kinds.count(ROWS) != 1 or kinds.count(CHECK) != 1:
+            raise RuntimeError(CHANGED)
+        at = kinds.index(ROWS)
         raw = pa.decompress(data[at].as_buffer(), parts[at], codec="zstd", asbytes=True)
         n = struct.unpack_from("<I", raw)[0]
         known = np.frombuffer(raw, np.uint8, n, 4)
         ids = [int(i) if k else None for i, k in zip(np.frombuffer(raw, "<i8", n, 4 + n), known, strict=True)]
         offsets = np.concatenate([[0], np.cumsum(np.frombuffer(raw, "<i8", n, 4 + 9 * n))])
         text = np.frombuffer(raw, np.uint8, offset=4 + 17 * n)
+        if data[kinds.index(CHECK)].as_py() != _checksum(text, offsets):
+            raise RuntimeError(CHANGED)
         totals: dict[int, list] = {}
         for i, kind in enumerate(kinds):
             if kind >= 0:
@@ -203,12 +222,13 @@ def count_and_finish(rows: DataFrame, keys_of: KeysOf, finish: Finish, schema: s
             own = distinct(shorten(keys, buckets))[0]
             counts = np.concatenate([c for _, c in sorted(totals.get(order, []), key=lambda x: x[0])] or [np.zeros(0, np.int64)])
             if len(own) != len(counts):
-                raise RuntimeError("a block's rows differ between two reads of the table")
+                raise RuntimeError(CHANGED)
             tables.append((own, counts))
         out = pa.Table.from_arrays([pa.array(c, t) for c, t in zip(finish(ids, text, offsets, tables), types, strict=True)], names=[f.split()[0] for f in schema.split(", ")])
         del raw, text, tables, totals
         release()
         return out
 
-    answers = mapped(rows, send, _PACKED).groupBy("kind", "part").applyInArrow(add_up, _PACKED)
-    return answers.unionByName(mapped(rows, own_rows, _PACKED)).groupBy("block").applyInArrow(settle, schema)
+    tasks = buckets // 4
+    answers = mapped(rows, send, _PACKED).repartition(tasks, "kind", "part").groupBy("kind", "part").applyInArrow(add_up, _PACKED)
+    return answers.unionByName(mapped(rows, own_rows, _PACKED)).repartition(tasks, "block").groupBy("block").applyInArrow(settle, schema)

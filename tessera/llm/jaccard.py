@@ -65,7 +65,8 @@ def possible_rows(docs: DataFrame, key: str, text: str, size: int, percent: int)
     ``data`` holds the sorted shingle hashes; within a block only the first of equal
     sets keeps them.
     """
-    buckets = buckets_for(docs.sparkSession)
+    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("data"))
+    buckets = buckets_for(rows)
 
     def keys_of(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         sets = shingle_sets(data, offsets, size)
@@ -92,8 +93,7 @@ def possible_rows(docs: DataFrame, key: str, text: str, size: int, percent: int)
             seen.add(sig)
         return [ids, sizes, sigs, kept]
 
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("data"))
-    return count_and_finish(rows, keys_of, finish, "id long, n long, sig binary, data binary", [pa.int64(), pa.int64(), pa.binary(), pa.binary()])
+    return count_and_finish(rows, keys_of, finish, "id long, n long, sig binary, data binary", [pa.int64(), pa.int64(), pa.binary(), pa.binary()], buckets)
 
 
 #: Bits of a set's parity bitmap: each shingle flips one bit, so two sets differ in at least the bits that differ.
@@ -112,7 +112,8 @@ def prefixes(classes: DataFrame, percent: int) -> DataFrame:
     counts the set's shingles that no other class holds, which come first; ``tokens``
     are the prefix's others; ``bits`` is the parity bitmap.
     """
-    buckets = buckets_for(classes.sparkSession)
+    rows = classes.select(F.lit(0).cast("long").alias("id"), F.concat("sig", "data").alias("data"))
+    buckets = buckets_for(rows)
 
     def sets_of(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         return [data[a + 16 : b].view(np.uint64) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
@@ -134,9 +135,8 @@ def prefixes(classes: DataFrame, percent: int) -> DataFrame:
                     column.append(value)
         return out
 
-    rows = classes.select(F.lit(0).cast("long").alias("id"), F.concat("sig", "data").alias("data"))
     longs = pa.list_(pa.int64())
-    return count_and_finish(rows, keys_of, finish, "sig binary, n long, lead long, tokens array<bigint>, bits array<bigint>", [pa.binary(), pa.int64(), pa.int64(), longs, longs])
+    return count_and_finish(rows, keys_of, finish, "sig binary, n long, lead long, tokens array<bigint>, bits array<bigint>", [pa.binary(), pa.int64(), pa.int64(), longs, longs], buckets)
 
 
 def verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:

@@ -55,7 +55,8 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", or
     has no words and score 0; an empty table gives an empty table; null keys
     pass through. Other columns are not read.
     """
-    buckets = buckets_for(docs.sparkSession)
+    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("data"))
+    buckets = buckets_for(rows)
 
     def keys_of(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         return _grams_of(data, offsets, order)[0]
@@ -81,6 +82,5 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", or
         per = np.where(np.diff(at) > 0, per, 0.0)
         return [ids, np.diff(at), per]
 
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("data"))
-    scored = count_and_finish(rows, keys_of, finish, "id long, n_words long, log_score double", [pa.int64(), pa.int64(), pa.float64()])
+    scored = count_and_finish(rows, keys_of, finish, "id long, n_words long, log_score double", [pa.int64(), pa.int64(), pa.float64()], buckets)
     return scored.withColumnRenamed("id", key)

@@ -3,17 +3,20 @@
 1. Every string of ``depth`` bytes has an anchor: the least-hashed of its short
    grams. Anchors are counted over the corpus; those that occur once can't lie in
    a repeated string.
-2. The starts under a repeated anchor, with the bytes their strings cover, go to
-   the anchor's shard; equal pieces are sent once per block with all their places.
+2. The starts under a repeated anchor, with the bytes their strings cover, are the
+   anchor's pieces; equal pieces become one, with the number of their places.
    Under an anchor that is very common, as in a short standing phrase, only starts
    whose whole string occurs twice by its hash go on, so such a shard stays small.
-3. A shard sorts its suffixes by external induced sorting with common prefixes
-   (``induced``); neighbours that share ``depth`` bytes are repeated strings.
-4. Their byte ranges return to the documents.
+3. A shard of anchors sorts its pieces' suffixes by external induced sorting with common
+   prefixes (``induced``); neighbours that share ``depth`` bytes are repeated strings.
+4. Their byte ranges return to the places of the pieces. A place is the digest of its
+   text and a start, so the result doesn't depend on how or in which order rows are read.
 """
 
 from __future__ import annotations
 
+import hashlib
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +27,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import mapped, utf8, written
 from tessera.llm.counting import buckets_for, count_and_finish, shorten
 from tessera.llm.hashing import mix
-from tessera.llm.induced import repeated_starts
+from tessera.llm.induced import MEMORY, repeated_starts
 
 #: Bytes of an anchor's gram.
 GRAM = 64
@@ -32,8 +35,10 @@ GRAM = 64
 SEGMENT_BITS = 21
 #: Occurrences of an anchor from which whole strings are counted, too.
 COMMON = 2_000
-#: Text bytes sorted together; an anchor with more is sorted alone, its queues on disk.
+#: Text bytes from which a shard takes no further anchor; an anchor with more is sorted alone, on disk beyond ``induced.MEMORY``.
 SHARD_BYTES = 320 << 10
+#: Bytes of the head of a row whose whole strings are counted: anchor, start and the text's SHA-256.
+HEAD = 48
 
 _ODD = 0x9E3779B97F4A7C15
 _TABLE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
@@ -105,98 +110,128 @@ def anchors(data: np.ndarray, offsets: np.ndarray, depth: int) -> tuple[np.ndarr
 
 
 def _candidates(rows: DataFrame, depth: int, common: int) -> DataFrame:
-    """``anchor``, ``piece`` and its places (``ids``, ``starts``) for all runs under repeated anchors."""
-    buckets = buckets_for(rows.sparkSession)
-    schema = "anchor bigint, piece binary, ids array<bigint>, starts array<bigint>"
-    types = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-
-    def listed(pieces: dict[tuple, tuple[list, list]]) -> list[list]:
-        return [np.array([k for k, _ in pieces], np.uint64).view(np.int64), [p for _, p in pieces], [x for x, _ in pieces.values()], [y for _, y in pieces.values()]]
+    """All runs under repeated anchors: ``anchor``, ``pid`` (digest of anchor and piece), ``piece``, ``n`` places, the distinct places (``texts``, ``starts``)."""
+    buckets = buckets_for(rows)
+    schema = "anchor long, pid binary, piece binary, n long, texts array<binary>, starts array<bigint>"
+    types = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int64())]
+
+    def listed(pieces: dict[tuple[int, bytes], dict]) -> list[list]:
+        out: list[list] = [[], [], [], [], [], []]
+        for (anchor, piece), places in pieces.items():
+            name = anchor.to_bytes(8, "little")
+            pid = hashlib.blake2b(name + piece, digest_size=16).digest()
+            row = int.from_bytes(name, "little", signed=True), pid, piece, sum(places.values()), [t for t, _ in places], [x for _, x in places]
+            for column, value in zip(out, row, strict=True):
+                column.append(value)
+        return out
 
     def finish(ids: list, data: np.ndarray, offsets: np.ndarray, tables: list) -> list[list]:
         first, last, keys = anchors(data, offsets, depth)
         own, totals = tables[0]
         often = totals[np.searchsorted(own, shorten(keys, buckets))] if len(keys) else keys
-        pieces: dict[tuple, tuple[list, list]] = {}
+        pieces: dict[tuple[int, bytes], dict] = {}
         many: set[tuple] = set()
+        digests: dict[int, bytes] = {}
         doc = np.searchsorted(offsets, first, side="right") - 1
-        for i in np.flatnonzero(often >= 2):
+        for i in np.flatnonzero(often >= 2).tolist():
+            d = int(doc[i])
+            if d not in digests:
+                digests[d] = hashlib.sha256(data[offsets[d] : offsets[d + 1]]).digest()
             name = int(keys[i]), data[first[i] : last[i] + depth].tobytes()
-            where = pieces.setdefault(name, ([], []))
-            where[0].append(ids[doc[i]])
-            where[1].append(int(first[i] - offsets[doc[i]]))
+            place = digests[d], int(first[i] - offsets[d])
+            places = pieces.setdefault(name, {})
+            places[place] = places.get(place, 0) + 1
             if often[i] > common:
                 many.add(name)
-        # of a common anchor: 1 for a piece with one place, which must prove itself (its anchor and start go before it); 2 for one with several, a witness
-        role = [(1 if len(places[0]) == 1 else 2) if name in many else 0 for name, places in pieces.items()]
         out = listed(pieces)
-        out[1] = [np.array([k, y[0]], np.int64).tobytes() + p if r == 1 else p for k, p, y, r in zip(out[0], out[1], out[3], role, strict=True)]
+        # of a common anchor: 1 for a piece with one place, which must prove itself; 2 for one with several, a witness
+        role = [(1 if n == 1 else 2) if name in many else 0 for name, n in zip(pieces, out[3], strict=True)]
         return [*out, role]
 
     def counted(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
-        return [np.concatenate([gram_hashes(data[a + 16 : b], depth) for a, b in zip(offsets[:-1], offsets[1:], strict=True)] or [np.zeros(0, np.uint64)])]
+        return [np.concatenate([gram_hashes(data[a + HEAD : b], depth) for a, b in zip(offsets[:-1], offsets[1:], strict=True)] or [np.zeros(0, np.uint64)])]
 
     def repeated(ids: list, data: np.ndarray, offsets: np.ndarray, tables: list) -> list[list]:
         own, totals = tables[0]
-        pieces: dict[tuple, tuple[list, list]] = {}
+        pieces: dict[tuple[int, bytes], dict] = {}
         for i, a, b in zip(ids, offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
             if i < 0:
                 continue
-            anchor, start = data[a : a + 16].view(np.int64).tolist()
-            twice = totals[np.searchsorted(own, shorten(gram_hashes(data[a + 16 : b], depth), buckets))] >= 2
+            anchor, start = data[a : a + 16].tobytes()[:8], int.from_bytes(data[a + 8 : a + 16].tobytes(), "big")
+            text = data[a + 16 : a + HEAD].tobytes()
+            twice = totals[np.searchsorted(own, shorten(gram_hashes(data[a + HEAD : b], depth), buckets))] >= 2
             edge = np.flatnonzero(np.diff(np.concatenate([[0], twice.astype(np.int8), [0]])))
             for x, y in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
-                where = pieces.setdefault((anchor % (1 << 64), data[a + 16 + x : a + 15 + y + depth].tobytes()), ([], []))
-                where[0].append(i)
-                where[1].append(start + x)
+                places = pieces.setdefault((int.from_bytes(anchor, "big"), data[a + HEAD + x : a + HEAD - 1 + y + depth].tobytes()), {})
+                places[text, start + x] = 1
         return listed(pieces)
 
-    found = written(count_and_finish(rows, lambda data, offsets: [anchors(data, offsets, depth)[2]], finish, schema + ", role int", [*types, pa.int32()]), "pieces")
+    found = written(count_and_finish(rows, lambda data, offsets: [anchors(data, offsets, depth)[2]], finish, schema + ", role int", [*types, pa.int32()], buckets), "pieces")
     alone = F.col("role") == 1
-    again = found.where("role > 0").select(F.when(alone, F.col("ids")[0]).otherwise(-1).alias("id"), F.when(alone, F.col("piece")).otherwise(F.concat(F.lit(bytes(16)), "piece")).alias("data"))
-    return found.where(~alone).drop("role").unionByName(count_and_finish(again, counted, repeated, schema, types))
-
-
-def _sort_shards(batches: Iterator[pa.RecordBatch], depth: int, limit: int) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by anchor to (``id``, ``start``, ``end``) of repeated bytes; anchors are sorted together up to ``limit`` bytes."""
-    shard: dict[tuple, list] = {}
-    size, last = 0, None
-
-    def ranges() -> Iterator[pa.RecordBatch]:
-        parts = list(shard)
-        weights = [sum(len(i) for i, _ in shard[p]) for p in parts]
-        hits = repeated_starts([p for _, p in parts], weights, depth)
-        out: list[list[np.ndarray]] = [[], [], []]
-        for part, hit in zip(parts, hits, strict=True):
+    head = F.concat(*[F.unhex(F.lpad(F.hex(x), 16, "0")) for x in (F.col("anchor"), F.col("starts")[0])], F.col("texts")[0])
+    again = found.where("role > 0").select(F.when(alone, 0).otherwise(-1).cast("long").alias("id"), F.concat(F.when(alone, head).otherwise(F.lit(bytes(HEAD))), "piece").alias("data"))
+    return found.where(~alone).drop("role").unionByName(written(count_and_finish(again, counted, repeated, schema, types, buckets), "pieces"))
+
+
+class _Shard:
+    """Pieces that are sorted together, in the form the sort reads; on disk from a quarter of the sort's memory."""
+
+    def __init__(self, memory: int):
+        self.text = tempfile.SpooledTemporaryFile(memory // 4, prefix="shard-")
+        self.names = tempfile.SpooledTemporaryFile(memory // 16, prefix="shard-")
+        self.lengths, self.weights, self.size = [], [], 0
+
+    def add(self, pid: bytes, piece: bytes, n: int) -> None:
+        self.text.write(piece + b"\xff")
+        self.names.write(pid)
+        self.lengths.append(len(piece))
+        self.weights.append(min(n, 2))
+        self.size += len(piece)
+
+    def ranges(self, depth: int, memory: int) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
+        """Pieces that hold repeated strings, with the ranges of bytes that these cover."""
+        self.text.seek(0)
+        self.names.seek(0)
+        raw = iter(lambda: self.text.read(1 << 20), b"")
+        for hit in repeated_starts(raw, np.array(self.lengths, np.int64), np.array(self.weights, np.int64), depth, memory):
+            pid = self.names.read(16)
             edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]])))
-            begin, end = edge[::2], edge[1::2] + depth - 1
-            if len(begin):
-                ids = np.concatenate([i for i, _ in shard[part]])
-                starts = np.concatenate([s for _, s in shard[part]])
-                out[0].append(np.repeat(ids, len(begin)))
-                out[1].append((starts[:, None] + begin).ravel())
-                out[2].append((starts[:, None] + end).ravel())
-        if out[0]:
-            columns = [np.concatenate(x) for x in out]
-            for a in range(0, len(columns[0]), 50_000):
-                yield pa.RecordBatch.from_arrays([pa.array(x[a : a + 50_000], pa.int64()) for x in columns], names=["id", "start", "end"])
+            if len(edge):
+                yield pid, edge[::2], edge[1::2] + depth - 1
+        self.text.close()
+        self.names.close()
+
+
+def _sort_shards(batches: Iterator[pa.RecordBatch], depth: int, limit: int, memory: int) -> Iterator[pa.RecordBatch]:
+    """Distinct pieces sorted by anchor to ``pid`` and ``ranges`` of repeated bytes; anchors are sorted together up to ``limit`` bytes."""
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    shard, last = _Shard(memory), None
+
+    def sorted_out(shard: _Shard) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        for pid, begin, end in shard.ranges(depth, memory):
+            rows.append((pid, [{"start": a, "end": b} for a, b in zip(begin.tolist(), end.tolist(), strict=True)]))
+            if len(rows) == 5_000:
+                yield batch_of(rows)
+                rows = []
+        if rows:
+            yield batch_of(rows)
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], kind)], names=["pid", "ranges"])
 
     for batch in batches:
-        for anchor, piece, ids, starts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
-            if anchor != last and size >= limit:
-                yield from ranges()
-                shard.clear()
-                size = 0
+        for anchor, pid, piece, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if anchor != last and shard.size >= limit:
+                yield from sorted_out(shard)
+                shard = _Shard(memory)
             last = anchor
-            if (anchor, piece) not in shard:
-                shard[anchor, piece] = []
-                size += len(piece)
-            shard[anchor, piece].append((np.array(ids.values), np.array(starts.values)))
-    if shard:
-        yield from ranges()
+            shard.add(pid, piece, n)
+    if shard.size:
+        yield from sorted_out(shard)
 
 
-def _union(spans: list, n: int) -> list[tuple[int, int]]:
+def _union(spans: list) -> list[tuple[int, int]]:
     merged: list[list[int]] = []
     for s in sorted((x["start"], x["end"]) for x in spans):
         if merged and s[0] <= merged[-1][1]:
@@ -206,22 +241,27 @@ def _union(spans: list, n: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in merged]
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int = 400, shard_bytes: int = SHARD_BYTES, common: int = COMMON) -> DataFrame:
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int = 400, shard_bytes: int = SHARD_BYTES, common: int = COMMON, memory: int = MEMORY) -> DataFrame:
     """Key, ``n_bytes``, ``spans`` (merged byte ranges removed) and ``kept`` (the remaining bytes) of every row.
 
     A byte goes if a string of ``depth`` bytes over it also starts anywhere else, in the
     same text or another; matches never cross texts and are judged on the
     input, so of repeated rows none keeps its copy. A null text counts as empty; null keys pass
-    through; an empty table gives an empty table. Texts are UTF-8. Other columns
-    are not read. ``docs`` must list its rows in the same order each time it is
-    read, as files do.
+    through; an empty table gives an empty table. Texts are UTF-8; keys may be of any type. Other
+    columns are not read. Rows may come in another order each time ``docs`` is read. ``memory``
+    bounds what a task's sort holds at once; a larger shard is sorted on disk.
     """
-    located = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("at", F.monotonically_increasing_id())
-    found = _candidates(located.select("at", "text"), depth, common)
-    sharded = found.repartition("anchor").sortWithinPartitions("anchor")
-    ranges = mapped(sharded, lambda batches: _sort_shards(batches, depth, shard_bytes), "id long, start long, end long")
-    spans = ranges.groupBy(F.col("id").alias("_id")).agg(F.collect_list(F.struct("start", "end")).alias("found"))
-    joined = located.join(spans, F.col("at") == F.col("_id"), "left").select("key", "text", "found")
+    whole = F.coalesce(F.col(text), F.lit(""))
+    found = _candidates(docs.select(F.lit(0).cast("long"), whole), depth, common)
+    # equal pieces meet before they are dealt by anchor, so a passage in a third of all texts is one row of its shard
+    pieces = found.groupBy("anchor", "pid").agg(F.first("piece").alias("piece"), F.sum("n").alias("n"))
+    sharded = pieces.repartition("anchor").sortWithinPartitions("anchor")
+    ranges = written(mapped(sharded, lambda batches: _sort_shards(batches, depth, shard_bytes, memory), "pid binary, ranges array<struct<start:bigint,end:bigint>>"), "piece-ranges")
+    places = found.select("pid", "texts", "starts").join(ranges, "pid").select(F.explode(F.arrays_zip("texts", "starts")).alias("place"), "ranges")
+    moved = F.transform("ranges", lambda r: F.struct((F.col("place.starts") + r["start"]).alias("start"), (F.col("place.starts") + r["end"]).alias("end")))
+    spans = written(places.groupBy(F.col("place.texts").alias("of")).agg(F.flatten(F.collect_set(moved)).alias("found")), "text-ranges")
+    named = docs.select(F.col(key).alias("key"), whole.alias("text")).withColumn("digest", F.unhex(F.sha2("text", 256)))
+    joined = named.join(spans, F.col("digest") == F.col("of"), "left").select("key", "text", "found")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -231,7 +271,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", dep
             spans, kept = [], []
             for d, own in enumerate(batch.column(2).to_pylist()):
                 raw = data[ends[d] : ends[d + 1]]
-                merged = _union(own or [], len(raw))
+                merged = _union(own or [])
+                if merged and merged[-1][1] > len(raw):
+                    raise RuntimeError("a span lies outside its text")
                 at, left = 0, []
                 for a, b in merged:
                     left.append(raw[at:a])
