@@ -616,7 +616,7 @@ def param_coercion(spark, sf_dir):
     rows = spark.createDataFrame([(w,) for w in _WORDS], "word string")
     aliases = F.create_map(*[F.lit(x) for pair in params.BACKENDS.items() for x in pair])
     return rows.select(
-        "word", F.when(word.isin(*params.TRUE_WORDS), True).when(word.isin(*params.FALSE_WORDS), False).otherwise(F.length("word") > 0).alias("flag"),
+        "word", F.when(word.isin(*[w for w, on in params.SWITCHES.items() if on]), True).when(word.isin(*[w for w, on in params.SWITCHES.items() if not on]), False).otherwise(F.length("word") > 0).alias("flag"),
         (~F.trim("word").isin(*params.UNSET_WORDS)).alias("supplied"),
         F.element_at(aliases, F.regexp_replace(F.when(F.col("word") == "", "cpu_blocked").otherwise(word), "-", "_")).alias("backend"),
     )
