@@ -54,7 +54,7 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mix_sources(documents(spark, sf_dir))
-    return mix.select("doc_id", "size", "source_size", "target", "taken")
+    return mix.select("doc_id", "size", "source_size", "target", "taken", mixing.shard_words(F.col("passes")).alias("shard_words"))
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

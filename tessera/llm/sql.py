@@ -45,9 +45,8 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, round(coalesce(total, 0.0), 4)::DOUBL
 
 _MIX = r"""
 WITH d AS (
-  SELECT row_number() OVER () AS r, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 6))::BIGINT % 256 AS chunk FROM documents
-), s AS (
+  SELECT row_number() OVER () AS r, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
+), h AS (SELECT *, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '|' || size::VARCHAR), 1, 6))::BIGINT AS hash FROM d), s AS (
   SELECT source, n, pos, [3.0, 1.0, 2.0][pos % 3 + 1]::DOUBLE AS w, 2.0::DOUBLE * n AS cap, ceil(n / 128.0)::BIGINT AS blocks
   FROM (SELECT source, sum(size)::BIGINT AS n, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS pos FROM d GROUP BY source)
 ), l AS (
@@ -55,23 +54,20 @@ WITH d AS (
     / sum(w) OVER (ORDER BY cap / w, pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level, row_number() OVER (ORDER BY cap / w, pos) AS k FROM s WHERE cap > 0
 ), f AS (SELECT min(k) AS k, arg_min(level, k) AS level FROM l WHERE level * w <= cap), t AS (
   SELECT s.*, coalesce(CASE WHEN l.k >= (SELECT k FROM f) THEN (SELECT level FROM f) * s.w ELSE l.cap END, 0.0) AS target FROM s LEFT JOIN l USING (pos)
-), q AS (
-  SELECT pos, row_number() OVER (ORDER BY target / (2 * seat.range + 1) DESC, pos) AS place FROM t, range((SELECT 2 * max(blocks) FROM t)) seat WHERE seat.range < 2 * blocks AND target > 0
-), g AS (SELECT pos, count(*) AS quota FROM q WHERE place <= (SELECT floor(sum(target) / 128 + 0.5) FROM t) GROUP BY pos), m AS (
-  SELECT t.*, coalesce(quota, 0) AS quota, (7 * 1000003 * (t.pos + 1)) % greatest(blocks, 1) AS shift,
-    (SELECT min(k.range) FROM range(400) k0, LATERAL (SELECT k0.range + greatest(1, round_even(blocks * 0.6180339887498949::DOUBLE, 0)::BIGINT) AS range) k WHERE gcd(k.range, greatest(blocks, 1)) = 1) AS step
-  FROM t LEFT JOIN g USING (pos)
-), c AS (
-  SELECT source, chunk, coalesce(sum(n) OVER (PARTITION BY source ORDER BY chunk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first
-  FROM (SELECT source, chunk, sum(size) AS n FROM d GROUP BY source, chunk)
+), n AS (SELECT floor(1.5 * sum(n) / 128 + 0.5)::BIGINT AS seats FROM s), q AS (
+  SELECT pos, seat.range AS seat, row_number() OVER (ORDER BY target / (2 * seat.range + 1) DESC, pos) AS place FROM t, range((SELECT 2 * max(blocks) FROM t)) seat WHERE seat.range < 2 * blocks AND target > 0
+), g AS (
+  SELECT pos, seat, (SELECT count(*) FROM range(16) k WHERE place > seats * (k.range + 1) // 16) AS shard FROM q, n WHERE place <= seats
+), m AS (
+  SELECT *, (7 * 1000003 * (pos + 1)) % greatest(blocks, 1) AS shift, CASE WHEN blocks % 1000003 <> 0 THEN 1000003 WHEN blocks % 999983 <> 0 THEN 999983 ELSE 1 END AS step FROM t
 ), p AS (
-  SELECT d.r, d.doc_id, d.size, m.n, m.target, m.blocks, m.quota, m.step, m.shift,
-    first + sum(d.size) OVER (PARTITION BY d.source, d.chunk ORDER BY d.doc_id NULLS FIRST, d.size, d.r ROWS UNBOUNDED PRECEDING) - d.size AS spot
-  FROM d JOIN m ON d.source IS NOT DISTINCT FROM m.source JOIN c ON c.source IS NOT DISTINCT FROM d.source AND c.chunk = d.chunk
+  SELECT r, doc_id, size, m.pos, m.n, m.target, m.blocks, m.step, m.shift, sum(size) OVER (PARTITION BY m.pos ORDER BY hash, doc_id NULLS FIRST, size, r ROWS UNBOUNDED PRECEDING) - size AS spot
+  FROM h JOIN m ON h.source IS NOT DISTINCT FROM m.source
 ), b AS (SELECT *, unnest(range((spot // 128)::BIGINT, ((spot + size - 1) // 128)::BIGINT + 1)) AS k FROM p WHERE size > 0), e AS (
-  SELECT r, sum(least((k + 1) * 128, spot + size) - greatest(k * 128, spot)) AS extra FROM b WHERE (k * step + shift) % blocks < quota % blocks GROUP BY r
-)
-SELECT doc_id, size, n AS source_size, target, (quota // greatest(blocks, 1) * size + coalesce(extra, 0))::BIGINT AS taken FROM p LEFT JOIN e USING (r)
+  SELECT r, shard, sum(least((k + 1) * 128, spot + size) - greatest(k * 128, spot))::BIGINT AS words
+  FROM b, range(2) turn JOIN g ON g.pos = b.pos AND g.seat = turn.range * blocks + (k * step + shift) % blocks GROUP BY r, shard
+), x AS (SELECT r, sum(words)::BIGINT AS taken, string_agg(shard || ':' || words, ',' ORDER BY shard) AS shard_words FROM e GROUP BY r)
+SELECT doc_id, size, n AS source_size, target, coalesce(taken, 0) AS taken, coalesce(shard_words, '') AS shard_words FROM p LEFT JOIN x USING (r)
 """
 
 _NEAR = r"""
