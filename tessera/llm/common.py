@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import functools
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -15,17 +16,27 @@ from pyspark.sql import DataFrame, SparkSession
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Bytes of a row group of a written table, which a task gathers in memory.
+ROW_GROUP_BYTES = 16 << 20
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
-    ``spark.checkpoint.dir`` where the session names it; otherwise (as in
-    tests on one machine) a temporary folder that is kept for the session.
+    ``spark.checkpoint.dir`` where the session names it; in local mode, as in
+    tests, otherwise a temporary folder of the application. A cluster must name one.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="tessera-shared-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return _local_folder(spark.sparkContext.applicationId)
+
+
+@functools.cache
+def _local_folder(application: str) -> str:
+    return "file://" + tempfile.mkdtemp(prefix="tessera-shared-")
 
 
 def _own_folder(spark: SparkSession) -> str:
@@ -50,7 +61,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

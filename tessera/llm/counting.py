@@ -39,7 +39,7 @@ _TYPES = [pa.int32(), pa.int32(), pa.int64(), pa.binary()]
 
 
 #: Text bytes whose keys share a bucket.
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 2 << 20
 
 
 def buckets_for(rows: DataFrame) -> int:

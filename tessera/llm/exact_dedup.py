@@ -24,10 +24,12 @@ SALT_ROWS = 2_000
 STATE = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "100",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
     "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "2",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # a store's memory goes with its task, not with a maintenance run while later stages are at work
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
 
 
@@ -74,42 +76,52 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", digest: Colu
 
     Null texts count as empty; texts are compared as they are. Of equal texts
     the row with the largest key stays (null keys lose; of rows with the same
-    key one stays). ``digest`` may replace SHA-256 as the state's key; the
-    byte comparison fails the job if different texts ever share it. An empty
-    table gives an empty table; columns named like the added ones are replaced.
-    ``docs`` must list its rows in the same order each time it is read, as files
-    do; the job fails if it does not.
+    key one stays). ``digest`` (of the columns of ``docs``) may replace SHA-256 as the
+    state's key; the byte comparison fails the job if different texts ever share it. An
+    empty table gives an empty table; columns named like the added ones are replaced,
+    others may have any names. ``docs`` must list its rows in the same order each time
+    it is read, as files do; the job fails if it does not.
     """
     docs = docs.drop("keep_id", "group_size", "kept", "text_sha256")
-    whole = F.coalesce(F.col(text), F.lit(""))
-    located = docs.withColumns({"_locator": F.monotonically_increasing_id(), "_digest": F.unhex(F.sha2(whole, 256)) if digest is None else digest})
-    keyed = located.select(F.col("_digest").alias("digest"), F.col(key).alias("key"), F.col("_locator").alias("locator"))
-    groups = written(stream_groups(keyed).select(F.col("digest").alias("_d"), F.col("keep.key").alias("keep_id"), F.col("keep.locator").alias("_kept_at"), F.col("n").alias("group_size")), "dedup-final")
-    marked = located.join(groups, F.col("_digest") == F.col("_d")).drop("_d").withColumn("kept", F.col("_locator") == F.col("_kept_at"))
-    sha = F.lower(F.hex("_digest")) if digest is None else F.sha2(whole, 256)
-    return _compared(marked, whole).select(*docs.columns, "keep_id", F.col("group_size").cast("long").alias("group_size"), "kept", sha.alias("text_sha256"))
+    marked = _marked(docs, key, text, digest)
+    sha = F.lower(F.hex("digest")) if digest is None else F.sha2(F.coalesce("t", F.lit("")), 256)
+    added = [F.col("keep_id"), F.col("group_size").cast("long").alias("group_size"), F.col("kept"), sha.alias("text_sha256")]
+    return marked.select(*_unpacked(docs, text), *added)
 
 
-def _compared(marked: DataFrame, whole: Column) -> DataFrame:
+def _unpacked(docs: DataFrame, text: str) -> list[Column]:
+    return [F.col("t").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns]
+
+
+def _marked(docs: DataFrame, key: str, text: str, digest: Column | None = None) -> DataFrame:
+    """``k``, ``t``, ``row`` (the other columns), ``digest``, ``locator`` and what the state says of each row."""
+    rest = F.struct(F.lit(0).alias("_"), *[F.col(c) for c in docs.columns if c != text])
+    sha = F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256)) if digest is None else digest
+    located = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), rest.alias("row"), sha.alias("digest"), F.monotonically_increasing_id().alias("locator"))
+    groups = stream_groups(located.select("digest", F.col("k").alias("key"), "locator"))
+    groups = written(groups.select(F.col("digest").alias("of"), F.col("keep.key").alias("keep_id"), F.col("keep.locator").alias("kept_at"), F.col("n").alias("group_size")), "dedup-final")
+    marked = located.join(groups, F.col("digest") == F.col("of")).drop("of").withColumn("kept", F.col("locator") == F.col("kept_at"))
+    return _compared(marked)
+
+
+def _compared(marked: DataFrame) -> DataFrame:
     """Check every hit's bytes against the row that stays; fail on a difference.
 
     Only rows with copies are compared; they are written first, so the whole
     table's texts are shuffled once. The keeper's row is repeated once per
     ``SALT_ROWS`` rows of its group, so the hottest group spreads over many tasks.
     """
+    whole = F.coalesce("t", F.lit(""))
     salts = F.expr(f"group_size div {SALT_ROWS} + 1")
     hit = written(marked.where("group_size > 1"), "dedup-hits")
-    keepers = hit.where("kept").select(F.col("_kept_at").alias("_k"), whole.alias("_text"), F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("_s"))
-    salted = hit.withColumn("_salt", F.pmod(F.col("_locator"), salts))
-    checked = salted.join(keepers, (F.col("_kept_at") == F.col("_k")) & (F.col("_salt") == F.col("_s")), "left")
-    problem = F.when(F.col("_text").isNull(), "docs changed its order between two reads").otherwise("two different texts share a digest")
-    same = F.when(whole == F.col("_text"), F.col("kept")).otherwise(F.raise_error(problem).cast("boolean"))
+    keepers = hit.where("kept").select(F.col("kept_at").alias("keeper"), whole.alias("other"), F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("part"))
+    salted = hit.withColumn("salt", F.pmod(F.col("locator"), salts))
+    checked = salted.join(keepers, (F.col("kept_at") == F.col("keeper")) & (F.col("salt") == F.col("part")), "left")
+    problem = F.when(F.col("other").isNull(), "docs changed its order between two reads").otherwise("two different texts share a digest")
+    same = F.when(whole == F.col("other"), F.col("kept")).otherwise(F.raise_error(problem).cast("boolean"))
     return marked.where("group_size = 1").withColumn("kept", F.lit(True)).unionByName(checked.withColumn("kept", same).select(*marked.columns))
 
 
 def distinct_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Only the rows that stay, with the columns of ``docs`` as they are, whatever their names."""
-    rest = F.struct(F.lit(0).alias("_"), *[c for c in docs.columns if c != text])
-    packed = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), rest.alias("row"))
-    kept = dedup(packed, "k", "t").where("kept")
-    return kept.select(*[F.col("t").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns])
+    """Only the rows that stay, with the columns of ``docs`` as they are, whatever their names; else as ``dedup``."""
+    return _marked(docs, key, text).where("kept").select(*_unpacked(docs, text))

@@ -147,7 +147,8 @@ def compare_edits(docs: DataFrame, key: str = "doc_id", text: str = "text", part
     ``edited_fingerprint``, ``near_edited`` and ``near_next``. The next text is that of the
     next row by key (then text; null keys first), after the last the first; a single
     row follows itself. A null text counts as empty, repeated rows follow each
-    other, and an empty table gives an empty table. Other columns are not read.
+    other, and an empty table gives an empty table. Keys are whole numbers. Other columns
+    are not read.
     """
     placed, _ = with_next(docs, key, text, partitions)
     names = ["key", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]

@@ -285,7 +285,7 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
     sets' Jaccard similarity is at least ``percent`` / 100; ``component_id`` is the smallest
     key that links lead to. Null keys are passed over as smallest keys. Repeated rows are equal sets
     and so one component; an empty table gives an empty table. Other columns are not read.
-    ``docs`` must list its rows in the same order each time it is read, as files do.
+    Keys are whole numbers (see ``one_of_each`` for others). ``docs`` must list its rows in the same order each time it is read, as files do.
     """
     rows = written(possible_rows(docs, key, text, size, percent), "shingles")
     some = rows.where("sig is not null")

@@ -53,7 +53,8 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", or
     Counts come from all rows, repeated ones as often as they occur. N-grams of
     two and more words under ``cutoff`` count as unseen. A null or empty text
     has no words and score 0; an empty table gives an empty table; null keys
-    pass through. Other columns are not read.
+    pass through. Keys are whole numbers (a locator
+    for others). Other columns are not read.
     """
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("data"))
     buckets = buckets_for(rows)

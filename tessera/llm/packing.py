@@ -21,6 +21,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tessera.llm.common import mapped, release
 
@@ -29,7 +30,7 @@ BLOCK_TOKENS = 1 << 18
 #: Token ids that close a document, and penalties in tokens of padding.
 SEPARATOR, SENTENCE_COST, STRIDE_COST, STRIDE = 0, 2.0, 12.0, 16
 
-SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+SCHEMA = "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
 @functools.cache
@@ -144,7 +145,8 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
     partition lists them and no row is shuffled: every partition packs its own
     blocks of documents, and only a block's last sequence can be far from
     full. Repeated rows are packed as often as they occur, null keys pass
-    through, and an empty table gives an empty table. Other columns are not read.
+    through, keys may be of any type, and an empty table gives an empty table. Other columns
+    are not read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,6 +156,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
         keys: list = []
         size = 0
         close = np.array([SEPARATOR], np.uint32)
+        kind = pa.int64()
 
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal sequence, size
@@ -166,9 +169,10 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
             release()
             for a in range(0, len(rows[0]), 500):
                 part = [r[a : a + 500] for r in rows]
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary() if i == 3 else pa.int64()) for i, x in enumerate(part)], names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, {0: kind, 3: pa.binary()}.get(i, pa.int64())) for i, x in enumerate(part)], names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
 
         for batch in batches:
+            kind = batch.column(0).type
             if sequence < 0 and batch.num_rows:
                 sequence = batch.column(2)[0].as_py() << 40  # the table's own partition
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -179,5 +183,5 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
                 size += len(ids)
         yield from flush()
 
-    packed = mapped(docs.selectExpr(f"cast(`{key}` as long) as doc_id", f"`{text}` as text", "spark_partition_id() as at"), run, SCHEMA)
+    packed = mapped(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.spark_partition_id().alias("at")), run, f"doc_id {dict(docs.dtypes)[key]}, {SCHEMA}")
     return packed.withColumnRenamed("doc_id", key)

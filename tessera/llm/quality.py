@@ -10,13 +10,14 @@ on documents kept apart from training calibrates its probabilities.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tessera.llm.common import mapped
 from tessera.llm.hashing import chunks, hash_runs
@@ -100,23 +101,20 @@ def pooled(ids: np.ndarray, repeated_lines: float, vectors: np.ndarray, index: n
     return out
 
 
-def document_features(docs: DataFrame, text: str, schema: str, row_of) -> DataFrame:
-    """Rows ``row_of(ids, repeated_lines)`` appended to the other columns of ``docs`` (text last, dropped)."""
-    names = [c for c in docs.columns if c != text]
-    ordered = docs.select(*names, text)
-    last = schema.rpartition(",")[2].split()
-    kinds = {"binary": pa.binary(), "double": pa.float64()}
+def document_features(docs: DataFrame, text: str, name: str, kind: str, of: Callable[[list[tuple[np.ndarray, float]]], list]) -> DataFrame:
+    """Adds the column ``name``: ``of(documents)`` over the token ids and the share of repeated lines of many texts at once."""
+    schema = StructType([*docs.schema.fields]).add(name, kind)
+    names, at_text, made = [*docs.columns, name], docs.columns.index(text), {"binary": pa.binary(), "double": pa.float64()}[kind]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: list = []
-            for _, _, data, offsets in chunks(batch, len(names), CHUNK):
+            for _, _, data, offsets in chunks(batch, at_text, CHUNK):
                 ids, at = tokens(data, offsets)
-                for d in range(len(offsets) - 1):
-                    found.append(row_of(ids[at[d] : at[d + 1]], line_repeats(data, offsets[d], offsets[d + 1])))
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(found, kinds[last[1]])], names=[*names, last[0]])
+                found += of([(ids[at[d] : at[d + 1]], line_repeats(data, offsets[d], offsets[d + 1])) for d in range(len(offsets) - 1)])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, made)], names=names)
 
-    return mapped(ordered, run, schema)
+    return mapped(docs, run, schema)
 
 
 @dataclass
@@ -166,7 +164,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     named = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).alias("_k")).agg(F.min(F.col(label).cast("int")).alias("_y"))
     sample = named.orderBy(F.xxhash64("_k"), "_k").limit(max_train)
     one = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(sample), F.col("_key") == F.col("_k")).select("_key", F.col("_y").cast("int").alias("_y"), "_text")
-    rows = document_features(one, "_text", f"_key {dict(docs.dtypes)[key]}, _y int, f binary", lambda ids, r: np.float64(r).tobytes() + ids.tobytes()).collect()
+    packed = lambda found: [np.float64(r).tobytes() + ids.tobytes() for ids, r in found]
+    rows = document_features(one, "_text", "f", "binary", packed).select("_key", "_y", "f").collect()
     seen: dict = {}
     for r in sorted(rows, key=lambda r: (r["_key"], r["f"])):  # repeated rows count once, in a fixed order
         seen.setdefault(r["_key"], r)
@@ -192,22 +191,20 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
     """Add ``score``, the probability of label 1, to every row, from its whole text alone.
 
     A null text counts as empty and gets the score of a document without words.
-    A column of that name is replaced; an empty table gives an empty table.
+    A column of that name (not the text's) is replaced, others may have any names; an empty
+    table gives an empty table.
     """
     docs = docs.drop(name)
-    carried = docs.withColumn("_text", F.col(text))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), f"{name} double"])
-    constant = model.constant
-    if constant is not None:
-        return docs.withColumn(name, F.lit(constant))
+    if model.constant is not None:
+        return docs.withColumn(name, F.lit(model.constant))
+    cache: dict = {}
 
-    def row(ids: np.ndarray, repeats: float) -> float:
+    def probabilities(found: list[tuple[np.ndarray, float]]) -> list:
         if "index" not in cache:
             cache["index"] = index_vectors()
-        return float(model.probability(pooled(ids, repeats, model.vectors, cache["index"])))
+        return model.probability(np.stack([pooled(ids, r, model.vectors, cache["index"]) for ids, r in found])).tolist() if found else []
 
-    cache: dict = {}
-    return document_features(carried, "_text", schema, row)
+    return document_features(docs, text, name, "double", probabilities)
 
 
 def held_out(key: Column) -> Column:

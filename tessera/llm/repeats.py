@@ -36,7 +36,7 @@ SEGMENT_BITS = 21
 #: Occurrences of an anchor from which whole strings are counted, too.
 COMMON = 2_000
 #: Text bytes from which a shard takes no further anchor; an anchor with more is sorted alone, on disk beyond ``induced.MEMORY``.
-SHARD_BYTES = 320 << 10
+SHARD_BYTES = 1 << 20
 #: Bytes of the head of a row whose whole strings are counted: anchor, start and the text's SHA-256.
 HEAD = 48
 

@@ -69,18 +69,18 @@ def assign_shards(df: DataFrame, key: str, shards: int, grown: int | None = None
     chunk's first slot. Rows with one key share shard and chunk and are
     numbered by ``order``; tied rows take the tied slots in any order. Null
     keys count as 0; an empty table gives an empty table. Columns of the input
-    named like the added ones are replaced.
+    named like the added ones are replaced, others may have any names.
     """
     grown = shards + 1 if grown is None else grown
     df = df.drop("shard", "slot", "grown_shard")
-    walked = df.withColumn("_w", jump_walk(F.col(key), shards, grown)).select(
-        *df.columns, F.col("_w.shards")[0].alias("shard"), F.col("_w.shards")[1].alias("grown_shard"), (F.col("_w.chunk") % chunks).alias("_chunk")
-    )
-    counts = walked.groupBy("shard", "_chunk").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("shard").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    first = counts.select(F.col("shard").alias("_s"), F.col("_chunk").alias("_c"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
-    own = Window.partitionBy("shard", "_chunk").orderBy(F.col(key), *[F.col(x) for x in order])
-    numbered = walked.withColumn("_row", F.row_number().over(own))
-    return numbered.join(F.broadcast(first), (F.col("shard") == F.col("_s")) & (F.col("_chunk") == F.col("_c"))).select(
-        *df.columns, "shard", (F.col("_first") + F.col("_row") - 1).cast("long").alias("slot"), "grown_shard"
+    rows = df.select(F.struct(*df.columns).alias("row"), F.col(key).alias("key"), F.struct(F.lit(0).alias("_"), *order).alias("rank"), jump_walk(F.col(key), shards, grown).alias("walk"))
+    walked = rows.select("row", "key", "rank", F.col("walk.shards")[0].alias("shard"), F.col("walk.shards")[1].alias("grown_shard"), (F.col("walk.chunk") % chunks).alias("chunk"))
+    counts = walked.groupBy("shard", "chunk").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("shard").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    first = counts.select(F.col("shard").alias("s"), F.col("chunk").alias("c"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    own = Window.partitionBy("shard", "chunk").orderBy("key", "rank")
+    numbered = walked.withColumn("number", F.row_number().over(own))
+    slot = (F.col("first") + F.col("number") - 1).cast("long")
+    return numbered.join(F.broadcast(first), (F.col("shard") == F.col("s")) & (F.col("chunk") == F.col("c"))).select(
+        *[F.col("row").getField(c).alias(c) for c in df.columns], "shard", slot.alias("slot"), "grown_shard"
     )

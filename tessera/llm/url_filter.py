@@ -131,22 +131,23 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], url: str = "
     cascade over every key that the table's URLs can ask for. Without a
     fitting rule the verdict is ``default``: an unlisted URL. A null URL or one
     without ``://`` has empty host and path. Columns of the input named like
-    the added ones are replaced; an empty table gives an empty table.
+    the added ones are replaced, others may have any names; an empty table gives an empty table.
     """
     spark: SparkSession = pages.sparkSession
     lengths = sorted({len(p) for _, p, _ in rules})
     pages = pages.drop(*[c for c in ("host", "path", "rule", "verdict") if c != url])
-    split = pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
-    keyed = split.withColumn("_keys", candidate_keys(F.col("host"), F.col("path"), lengths))
+    split = pages.select(F.struct(*pages.columns).alias("row"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
+    keyed = split.withColumn("keys", candidate_keys(F.col("host"), F.col("path"), lengths))
     # the distinct keys are written once; every level of the cascades then reads them, not the pages
-    universe = written(keyed.select(F.explode("_keys.key").alias("key")).distinct(), "url-keys")
+    universe = written(keyed.select(F.explode("keys.key").alias("key")).distinct(), "url-keys")
     cascades = {}
     for n, verdict in enumerate(("block", "allow")):
         listed = spark.createDataFrame([(h + p,) for h, p, v in rules if v == verdict], "key string")
         cascades[verdict] = build_cascade(universe, listed, salt=n + 1)
     found = F.filter(
-        F.transform(F.array_sort("_keys"), lambda k: F.struct(k["key"].alias("rule"), F.when(cascades["block"].contains(k["key"]), "block").when(cascades["allow"].contains(k["key"]), "allow").alias("verdict"))),
+        F.transform(F.array_sort("keys"), lambda k: F.struct(k["key"].alias("rule"), F.when(cascades["block"].contains(k["key"]), "block").when(cascades["allow"].contains(k["key"]), "allow").alias("verdict"))),
         lambda x: x["verdict"].isNotNull(),
     )
-    judged = keyed.withColumn("_found", F.get(found, F.lit(0)))
-    return judged.select(*split.columns, F.col("_found.rule").alias("rule"), F.coalesce(F.col("_found.verdict"), F.lit(default)).alias("verdict"))
+    judged = keyed.select("row", "host", "path", F.get(found, F.lit(0)).alias("found"))
+    own = [F.col("row").getField(c).alias(c) for c in pages.columns]
+    return judged.select(*own, "host", "path", F.col("found.rule").alias("rule"), F.coalesce(F.col("found.verdict"), F.lit(default)).alias("verdict"))

@@ -2,7 +2,9 @@
 
 import random
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard int, score double, kept boolean, host string, n int, data binary, at long"
+#: Names that operators might use themselves.
+CLASHING = ["_k", "_t", "_text", "_at", "_a", "_chunk", "_keys", "_s", "row", "k", "t", "key", "keys", "digest", "locator", "found", "walk", "rank", "spans", "passes", "pos"]
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard int, score double, kept boolean, host string, n int, data binary, at long, " + ", ".join(f"`{c}` string" for c in CLASHING)
 
 
 def texts(seed=0, n=40):
@@ -29,7 +31,7 @@ def documents(spark, tmp_path, rows=None):
         found = texts()
         rows = [(i * 3 + 1, t, "en", f"src{i % 4}" if i % 7 else None) for i, t in enumerate(found)]
         rows += [(None, "null key", "en", "src1"), (None, None, None, None), rows[2], rows[2], (rows[4][0], "other text, same key", "en", "src0")]
-    table = [(i, t, a, s, None if t is None else len(t), 5, 0.5, True, "h", 1, b"d", 9) for i, t, a, s in rows]
+    table = [(i, t, a, s, None if t is None else len(t), 5, 0.5, True, "h", 1, b"d", 9, *CLASHING) for i, t, a, s in rows]
     path = str(tmp_path / "documents")
     spark.createDataFrame(table, SCHEMA).repartition(3).write.parquet(path)
     return spark.read.parquet(path)
