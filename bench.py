@@ -26,7 +26,7 @@ def block_queries(spark: SparkSession, sf_dir: str) -> dict:
     stress = blocks.synthetic_planes(spark, big)
     return {
         "topview_block": lambda: block_resample.top_view_planes(packed, view),
-        "affine_block": lambda: block_resample.affine_slabs(packed, record),
+        "affine_block": lambda: block_resample.affine_blocks(packed, record),
         "topview_stress_block": lambda: block_resample.top_view_planes(stress, geometry.top_view(big, DX, DZ, ANGLE)),
     }
 

@@ -1,13 +1,14 @@
-"""Resampling in block form, the path for large volumes: numpy kernels per plane or per slab of columns.
+"""Resampling in block form, the path for large volumes: numpy kernels per plane or per block.
 
 Results equal the voxel form's. Top view: an output plane needs at most three
 source planes, so planes meet on the tap table and are gathered per output plane.
-Affine: output columns depend on the same source columns only, so the volume is
-dealt into slabs along x, each resampled on its own.
+Affine: the output is cut into blocks, each resampled from the box of source voxels under it.
 """
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,51 +46,66 @@ def top_view_planes(planes: DataFrame, view: TopView, rounding: str = "half_even
     return planes.join(F.broadcast(taps), "z0").groupBy("k").applyInPandas(gather, SCHEMA)
 
 
-def affine_slabs(planes: DataFrame, geometry: Affine, output_type: str = "float32", width: int = 64) -> DataFrame:
-    """Slabs of ``width`` output columns, each with all z and y, from source planes."""
+def _tiles(geometry: Affine, tile: tuple[int, int, int]) -> list[tuple[list[range], list[tuple[int, int]]]]:
+    """Output tiles (a range per axis), each with the box of source voxels that its taps lie in."""
+    found = []
+    for corner in itertools.product(*[range(0, n, t) for n, t in zip(geometry.shape, tile, strict=True)]):
+        own = [range(a, min(a + t, n)) for a, t, n in zip(corner, tile, geometry.shape, strict=True)]
+        box = []
+        for row, n in zip(geometry.to_source()[:2], geometry.source, strict=False):
+            at = [sum(k * v for k, v in zip(row, point, strict=False)) + row[3] for point in itertools.product(*[(r[0], r[-1]) for r in own])]
+            box.append((min(n, max(0, math.floor(min(at)))), max(0, min(n, math.floor(max(at)) + 2))))
+        found.append((own, [*box, tile_halo(own[2].start, own[2].stop, geometry.source[2])]))
+    return found
+
+
+def affine_blocks(planes: DataFrame, geometry: Affine, output_type: str = "float32", tile: tuple[int, int, int] = (64, 256, 64)) -> DataFrame:
+    """Output blocks of at most ``tile`` voxels from source planes; a task holds one block and the box of source voxels under it."""
     nz, ny, nx = geometry.source
-    oz, oy, ox = geometry.shape
     (a0, a1, a2, a3), (b0, b1, b2, b3), (c0, c1, c2, c3) = geometry.to_source()
-    tiles = [(i, x, min(x + width, ox)) for i, x in enumerate(range(0, ox, width))]
-    halo = {i: tile_halo(a, b, nx) for i, a, b in tiles}
+    tiles = _tiles(geometry, tile)
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
             for row in batch.itertuples():
                 a = block_array(row)
-                out += [{"tile": i, **block_row(a[:, :, low:high], (row.z0, 0, low))} for i, (low, high) in halo.items()]
-            yield pd.DataFrame(out)
-
-    def lerp(n: int, f: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        low = np.floor(f).astype(np.int64)
-        rest = f - low
-        return [(np.clip(i, 0, n - 1), w, (i >= 0) & (i < n)) for i, w in ((low, 1 - rest), (low + 1, rest))]
-
-    def slab(rows: pd.DataFrame) -> pd.DataFrame:
-        tile = int(rows.tile.iloc[0])
-        _, start, stop = tiles[tile]
-        low, high = halo[tile]
-        source = np.zeros((nz, ny, high - low))
-        for row in rows.itertuples():
-            source[row.z0 : row.z0 + row.nz] = block_array(row)
-        out = np.zeros((oz, oy, stop - start))
-        y, x = np.arange(oy)[:, None], np.arange(start, stop)[None]
-        for z in range(oz):  # one output plane of the slab at a time
-            fz, fy, fx = a0 * z + a1 * y + a2 * x + a3, b0 * z + b1 * y + b2 * x + b3, c0 * z + c1 * y + c2 * x + c3
-            ok = (fz >= -0.5) & (fz <= nz - 0.5) & (fy >= -0.5) & (fy <= ny - 0.5) & (fx >= -0.5) & (fx <= nx - 0.5)
-            total, support = np.zeros(ok.shape), np.zeros(ok.shape)
-            for iz, wz, oz_ in lerp(nz, fz):
-                for iy, wy, oy_ in lerp(ny, fy):
-                    for ix, wx, ox_ in lerp(nx, fx):
-                        w = np.where(oz_ & oy_ & ox_ & ok, wz * wy * wx, 0.0)
-                        total += w * source[iz, iy, np.clip(ix - low, 0, high - low - 1)]
-                        support += w
-            out[z] = np.where(support > SUPPORT, total / np.maximum(support, SUPPORT), 0.0)
+                out = []
+                for i, (_, ((z0, z1), (y0, y1), (x0, x1))) in enumerate(tiles):
+                    low, high = max(z0, row.z0), min(z1, row.z0 + row.nz)
+                    if low < high and y0 < y1:
+                        out.append({"tile": i, **block_row(a[low - row.z0 : high - row.z0, y0:y1, x0:x1], (low, y0, x0))})
+                    elif row.z0 == 0:  # every tile is asked for once, also those without a source
+                        out.append({"tile": i, **block_row(a[:0, :0, :0], (0, 0, 0))})
+                yield pd.DataFrame(out)
+
+    def taps(n: int, f: np.ndarray, low: int, high: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        first = np.floor(f).astype(np.int64)
+        rest = f - first
+        return [(np.clip(i - low, 0, high - low - 1), w, (i >= 0) & (i < n)) for i, w in ((first, 1 - rest), (first + 1, rest))]
+
+    def resampled(rows: pd.DataFrame) -> pd.DataFrame:
+        own, box = tiles[int(rows.tile.iloc[0])]
+        out = np.zeros([len(r) for r in own])
+        if all(low < high for low, high in box):
+            source = np.zeros([high - low for low, high in box])
+            for row in rows.itertuples():
+                source[row.z0 - box[0][0] : row.z0 - box[0][0] + row.nz, : row.ny, : row.nx] = block_array(row)
+            y, x = np.array(own[1])[:, None], np.array(own[2])[None]
+            for k, z in enumerate(own[0]):  # one output plane of the block at a time
+                fz, fy, fx = a0 * z + a1 * y + a2 * x + a3, b0 * z + b1 * y + b2 * x + b3, c0 * z + c1 * y + c2 * x + c3
+                ok = (fz >= -0.5) & (fz <= nz - 0.5) & (fy >= -0.5) & (fy <= ny - 0.5) & (fx >= -0.5) & (fx <= nx - 0.5)
+                total, support = np.zeros(ok.shape), np.zeros(ok.shape)
+                for iz, wz, in_z in taps(nz, fz, *box[0]):
+                    for iy, wy, in_y in taps(ny, fy, *box[1]):
+                        for ix, wx, in_x in taps(nx, fx, *box[2]):
+                            w = np.where(in_z & in_y & in_x & ok, wz * wy * wx, 0.0)
+                            total += w * source[iz, iy, ix]
+                            support += w
+                out[k] = np.where(support > SUPPORT, total / np.maximum(support, SUPPORT), 0.0)
         typed = out.astype("<f4") if output_type == "float32" else _rounded(out, "half_up")
-        return pd.DataFrame([block_row(typed, (0, 0, start))])
+        return pd.DataFrame([block_row(typed, (own[0].start, own[1].start, own[2].start))])
 
-    return planes.mapInPandas(deal, "tile int, " + SCHEMA).groupBy("tile").applyInPandas(slab, SCHEMA)
+    return planes.mapInPandas(deal, "tile int, " + SCHEMA).groupBy("tile").applyInPandas(resampled, SCHEMA)
 
 
 def pyramid_planes(planes: DataFrame, factors: list[int]) -> DataFrame:

@@ -66,7 +66,7 @@ def resample(spark: SparkSession, source: str, folder: str, params: RunParams) -
     record, dtype = None, "<u2"
     if params.geometry == "affine":
         record = geometry.affine(shape, params.dx, params.dz, params.angle, params.flip, params.affine_rotate)
-        slabs = block_resample.affine_slabs(planes, record, params.output_type)
+        slabs = block_resample.affine_blocks(planes, record, params.output_type)
         out, size = blocks.planes(slabs, record.shape), record.shape
         dtype = "<f4" if params.output_type == "float32" else "<u2"
     else:

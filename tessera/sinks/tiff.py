@@ -1,41 +1,84 @@
-"""BigTIFF writing, page by page."""
+"""BigTIFF writing: every plane has a known place in the file, so the executors write their own."""
 
 from __future__ import annotations
 
 import struct
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tessera.sources.blocks import block_array
 
+#: Fixed value: little-endian BigTIFF header up to the first directory's place.
+_HEADER = b"II" + struct.pack("<HHH", 43, 8, 0)
+_TAGS = 10
 
-def write_pages(path: str, arrays) -> int:
-    """Write 2-D arrays as one little-endian BigTIFF; holds one page at a time. Returns the number of pages."""
-    count = 0
+
+def _stride(ny: int, nx: int, dtype: np.dtype) -> int:
+    """Bytes of a page: its values, padded to eight, and its directory."""
+    return -(-ny * nx * dtype.itemsize // 8) * 8 + 8 + 20 * _TAGS + 8
+
+
+def _page(array: np.ndarray, k: int, last: bool) -> tuple[int, bytes]:
+    """Place and bytes of page k of a file of like pages."""
+    ny, nx = array.shape
+    stride = _stride(ny, nx, array.dtype)
+    at = 16 + k * stride
+    kind = {"u": 1, "i": 2, "f": 3}[array.dtype.kind]
+    tags = [(256, nx), (257, ny), (258, 8 * array.itemsize), (259, 1), (262, 1), (273, at), (277, 1), (278, ny), (279, array.nbytes), (339, kind)]
+    values = array.astype(array.dtype.newbyteorder("<")).tobytes()
+    after = 0 if last else at + stride + _directory_at(stride)
+    directory = struct.pack("<Q", len(tags)) + b"".join(struct.pack("<HHQQ", tag, 16, 1, value) for tag, value in tags) + struct.pack("<Q", after)
+    return at, values + b"\0" * (-len(values) % 8) + directory
+
+
+def _directory_at(stride: int) -> int:
+    return stride - 16 - 20 * _TAGS
+
+
+def _begin(path: str, pages: int, stride: int) -> None:
     Path(path).parent.mkdir(parents=True, exist_ok=True)
     with open(path, "wb") as out:
-        out.write(b"II" + struct.pack("<HHHQ", 43, 8, 0, 0))
-        link = 8
-        for array in arrays:
-            array = np.ascontiguousarray(array.astype(array.dtype.newbyteorder("<")))
-            kind = {"u": 1, "i": 2, "f": 3}[array.dtype.kind]
-            at = out.tell()
-            out.write(array.tobytes())
-            out.write(b"\0" * (-out.tell() % 8))
-            directory = out.tell()
-            tags = [(256, array.shape[1]), (257, array.shape[0]), (258, 8 * array.itemsize), (259, 1), (262, 1), (273, at), (277, 1), (278, array.shape[0]), (279, array.nbytes), (339, kind)]
-            out.write(struct.pack("<Q", len(tags)) + b"".join(struct.pack("<HHQQ", tag, 16, 1, value) for tag, value in tags) + struct.pack("<Q", 0))
-            end = out.tell()
-            out.seek(link)
-            out.write(struct.pack("<Q", directory))
-            out.seek(end)
-            link, count = end - 8, count + 1
-    return count
+        out.write(_HEADER + struct.pack("<Q", 16 + _directory_at(stride) if pages else 0))
+        out.truncate(16 + pages * stride)
+
+
+def write_pages(path: str, arrays: list[np.ndarray]) -> int:
+    """Write like 2-D arrays as one file, here and now. Returns the number of pages."""
+    stride = _stride(*arrays[0].shape, arrays[0].dtype) if arrays else 0
+    _begin(path, len(arrays), stride)
+    with open(path, "r+b") as out:
+        for k, array in enumerate(arrays):
+            at, data = _page(array, k, k + 1 == len(arrays))
+            out.seek(at)
+            out.write(data)
+    return len(arrays)
 
 
 def write_tiff(planes: DataFrame, path: str) -> int:
-    """Planes in block form, in order of z, as one file; the driver streams them partition by partition."""
-    rows = planes.orderBy("z0").select("nz", "ny", "nx", "dtype", "data").toLocalIterator(prefetchPartitions=True)
-    return write_pages(path, (block_array(r)[0] for r in rows))
+    """Whole planes in block form (z0 from 0, gapless) as one file; returns the number of pages.
+
+    The driver writes the header and sets the length; each task writes its planes at their
+    places, so no plane passes through the driver and a task that runs again
+    writes the same bytes. ``path`` must be a folder that driver and executors mount.
+    """
+    sizes = planes.agg(F.count("*").alias("n"), F.max("z0").alias("last"), F.max("ny").alias("ny"), F.max("nx").alias("nx"), F.min("ny").alias("my"), F.min("nx").alias("mx"), F.max("dtype").alias("dtype"), F.min("dtype").alias("other")).first()
+    n = sizes["n"]
+    if n and (sizes["last"] + 1 != n or (sizes["ny"], sizes["nx"], sizes["dtype"]) != (sizes["my"], sizes["mx"], sizes["other"])):
+        raise ValueError("a TIFF stack needs like planes without gaps")
+    _begin(path, n, _stride(sizes["ny"], sizes["nx"], np.dtype(sizes["dtype"])) if n else 0)
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            with open(path, "r+b") as out:
+                for row in batch.itertuples():
+                    at, data = _page(block_array(row)[0], int(row.z0), row.z0 + 1 == n)
+                    out.seek(at)
+                    out.write(data)
+            yield pd.DataFrame({"pages": [len(batch)]})
+
+    return int(planes.mapInPandas(write, "pages long").agg(F.sum("pages")).first()[0] or 0)

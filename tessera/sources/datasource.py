@@ -62,12 +62,12 @@ class TiffReader(_Pruned):
 
     def partitions(self) -> list[Piece]:
         with _mapped(self.path) as data:
-            return [Piece(self.path, (z, 0, 0), z) for z in range(len(tiff.pages(data))) if self.wanted((z, 0, 0))] or [Piece("", (0, 0, 0))]
+            return [Piece(self.path, (z, 0, 0), z) for z in range(tiff.plane_count(tiff.pages(data))) if self.wanted((z, 0, 0))] or [Piece("", (0, 0, 0))]
 
     def read(self, partition: Piece) -> Iterator[pa.RecordBatch]:
         if partition.path:
             with _mapped(partition.path) as data:
-                yield self.batch(tiff.page_array(data, tiff.pages(data)[partition.page])[None], partition.at)
+                yield self.batch(tiff.plane(data, tiff.pages(data), partition.page)[None], partition.at)
 
 
 @contextmanager

@@ -1,20 +1,30 @@
-"""TIFF and BigTIFF decoding without a library: uncompressed strips, either byte order, stacks in one directory."""
+"""TIFF and BigTIFF decoding without a library: strips or tiles, either byte order, the lossless compressions, stacks in one directory."""
 
 from __future__ import annotations
 
+import functools
+import mmap
+import os
 import re
 import struct
+import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
+from urllib.parse import unquote, urlparse
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.sources.blocks import SCHEMA, block_row
 
-#: Bytes of the field types, and the tags read here.
+#: Bytes of the field types, the tags read here, and the codes of the compressions.
 _TYPE_BYTES = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4, 12: 8, 13: 4, 16: 8, 17: 8, 18: 8}
 _FORMATS = {1: "B", 2: "s", 3: "H", 4: "I", 6: "b", 8: "h", 9: "i", 11: "f", 12: "d", 13: "I", 16: "Q", 17: "q", 18: "Q"}
-_WIDTH, _HEIGHT, _BITS, _COMPRESSION, _DESCRIPTION, _OFFSETS, _SAMPLES, _COUNTS, _FORMAT = 256, 257, 258, 259, 270, 273, 277, 279, 339
+_WIDTH, _HEIGHT, _BITS, _COMPRESSION, _DESCRIPTION, _OFFSETS, _SAMPLES, _ROWS, _COUNTS = 256, 257, 258, 259, 270, 273, 277, 278, 279
+_PLANAR, _PREDICTOR, _TILE_WIDTH, _TILE_HEIGHT, _TILE_OFFSETS, _TILE_COUNTS, _FORMAT = 284, 317, 322, 323, 324, 325, 339
+_NONE, _LZW, _DEFLATE, _OLD_DEFLATE, _PACKBITS, _ZSTD = 1, 5, 8, 32946, 32773, 50000
+_CLEAR, _STOP = 256, 257
 
 
 @dataclass(frozen=True)
@@ -22,8 +32,64 @@ class Page:
     height: int
     width: int
     dtype: str
-    strips: tuple[tuple[int, int], ...]
+    segments: tuple[tuple[int, int], ...]
     description: str
+    samples: int = 1
+    compression: int = _NONE
+    predictor: int = 1
+    segment: tuple[int, int] = (0, 0)
+
+    @property
+    def shape(self) -> tuple[int, ...]:
+        return (self.height, self.width) if self.samples == 1 else (self.height, self.width, self.samples)
+
+
+def unpack_lzw(data: bytes) -> bytes:
+    """Variable-width codes from the high bit on; the width grows one code early."""
+    out, table, width, last = [], [], 9, b""
+    bits = held = 0
+    for byte in data:
+        held, bits = held << 8 | byte, bits + 8
+        if bits < width:
+            continue
+        bits -= width
+        code, held = held >> bits, held & (1 << bits) - 1
+        if code == _STOP:
+            break
+        if code == _CLEAR:
+            table, width, last = [bytes((i,)) for i in range(256)] + [b"", b""], 9, b""
+            continue
+        word = table[code] if code < len(table) else last + last[:1]
+        out.append(word)
+        if last:
+            table.append(last + word[:1])
+        last, width = word, min(12, max(9, (len(table) + 1).bit_length()))
+    return b"".join(out)
+
+
+def unpack_bits(data: bytes) -> bytes:
+    out, at = [], 0
+    while at < len(data):
+        n = data[at]
+        if n < 128:
+            out.append(data[at + 1 : at + 2 + n])
+            at += 2 + n
+        else:
+            out.append(data[at + 1 : at + 2] * (257 - n if n > 128 else 0))
+            at += 2 if n > 128 else 1
+    return b"".join(out)
+
+
+def _unpack(data: bytes, compression: int) -> bytes:
+    if compression == _NONE:
+        return data
+    if compression in (_DEFLATE, _OLD_DEFLATE):
+        return zlib.decompress(data)
+    if compression == _ZSTD:
+        import zstandard
+
+        return zstandard.ZstdDecompressor().decompressobj().decompress(data)
+    return unpack_lzw(data) if compression == _LZW else unpack_bits(data)
 
 
 def _fields(data: bytes, order: str, at: int, big: bool) -> tuple[dict[int, tuple], int]:
@@ -55,35 +121,109 @@ def pages(data: bytes) -> list[Page]:
     found = []
     while at:
         tags, at = _fields(data, order, at, big)
-        if tags.get(_COMPRESSION, (1,))[0] != 1 or tags.get(_SAMPLES, (1,))[0] != 1:
-            raise ValueError("only uncompressed single-sample TIFF pages are supported")
-        bits, kind = tags.get(_BITS, (1,))[0], {1: "u", 2: "i", 3: "f"}[tags.get(_FORMAT, (1,))[0]]
-        text = tags.get(_DESCRIPTION, (b"",))[0].rstrip(b"\0").decode("utf-8", "replace")
-        strips = tuple(zip(tags[_OFFSETS], tags[_COUNTS], strict=True))
-        found.append(Page(tags[_HEIGHT][0], tags[_WIDTH][0], f"{order}{kind}{bits // 8}", strips, text))
+        value = lambda tag, other: tags.get(tag, (other,))[0]  # noqa: E731, B023
+        compression, predictor, samples = value(_COMPRESSION, _NONE), value(_PREDICTOR, 1), value(_SAMPLES, 1)
+        if compression not in (_NONE, _LZW, _DEFLATE, _OLD_DEFLATE, _PACKBITS, _ZSTD) or predictor not in (1, 2):
+            raise ValueError(f"TIFF compression {compression} with predictor {predictor} is not supported")
+        if samples > 1 and value(_PLANAR, 1) != 1:
+            raise ValueError("TIFF samples in separate planes are not supported")
+        bits, kind = value(_BITS, 1), {1: "u", 2: "i", 3: "f"}[value(_FORMAT, 1)]
+        if bits % 8:
+            raise ValueError(f"TIFF samples of {bits} bits are not supported")
+        text = value(_DESCRIPTION, b"").rstrip(b"\0").decode("utf-8", "replace")
+        height, width = tags[_HEIGHT][0], tags[_WIDTH][0]
+        tiled = _TILE_OFFSETS in tags
+        segments = tuple(zip(tags[_TILE_OFFSETS if tiled else _OFFSETS], tags[_TILE_COUNTS if tiled else _COUNTS], strict=True))
+        segment = (tags[_TILE_HEIGHT][0], tags[_TILE_WIDTH][0]) if tiled else (min(height, value(_ROWS, height)), width)
+        found.append(Page(height, width, f"{order}{kind}{bits // 8}", segments, text, samples, compression, predictor, segment))
     if len(found) == 1 and (m := re.search(r"(?:images|slices)=(\d+)", found[0].description)) and int(m[1]) > 1:
         one = found[0]
         size = one.height * one.width * np.dtype(one.dtype).itemsize
-        found = [Page(one.height, one.width, one.dtype, ((one.strips[0][0] + k * size, size),), one.description) for k in range(int(m[1]))]
+        if one.compression == _NONE and one.samples == 1:
+            found = [Page(one.height, one.width, one.dtype, ((one.segments[0][0] + k * size, size),), one.description, segment=(one.height, one.width)) for k in range(int(m[1]))]
     return found
 
 
 def page_array(data: bytes, page: Page) -> np.ndarray:
-    raw = b"".join(data[a : a + n] for a, n in page.strips)
-    need = page.height * page.width * np.dtype(page.dtype).itemsize
-    if len(raw) < need:
-        raise ValueError("a TIFF page is shorter than its size says")
-    return np.frombuffer(raw[:need], page.dtype).reshape(page.height, page.width)
+    """The page's values: (height, width), with samples (height, width, samples)."""
+    rows, columns = page.segment
+    kind = np.dtype(page.dtype)
+    across = -(-page.width // columns)
+    out = np.zeros(page.shape, kind)
+    for i, (at, n) in enumerate(page.segments):
+        y, x = i // across * rows, i % across * columns
+        tall = rows if columns < page.width or page.height % rows == 0 else min(rows, page.height - y)
+        size = tall * columns * page.samples * kind.itemsize
+        raw = _unpack(data[at : at + n], page.compression)
+        if len(raw) < size:
+            tall = len(raw) // (columns * page.samples * kind.itemsize)
+            if y + tall < min(page.height, y + rows):
+                raise ValueError("a TIFF page is shorter than its size says")
+            size = tall * columns * page.samples * kind.itemsize
+        part = np.frombuffer(raw[:size], kind).reshape(tall, columns, page.samples)
+        if page.predictor == 2:
+            part = np.cumsum(part.astype(kind.newbyteorder("=")), axis=1, dtype=kind.newbyteorder("="))
+        part = part[: page.height - y, : page.width - x]
+        out[y : y + part.shape[0], x : x + part.shape[1]] = part if page.samples > 1 else part[:, :, 0]
+    return out
+
+
+def plane_count(found: list[Page]) -> int:
+    """Planes of a file: its pages; one page with several samples is a volume (height, width, samples)."""
+    if any(p.samples > 1 for p in found):
+        if len(found) > 1:
+            raise ValueError("a volume needs three axes; a stack of pages with several samples has four")
+        return found[0].height
+    return len(found)
+
+
+def plane(data: bytes, found: list[Page], z: int) -> np.ndarray:
+    return page_array(data, found[0])[z] if found[0].samples > 1 else page_array(data, found[z])
+
+
+def _local(path: str) -> str:
+    """A mounted path without its scheme; empty for any other store."""
+    parts = urlparse(path)
+    found = path if not parts.scheme else unquote(parts.path) if parts.scheme == "file" else ""
+    return found if found and os.path.exists(found) else ""
+
+
+@functools.lru_cache(maxsize=4)
+def _opened(path: str) -> tuple[mmap.mmap, list[Page]]:
+    with open(path, "rb") as file:
+        data = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
+    return data, pages(data)
 
 
 def read_tiff(spark: SparkSession, path: str) -> DataFrame:
-    """Planes of a TIFF volume in block form with ``path``; files are read by Spark, one task per file."""
-    import pandas as pd
+    """Planes of TIFF volumes in block form with ``path``.
 
-    def decode(batches):
+    On a mounted folder the pages are dealt to the tasks, sixteen together; each task maps the file and reads its
+    own pages' bytes only, so a file may be of any size. From any other store Spark reads whole
+    files (up to 2 GB), one task per file.
+    """
+    files = spark.read.format("binaryFile").load(path)
+    if not _local(path):
+
+        def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for file in batch.itertuples():
+                    found = pages(file.content)
+                    for z in range(plane_count(found)):
+                        yield pd.DataFrame([{"path": file.path, **block_row(plane(file.content, found, z)[None], (z, 0, 0))}])
+
+        return files.select("path", "content").mapInPandas(decode, "path string, " + SCHEMA)
+
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for name in batch.path:
+                n = plane_count(_opened(_local(name))[1])
+                yield pd.DataFrame({"path": name, "z": range(n), "run": [z // 16 for z in range(n)]})
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for file in batch.itertuples():
-                for z, page in enumerate(pages(file.content)):
-                    yield pd.DataFrame([{"path": file.path, **block_row(page_array(file.content, page)[None], (z, 0, 0))}])
+            for row in batch.itertuples():
+                data, found = _opened(_local(row.path))
+                yield pd.DataFrame([{"path": row.path, **block_row(plane(data, found, int(row.z))[None], (int(row.z), 0, 0))}])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(decode, "path string, " + SCHEMA)
+    return files.select("path").mapInPandas(listed, "path string, z long, run long").repartition("path", "run").mapInPandas(read, "path string, " + SCHEMA)

@@ -1,10 +1,12 @@
 import json
 import struct
 import zipfile
+import zlib
 
 import numpy as np
 import pytest
 import yaml
+import zstandard
 
 from tessera.functions import names
 from tessera.functions.params import RunParams
@@ -54,6 +56,75 @@ def test_tiff_pages_of_either_order(dtype, order):
     assert [tiff_source.page_array(stack, p).tolist() for p in tiff_source.pages(stack)] == [a.tolist() for a in arrays]
 
 
+def packed_tiff(array, compression, predictor=1, rows=None, tile=None):
+    """One classic page of compressed strips or tiles."""
+    height, width, samples = array.shape if array.ndim == 3 else (*array.shape, 1)
+    whole = array.reshape(height, width, samples)
+    rows = rows or height
+    parts = [(whole[y : y + rows], None) for y in range(0, height, rows)]
+    if tile:
+        padded = np.zeros((-(-height // tile[0]) * tile[0], -(-width // tile[1]) * tile[1], samples), array.dtype)
+        padded[:height, :width] = whole
+        parts = [(padded[y : y + tile[0], x : x + tile[1]], None) for y in range(0, height, tile[0]) for x in range(0, width, tile[1])]
+    pack = {1: bytes, 5: pack_lzw, 8: zlib.compress, 32773: lambda b: b"".join(bytes((len(b[i : i + 128]) - 1,)) + b[i : i + 128] for i in range(0, len(b), 128)), 50000: zstandard.ZstdCompressor().compress}[compression]
+    body = [pack((np.diff(p, axis=1, prepend=p[:, :1] * 0) if predictor == 2 else p).astype(array.dtype).tobytes()) for p, _ in parts]
+    at = 8 + np.cumsum([0, *map(len, body)])
+    end = int(at[-1])
+    lists = struct.pack(f"<{2 * len(body)}I", *at[:-1].tolist(), *map(len, body))
+    several = len(body) > 1
+    spot = lambda k: end + 4 * len(body) * k if several else [int(at[0]), len(body[0])][k]
+    first, second = (324, 325) if tile else (273, 279)
+    tags = [(256, width), (257, height), (258, 8 * array.itemsize), (259, compression), (277, samples), (278, rows), (317, predictor), (339, {"u": 1, "i": 2, "f": 3}[array.dtype.kind])]
+    tags += [(322, tile[1]), (323, tile[0])] if tile else []
+    rows_of = [struct.pack("<HHII", t, 4, 1, v) for t, v in tags] + [struct.pack("<HHII", t, 4, len(body), spot(k)) for k, t in enumerate((first, second))]
+    return b"II" + struct.pack("<HI", 42, end + len(lists)) + b"".join(body) + lists + struct.pack("<H", len(rows_of)) + b"".join(sorted(rows_of)) + struct.pack("<I", 0)
+
+
+def pack_lzw(data):
+    bits, table, word, width = "", {bytes((i,)): i for i in range(256)}, b"", 9
+    bits += format(256, "09b")
+    count = 258
+    for byte in data:
+        longer = word + bytes((byte,))
+        if longer in table:
+            word = longer
+            continue
+        bits += format(table[word], f"0{width}b")
+        table[longer] = count
+        count, word = count + 1, bytes((byte,))
+        width = max(9, count.bit_length())
+        if count >= 4094:
+            bits += format(256, f"0{width}b")
+            table, count, width = {bytes((i,)): i for i in range(256)}, 258, 9
+    if word:
+        bits += format(table[word], f"0{width}b")
+        width = max(9, (count + 1).bit_length())
+    bits += format(257, f"0{width}b")
+    return int(bits.ljust(-(-len(bits) // 8) * 8, "0"), 2).to_bytes(-(-len(bits) // 8), "big")
+
+
+@pytest.mark.parametrize("compression", [1, 5, 8, 32773, 50000])
+@pytest.mark.parametrize(("predictor", "rows", "tile"), [(1, None, None), (2, 5, None), (2, None, (16, 16)), (1, 7, None)])
+def test_compressed_tiff_pages(compression, predictor, rows, tile):
+    draw = np.random.default_rng(compression)
+    for array in (draw.integers(0, 40, (23, 37)).astype("<u2"), draw.integers(0, 9, (40, 61)).astype("u1"), draw.integers(0, 255, (9, 11, 3)).astype("u1"), draw.integers(0, 60000, (70, 90)).astype("<u2")):
+        data = packed_tiff(array, compression, predictor, rows, tile)
+        assert (tiff_source.page_array(data, tiff_source.pages(data)[0]) == array).all()
+
+
+def test_distributed_tiff_round_trip(spark, tmp_path):
+    """Planes written and read by the tasks; a page with samples is a volume, a stack of such pages is not."""
+    shape, path = (37, 5, 7), str(tmp_path / "v.tif")
+    planes = blocks.synthetic_planes(spark, shape, 4)
+    assert tiff.write_tiff(planes, path) == 37
+    assert (cube(tiff_source.read_tiff(spark, path).drop("path"), shape) == cube(planes, shape)).all()
+    with pytest.raises(ValueError, match="gaps"):
+        tiff.write_tiff(planes.where("z0 != 3"), path)
+    (tmp_path / "rgb.tif").write_bytes(packed_tiff(np.arange(60, dtype="u1").reshape(4, 5, 3), 8))
+    assert (cube(discover.read(spark, str(tmp_path / "rgb.tif")), (4, 5, 3)) == np.arange(60).reshape(4, 5, 3)).all()
+    assert tiff.write_tiff(planes.where("z0 < 0"), path) == 0 and tiff_source.pages((tmp_path / "v.tif").read_bytes()) == []
+
+
 def test_tiff_refuses_what_it_cannot_read():
     for bad in (b"xx", b"II" + struct.pack("<HI", 41, 8)):
         with pytest.raises(ValueError, match="TIFF"):

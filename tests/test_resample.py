@@ -80,9 +80,9 @@ def test_affine_forms_agree(spark, shape, dx, dz, angle, flip, rotate, total):
     volume = tables.synthetic_volume(spark, shape)
     voxels = cube(resample.affine_volume(volume, a), a.shape)
     assert voxels.sum() == pytest.approx(total, abs=0.01)
-    slabs = block_resample.affine_slabs(blocks.synthetic_planes(spark, shape, 2), a, "float32", width=5)
+    slabs = block_resample.affine_blocks(blocks.synthetic_planes(spark, shape, 2), a, "float32", (3, 7, 5))
     assert np.allclose(cube(blocks.to_voxels(slabs), a.shape), voxels, rtol=1e-6, atol=1e-2)
-    whole = block_resample.affine_slabs(blocks.synthetic_planes(spark, shape, 2), a, "uint16", width=5)
+    whole = block_resample.affine_blocks(blocks.synthetic_planes(spark, shape, 2), a, "uint16", (64, 4, 64))
     assert (cube(blocks.to_voxels(whole), a.shape) == cube(resample.affine_volume(volume, a, "uint16"), a.shape)).all()
     if angle == 0:
         assert (voxels == cube(volume, shape)).all()
