@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -66,3 +68,27 @@ def derived_output(inputs: Column, image_path: Column, output_dir: Column) -> Co
     own = F.regexp_extract(base, r".(\.[^.]*)$", 1)
     end = F.when(inputs.isNotNull() | (own == ""), F.lit(ZARR_SUFFIX)).otherwise(own)
     return F.concat(output_dir, F.lit(f"/{OUTPUT_FOLDER}/"), stem(base), end)
+
+
+def split_patterns(text: str) -> list[str]:
+    """Patterns in one argument: brackets and quotes go, commas separate, blanks are dropped."""
+    return [p for p in (part.strip("[]'\" \t") for part in text.split(",")) if p]
+
+
+def recovered_text(text: str, command_line: str) -> str:
+    """A bracketed list that a shell has cut short, whole again from the command line that holds it."""
+    if text.count("[") == text.count("]"):
+        return text
+    start = command_line.find(text)
+    end = command_line.find("]", start)
+    return command_line[start : end + 1] if start >= 0 and end >= 0 else text
+
+
+def resolved(pattern: str, package: str = ".") -> str:
+    """The pattern itself where it is absolute or exists, else below the package's folder where that exists."""
+    inside = Path(package, pattern)
+    return pattern if Path(pattern).is_absolute() or Path(pattern).exists() or not inside.exists() else str(inside)
+
+
+def is_plain_folder(path: str) -> bool:
+    return Path(path).is_dir() and not path.lower().endswith(ZARR_SUFFIX)

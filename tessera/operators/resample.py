@@ -22,10 +22,14 @@ def sheared(volume: DataFrame, view: TopView) -> DataFrame:
     return volume.join(F.broadcast(offsets), "z").select("z", (F.col("y") + F.col("o") + view.margin).alias("y"), "x", "v")
 
 
-def neighbour_mean(volume: DataFrame, depth: int) -> DataFrame:
-    """Mean of each voxel with the one a plane deeper; the last plane stays. The table must be dense."""
-    line = Window.partitionBy("y", "x").orderBy("z")
-    return volume.withColumn("v", F.when(F.col("z") == depth - 1, F.col("v")).otherwise(0.5 * (F.col("v") + F.lead("v").over(line))))
+def neighbour_mean(volume: DataFrame, depth: int, saturated: bool = False) -> DataFrame:
+    """Mean of each voxel with the one a plane deeper; the last plane stays. The table must be dense.
+
+    ``saturated``: in unsigned 16-bit numbers, whose sum stops at 65535 and whose halves go up.
+    """
+    both = F.col("v") + F.lead("v").over(Window.partitionBy("y", "x").orderBy("z"))
+    mean = to_range(F.least(both, F.lit(65535.0)) / 2, "half_up") if saturated else 0.5 * both
+    return volume.withColumn("v", F.when(F.col("z") == depth - 1, F.col("v")).otherwise(mean))
 
 
 def depth_map(spark: SparkSession, view: TopView) -> DataFrame:
@@ -80,13 +84,16 @@ def _taps(at: str) -> F.Column:
     return F.array(F.struct(low.cast("long").alias("i"), (1 - rest).alias("w")), F.struct((low + 1).cast("long").alias("i"), rest.alias("w")))
 
 
-def top_view_volume(volume: DataFrame, view: TopView, rounding: str = "half_even") -> DataFrame:
+def top_view_volume(volume: DataFrame, view: TopView, rounding: str = "half_even", bypass_single: bool = False) -> DataFrame:
     """Fused top view: neighbour mean, depth interpolation and shear in one aggregate, then the rotation as a gather.
 
     The taps of all output planes (at most three source planes each) are one
     small table, bounded by the depth, and are broadcast; their weighted sums combine before
     the only shuffle of voxels. The result is dense: voxels without a source are 0.
+    ``bypass_single``: a volume of one plane passes as it is.
     """
+    if bypass_single and view.z == 1:
+        return volume
     spark = volume.sparkSession
     taps = spark.createDataFrame(view.taps(), "z long, sz long, shift long, c double")
     moved = volume.withColumnRenamed("z", "sz").join(F.broadcast(taps), "sz")
@@ -113,9 +120,10 @@ def affine_volume(volume: DataFrame, geometry: Affine, output_type: str = "float
     taps = inside.select("z", "y", "x", F.explode(_taps("fz")).alias("a"), "fy", "fx").select("z", "y", "x", "a", F.explode(_taps("fy")).alias("b"), "fx").select("z", "y", "x", "a", "b", F.explode(_taps("fx")).alias("c"))
     taps = taps.select("z", "y", "x", F.col("a.i").alias("sz"), F.col("b.i").alias("sy"), F.col("c.i").alias("sx"), (F.col("a.w") * F.col("b.w") * F.col("c.w")).alias("w")).where("w > 0")
     source = volume.toDF(*[{"z": "sz", "y": "sy", "x": "sx"}.get(c, c) for c in volume.columns])
-    sums = taps.join(source, ["sz", "sy", "sx"]).groupBy("z", "y", "x").agg(F.sum(F.col("w") * F.col("v")).alias("s"), F.sum("w").alias("w"))
-    value = F.when(F.col("w") > SUPPORT, F.col("s") / F.col("w")).otherwise(0.0)
-    full = grid(spark, geometry.shape).join(sums, ["z", "y", "x"], "left").select("z", "y", "x", F.coalesce(value, F.lit(0.0)).alias("v"))
+    parts = taps.join(source, ["sz", "sy", "sx"]).select("z", "y", "x", (F.col("w") * F.col("v")).alias("s"), "w")
+    none = grid(spark, geometry.shape).select("z", "y", "x", F.lit(0.0).alias("s"), F.lit(0.0).alias("w"))  # keeps every voxel, without another join
+    sums = parts.unionByName(none).groupBy("z", "y", "x").agg(F.sum("s").alias("s"), F.sum("w").alias("w"))
+    full = sums.select("z", "y", "x", F.when(F.col("w") > SUPPORT, F.col("s") / F.col("w")).otherwise(0.0).alias("v"))
     return full if output_type == "float32" else full.withColumn("v", to_range(snapped(F.col("v")), "half_up"))
 
 

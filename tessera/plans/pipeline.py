@@ -32,8 +32,8 @@ def shape_of(volume: DataFrame) -> tuple[int, int, int]:
 def stage(spark: SparkSession, source: str, folder: str, overwrite: bool = False) -> str:
     """Normalise one input of any kind to a Zarr group in ``folder``; returns its path.
 
-    A Zarr input is read and written anew; an archive keeps its inner name. A name that is
-    already there is an error unless ``overwrite``.
+    A Zarr input is copied file by file, its levels and chunks as they are; an archive keeps
+    its inner name. A name that is already there is an error unless ``overwrite``.
     """
     ship(spark)
     Path(folder).mkdir(parents=True, exist_ok=True)
@@ -44,6 +44,8 @@ def stage(spark: SparkSession, source: str, folder: str, overwrite: bool = False
     target = Path(folder) / f"{stem}.ome.zarr"
     if target.exists() and not overwrite:
         raise FileExistsError(f"{target} exists; two inputs share the stem {stem!r}, or overwrite it")
+    if discover.kind_of(source) == "zarr":
+        return discover.copy_group(spark, source, str(target))
     volume = discover.read(spark, source)
     shape = shape_of(volume)
     dtype = volume.select("dtype").first()[0]
@@ -112,6 +114,11 @@ def export(spark: SparkSession, folder: str, target: str, formats: tuple[str, ..
     return out
 
 
+def run_folder(spark: SparkSession, image_path: str, folder: str, params: RunParams, cell_name: str | None = None) -> list[str]:
+    """``run`` over the volumes of a folder, or of its sub-folder ``cell_name``, in name order."""
+    return run(spark, discover.volumes_in(spark, str(Path(image_path, cell_name or ""))), folder, params)
+
+
 def run(spark: SparkSession, sources: list[str], folder: str, params: RunParams) -> list[str]:
     """Stage, resample and export inputs; the staged name map is kept as a table."""
     if not sources:
@@ -190,6 +197,13 @@ def main(argv: list[str] | None = None) -> int:
     runs.add_argument("--affine-rotate", default="true")
     runs.add_argument("--pyramid-max", type=int, default=16)
     runs.add_argument("--formats", default="ozx")
+    runs.add_argument("--cell-name", help="sub-folder of the one input, a folder")
+    normal = parts.add_parser("normalise", help="bring everything a reader takes in a folder to Zarr groups")
+    merged = parts.add_parser("export", help="archives and a merged TIFF of a folder's volumes")
+    merged.add_argument("--formats", default="ozx")
+    for part in (normal, merged):
+        part.add_argument("folder")
+        part.add_argument("--output", required=True)
     both = parts.add_parser("compare", help="compare two volumes")
     for name in ("reference", "candidate", "params-a", "params-b", "component", "report"):
         both.add_argument(f"--{name}")
@@ -205,7 +219,15 @@ def main(argv: list[str] | None = None) -> int:
     try:
         if args.command == "run":
             params = RunParams(args.dx, args.dz, args.angle, args.flip, args.geometry, args.backend, args.output_type, args.affine_rotate, args.pyramid_max, tuple(args.formats.split(",")))
-            print("\n".join(run(spark, args.inputs, args.output, params)))
+            if args.cell_name or len(args.inputs) == 1 and names.is_plain_folder(args.inputs[0]):
+                found = run_folder(spark, args.inputs[0], args.output, params, args.cell_name)
+            else:
+                found = run(spark, [names.resolved(p) for given in args.inputs for p in names.split_patterns(given)], args.output, params)
+            print("\n".join(found))
+        elif args.command == "normalise":
+            print("\n".join(stage(spark, p, args.output) for p in discover.supported_inputs(spark, args.folder)))
+        elif args.command == "export":
+            print("\n".join(export(spark, args.folder, args.output, tuple(args.formats.split(",")))))
         else:
             direct, files = (args.reference, args.candidate), (args.params_a, args.params_b)
             if bool(all(direct)) == bool(all(files)) or any(direct) and any(files):

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+import shutil
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -79,21 +82,35 @@ def register(kind: str, reader: Callable[[SparkSession, str], DataFrame]) -> Non
     _readers[kind] = reader
 
 
-def _missing(kind: str, package: str) -> Callable[[SparkSession, str], DataFrame]:
-    def reader(spark: SparkSession, path: str) -> DataFrame:
-        raise RuntimeError(f"reading {kind} files needs the optional package {package!r}; register a reader for {kind!r}")
+def copy_group(spark: SparkSession, source: str, target: str) -> str:
+    """A Zarr group's files as they are, copied by the tasks; replaces what is at ``target``. Both are mounted folders."""
+    if Path(target).exists():
+        shutil.rmtree(target)
+    names = [str(p.relative_to(source)) for p in Path(source).rglob("*") if p.is_file()]
 
-    return reader
+    def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for name in batch.name:
+                to = Path(target, name)
+                to.parent.mkdir(parents=True, exist_ok=True)
+                shutil.copyfile(Path(source, name), to)
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    Path(target).mkdir(parents=True)
+    tasks = max(1, min(len(names) // 64, 1000))
+    spark.createDataFrame([(n,) for n in names], "name string").repartition(tasks).mapInPandas(copy, "n long").agg(F.sum("n")).first()
+    return target
 
 
 def _defaults() -> None:
+    from tessera.sources import optional
     from tessera.sources.tiff import read_tiff
     from tessera.sources.zarr import read_zarr
 
     for kind, reader in (("tiff", lambda s, p: read_tiff(s, p).drop("path")), ("zarr", read_zarr)):
         _readers.setdefault(kind, reader)
-    for kind, package in (("czi", "czifile"), ("nd2", "nd2"), ("lif", "readlif"), ("hdf5", "h5py")):
-        _readers.setdefault(kind, _missing(kind, package))
+    for kind in optional.OPENERS:
+        _readers.setdefault(kind, functools.partial(optional.read, kind))
 
 
 def kind_of(path: str) -> str:

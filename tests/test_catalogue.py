@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__
+from tessera.plans import file_queries  # noqa: F401
 from tessera.plans.catalogue import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"

@@ -1,7 +1,11 @@
+import contextlib
 import json
 import struct
+import sys
+import types
 import zipfile
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -13,7 +17,7 @@ from tessera.functions.params import RunParams
 from tessera.plans import pipeline
 from tessera.sinks import archive, tiff
 from tessera.sinks import zarr as zarr_sink
-from tessera.sources import blocks, codec, discover, zarr
+from tessera.sources import blocks, codec, discover, optional, zarr
 from tessera.sources import tiff as tiff_source
 from tessera.streaming import landing
 
@@ -199,7 +203,7 @@ def test_discovery_and_registry(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         (tmp_path / "e").mkdir()
         discover.volumes_in(spark, str(tmp_path / "e"))
-    with pytest.raises(RuntimeError, match="czifile"):
+    with pytest.raises(RuntimeError, match="aicsimageio"):
         discover.read(spark, str(tmp_path / "c.czi"))
     with pytest.raises(ValueError, match="reader"):
         discover.read(spark, "x.txt")
@@ -208,6 +212,67 @@ def test_discovery_and_registry(spark, tmp_path):
         discover.coerce_rank(np.zeros((2, 3, 4, 5)))
 
 
+def test_optional_readers(spark, tmp_path, monkeypatch):
+    """With stand-ins for the packages: which data they are asked for and what shape comes out."""
+
+    class Dataset:
+        def __init__(self, array):
+            self.array, self.shape = array, array.shape
+
+        def __getitem__(self, at):
+            return self.array[at]
+
+    volume = np.arange(24).reshape(2, 3, 4)
+    tree = {"meta": {}, "a": {"b": Dataset(volume)}, "c": Dataset(volume + 1)}
+
+    class File(dict):
+        def __init__(self, path, mode):
+            super().__init__(tree)
+
+        __enter__, __exit__ = (lambda self: self), (lambda self, *a: None)
+
+    image = types.SimpleNamespace(dims=types.SimpleNamespace(z=2), get_frame=lambda z, t, c: volume[z])
+    stand_ins = {
+        "h5py": types.SimpleNamespace(File=File, Dataset=Dataset),
+        "nd2": types.SimpleNamespace(ND2File=lambda path: contextlib.nullcontext(types.SimpleNamespace(asarray=lambda: volume[None]))),
+        "aicsimageio": types.SimpleNamespace(AICSImage=lambda path: types.SimpleNamespace(get_image_data=lambda order, T, C: volume)),
+        "readlif.reader": types.SimpleNamespace(LifFile=lambda path: types.SimpleNamespace(get_iter_image=lambda: [image])),
+    }
+    for name, module in stand_ins.items():
+        monkeypatch.setitem(sys.modules, name, module)
+    for kind in optional.OPENERS:
+        rows = list(optional.planes_of(kind, "x", [0, 1]))
+        assert [np.frombuffer(r["data"], r["dtype"]).tolist() for r in rows] == volume.reshape(2, -1).tolist()
+        assert [(r["z0"], r["nz"], r["ny"], r["nx"]) for r in rows] == [(0, 1, 3, 4), (1, 1, 3, 4)]
+    tree.clear()
+    with pytest.raises(ValueError, match="no dataset"):
+        list(optional.planes_of("hdf5", "x", [0]))
+
+
+def test_patterns_from_the_command_line(tmp_path):
+    assert names.split_patterns("[a.tif, 'b c.tif', ]") == ["a.tif", "b c.tif"]
+    assert names.recovered_text("[a.tif,", "run --input [a.tif, b.tif] --x 1") == "[a.tif, b.tif]"
+    assert names.recovered_text("[a]", "none") == "[a]" and names.recovered_text("[a", "none") == "[a"
+    (tmp_path / "in.tif").write_bytes(b"")
+    assert names.resolved("in.tif", str(tmp_path)) == str(tmp_path / "in.tif")
+    assert names.resolved("/abs/x.tif", str(tmp_path)) == "/abs/x.tif" and names.resolved("no.tif", str(tmp_path)) == "no.tif"
+
+
+def test_folder_mode_and_verbatim_staging(spark, tmp_path):
+    cell = tmp_path / "images" / "cell1"
+    cell.mkdir(parents=True)
+    tiff.write_pages(str(cell / "scan.tif"), [(np.arange(20, dtype="u2") + 20 * k).reshape(5, 4) for k in range(3)])
+    out = pipeline.run_folder(spark, str(tmp_path / "images"), str(tmp_path / "run"), RunParams(1, 1, 30), "cell1")
+    assert [p.rsplit("/", 1)[1] for p in out] == ["scan.ozx"]
+    with pytest.raises(FileNotFoundError):
+        pipeline.run_folder(spark, str(tmp_path / "images"), str(tmp_path / "run2"), RunParams(1, 1, 30))
+    group = tmp_path / "run" / "staged" / "scan.ome.zarr"
+    (group / "extra.txt").write_text("kept")
+    again = pipeline.stage(spark, str(group), str(tmp_path / "again"))
+    files = lambda root: sorted((str(p.relative_to(root)), p.read_bytes()) for p in Path(root).rglob("*") if p.is_file())
+    assert files(again) == files(group)
+
+
 def test_merge_in_name_order(spark, tmp_path):
     for name, n, v in (("b", 1, 2), ("a", 2, 1)):
         tiff.write_pages(str(tmp_path / f"{name}.tif"), [np.full((3, 4), v, "u2")] * n)
