@@ -55,7 +55,7 @@ def digest(data: bytes) -> bytes:
     four = codes.reshape(-1, 4)
     body = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
     length = min(255, round(12 * math.log2(n + 1) / 1.5))
-    return bytes((length, hashlib.blake2b(data, digest_size=1).digest()[0])) + body.astype(np.uint8).tobytes()
+    return bytes((length, hashlib.sha256(data).digest()[0])) + body.astype(np.uint8).tobytes()
 
 
 def _codes(d: bytes) -> np.ndarray:

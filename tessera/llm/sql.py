@@ -100,4 +100,52 @@ SELECT doc_id, size, text_crc32, 'key' AS law, a::INTEGER AS shard, row_number()
 FROM k JOIN j USING (r) WHERE i = 18
 """
 
-ORACLES: dict[str, str] = {"op2_lm_scoring": _LM, "op4_sharding": _SHARDS, "op5_jaccard_join": _NEAR, "op7_mixing": _MIX, "op6_url_filter": _URL, "op10_exact_dedup": _DEDUP}
+_REPEATS = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(coalesce(text, '')) AS h, strlen(coalesce(text, ''))::BIGINT AS n FROM documents), cut AS (
+  SELECT r, 512 * k AS base, least(512, n - 399 - 512 * k) AS starts, substr(h, 1024 * k + 1, 1822) AS h FROM (SELECT r, h, n, unnest(range(0, (n - 400) // 512 + 1)) AS k FROM d WHERE n >= 400)
+), w AS MATERIALIZED (SELECT r, base + j AS i, md5_number(substr(h, 2 * j + 1, 800)) AS m FROM (SELECT r, base, h, unnest(range(0, starts)) AS j FROM cut)), hit AS (SELECT r, i FROM w WHERE m IN (SELECT m FROM w GROUP BY m HAVING count(*) > 1)), s AS (
+  SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 400 THEN 0 ELSE 1 END AS first FROM hit
+), g AS (SELECT r, i, sum(first) OVER (PARTITION BY r ORDER BY i) AS run FROM s), runs AS (SELECT r, min(i) AS a, max(i) + 400 AS b FROM g GROUP BY r, run), parts AS (
+  SELECT r, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS a, a AS b FROM runs UNION ALL SELECT r, max(b), n FROM runs JOIN d USING (r) GROUP BY r, n
+), kept AS (SELECT r, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS k FROM parts JOIN d USING (r) GROUP BY r), gone AS (
+  SELECT r, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans FROM runs GROUP BY r
+)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(k, h))) AS kept_sha256 FROM d LEFT JOIN kept USING (r) LEFT JOIN gone USING (r)
+"""
+
+_PRINTS = r"""
+WITH d AS (
+  SELECT row_number() OVER o AS r, doc_id, coalesce(text, '') AS t, coalesce(lead(text) OVER o, CASE WHEN lead(1) OVER o IS NULL THEN first_value(text) OVER o END, '') AS next FROM documents
+  WINDOW o AS (ORDER BY doc_id NULLS FIRST, coalesce(text, '') ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+), x AS (
+  SELECT r, 0 AS e, t FROM d UNION ALL SELECT r, 1, left(t, length(t) - length(t) // 2) || left(next, length(t) // 2) FROM d
+), b AS (
+  SELECT r, e, i, ('0x' || h)::BIGINT AS b0 FROM (SELECT r, e, unnest(h) AS h, unnest(range(1, len(h) + 1)) AS i FROM (SELECT r, e, regexp_extract_all(hex(t), '..') AS h FROM x))
+), five AS (
+  SELECT r, e, b0, lead(b0, 1) OVER p AS b1, lead(b0, 2) OVER p AS b2, lead(b0, 3) OVER p AS b3, lead(b0, 4) OVER p AS b4 FROM b WINDOW p AS (PARTITION BY r, e ORDER BY i)
+), three AS (
+  SELECT r, e, unnest([
+    xor((b0 * 40503 + b1 * 31153) & 65535, (b2 * 34283) & 65535), xor((b0 * 49843 + b1 * 10197) & 65535, (b3 * 5719) & 65535), xor((b0 * 46413 + b2 * 15471) & 65535, (b3 * 42319) & 65535),
+    xor((b0 * 20751 + b1 * 39685) & 65535, (b4 * 8067) & 65535), xor((b0 * 52155 + b2 * 25243) & 65535, (b4 * 37209) & 65535), xor((b0 * 5423 + b3 * 26419) & 65535, (b4 * 36533) & 65535)]) AS h
+  FROM five WHERE b4 IS NOT NULL
+), c AS (
+  SELECT r, e, ((h * 40501) & 65535) >> 6 AS bucket, count(*) AS n FROM three GROUP BY ALL
+  UNION ALL SELECT DISTINCT r, e, b0, 1 FROM b WHERE (r, e) IN (SELECT (r, e) FROM b GROUP BY r, e HAVING count(*) < 5)
+), f AS (SELECT x.r, x.e, k.range AS bucket, coalesce(n, 0) AS n FROM x CROSS JOIN range(1024) k LEFT JOIN c ON c.r = x.r AND c.e = x.e AND c.bucket = k.range), q AS (
+  SELECT r, e, s[257] AS q1, s[513] AS q2, s[769] AS q3 FROM (SELECT r, e, list_sort(list(n)) AS s FROM f GROUP BY r, e)
+), code AS MATERIALIZED (SELECT r, e, bucket, (n > q1)::INT + (n > q2)::INT + (n > q3)::INT AS code FROM f JOIN q USING (r, e)), lists AS (SELECT r, e, list(CASE WHEN code >= k.range + 1 THEN 1.0 ELSE 0.0 END::DOUBLE ORDER BY bucket, k.range) AS codes FROM code CROSS JOIN range(3) k GROUP BY r, e), body AS (
+  SELECT r, e, string_agg(printf('%02x', v), '' ORDER BY k) AS body FROM (SELECT r, e, bucket // 4 AS k, sum(code << (2 * (bucket % 4))::INT)::INT AS v FROM code GROUP BY ALL) GROUP BY r, e
+), head AS (
+  SELECT r, e, least(255, round_even(12 * log2(strlen(t) + 1) / 1.5::DOUBLE, 0))::INT AS len, substr(sha256(t), 1, 2) AS chk, sha256(t) AS sha FROM x
+), p AS MATERIALIZED (SELECT r, e, len, chk, sha, printf('%02x', len) || chk || body AS print, codes FROM head JOIN body USING (r, e) JOIN lists USING (r, e)), pair AS (
+  SELECT r, 0 AS ae, r AS br, 1 AS be, 'edited' AS what FROM d UNION ALL SELECT r, 0, CASE WHEN r = (SELECT max(r) FROM d) THEN 1 ELSE r + 1 END, 0, 'next' FROM d
+), near AS (
+  SELECT pair.r, pair.what, CASE WHEN a.print = b.print THEN 1.0::DOUBLE
+    ELSE 1 - least(round(list_distance(a.codes, b.codes) ** 2) + 4 * least(32, abs(a.len - b.len)) + (a.chk <> b.chk)::INT, 1280)::DOUBLE / 1280 END AS likeness
+  FROM pair JOIN p a ON a.r = pair.r AND a.e = ae JOIN p b ON b.r = br AND b.e = be
+)
+SELECT doc_id, length(t)::BIGINT AS n_chars, ed.sha AS edited_sha256, own.print AS fingerprint, ed.print AS edited_fingerprint, e.likeness AS near_edited, x.likeness AS near_next
+FROM d JOIN p own ON own.r = d.r AND own.e = 0 JOIN p ed ON ed.r = d.r AND ed.e = 1 JOIN near e ON e.r = d.r AND e.what = 'edited' JOIN near x ON x.r = d.r AND x.what = 'next'
+"""
+
+ORACLES: dict[str, str] = {"op2_lm_scoring": _LM, "op4_sharding": _SHARDS, "op5_jaccard_join": _NEAR, "op3_fingerprint": _PRINTS, "op7_mixing": _MIX, "op8_suffix_dedup": _REPEATS, "op6_url_filter": _URL, "op10_exact_dedup": _DEDUP}
