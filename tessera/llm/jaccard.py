@@ -292,7 +292,7 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
     classes = written(some.groupBy("sig").agg(F.first("n").alias("n"), F.max("data").alias("data")), "classes")
     labels = link_classes(classes, percent)
     placed = some.select("id", "n", "sig").join(labels, "sig", "left").select("id", "n", F.coalesce("label", "sig").alias("part"))
-    least = placed.groupBy("part").agg(F.min("id").alias("component_id"))
+    least = written(placed.groupBy("part").agg(F.min("id").alias("component_id")), "components")  # a table of its own, so Spark may split a hot part
     joined = placed.join(least, "part").select("id", "n", "component_id")
     every = rows.where("sig is null").select("id", "n", F.col("id").alias("component_id")).unionByName(joined)
     return every.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), "component_id")
