@@ -13,28 +13,45 @@ REJECT_BELOW = 0.5
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go (operator 9)."""
+    """Documents that the quality classifier rejects go (operator 9).
+
+    A null or empty text is scored as a document without words; rows with null keys are
+    scored like others, repeated rows alike. Without labels of both kinds all rows have one score,
+    the share of good ones (0.5 without labels), so all stay or all go. Columns stay as they are.
+    """
     model = queries.quality_model(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.score(docs, model, name="_quality").where(F.col("_quality") >= REJECT_BELOW).select(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each set of equal texts stays (operator 10)."""
+    """One row of each set of equal texts stays, the one with the largest doc_id (operator 10).
+
+    Null keys lose, of rows with the same key one stays; null and empty texts are equal. Columns stay as they are.
+    """
     return exact_dedup.distinct_texts(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays (operator 5)."""
+    """One document of each group of near copies stays, the one with the smallest doc_id (operator 5).
+
+    Null keys lose, of rows with the same key the first stays; texts without words all stay. Columns stay as they are.
+    """
     return jaccard.one_of_each(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources mixed to their target weights; a row per pass, cut to what the mix takes (operator 7)."""
+    """Sources mixed to their target weights; a row per pass, cut to what the mix takes (operator 7).
+
+    Rows without words go, null sources are one source; n_chars is that of the text as cut. Other columns stay as they are.
+    """
     return mixing.mixed_rows(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packed token sequences (operator 1)."""
+    """Packed token sequences (operator 1).
+
+    A null or empty text is its closing id alone; null keys pass through, repeated rows are packed as often as they occur.
+    """
     return queries.packed_pieces(docs)
 
 
