@@ -182,8 +182,6 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
                 line.append(ids), keys.append(k)
                 size += len(ids)
         yield from flush()
-        tokenizer.cache_clear()  # a worker outlives its task; the vocabulary loads in a fifth of a second
-        _slow.cache_clear()
 
     packed = mapped(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.spark_partition_id().alias("at")), run, f"doc_id {dict(docs.dtypes)[key]}, {SCHEMA}")
     return packed.withColumnRenamed("doc_id", key)

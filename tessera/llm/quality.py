@@ -19,13 +19,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tessera.llm.common import mapped
+from tessera.llm.common import mapped, written
 from tessera.llm.hashing import chunks, hash_runs
 
 #: Word buckets (hashed), vector length, neighbours on either side.
 BUCKETS, WIDTH, NEAR = 1 << 15, 32, 2
-#: Labelled documents that a model is fitted on: the bound of the driver's sample.
-MAX_TRAIN = 6_000
+#: Labelled documents that a model is fitted on, and bytes of their token ids (two each): the bounds of the driver's sample.
+MAX_TRAIN, MAX_BYTES = 6_000, 128 << 20
 #: Text bytes tokenised together, tokens pooled together.
 CHUNK, POOL = 1 << 19, 1 << 15
 
@@ -154,8 +154,8 @@ def _train(x: np.ndarray, y: np.ndarray, hidden: int = 32, steps: int = 400, rat
     return mean, scale, *params
 
 
-def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", max_train: int = MAX_TRAIN) -> Model:
-    """Fit on at most ``max_train`` labelled documents, chosen by a hash of the key.
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", max_train: int = MAX_TRAIN, max_bytes: int = MAX_BYTES) -> Model:
+    """Fit on at most ``max_train`` labelled documents, chosen by a hash of the key, and no more of them than ``max_bytes`` hold.
 
     Rows without key or label don't count; of repeated labels of one key the
     lowest holds. The sample's keys (bounded) are broadcast, and its token
@@ -165,11 +165,17 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     sample = named.orderBy(F.xxhash64("_k"), "_k").limit(max_train)
     one = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(sample), F.col("_key") == F.col("_k")).select("_key", F.col("_y").cast("int").alias("_y"), "_text")
     packed = lambda found: [np.float64(r).tobytes() + ids.tobytes() for ids, r in found]
-    rows = document_features(one, "_text", "f", "binary", packed).select("_key", "_y", "f").collect()
-    seen: dict = {}
-    for r in sorted(rows, key=lambda r: (r["_key"], r["f"])):  # repeated rows count once, in a fixed order
-        seen.setdefault(r["_key"], r)
-    rows = list(seen.values())
+    # rows of one key count once, in a fixed order, before they leave the executors
+    found = document_features(one, "_text", "f", "binary", packed).groupBy("_key", "_y").agg(F.min("f").alias("f"))
+    found = written(found.withColumn("at", F.xxhash64("_key")), "quality-sample")
+    last, size = (-(2**63), None), 0
+    for r in found.select("at", "_key", F.length("f").alias("n")).orderBy("at", "_key").collect():
+        size += r["n"]
+        if size > max_bytes:
+            break
+        last = r["at"], r["_key"]
+    within = (F.col("at") < last[0]) | ((F.col("at") == last[0]) & (F.col("_key") <= F.lit(last[1])))
+    rows = found.where(within).orderBy("_key").collect()
     y = np.array([r["_y"] for r in rows], np.float64)
     if len(rows) < 10 or y.min() == y.max():
         return Model(constant=float(y.mean()) if len(y) else 0.5)
