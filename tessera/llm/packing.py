@@ -126,7 +126,7 @@ def _pieces(ids: np.ndarray, starts: np.ndarray, keys: list, sequence: int, ends
     begin, end = bounds[:-1], bounds[1:]
     doc = np.searchsorted(starts, begin, side="right") - 1
     cut = np.searchsorted(cuts, begin, side="right") - 1
-    raw = memoryview(ids.astype("<u4").tobytes())
+    raw = ids.astype("<u4").tobytes()  # bytes, not a memoryview: an Arrow array made of views keeps their buffer for good
     tokens = np.diff(starts)
     rows = [
         [keys[d] for d in doc.tolist()], begin - starts[doc], end - begin, [raw[4 * a : 4 * b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)],
