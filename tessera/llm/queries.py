@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact_dedup, fingerprint, jaccard, lm_scoring, mixing, packing, quality, repeats, sharding, url_filter
+from tessera.llm import exact_dedup, fingerprint, jaccard, lm_scoring, mixing, packing, quality, repair, repeats, sharding, url_filter
 from tessera.llm.sql import ORACLES  # noqa: F401  registered beside the queries
 
 #: Rules of the URL query as (host, path, verdict).
@@ -79,6 +79,25 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with every way to break them: by the checksum of a row's key it goes, loses its text, its stops or its role, or stands twice."""
+    spaced = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    what = F.crc32(F.concat_ws(":", *spaced).cast("binary")) % 20
+    marked = rows.select("conv_id", "turn", F.coalesce("role", F.lit(" ")).alias("role"), F.coalesce("text", F.lit(" ")).alias("text"), what.alias("what")).where("what != 0")
+    text = F.when(F.col("what") == 1, "").when(F.col("what") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    copies = F.when(F.col("what") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return marked.select("conv_id", "turn", F.when(F.col("what") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"), F.explode(copies)).drop("col")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    found = repair.repair(damaged(rows))
+    every = rows.select(F.col("conv_id").cast("long").alias("conv")).distinct()
+    joined = repair.joined_on_conv(repair.joined_on_conv(every, found.summary), repair.repaired_digests(found.turns, found.audits))
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return joined.select(F.col("conv").alias("conv_id"), *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_lm_scoring, op3_fingerprint, op4_sharding, op5_jaccard_join, op6_url_filter, op7_mixing, op8_suffix_dedup, op9_quality, op10_exact_dedup)
+    f.__name__: f for f in (op1_packing, op2_lm_scoring, op3_fingerprint, op4_sharding, op5_jaccard_join, op6_url_filter, op7_mixing, op8_suffix_dedup, op9_quality, op10_exact_dedup, op13_conversation_repair)
 }

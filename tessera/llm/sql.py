@@ -148,4 +148,52 @@ SELECT doc_id, length(t)::BIGINT AS n_chars, ed.sha AS edited_sha256, own.print
 FROM d JOIN p own ON own.r = d.r AND own.e = 0 JOIN p ed ON ed.r = d.r AND ed.e = 1 JOIN near e ON e.r = d.r AND e.what = 'edited' JOIN near x ON x.r = d.r AND x.what = 'next'
 """
 
-ORACLES: dict[str, str] = {"op2_lm_scoring": _LM, "op4_sharding": _SHARDS, "op5_jaccard_join": _NEAR, "op3_fingerprint": _PRINTS, "op7_mixing": _MIX, "op8_suffix_dedup": _REPEATS, "op6_url_filter": _URL, "op10_exact_dedup": _DEDUP}
+_REPAIR = r"""
+WITH RECURSIVE slots(n, c, i) AS (
+  SELECT range, range, 0 FROM range(256) UNION ALL SELECT n, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i + 1 FROM slots WHERE i < 8
+), crc AS (SELECT list(c ORDER BY n) AS t FROM slots WHERE i = 8), k AS (
+  SELECT row_number() OVER () AS r, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    list_transform(regexp_extract_all(hex(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')), '..'), lambda b: ('0x' || b)::BIGINT) AS bytes FROM conversations
+), m AS (
+  SELECT r, conv_id, turn, role, text, xor(list_reduce(list_prepend(4294967295, bytes), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 20 AS what FROM k, crc
+), d AS (
+  SELECT conv_id, turn, CASE WHEN what = 4 THEN 'user' ELSE role END AS role, CASE WHEN what = 1 THEN '' WHEN what = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE WHEN what = 3 THEN [0, 1] ELSE [0] END) AS copy, r FROM m WHERE what <> 0
+), f AS (
+  SELECT conv_id, turn, role, text, row_number() OVER c AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, r, copy) AS seen, left(role, 1) AS initial,
+    lag(left(role, 1)) OVER c AS before, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS cut FROM d WINDOW c AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, r, copy)
+), o AS (
+  SELECT *, CASE WHEN cut = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate' WHEN right(cut, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'fine' END AS fault FROM f
+), every AS (SELECT DISTINCT conv_id FROM conversations), ins(p, k, mid) AS (
+  VALUES ('-', 0, '-'), ('-', 1, 'u'), ('-', 2, 'a'), ('-', 3, 'u'), ('s', 0, 's'), ('s', 1, 'u'), ('s', 2, 'a'), ('u', 0, 'u'), ('u', 1, 'a'), ('u', 2, 'u'), ('a', 0, 'a'), ('a', 1, 'u'), ('a', 2, 'a')
+), edit(mid, q, letter, price) AS (
+  SELECT s, s, 'D', 3 FROM (VALUES ('-'), ('s'), ('u'), ('a')) v(s) UNION ALL SELECT s, CASE WHEN s = 'u' THEN 'a' ELSE 'u' END, 'R', 2 FROM (VALUES ('-'), ('s'), ('u'), ('a')) v(s)
+  UNION ALL SELECT s, CASE WHEN s = 'u' THEN 'a' ELSE 'u' END, 'K', 0 FROM (VALUES ('-'), ('s'), ('u'), ('a')) v(s) UNION ALL SELECT '-', 's', 'K', 0
+), r(conv_id, i, q, cost, audit) AS (
+  SELECT conv_id, 0::BIGINT, '-', 0::BIGINT, '' FROM every UNION ALL
+  SELECT conv_id, i, q, cost, audit FROM (
+    SELECT r.conv_id, o.i, edit.q, r.cost + 2 * k + price + (fault = 'truncated' AND letter <> 'D')::BIGINT AS cost, r.audit || repeat('I', k) || letter AS audit
+    FROM r JOIN o ON o.conv_id IS NOT DISTINCT FROM r.conv_id AND o.i = r.i + 1 JOIN ins ON ins.p = r.q JOIN edit ON edit.mid = ins.mid
+    WHERE letter = 'D' OR fault NOT IN ('blank', 'duplicate') AND (letter = 'R' OR edit.q = initial)
+  ) QUALIFY row_number() OVER (PARTITION BY conv_id, q ORDER BY cost, audit) = 1
+), total AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM o GROUP BY conv_id
+), best AS (
+  SELECT r.conv_id, cost + 2 * length(tail) AS cost, audit || tail AS audit FROM (SELECT *, CASE q WHEN 's' THEN 'II' WHEN 'u' THEN 'I' ELSE '' END AS tail FROM r) r
+  JOIN total ON total.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = n QUALIFY row_number() OVER (PARTITION BY r.conv_id ORDER BY cost + 2 * length(tail), audit || tail) = 1
+), l AS (
+  SELECT conv_id, j, letter, count(*) FILTER (letter <> 'I') OVER w AS i, count(*) FILTER (letter <> 'D') OVER w - 1 AS place
+  FROM (SELECT conv_id, unnest(string_split(audit, '')) AS letter, unnest(range(length(audit))) AS j FROM best WHERE audit <> '') WINDOW w AS (PARTITION BY conv_id ORDER BY j)
+), x AS (
+  SELECT l.conv_id, j, letter, place, role, CASE WHEN letter = 'I' THEN '' ELSE text END AS text, bool_or(letter = 'K' AND place = 0 AND initial = 's') OVER (PARTITION BY l.conv_id) AS led
+  FROM l LEFT JOIN o ON o.conv_id IS NOT DISTINCT FROM l.conv_id AND o.i = l.i WHERE letter <> 'D'
+), h AS (
+  SELECT conv_id, sha256(string_agg(CASE WHEN letter = 'K' THEN role WHEN (place - led::INT) % 2 = 0 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY j)) AS sha FROM x GROUP BY conv_id
+)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+  coalesce(audit, '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM every e LEFT JOIN total t ON t.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN h ON h.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+ORACLES: dict[str, str] = {"op2_lm_scoring": _LM, "op4_sharding": _SHARDS, "op5_jaccard_join": _NEAR, "op3_fingerprint": _PRINTS, "op7_mixing": _MIX, "op8_suffix_dedup": _REPEATS, "op6_url_filter": _URL, "op10_exact_dedup": _DEDUP, "op13_conversation_repair": _REPAIR}
