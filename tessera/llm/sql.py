@@ -196,4 +196,27 @@ SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
 FROM every e LEFT JOIN total t ON t.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN h ON h.conv_id IS NOT DISTINCT FROM e.conv_id
 """
 
-ORACLES: dict[str, str] = {"op2_lm_scoring": _LM, "op4_sharding": _SHARDS, "op5_jaccard_join": _NEAR, "op3_fingerprint": _PRINTS, "op7_mixing": _MIX, "op8_suffix_dedup": _REPEATS, "op6_url_filter": _URL, "op10_exact_dedup": _DEDUP, "op13_conversation_repair": _REPAIR}
+_VARIANTS = r"""
+WITH RECURSIVE slots(n, c, i) AS (
+  SELECT range, range, 0 FROM range(256) UNION ALL SELECT n, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i + 1 FROM slots WHERE i < 8
+), crc AS (SELECT list(c ORDER BY n) AS t FROM slots WHERE i = 8), found AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents
+), once AS (SELECT doc_id, run, count(*) AS n FROM found WHERE length(run) >= 7 GROUP BY ALL), hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(coalesce(doc_id::VARCHAR, '') || ':' || run), '..'), lambda b: ('0x' || b)::BIGINT)),
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS h FROM once, crc
+), said AS (
+  SELECT CASE WHEN h % 31 = 0 THEN left(run, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, n FROM hashed
+), w AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM said WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2), skip AS MATERIALIZED (
+  SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM w)
+), near AS (
+  SELECT a.word, b.word AS other, b.n FROM skip a JOIN skip b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, w.word, w.n FROM skip a JOIN w ON a.rest = w.word UNION SELECT w.word, a.word, a.n FROM skip a JOIN w ON a.rest = w.word
+), best AS (SELECT word, count(*) AS n_near, max(n) AS top FROM near GROUP BY word), form AS (
+  SELECT near.word, min(other) AS form, any_value(near.n) AS form_n FROM near JOIN best ON best.word = near.word AND best.top = near.n JOIN w ON w.word = near.word WHERE near.n >= 10 * w.n GROUP BY near.word
+), chain(word, root) AS (SELECT word, form FROM form UNION ALL SELECT chain.word, form.form FROM chain JOIN form ON form.word = chain.root), last AS (
+  SELECT word, root FROM chain ANTI JOIN form ON form.word = chain.root
+)
+SELECT w.word, form, coalesce(root, w.word) AS root, w.n, coalesce(n_near, 0) AS n_near, form_n FROM w LEFT JOIN best USING (word) LEFT JOIN form USING (word) LEFT JOIN last USING (word)
+"""
+
+ORACLES: dict[str, str] = {"op2_lm_scoring": _LM, "op4_sharding": _SHARDS, "op5_jaccard_join": _NEAR, "op3_fingerprint": _PRINTS, "op7_mixing": _MIX, "op8_suffix_dedup": _REPEATS, "op6_url_filter": _URL, "op10_exact_dedup": _DEDUP, "op12_spelling_variants": _VARIANTS, "op13_conversation_repair": _REPAIR}
