@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact_dedup, fingerprint, jaccard, lm_scoring, mixing, packing, quality, repair, repeats, sharding, url_filter, variants
+from tessera.llm import exact_dedup, fingerprint, jaccard, lm_scoring, mixing, packing, quality, repair, repeats, sharding, top_k, url_filter, variants
 from tessera.llm.sql import ORACLES  # noqa: F401  registered beside the queries
 
 #: Rules of the URL query as (host, path, verdict).
@@ -79,6 +79,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op11_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.group_variants(variants.count_words(documents(spark, sf_dir)))
 
@@ -103,5 +107,5 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_lm_scoring, op3_fingerprint, op4_sharding, op5_jaccard_join, op6_url_filter, op7_mixing, op8_suffix_dedup, op9_quality, op10_exact_dedup, op12_spelling_variants, op13_conversation_repair)
+    f.__name__: f for f in (op1_packing, op2_lm_scoring, op3_fingerprint, op4_sharding, op5_jaccard_join, op6_url_filter, op7_mixing, op8_suffix_dedup, op9_quality, op10_exact_dedup, op11_top_k_search, op12_spelling_variants, op13_conversation_repair)
 }

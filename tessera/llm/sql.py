@@ -219,4 +219,12 @@ WITH RECURSIVE slots(n, c, i) AS (
 SELECT w.word, form, coalesce(root, w.word) AS root, w.n, coalesce(n_near, 0) AS n_near, form_n FROM w LEFT JOIN best USING (word) LEFT JOIN form USING (word) LEFT JOIN last USING (word)
 """
 
-ORACLES: dict[str, str] = {"op2_lm_scoring": _LM, "op4_sharding": _SHARDS, "op5_jaccard_join": _NEAR, "op3_fingerprint": _PRINTS, "op7_mixing": _MIX, "op8_suffix_dedup": _REPEATS, "op6_url_filter": _URL, "op10_exact_dedup": _DEDUP, "op12_spelling_variants": _VARIANTS, "op13_conversation_repair": _REPAIR}
+_TOP_K = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (SELECT q.r, q.vec_id AS query_id, v.r AS other, v.vec_id, list_inner_product(q.x, v.x)::BIGINT AS score FROM v q JOIN v ON q.r <> v.r WHERE q.vec_id % 100 = 0)
+SELECT query_id, row_number() OVER best::INTEGER AS rank, vec_id, score FROM s WINDOW best AS (PARTITION BY r ORDER BY score DESC, vec_id, other) QUALIFY row_number() OVER best <= 10
+"""
+
+ORACLES: dict[str, str] = {"op2_lm_scoring": _LM, "op4_sharding": _SHARDS, "op5_jaccard_join": _NEAR, "op3_fingerprint": _PRINTS, "op7_mixing": _MIX, "op8_suffix_dedup": _REPEATS, "op6_url_filter": _URL, "op10_exact_dedup": _DEDUP, "op11_top_k_search": _TOP_K, "op12_spelling_variants": _VARIANTS, "op13_conversation_repair": _REPAIR}
