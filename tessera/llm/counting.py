@@ -5,13 +5,19 @@ with their counts, packed and dealt by the top bits of the key (a hash), so a
 key that is everywhere costs one entry per block; a bucket adds up its keys and
 answers every block with the totals in the order the keys came in; the block's
 own rows travel beside the answers, compressed. Three kinds of rows, two
-shuffles, and no task holds more than a bucket or a block.
+shuffles.
+
+Buckets are as many as leave some KB in a packet, so the packets grow with the input
+and not faster. A bucket may be larger than memory: its sorted packets then go to a file of the
+task, and are added up one range of keys after the other.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 import struct
+import tempfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -38,14 +44,27 @@ _NAMES = ["kind", "part", "block", "data"]
 _TYPES = [pa.int32(), pa.int32(), pa.int64(), pa.binary()]
 
 
-#: Text bytes whose keys share a bucket.
-BUCKET_BYTES = 2 << 20
+#: Text bytes whose keys share a bucket, and the most buckets: a packet of a full block holds some KB.
+BUCKET_BYTES, MOST_BUCKETS = 2 << 20, 1 << 10
+#: Keys of a bucket that are added up in memory at once.
+BUCKET_KEYS = 2_000_000
+#: Text bytes of a task that settles blocks; tasks beyond the most of these take as many times more.
+TASK_BYTES, MANY_TASKS, LARGER = 8 << 20, 2_000, 16
+
+
+def size_of(rows: DataFrame) -> int:
+    """Bytes of the data of ``rows`` (an id and the data)."""
+    return rows.toDF("id", "data").agg(F.sum(F.octet_length("data"))).first()[0] or 0
+
 
+def buckets_for(size: int) -> int:
+    """A power of two that grows with the bytes of the data, whatever the session's settings are."""
+    return min(MOST_BUCKETS, 1 << max(6, (size // BUCKET_BYTES).bit_length()))
 
-def buckets_for(rows: DataFrame) -> int:
-    """A power of two that grows with the bytes of ``rows`` (an id and the data), whatever the session's settings are."""
-    size = rows.toDF("id", "data").agg(F.sum(F.octet_length("data"))).first()[0] or 0
-    return 1 << max(6, (size // BUCKET_BYTES).bit_length())
+
+def tasks_for(size: int) -> int:
+    tasks = size // TASK_BYTES
+    return max(16, min(tasks, MANY_TASKS) + max(0, tasks - MANY_TASKS) // LARGER)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[int, list, np.ndarray, np.ndarray]]:
@@ -101,21 +120,17 @@ def unpack_counts(data: memoryview) -> np.ndarray:
     return counts
 
 
-def _pack_keys(keys: np.ndarray) -> bytes:
-    """The lower 48 bits of sorted keys: with the bucket's bits, 54 or more tell keys apart, growing with the buckets.
-
-    Steps between neighbours, byte plane by byte plane, so that the upper planes compress.
-    """
-    low = keys & np.uint64((1 << 48) - 1)
-    steps = np.diff(low, prepend=np.uint64(0)).astype("<u8")
-    return steps.view(np.uint8).reshape(-1, 8)[:, :6].T.tobytes()
+def _pack_keys(keys: np.ndarray, base: np.uint64) -> bytes:
+    """Sorted keys of a bucket that starts at ``base``: steps between neighbours, byte plane by byte plane, so that the upper planes compress."""
+    steps = np.diff(keys, prepend=base).astype("<u8")
+    return steps.view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
-def _unpack_keys(data: bytes | memoryview) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(6, -1)
-    out = np.zeros((planes.shape[1], 8), np.uint8)
-    out[:, :6] = planes.T
-    return np.cumsum(out.view("<u8").ravel(), dtype=np.uint64)
+def _unpack_keys(data: bytes | memoryview, base: np.uint64) -> np.ndarray:
+    steps = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<u8").ravel().astype(np.uint64)
+    if len(steps):
+        steps[0] += base
+    return np.cumsum(steps, dtype=np.uint64)
 
 
 def _squeeze(data: bytes) -> bytes:
@@ -127,10 +142,71 @@ def _expand(cell: pa.Scalar) -> memoryview:
     return memoryview(pa.decompress(pa.py_buffer(data[4:]), struct.unpack_from("<I", data)[0], codec="zstd", asbytes=True))
 
 
-def shorten(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Keys as the tables hold them: the bucket's bits on top of 48 others, in the top bits' order."""
-    bits = np.uint64(buckets.bit_length() - 1)
-    return ((keys >> (np.uint64(64) - bits)) << np.uint64(48)) | (keys & np.uint64((1 << 48) - 1))
+def _shift(buckets: int) -> np.uint64:
+    return np.uint64(64 - (buckets.bit_length() - 1))
+
+
+def _totals(keys: np.ndarray, counts: np.ndarray, minimum: int) -> np.ndarray:
+    """For each key the sum of the counts of its equals; those under ``minimum`` as 0."""
+    rank = np.argsort(keys, kind="stable")
+    ordered = keys[rank]
+    first = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+    total = np.add.reduceat(counts[rank], np.flatnonzero(first))
+    total[total < minimum] = 0
+    answer = np.empty(len(keys), np.int64)
+    answer[rank] = total[np.cumsum(first) - 1]
+    return answer
+
+
+class Bucket:
+    """Sorted keys and counts of one bucket's packets; from ``limit`` keys on in a file that goes with the task."""
+
+    def __init__(self, limit: int):
+        self.limit, self.sizes, self.held, self.waiting, self.file = limit, [], [], 0, None
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self.sizes.append(len(keys))
+        self.held.append((keys, counts))
+        self.waiting += len(keys)
+        if self.waiting > self.limit:
+            self._spill()
+
+    def _spill(self) -> None:
+        if self.file is None:
+            self.file = tempfile.TemporaryFile(prefix="tessera-bucket-")
+        for keys, counts in self.held:
+            self.file.write(np.stack([keys, counts.astype(np.uint64)], axis=1).tobytes())
+        self.held, self.waiting = [], 0
+
+    def answers(self, minimum: int) -> Iterator[np.ndarray]:
+        """The totals of each packet's keys, packet by packet."""
+        ends = np.cumsum(self.sizes)
+        if self.file is None:
+            if self.held:
+                found = _totals(*(np.concatenate(c) for c in zip(*self.held, strict=True)), minimum)
+                yield from (found[e - n : e] for e, n in zip(ends, self.sizes, strict=True))
+            return
+        self._spill()
+        self.file.flush()
+        rows = np.memmap(self.file, np.uint64, "r+", shape=(int(ends[-1]), 2))
+        reach = max(int(rows[e - 1, 0]) for e, n in zip(ends, self.sizes, strict=True) if n)
+        least = min(int(rows[e - n, 0]) for e, n in zip(ends, self.sizes, strict=True) if n)
+        parts = -(-int(ends[-1]) // self.limit)
+        at = [e - n for e, n in zip(ends, self.sizes, strict=True)]
+        for part in range(1, parts + 1):  # keys are hashes, so equal ranges hold about as many
+            edge = least + (reach - least + 1) * part // parts
+            upto = [a + int(np.searchsorted(rows[a:e, 0], np.uint64(min(edge, reach)), "right" if edge > reach else "left")) for a, e in zip(at, ends, strict=True)]
+            own = [slice(a, b) for a, b in zip(at, upto, strict=True) if b > a]
+            if own:
+                found = _totals(np.concatenate([rows[x, 0] for x in own]), np.concatenate([rows[x, 1] for x in own]).astype(np.int64), minimum)
+                begin = 0
+                for x in own:
+                    rows[x, 1] = found[begin : begin + x.stop - x.start].astype(np.uint64)
+                    begin += x.stop - x.start
+            at = upto
+        yield from (rows[e - n : e, 1].astype(np.int64) for e, n in zip(ends, self.sizes, strict=True))
+        del rows
+        self.file.close()
 
 
 def _checksum(data: np.ndarray, offsets: np.ndarray) -> bytes:
@@ -141,56 +217,55 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _TYPES, strict=True)], names=_NAMES)
 
 
-def count_and_finish(rows: DataFrame, keys_of: KeysOf, finish: Finish, schema: str, types: list[pa.DataType], buckets: int, minimum: int = 1, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def count_and_finish(rows: DataFrame, keys_of: KeysOf, finish: Finish, schema: str, types: list[pa.DataType], buckets: int | None = None, minimum: int = 1, block_bytes: int = BLOCK_BYTES, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
     """Run ``finish`` on every block with the corpus totals of the block's keys.
 
     ``rows``: an id (long) and a string or binary column, in the same order each time they
     are read (files or a written table; a block whose rows differ between the two reads
-    fails the job). ``keys_of`` gives 64-bit hashes; keys are shortened, see
-    ``shorten``, for ``buckets`` (from ``buckets_for``) before ``finish`` sees them. Totals
-    under ``minimum`` are answered as 0.
+    fails the job). ``keys_of`` gives 64-bit hashes, all of whose bits count. ``buckets``: a power of
+    two, ``buckets_for`` the bytes of the rows if not given. Totals under ``minimum`` are answered as 0.
     """
+    size = size_of(rows)
+    buckets = buckets or buckets_for(size)
     rows = rows.toDF("id", "data").withColumn("of", F.spark_partition_id())
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, _, data, offsets in _blocks(batches, block_bytes):
             yield _batch([(CHECK, block % buckets, block, _checksum(data, offsets))])
             for order, keys in enumerate(keys_of(data, offsets)):
-                own, counts = distinct(shorten(keys, buckets))
-                edge = np.searchsorted(own, np.arange(buckets + 1, dtype=np.uint64) << np.uint64(48)) if len(own) else np.zeros(buckets + 1, int)
+                own, counts = distinct(keys)
+                of = (own >> _shift(buckets)).astype(np.int64)
+                begin = np.flatnonzero(np.diff(of, prepend=-1))
                 out = []
-                for b in range(buckets):
-                    if edge[b + 1] > edge[b]:
-                        part = slice(edge[b], edge[b + 1])
-                        packed = pack_counts(counts[part])
-                        out.append((order, b, block, _squeeze(packed + _pack_keys(own[part]))))
+                for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(own)], strict=True):
+                    packed = pack_counts(counts[a:b]) + _pack_keys(own[a:b], np.uint64(of[a]) << _shift(buckets))
+                    out.append((order, int(of[a]), block, _squeeze(packed)))
                 if out:
                     yield _batch(out)
 
-    def add_up(table: pa.Table) -> pa.Table:
-        """All blocks' keys of one order and bucket; the totals go back in each block's order."""
-        order, bucket = table.column("kind")[0].as_py(), table.column("part")[0].as_py()
-        if order == CHECK:
-            return table
-        keys, counts, sizes = [], [], []
-        for cell in table.column("data"):
-            view = _expand(cell)
-            n = struct.unpack_from("<I", view)[0]
-            keys.append(_unpack_keys(view[len(view) - 6 * n :]))
-            counts.append(unpack_counts(view[: len(view) - 6 * n]))
-            sizes.append(n)
-        every, weight = np.concatenate(keys), np.concatenate(counts)
-        rank = np.argsort(every, kind="stable")
-        ordered = every[rank]
-        first = np.concatenate([[True], ordered[1:] != ordered[:-1]])
-        total = np.add.reduceat(weight[rank], np.flatnonzero(first))
-        total[total < minimum] = 0
-        answer = np.empty(len(every), np.int64)
-        answer[rank] = total[np.cumsum(first) - 1]
-        ends = np.cumsum(sizes)
-        out = [_squeeze(pack_counts(answer[e - n : e])) for e, n in zip(ends, sizes, strict=True)]
-        blocks = table.column("block").to_pylist()
-        return pa.Table.from_arrays([pa.array([order] * len(out), pa.int32()), pa.array([bucket] * len(out), pa.int32()), pa.array(blocks, pa.int64()), pa.array(out, pa.binary())], names=_NAMES)
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The totals of each order and bucket go back in each block's order; checksums pass."""
+        cells = (cell for batch in batches for cell in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3), strict=True))
+        for (order, part), packets in itertools.groupby(cells, lambda cell: cell[:2]):
+            if order == CHECK:
+                yield from (_batch([(order, part, block, data.as_py())]) for _, _, block, data in packets)
+                continue
+            bucket, blocks = Bucket(bucket_keys), []
+            base = np.uint64(part) << _shift(buckets)
+            for _, _, block, data in packets:
+                view = _expand(data)
+                n = struct.unpack_from("<I", view)[0]
+                bucket.add(_unpack_keys(view[len(view) - 8 * n :], base), unpack_counts(view[: len(view) - 8 * n]))
+                blocks.append(block)
+            out, held = [], 0
+            for block, totals in zip(blocks, bucket.answers(minimum), strict=True):
+                out.append((order, part, block, _squeeze(pack_counts(totals))))
+                held += len(out[-1][3])
+                if held > 1 << 20:
+                    yield _batch(out)
+                    out, held = [], 0
+            if out:
+                yield _batch(out)
 
     def own_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, ids, data, offsets in _blocks(batches, block_bytes):
@@ -219,7 +294,7 @@ def count_and_finish(rows: DataFrame, keys_of: KeysOf, finish: Finish, schema: s
                 totals.setdefault(kind, []).append((parts[i], unpack_counts(_expand(data[i]))))
         tables = []
         for order, keys in enumerate(keys_of(text, offsets)):
-            own = distinct(shorten(keys, buckets))[0]
+            own = distinct(keys)[0]
             counts = np.concatenate([c for _, c in sorted(totals.get(order, []), key=lambda x: x[0])] or [np.zeros(0, np.int64)])
             if len(own) != len(counts):
                 raise RuntimeError(CHANGED)
@@ -229,6 +304,6 @@ def count_and_finish(rows: DataFrame, keys_of: KeysOf, finish: Finish, schema: s
         release()
         return out
 
-    tasks = buckets // 4
-    answers = mapped(rows, send, _PACKED).repartition(tasks, "kind", "part").groupBy("kind", "part").applyInArrow(add_up, _PACKED)
-    return answers.unionByName(mapped(rows, own_rows, _PACKED)).repartition(tasks, "block").groupBy("block").applyInArrow(settle, schema)
+    tasks = tasks_for(size)
+    sent = mapped(rows, send, _PACKED).repartition(min(tasks, 3 * buckets), "kind", "part").sortWithinPartitions("kind", "part", "block")
+    return mapped(sent, add_up, _PACKED).unionByName(mapped(rows, own_rows, _PACKED)).repartition(tasks, "block").groupBy("block").applyInArrow(settle, schema)

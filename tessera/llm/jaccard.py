@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import mapped, written
 from tessera.llm.components import components
-from tessera.llm.counting import buckets_for, count_and_finish, shorten
+from tessera.llm.counting import count_and_finish
 from tessera.llm.hashing import CHUNK, LOWER, grams, mix, words
 
 #: Shingle length in words, and the threshold in percent.
@@ -66,7 +66,6 @@ def possible_rows(docs: DataFrame, key: str, text: str, size: int, percent: int)
     sets keeps them.
     """
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("data"))
-    buckets = buckets_for(rows)
 
     def keys_of(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         sets = shingle_sets(data, offsets, size)
@@ -79,7 +78,7 @@ def possible_rows(docs: DataFrame, key: str, text: str, size: int, percent: int)
         sigs, kept, sizes, seen = [], [], [], set()
         for shingles in shingle_sets(data, offsets, size):
             n = len(shingles)
-            mine = shorten(shingles[_sampled(shingles)], buckets)
+            mine = shingles[_sampled(shingles)]
             at = np.searchsorted(alone, mine)
             lonely = int((alone[np.minimum(at, len(alone) - 1)] == mine).sum()) if len(alone) and len(mine) else 0
             sizes.append(n)
@@ -93,7 +92,7 @@ def possible_rows(docs: DataFrame, key: str, text: str, size: int, percent: int)
             seen.add(sig)
         return [ids, sizes, sigs, kept]
 
-    return count_and_finish(rows, keys_of, finish, "id long, n long, sig binary, data binary", [pa.int64(), pa.int64(), pa.binary(), pa.binary()], buckets)
+    return count_and_finish(rows, keys_of, finish, "id long, n long, sig binary, data binary", [pa.int64(), pa.int64(), pa.binary(), pa.binary()])
 
 
 #: Bits of a set's parity bitmap: each shingle flips one bit, so two sets differ in at least the bits that differ.
@@ -113,7 +112,6 @@ def prefixes(classes: DataFrame, percent: int) -> DataFrame:
     are the prefix's others; ``bits`` is the parity bitmap.
     """
     rows = classes.select(F.lit(0).cast("long").alias("id"), F.concat("sig", "data").alias("data"))
-    buckets = buckets_for(rows)
 
     def sets_of(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         return [data[a + 16 : b].view(np.uint64) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
@@ -126,7 +124,7 @@ def prefixes(classes: DataFrame, percent: int) -> DataFrame:
         out: list[list] = [[], [], [], [], []]
         for i, shingles in enumerate(sets_of(data, offsets)):
             n = len(shingles)
-            often = totals[np.searchsorted(own, shorten(shingles, buckets))]
+            often = totals[np.searchsorted(own, shingles)]
             first = np.lexsort((shingles, often))[: spare(n, percent) + 1]
             lead = int((often == 1).sum())
             if lead < len(first):
@@ -136,7 +134,7 @@ def prefixes(classes: DataFrame, percent: int) -> DataFrame:
         return out
 
     longs = pa.list_(pa.int64())
-    return count_and_finish(rows, keys_of, finish, "sig binary, n long, lead long, tokens array<bigint>, bits array<bigint>", [pa.binary(), pa.int64(), pa.int64(), longs, longs], buckets)
+    return count_and_finish(rows, keys_of, finish, "sig binary, n long, lead long, tokens array<bigint>, bits array<bigint>", [pa.binary(), pa.int64(), pa.int64(), longs, longs])
 
 
 def verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:

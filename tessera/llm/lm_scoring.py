@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.counting import buckets_for, count_and_finish, shorten
+from tessera.llm.counting import count_and_finish
 from tessera.llm.hashing import CHUNK, grams, words
 
 #: Fixed value: the published backoff factor.
@@ -57,7 +57,6 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", or
     for others). Other columns are not read.
     """
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("data"))
-    buckets = buckets_for(rows)
 
     def keys_of(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         return _grams_of(data, offsets, order)[0]
@@ -68,7 +67,7 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", or
         count = np.zeros((order + 1, n))  # of the n-gram that ends at each word; 0 where there is none
         for k in range(order + 1):
             own, totals = tables[k]
-            count[k, last[k]] = totals[np.searchsorted(own, shorten(keys[k], buckets))]
+            count[k, last[k]] = totals[np.searchsorted(own, keys[k])]
         score = np.log(np.maximum(count[1], 1)) - np.log(np.maximum(count[0], 1))
         for k in range(2, order + 1):
             context = np.concatenate([np.zeros(1), count[k - 1, :-1]]) if n else count[k - 1]
@@ -83,5 +82,5 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", or
         per = np.where(np.diff(at) > 0, per, 0.0)
         return [ids, np.diff(at), per]
 
-    scored = count_and_finish(rows, keys_of, finish, "id long, n_words long, log_score double", [pa.int64(), pa.int64(), pa.float64()], buckets)
+    scored = count_and_finish(rows, keys_of, finish, "id long, n_words long, log_score double", [pa.int64(), pa.int64(), pa.float64()])
     return scored.withColumnRenamed("id", key)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import mapped, utf8, written
-from tessera.llm.counting import buckets_for, count_and_finish, shorten
+from tessera.llm.counting import count_and_finish
 from tessera.llm.hashing import mix
 from tessera.llm.induced import MEMORY, repeated_starts
 
@@ -111,7 +111,6 @@ def anchors(data: np.ndarray, offsets: np.ndarray, depth: int) -> tuple[np.ndarr
 
 def _candidates(rows: DataFrame, depth: int, common: int) -> DataFrame:
     """All runs under repeated anchors: ``anchor``, ``pid`` (digest of anchor and piece), ``piece``, ``n`` places, the distinct places (``texts``, ``starts``)."""
-    buckets = buckets_for(rows)
     schema = "anchor long, pid binary, piece binary, n long, texts array<binary>, starts array<bigint>"
     types = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int64())]
 
@@ -128,7 +127,7 @@ def _candidates(rows: DataFrame, depth: int, common: int) -> DataFrame:
     def finish(ids: list, data: np.ndarray, offsets: np.ndarray, tables: list) -> list[list]:
         first, last, keys = anchors(data, offsets, depth)
         own, totals = tables[0]
-        often = totals[np.searchsorted(own, shorten(keys, buckets))] if len(keys) else keys
+        often = totals[np.searchsorted(own, keys)] if len(keys) else keys
         pieces: dict[tuple[int, bytes], dict] = {}
         many: set[tuple] = set()
         digests: dict[int, bytes] = {}
@@ -159,18 +158,18 @@ def _candidates(rows: DataFrame, depth: int, common: int) -> DataFrame:
                 continue
             anchor, start = data[a : a + 16].tobytes()[:8], int.from_bytes(data[a + 8 : a + 16].tobytes(), "big")
             text = data[a + 16 : a + HEAD].tobytes()
-            twice = totals[np.searchsorted(own, shorten(gram_hashes(data[a + HEAD : b], depth), buckets))] >= 2
+            twice = totals[np.searchsorted(own, gram_hashes(data[a + HEAD : b], depth))] >= 2
             edge = np.flatnonzero(np.diff(np.concatenate([[0], twice.astype(np.int8), [0]])))
             for x, y in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
                 places = pieces.setdefault((int.from_bytes(anchor, "big"), data[a + HEAD + x : a + HEAD - 1 + y + depth].tobytes()), {})
                 places[text, start + x] = 1
         return listed(pieces)
 
-    found = written(count_and_finish(rows, lambda data, offsets: [anchors(data, offsets, depth)[2]], finish, schema + ", role int", [*types, pa.int32()], buckets), "pieces")
+    found = written(count_and_finish(rows, lambda data, offsets: [anchors(data, offsets, depth)[2]], finish, schema + ", role int", [*types, pa.int32()]), "pieces")
     alone = F.col("role") == 1
     head = F.concat(*[F.unhex(F.lpad(F.hex(x), 16, "0")) for x in (F.col("anchor"), F.col("starts")[0])], F.col("texts")[0])
     again = found.where("role > 0").select(F.when(alone, 0).otherwise(-1).cast("long").alias("id"), F.concat(F.when(alone, head).otherwise(F.lit(bytes(HEAD))), "piece").alias("data"))
-    return found.where(~alone).drop("role").unionByName(written(count_and_finish(again, counted, repeated, schema, types, buckets), "pieces"))
+    return found.where(~alone).drop("role").unionByName(written(count_and_finish(again, counted, repeated, schema, types), "pieces"))
 
 
 class _Shard:
