@@ -7,6 +7,7 @@ import functools
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -43,13 +44,29 @@ def _own_folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/tessera/{spark.sparkContext.applicationId}"
 
 
+#: The part of an application that intermediate tables are written for, by application.
+_part: dict[str, str] = {}
+
+
+@contextmanager
+def part_of_run(spark: SparkSession, name: str) -> Iterator[None]:
+    """Tables written within belong to this part, and ``drop_written`` can delete them apart from others."""
+    application = spark.sparkContext.applicationId
+    before = _part.get(application, "")
+    _part[application] = f"{name}/"
+    try:
+        yield
+    finally:
+        _part[application] = before
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{_part.get(spark.sparkContext.applicationId, '')}{name}-{uuid.uuid4().hex}"
 
 
-def drop_written(spark: SparkSession) -> None:
-    """Delete every intermediate table of this application; results still unread must be written first."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+def drop_written(spark: SparkSession, part: str = "") -> None:
+    """Delete the intermediate tables of this application, or of one part; results still unread must be written first."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{_own_folder(spark)}/{part}".rstrip("/"))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

@@ -1,7 +1,9 @@
+import os
+
 import pytest
 
 import corpus_pipeline
-from tessera.llm import queries
+from tessera.llm import common, queries
 from tessera.llm.common import written
 from tests.llm.tables import documents, empty
 
@@ -44,14 +46,17 @@ def test_awkward_and_empty_documents(spark, tmp_path, rows):
 
 
 def test_run_gives_the_last_stage(spark):
+    common.drop_written(spark)
     out = corpus_pipeline.run(spark, SF)
     assert {"doc_id", "ids_crc32", "sequence_id"} <= set(out.columns) and out.count() > 0
+    folder = common._own_folder(spark).removeprefix("file:").replace("//", "/")
+    assert [n[-2:] for n in os.listdir(folder)] == ["-3"]  # earlier stages' tables went when the next one's were written
 
 
 def test_registered_names():
     import __spark_entry__
 
     names = set(__spark_entry__.queries())
-    assert {f"op{n}_" for n in range(1, 11)} == {x[: x.index("_") + 1] for x in names if x.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} == {x[: x.index("_") + 1] for x in names if x.startswith("op")}
     assert "pipeline" in names and set(queries.ORACLES) <= names
     assert set(__spark_entry__.oracle_sql()) <= names
