@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import exact_dedup, jaccard, mixing, quality, queries
-from tessera.llm.common import written
+from tessera.llm.common import drop_written, part_of_run, written
 
 #: Documents under this probability of being good are rejected: unsure ones stay.
 REJECT_BELOW = 0.5
@@ -62,10 +64,20 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``.
+
+    A stage's tables are deleted once the next stage's result is written; the last ones stay
+    until ``drop_written``, because the result still reads them.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before, this = None, uuid.uuid4().hex
     for n, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if n + 1 < len(STAGES):
-            docs = written(docs, name.replace(" ", "-"))
+        part = f"run-{this}-{n}"
+        with part_of_run(spark, part):
+            docs = stage(spark, docs, sf_dir)
+            if n + 1 < len(STAGES):
+                docs = written(docs, name.replace(" ", "-"))
+                if before:
+                    drop_written(spark, before)
+                before = part
     return docs
