@@ -17,11 +17,12 @@ from pyspark.sql import functions as F
 
 from tessera.functions import geometry
 from tessera.functions.params import RunParams
-from tessera.operators import project, resample
+from tessera.operators import resample
 from tessera.plans import pipeline
 from tessera.plans.catalogue import ANGLE, DX, DZ, LINES, ORACLES, SIZE, VC, VE, query, shear_sql, view_of
+from tessera.session import ship
 from tessera.sinks import archive, tiff, zarr
-from tessera.sources import blocks, discover, tables
+from tessera.sources import blocks, datasource, discover, tables
 from tessera.sources import tiff as tiff_source
 from tessera.sources import zarr as zarr_source
 
@@ -31,6 +32,8 @@ PARAMS = {"dx": DX, "dz": DZ, "angle": ANGLE}
 
 def scratch(spark: SparkSession) -> Path:
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     base = Path(urlparse(named).path) if named else Path(tempfile.gettempdir())
     folder = base / "tessera-files" / spark.sparkContext.applicationId / uuid.uuid4().hex
     folder.mkdir(parents=True)
@@ -190,9 +193,98 @@ def single_slice_bypass(spark, sf_dir):
     return resample.top_view_volume(one, geometry.top_view((1, tables.PLANE_ROWS, tables.WIDTH), DX, DZ, ANGLE), bypass_single=True)
 
 
-@query(f"WITH {LINES} SELECT z, y, x, v FROM vl WHERE x < 48")
+@query(f"WITH {LINES} SELECT z, y, x, v FROM vl")
 def sparse_zarr_round_trip(spark, sf_dir):
-    """Lossless without a compressor, from a raster of another table."""
+    """Lossless without a compressor, from a raster of another table; chunks of nothing but zeros are left out and come back."""
     path, shape = str(scratch(spark) / "lines.ome.zarr"), (7, 64, 64)
-    zarr.write_zarr(blocks.from_voxels(tables.lineitem_volume(spark, sf_dir), shape, (1, 64, 64), "<f4"), path, shape, "<f4", "lines", 1, None)
-    return project.trim(blocks.to_voxels(zarr_source.read_zarr(spark, path)), (7, 64, 64), (0, 0, 0)).where("x < 48")
+    zarr.write_zarr(blocks.from_voxels(tables.lineitem_volume(spark, sf_dir), shape, (1, 64, 64), "<f4"), path, shape, "<f4", "lines", 1, None, empty="skip")
+    return blocks.to_voxels(zarr_source.read_zarr(spark, path))
+
+
+def _half_written(spark: SparkSession, sf_dir: str) -> str:
+    """Every other chunk is written; the declared fill value is 7."""
+    path = str(scratch(spark) / "half.ome.zarr")
+    planes, shape = _planes(spark, sf_dir)
+    zarr.write_zarr(planes.where("z0 div 16 % 2 = 0"), path, shape, "<u2", "half", 1, fill="7")
+    for k in range(1, -(-shape[0] // 16), 2):
+        for chunk in Path(path, "0").glob(f"{k}.*"):
+            raise RuntimeError(f"{chunk} should be absent")
+    return path
+
+
+@query(f"WITH {VE} SELECT z, y, x, CASE WHEN z // 16 % 2 = 0 THEN v ELSE 7.0::DOUBLE END AS v FROM ve")
+def zarr_absent_chunks(spark, sf_dir):
+    """Chunks that were never written hold the fill value, the last ones too."""
+    return blocks.to_voxels(zarr_source.read_zarr(spark, _half_written(spark, sf_dir)))
+
+
+@query(f"WITH {VE} SELECT z, y, x, CASE WHEN z // 16 % 2 = 0 THEN v ELSE 7.0::DOUBLE END AS v FROM ve")
+def omezarr_absent_chunks(spark, sf_dir):
+    """The same through the data source, planned by bytes."""
+    path = _half_written(spark, sf_dir)
+    datasource.register(ship(spark))
+    return blocks.to_voxels(spark.read.format("omezarr").option("partition_bytes", 1 << 16).load(path))
+
+
+@query(VOXELS)
+def omezarr_round_trip(spark, sf_dir):
+    """Written by ``df.write.format`` and read by ``spark.read.format``."""
+    path = str(scratch(spark) / "source.ome.zarr")
+    planes, shape = _planes(spark, sf_dir)
+    datasource.register(ship(spark))
+    chunks = blocks.rechunk(planes, shape, geometry.default_chunks(shape))
+    chunks.write.format("omezarr").option("shape", ",".join(map(str, shape))).option("missing", "error").mode("append").save(path)
+    return blocks.to_voxels(spark.read.format("omezarr").load(path))
+
+
+@query(f"WITH {VE} SELECT z, y, x, v FROM ve WHERE z >= 5 AND z < 9")
+def voltiff_pruned(spark, sf_dir):
+    """A TIFF through the data source; the filter on z0 leaves four pages to plan."""
+    path = _tiff(spark, sf_dir)
+    datasource.register(ship(spark))
+    return blocks.to_voxels(spark.read.format("voltiff").load(path).where("z0 >= 5 AND z0 < 9"))
+
+
+def _encoded(spark: SparkSession, sf_dir: str, value: str, dtype: str, *encoding) -> DataFrame:
+    """The embedding volume's ``value`` through a TIFF of an encoding."""
+    shape = tables.embedding_shape(spark, sf_dir)
+    planes = blocks.from_voxels(tables.embedding_volume(spark, sf_dir).withColumn("v", F.expr(value)), shape, (1, *shape[1:]), dtype)
+    path = str(scratch(spark) / "encoded.tif")
+    tiff.write_tiff(planes, path, *encoding)
+    return blocks.to_voxels(tiff_source.read_tiff(spark, path))
+
+
+@query(VOXELS)
+def tiff_deflate_round_trip(spark, sf_dir):
+    """Compressed BigTIFF with differences of values: pages of unlike lengths."""
+    return _encoded(spark, sf_dir, "v", "<u2", "deflate", 2)
+
+
+@query(f"WITH {VE} SELECT z, y, x, v + 0.5::DOUBLE AS v FROM ve")
+def tiff_float_predictor(spark, sf_dir):
+    """float32 with the predictor of floats' byte planes, in zstd."""
+    return _encoded(spark, sf_dir, "v + 0.5D", "<f4", "zstd", 3)
+
+
+@query(f"WITH {VE} SELECT z, y, x, (v::BIGINT % 4096)::DOUBLE AS v FROM ve")
+def tiff_12_bits(spark, sf_dir):
+    return _encoded(spark, sf_dir, "v % 4096", "<u2", "none", 1, 12)
+
+
+@query(f"WITH {VE} SELECT z, y, x, (v::BIGINT % 16)::DOUBLE AS v FROM ve")
+def tiff_4_bits(spark, sf_dir):
+    return _encoded(spark, sf_dir, "v % 16", "<u1", "deflate", 1, 4)
+
+
+@query(f"WITH {VE} SELECT z, y, x, (v::BIGINT % 2)::DOUBLE AS v FROM ve")
+def tiff_1_bit(spark, sf_dir):
+    return _encoded(spark, sf_dir, "v % 2", "<u1", "zstd", 1, 1)
+
+
+@query(VOXELS)
+def tiff_sample_planes(spark, sf_dir):
+    """A volume as one page whose samples stand in separate planes."""
+    planes, shape = _planes(spark, sf_dir)
+    path = str(scratch(spark) / "samples.tif")
+    tiff.write_sample_planes(planes, path, shape)
+    return blocks.to_voxels(tiff_source.read_tiff(spark, path))

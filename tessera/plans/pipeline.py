@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import geometry, names
-from tessera.functions.params import RunParams, index_triple
+from tessera.functions.params import EXPORT_FORMATS, RunParams, index_triple
 from tessera.operators import block_resample, compare
 from tessera.session import ship
 from tessera.sinks import archive, tiff
@@ -21,14 +21,6 @@ from tessera.sources import blocks, discover
 from tessera.sources import zarr as zarr_source
 
 
-def shape_of(volume: DataFrame) -> tuple[int, int, int]:
-    """Axis lengths of a volume in block form, from the blocks' headers."""
-    r = volume.agg(*[F.max(F.col(f"{a}0") + F.col(f"n{a}")).alias(a) for a in "zyx"]).first()
-    if r["z"] is None:
-        raise ValueError("the volume has no blocks")
-    return int(r["z"]), int(r["y"]), int(r["x"])
-
-
 def stage(spark: SparkSession, source: str, folder: str, overwrite: bool = False) -> str:
     """Normalise one input of any kind to a Zarr group in ``folder``; returns its path.
 
@@ -47,9 +39,8 @@ def stage(spark: SparkSession, source: str, folder: str, overwrite: bool = False
     if discover.kind_of(source) == "zarr":
         return discover.copy_group(spark, source, str(target))
     volume = discover.read(spark, source)
-    shape = shape_of(volume)
     dtype = volume.select("dtype").first()[0]
-    zarr_sink.write_zarr(blocks.planes(volume, shape), str(target), shape, dtype, stem)
+    zarr_sink.write_zarr(volume, str(target), discover.shape(spark, source), dtype, stem)
     return str(target)
 
 
@@ -60,7 +51,7 @@ def resample(spark: SparkSession, source: str, folder: str, params: RunParams) -
     """
     ship(spark)
     volume = discover.read(spark, source)
-    shape = shape_of(volume)
+    shape = discover.shape(spark, source)
     planes = blocks.planes(volume, shape)
     name = Path(source).name
     is_zarr = name.lower().endswith(".ome.zarr")
@@ -69,7 +60,7 @@ def resample(spark: SparkSession, source: str, folder: str, params: RunParams) -
     if params.geometry == "affine":
         record = geometry.affine(shape, params.dx, params.dz, params.angle, params.flip, params.affine_rotate)
         slabs = block_resample.affine_blocks(planes, record, params.output_type)
-        out, size = blocks.planes(slabs, record.shape), record.shape
+        out, size = slabs, record.shape
         dtype = "<f4" if params.output_type == "float32" else "<u2"
     else:
         view = geometry.top_view(shape, params.dx, params.dz, params.angle, params.flip)
@@ -91,7 +82,7 @@ def merge(spark: SparkSession, sources: list[str], target: str) -> int:
     stacked, first, plane = None, 0, None
     for source in sorted(sources, key=lambda s: Path(s).name):
         volume = discover.read(spark, source)
-        shape = shape_of(volume)
+        shape = discover.shape(spark, source)
         if plane not in (None, shape[1:]):
             raise ValueError(f"volumes with planes {plane} and {shape[1:]} can't be stacked")
         plane = shape[1:]
@@ -104,10 +95,16 @@ def merge(spark: SparkSession, sources: list[str], target: str) -> int:
 
 
 def export(spark: SparkSession, folder: str, target: str, formats: tuple[str, ...]) -> list[str]:
-    """Archives of the folder's Zarr groups; with ``tiff`` also one merged TIFF."""
+    """Archives of the folder's Zarr groups, whatever the formats; with ``tiff`` also one merged TIFF.
+
+    Formats may be in upper case; an unknown one, or none, is an error and nothing is written.
+    """
+    asked = {f.lower() for f in formats}
+    if not asked or asked - set(EXPORT_FORMATS):
+        raise ValueError(f"formats are {', '.join(EXPORT_FORMATS)}, not {', '.join(sorted(asked)) or 'none'}")
     volumes = discover.volumes_in(spark, folder)
-    out = archive.export_archives(volumes, target) if "ozx" in formats else []
-    if "tiff" in formats:
+    out = archive.export_archives(volumes, target)
+    if "tiff" in asked:
         merged = str(Path(target) / names.MERGED_NAME)
         merge(spark, volumes, merged)
         out.append(merged)
@@ -140,8 +137,13 @@ def compare_files(spark: SparkSession, reference: str, candidate: str, level: st
             return zarr_source.read_zarr(spark, path, component or level, tpc if component else None)
         return discover.read(spark, path)
 
+    def shape(path: str) -> tuple[int, int, int]:
+        if discover.kind_of(path) == "zarr":
+            return zarr_source.volume_shape(spark, path, component or level, tpc if component else None)
+        return discover.shape(spark, path)
+
     both = [volume(p) for p in (reference, candidate)]
-    shapes = [shape_of(v) for v in both]
+    shapes = [shape(p) for p in (reference, candidate)]
     if shapes[0] != shapes[1]:
         raise ValueError(f"the volumes' shapes differ: {shapes[0]} and {shapes[1]}")
     found = compare.compare(*[blocks.to_voxels(v) for v in both], shapes[0], **options)

@@ -1,21 +1,24 @@
-"""Zarr version 2 image groups: metadata on the driver, chunks from the executors.
+"""Zarr version 2 image groups, written by the data source ``omezarr``.
 
-The target must be a path that driver and executors share (a mounted folder).
+Every row is one chunk of the first level and gives the chunks of all levels under it,
+because levels are strided. Tasks write into a folder beside the target, which takes the
+target's place when all have ended well.
 """
 
 from __future__ import annotations
 
 import json
-import shutil
-from pathlib import Path
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSourceArrowWriter, WriterCommitMessage
 
 from tessera.functions.geometry import Affine, default_chunks, level_chunk, level_size, pyramid_factors
-from tessera.sources.blocks import block_array
+from tessera.session import ship
+from tessera.sources import blocks, store
 from tessera.sources.codec import encode
 
 #: Fixed value: the lossless default compressor.
@@ -41,47 +44,112 @@ def affine_record(geometry: Affine) -> dict:
     }
 
 
-def create(path: str, shape: tuple[int, int, int], dtype: str, name: str, largest: int = 16, compressor: dict | None = COMPRESSOR, geometry: Affine | None = None) -> list[int]:
-    """Replace the group at ``path`` and write the metadata of all levels; returns the factors."""
-    root = Path(path)
-    if root.exists():
-        shutil.rmtree(root)
-    factors = pyramid_factors(largest)
-    attrs = {"multiscales": multiscales(name, factors)} | ({"affine_resample": affine_record(geometry)} if geometry else {})
-    root.mkdir(parents=True)
-    (root / ".zgroup").write_text(json.dumps({"zarr_format": 2}))
-    (root / ".zattrs").write_text(json.dumps(attrs, indent=2, sort_keys=True))
+def level_infos(shape: tuple[int, int, int], dtype: str, factors: list[int], compressor: dict | None, fill: float = 0) -> list[dict]:
+    """The array metadata of every level; a chunk of the first level holds whole chunks of all others."""
     z, y, x = shape
     base = default_chunks(shape)
-    for i, f in enumerate(factors):
+    out = []
+    for f in factors:
         size = (z, level_size(y, f), level_size(x, f))
         chunks = (base[0], level_chunk(base[1], f, size[1]), level_chunk(base[2], f, size[2]))
-        (root / str(i)).mkdir()
-        info = {"zarr_format": 2, "shape": list(size), "chunks": list(chunks), "dtype": dtype, "compressor": compressor, "fill_value": 0, "order": "C", "filters": None, "dimension_separator": "."}
-        (root / str(i) / ".zarray").write_text(json.dumps(info))
-    return factors
-
-
-def write_zarr(planes: DataFrame, path: str, shape: tuple[int, int, int], dtype: str, name: str, largest: int = 16, compressor: dict | None = COMPRESSOR, geometry: Affine | None = None) -> None:
-    """All levels from whole planes in block form. Every task writes the chunks of one slab of planes; a rerun task rewrites the same files."""
-    factors = create(path, shape, dtype, name, largest, compressor, geometry)
-    depth = default_chunks(shape)[0]
-    infos = [json.loads((Path(path) / str(i) / ".zarray").read_text()) for i in range(len(factors))]
-
-    def slab(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("z0")
-        stack = np.concatenate([block_array(r) for r in rows.itertuples()]).astype(dtype)
-        k = int(rows.slab.iloc[0])
-        written = 0
-        for i, (f, info) in enumerate(zip(factors, infos, strict=True)):
-            level, (cz, cy, cx) = stack[:, ::f, ::f], info["chunks"]
+        out.append({"zarr_format": 2, "shape": list(size), "chunks": list(chunks), "dtype": dtype, "compressor": compressor, "fill_value": fill, "order": "C", "filters": None, "dimension_separator": "."})
+    return out
+
+
+def chunk_files(block: np.ndarray, at: tuple[int, int, int], factors: list[int], infos: list[dict]) -> Iterator[tuple[int, str, np.ndarray]]:
+    """(level, name, whole chunk) of every chunk under a block that starts and ends with chunks of the first level."""
+    z0, y0, x0 = at
+    for i, (f, info) in enumerate(zip(factors, infos, strict=True)):
+        level, (cz, cy, cx) = block[:, ::f, ::f], info["chunks"]
+        for z in range(0, level.shape[0], cz):
             for y in range(0, level.shape[1], cy):
                 for x in range(0, level.shape[2], cx):
-                    chunk = np.zeros((cz, cy, cx), dtype)
-                    part = level[:, y : y + cy, x : x + cx]
+                    chunk = np.full((cz, cy, cx), info["fill_value"], info["dtype"])
+                    part = level[z : z + cz, y : y + cy, x : x + cx]
                     chunk[: part.shape[0], : part.shape[1], : part.shape[2]] = part
-                    (Path(path) / str(i) / f"{k}.{y // cy}.{x // cx}").write_bytes(encode(chunk.tobytes(), compressor, chunk.itemsize))
-                    written += 1
-        return pd.DataFrame([{"slab": k, "chunks": written}])
-
-    planes.withColumn("slab", F.expr(f"z0 div {depth}")).groupBy("slab").applyInPandas(slab, "slab long, chunks long").agg(F.sum("chunks")).collect()
+                    yield i, f"{(z0 + z) // cz}.{(y0 // f + y) // cy}.{(x0 // f + x) // cx}", chunk
+
+
+@dataclass
+class Written(WriterCommitMessage):
+    """How many chunks of the first level a task wrote, and the sum of their numbers and of the squares."""
+
+    chunks: int
+    numbers: int
+    squares: int
+
+
+class ZarrWriter(DataSourceArrowWriter):
+    """Options: ``path``, ``shape`` (z,y,x) and ``dtype``; ``name``, ``pyramid_max``, ``compressor`` and ``attributes`` (JSON), ``fill``.
+
+    With ``missing=error`` (the default is ``fill``: chunks without a row hold the fill value) every chunk
+    of the volume has to come exactly once. ``empty=skip`` leaves out chunks that hold only the
+    fill value. Mode ``append`` refuses a target that exists, ``overwrite`` replaces it.
+    """
+
+    def __init__(self, options: dict[str, str], overwrite: bool) -> None:
+        import uuid
+
+        self.path = options["path"].rstrip("/")
+        if not overwrite and store.exists(self.path):
+            raise FileExistsError(f"{self.path} exists; write it with mode overwrite")
+        self.shape = tuple(int(n) for n in options["shape"].split(","))
+        if len(self.shape) != 3 or min(self.shape) < 1:
+            raise ValueError(f"a volume has three axes, not {options['shape']}")
+        self.factors = pyramid_factors(int(options.get("pyramid_max", "16")))
+        self.compressor = json.loads(options.get("compressor", json.dumps(COMPRESSOR)))
+        fill = float(options.get("fill", "0"))
+        self.infos = level_infos(self.shape, np.dtype(options.get("dtype", "<u2")).str, self.factors, self.compressor, int(fill) if fill.is_integer() else fill)
+        self.attributes = {"multiscales": multiscales(options.get("name", "volume"), self.factors)} | json.loads(options.get("attributes", "{}"))
+        self.strict, self.skip = options.get("missing", "fill") == "error", options.get("empty", "write") == "skip"
+        self.staging = f"{self.path}.writing-{uuid.uuid4().hex}"
+
+    def _grid(self) -> tuple[int, ...]:
+        return tuple(-(-n // c) for n, c in zip(self.shape, self.infos[0]["chunks"], strict=True))
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
+        chunks, grid = self.infos[0]["chunks"], self._grid()
+        done = Written(0, 0, 0)
+        for batch in iterator:
+            for row in batch.to_pylist():
+                at, size = (row["z0"], row["y0"], row["x0"]), (row["nz"], row["ny"], row["nx"])
+                if any(a % c or not (a + n <= most and (n == c or a + n == most)) for a, n, c, most in zip(at, size, chunks, self.shape, strict=True)):
+                    raise ValueError(f"a block of {size} at {at} is not a chunk of {tuple(chunks)} in {self.shape}")
+                block = np.frombuffer(row["data"], np.dtype(row["dtype"])).reshape(size)
+                for level, name, chunk in chunk_files(block, at, self.factors, self.infos):
+                    if not (self.skip and (chunk == self.infos[level]["fill_value"]).all()):
+                        store.write_bytes(f"{self.staging}/{level}/{name}", encode(chunk.tobytes(), self.compressor, chunk.itemsize), f"{self.staging}/.parts")
+                k = int(np.ravel_multi_index(tuple(a // c for a, c in zip(at, chunks, strict=True)), grid))
+                done = Written(done.chunks + 1, done.numbers + k, done.squares + k * k)
+        return done
+
+    def commit(self, messages: list[Written | None]) -> None:
+        n = int(np.prod(self._grid()))
+        found = [sum(getattr(m, c) for m in messages if m is not None) for c in ("chunks", "numbers", "squares")]
+        if found[0] > n or self.strict and found != [n, n * (n - 1) // 2, n * (n - 1) * (2 * n - 1) // 6]:
+            self.abort(messages)
+            raise ValueError(f"{found[0]} chunks were written to a volume of {n}, or some of them more than once")
+        store.write_bytes(f"{self.staging}/.zgroup", json.dumps({"zarr_format": 2}).encode())
+        store.write_bytes(f"{self.staging}/.zattrs", json.dumps(self.attributes, indent=2, sort_keys=True).encode())
+        for i, info in enumerate(self.infos):
+            store.write_bytes(f"{self.staging}/{i}/.zarray", json.dumps(info).encode())
+        store.delete(f"{self.staging}/.parts")
+        store.replace(self.staging, self.path)
+
+    def abort(self, messages: list[Written | None]) -> None:
+        store.delete(self.staging)
+
+
+def write_zarr(volume: DataFrame, path: str, shape: tuple[int, int, int], dtype: str, name: str, largest: int = 16, compressor: dict | None = COMPRESSOR, geometry: Affine | None = None, **options: str) -> None:
+    """All levels of a volume in block form, whatever its blocks are; replaces the group at ``path`` once all is written.
+
+    Blocks are cut to chunks and shuffled by chunk, so a task holds a chunk, not planes. The
+    record of ``geometry`` goes to the attributes. ``options`` are those of ``ZarrWriter``.
+    """
+    from tessera.sources.datasource import register
+
+    register(ship(volume.sparkSession))
+    record = {"affine_resample": affine_record(geometry)} if geometry else {}
+    chunked = blocks.rechunk(volume, shape, default_chunks(shape))
+    fixed = {"shape": ",".join(map(str, shape)), "dtype": np.dtype(dtype).str, "name": name, "pyramid_max": str(largest), "compressor": json.dumps(compressor), "attributes": json.dumps(record)}
+    chunked.write.format("omezarr").options(**fixed | options).mode("overwrite").save(path)

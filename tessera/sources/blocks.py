@@ -6,6 +6,7 @@ little-endian values in C order of type ``dtype``.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,6 +56,35 @@ def from_voxels(volume: DataFrame, shape: tuple[int, int, int], chunks: tuple[in
     return keyed.groupBy("bz", "by", "bx").applyInPandas(pack, SCHEMA)
 
 
+def cut(array: np.ndarray, at: tuple[int, int, int], chunks: tuple[int, int, int]) -> Iterator[tuple[np.ndarray, tuple[int, int, int]]]:
+    """The parts of a block in each chunk of a grid."""
+    spans = [[(max(a, k * c), min(a + n, (k + 1) * c)) for k in range(a // c, -(-(a + n) // c))] for a, n, c in zip(at, array.shape, chunks, strict=True)]
+    for z, y, x in itertools.product(*spans):
+        yield array[tuple(slice(a - o, b - o) for (a, b), o in zip((z, y, x), at, strict=True))], (z[0], y[0], x[0])
+
+
+def rechunk(blocks: DataFrame, shape: tuple[int, int, int], chunks: tuple[int, int, int]) -> DataFrame:
+    """Blocks of any form regrouped to one row per chunk of a grid that has any; voxels of a chunk without a block are 0."""
+    cz, cy, cx = chunks
+
+    def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples():
+                yield pd.DataFrame([block_row(part, at) for part, at in cut(block_array(row), (row.z0, row.y0, row.x0), chunks)])
+
+    def join(rows: pd.DataFrame) -> pd.DataFrame:
+        first = rows.iloc[0]
+        at = tuple(int(first[a]) // c * c for a, c in zip(("z0", "y0", "x0"), chunks, strict=True))
+        whole = np.zeros([min(c, n - a) for a, c, n in zip(at, chunks, shape, strict=True)], np.dtype(first["dtype"]))
+        for row in rows.itertuples():
+            z, y, x = (o - a for o, a in zip((row.z0, row.y0, row.x0), at, strict=True))
+            whole[z : z + row.nz, y : y + row.ny, x : x + row.nx] = block_array(row)
+        return pd.DataFrame([block_row(whole, at)])
+
+    dealt = blocks.select(*[c.split()[0] for c in SCHEMA.split(", ")]).mapInPandas(parts, SCHEMA)
+    return dealt.groupBy(F.expr(f"z0 div {cz}"), F.expr(f"y0 div {cy}"), F.expr(f"x0 div {cx}")).applyInPandas(join, SCHEMA)
+
+
 def planes(blocks: DataFrame, shape: tuple[int, int, int]) -> DataFrame:
     """Blocks regrouped to whole planes: one row per z. Groups are single planes."""
     _, ny, nx = shape

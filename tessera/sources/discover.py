@@ -125,3 +125,18 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     """Blocks of any supported volume but archives, which are unpacked first."""
     _defaults()
     return _readers[kind_of(path)](spark, path)
+
+
+def shape(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """Axis lengths of any supported volume: as a Zarr array or a mounted TIFF declares them, else those of its blocks."""
+    from tessera.sources import tiff, zarr
+
+    kind = kind_of(path)
+    if kind == "zarr":
+        return zarr.volume_shape(spark, path)
+    if kind == "tiff" and tiff.local(path):
+        return tiff.volume_shape(path)
+    r = read(spark, path).agg(*[F.max(F.col(f"{a}0") + F.col(f"n{a}")).alias(a) for a in "zyx"]).first()
+    if r["z"] is None:
+        raise ValueError("the volume has no blocks")
+    return int(r["z"]), int(r["y"]), int(r["x"])

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import functools
 import mmap
 import os
+import pickle
 import re
 import struct
 import zlib
@@ -22,7 +22,7 @@ from tessera.sources.blocks import SCHEMA, block_row
 _TYPE_BYTES = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4, 12: 8, 13: 4, 16: 8, 17: 8, 18: 8}
 _FORMATS = {1: "B", 2: "s", 3: "H", 4: "I", 6: "b", 8: "h", 9: "i", 11: "f", 12: "d", 13: "I", 16: "Q", 17: "q", 18: "Q"}
 _WIDTH, _HEIGHT, _BITS, _COMPRESSION, _DESCRIPTION, _OFFSETS, _SAMPLES, _ROWS, _COUNTS = 256, 257, 258, 259, 270, 273, 277, 278, 279
-_PLANAR, _PREDICTOR, _TILE_WIDTH, _TILE_HEIGHT, _TILE_OFFSETS, _TILE_COUNTS, _FORMAT = 284, 317, 322, 323, 324, 325, 339
+_FILL_ORDER, _PLANAR, _PREDICTOR, _TILE_WIDTH, _TILE_HEIGHT, _TILE_OFFSETS, _TILE_COUNTS, _FORMAT = 266, 284, 317, 322, 323, 324, 325, 339
 _NONE, _LZW, _DEFLATE, _OLD_DEFLATE, _PACKBITS, _ZSTD = 1, 5, 8, 32946, 32773, 50000
 _CLEAR, _STOP = 256, 257
 
@@ -38,6 +38,9 @@ class Page:
     compression: int = _NONE
     predictor: int = 1
     segment: tuple[int, int] = (0, 0)
+    bits: int = 0
+    planar: bool = False
+    reversed_bits: bool = False
 
     @property
     def shape(self) -> tuple[int, ...]:
@@ -123,49 +126,60 @@ def pages(data: bytes) -> list[Page]:
         tags, at = _fields(data, order, at, big)
         value = lambda tag, other: tags.get(tag, (other,))[0]  # noqa: E731, B023
         compression, predictor, samples = value(_COMPRESSION, _NONE), value(_PREDICTOR, 1), value(_SAMPLES, 1)
-        if compression not in (_NONE, _LZW, _DEFLATE, _OLD_DEFLATE, _PACKBITS, _ZSTD) or predictor not in (1, 2):
+        if compression not in (_NONE, _LZW, _DEFLATE, _OLD_DEFLATE, _PACKBITS, _ZSTD) or predictor not in (1, 2, 3):
             raise ValueError(f"TIFF compression {compression} with predictor {predictor} is not supported")
-        if samples > 1 and value(_PLANAR, 1) != 1:
-            raise ValueError("TIFF samples in separate planes are not supported")
-        bits, kind = value(_BITS, 1), {1: "u", 2: "i", 3: "f"}[value(_FORMAT, 1)]
-        if bits % 8:
-            raise ValueError(f"TIFF samples of {bits} bits are not supported")
+        bits, kind = value(_BITS, 1), {1: "u", 2: "i", 3: "f"}.get(value(_FORMAT, 1), "u")
+        packed = bits not in (8, 16, 32, 64)
+        if packed and (kind != "u" or not 1 <= bits < 16 or predictor != 1) or predictor == 3 and kind != "f":
+            raise ValueError(f"TIFF samples of {bits} bits ({kind}) with predictor {predictor} are not supported")
         text = value(_DESCRIPTION, b"").rstrip(b"\0").decode("utf-8", "replace")
         height, width = tags[_HEIGHT][0], tags[_WIDTH][0]
         tiled = _TILE_OFFSETS in tags
         segments = tuple(zip(tags[_TILE_OFFSETS if tiled else _OFFSETS], tags[_TILE_COUNTS if tiled else _COUNTS], strict=True))
         segment = (tags[_TILE_HEIGHT][0], tags[_TILE_WIDTH][0]) if tiled else (min(height, value(_ROWS, height)), width)
-        found.append(Page(height, width, f"{order}{kind}{bits // 8}", segments, text, samples, compression, predictor, segment))
+        size = (1 if bits < 8 else 2) if packed else bits // 8
+        found.append(Page(height, width, f"{order}{kind}{size}", segments, text, samples, compression, predictor, segment, bits if packed else 0, samples > 1 and value(_PLANAR, 1) == 2, value(_FILL_ORDER, 1) == 2))
     if len(found) == 1 and (m := re.search(r"(?:images|slices)=(\d+)", found[0].description)) and int(m[1]) > 1:
         one = found[0]
         size = one.height * one.width * np.dtype(one.dtype).itemsize
-        if one.compression == _NONE and one.samples == 1:
+        if one.compression == _NONE and one.samples == 1 and not one.bits and one.predictor == 1:
             found = [Page(one.height, one.width, one.dtype, ((one.segments[0][0] + k * size, size),), one.description, segment=(one.height, one.width)) for k in range(int(m[1]))]
     return found
 
 
+def _values(raw: bytes, page: Page, tall: int, columns: int, samples: int) -> np.ndarray:
+    """The values (tall, columns, samples) of a segment's unpacked bytes."""
+    kind = np.dtype(page.dtype)
+    if page.bits:  # rows of packed bits, each ending with a byte
+        bits = np.unpackbits(np.frombuffer(raw, np.uint8), bitorder="little" if page.reversed_bits else "big").reshape(tall, -1)
+        single = bits[:, : columns * samples * page.bits].reshape(tall, columns, samples, page.bits)
+        return single.astype(kind) @ (1 << np.arange(page.bits)[::-1]).astype(kind)
+    if page.predictor == 3:  # differences of bytes; a row holds its values' highest bytes first, then the next ones
+        planes = np.cumsum(np.frombuffer(raw, np.uint8).reshape(tall, -1, samples), axis=1, dtype=np.uint8).reshape(tall, kind.itemsize, columns * samples)
+        return np.ascontiguousarray(planes.transpose(0, 2, 1)).view(kind.newbyteorder(">")).reshape(tall, columns, samples)
+    part = np.frombuffer(raw, kind).reshape(tall, columns, samples)
+    return np.cumsum(part.astype(kind.newbyteorder("=")), axis=1, dtype=kind.newbyteorder("=")) if page.predictor == 2 else part
+
+
 def page_array(data: bytes, page: Page) -> np.ndarray:
     """The page's values: (height, width), with samples (height, width, samples)."""
     rows, columns = page.segment
-    kind = np.dtype(page.dtype)
-    across = -(-page.width // columns)
-    out = np.zeros(page.shape, kind)
+    across, down = -(-page.width // columns), -(-page.height // rows)
+    inner = 1 if page.planar else page.samples
+    row_bytes = -(-columns * inner * page.bits // 8) if page.bits else columns * inner * np.dtype(page.dtype).itemsize
+    out = np.zeros((page.height, page.width, page.samples), page.dtype)
     for i, (at, n) in enumerate(page.segments):
-        y, x = i // across * rows, i % across * columns
+        sample, j = divmod(i, across * down) if page.planar else (0, i)
+        y, x = j // across * rows, j % across * columns
         tall = rows if columns < page.width or page.height % rows == 0 else min(rows, page.height - y)
-        size = tall * columns * page.samples * kind.itemsize
         raw = _unpack(data[at : at + n], page.compression)
-        if len(raw) < size:
-            tall = len(raw) // (columns * page.samples * kind.itemsize)
+        if len(raw) < tall * row_bytes:
+            tall = len(raw) // row_bytes
             if y + tall < min(page.height, y + rows):
                 raise ValueError("a TIFF page is shorter than its size says")
-            size = tall * columns * page.samples * kind.itemsize
-        part = np.frombuffer(raw[:size], kind).reshape(tall, columns, page.samples)
-        if page.predictor == 2:
-            part = np.cumsum(part.astype(kind.newbyteorder("=")), axis=1, dtype=kind.newbyteorder("="))
-        part = part[: page.height - y, : page.width - x]
-        out[y : y + part.shape[0], x : x + part.shape[1]] = part if page.samples > 1 else part[:, :, 0]
-    return out
+        part = _values(raw[: tall * row_bytes], page, tall, columns, inner)[: page.height - y, : page.width - x]
+        out[y : y + part.shape[0], x : x + part.shape[1], sample : sample + inner] = part
+    return out if page.samples > 1 else out[:, :, 0]
 
 
 def plane_count(found: list[Page]) -> int:
@@ -181,29 +195,53 @@ def plane(data: bytes, found: list[Page], z: int) -> np.ndarray:
     return page_array(data, found[0])[z] if found[0].samples > 1 else page_array(data, found[z])
 
 
-def _local(path: str) -> str:
+def local(path: str) -> str:
     """A mounted path without its scheme; empty for any other store."""
     parts = urlparse(path)
     found = path if not parts.scheme else unquote(parts.path) if parts.scheme == "file" else ""
     return found if found and os.path.exists(found) else ""
 
 
-@functools.lru_cache(maxsize=4)
-def _opened(path: str) -> tuple[mmap.mmap, list[Page]]:
-    with open(path, "rb") as file:
-        data = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
-    return data, pages(data)
+def file_state(path: str) -> str:
+    """What changes when a file is written again or replaced."""
+    s = os.stat(path)
+    return f"{s.st_size}.{s.st_mtime_ns}.{s.st_ino}"
+
+
+#: Mapped files of this worker by path, with their state.
+_maps: dict[str, tuple[str, mmap.mmap]] = {}
+MOST_MAPS = 4
+
+
+def _opened(path: str, state: str) -> mmap.mmap:
+    """The file's bytes in the state in which its pages were listed; a map of an earlier state is closed."""
+    if path in _maps and _maps[path][0] != state:
+        _maps.pop(path)[1].close()
+    if path not in _maps:
+        with open(path, "rb") as file:
+            data = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
+        if file_state(path) != state:
+            raise RuntimeError(f"{path} changed after its pages were listed")
+        while len(_maps) >= MOST_MAPS:
+            _maps.pop(next(iter(_maps)))[1].close()
+        _maps[path] = state, data
+    return _maps[path][1]
+
+
+#: Bytes of values that the pages of one reading task have together.
+RUN_BYTES = 32 << 20
 
 
 def read_tiff(spark: SparkSession, path: str) -> DataFrame:
     """Planes of TIFF volumes in block form with ``path``.
 
-    On a mounted folder the pages are dealt to the tasks, sixteen together; each task maps the file and reads its
-    own pages' bytes only, so a file may be of any size. From any other store Spark reads whole
-    files (up to 2 GB), one task per file.
+    On a mounted folder a file's directories are parsed once; the places of its pages are dealt to the
+    tasks in runs of about ``RUN_BYTES``, and each task maps the file and reads its own pages' bytes only, so a file
+    may be of any size and have any number of pages. From any other store Spark reads whole
+    files (up to 2 GB), one task per file. A file that is replaced between listing and reading fails the job.
     """
     files = spark.read.format("binaryFile").load(path)
-    if not _local(path):
+    if not local(path):
 
         def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
@@ -217,13 +255,34 @@ def read_tiff(spark: SparkSession, path: str) -> DataFrame:
     def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for name in batch.path:
-                n = plane_count(_opened(_local(name))[1])
-                yield pd.DataFrame({"path": name, "z": range(n), "run": [z // 16 for z in range(n)]})
+                state = file_state(local(name))
+                with open(local(name), "rb") as file, mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ) as data:
+                    found = pages(data)
+                if plane_count(found):
+                    one = found[0]
+                    many = one.samples > 1  # one page holds all planes, so one task reads them
+                    each = max(1, one.height * one.width * one.samples * np.dtype(one.dtype).itemsize)
+                    run = [0 if many else z * each // RUN_BYTES for z in range(len(found))]
+                    yield pd.DataFrame({"path": name, "state": state, "z": range(len(found)), "page": [pickle.dumps(p) for p in found], "run": run})
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples():
-                data, found = _opened(_local(row.path))
-                yield pd.DataFrame([{"path": row.path, **block_row(plane(data, found, int(row.z))[None], (int(row.z), 0, 0))}])
-
-    return files.select("path").mapInPandas(listed, "path string, z long, run long").repartition("path", "run").mapInPandas(read, "path string, " + SCHEMA)
+                page = pickle.loads(row.page)  # made by ``listed``
+                array = page_array(_opened(local(row.path), row.state), page)
+                planes = array if page.samples > 1 else array[None]
+                for k, one in enumerate(planes):
+                    yield pd.DataFrame([{"path": row.path, **block_row(one[None], (int(row.z) + k, 0, 0))}])
+
+    runs = files.select("path").mapInPandas(listed, "path string, state string, z long, page binary, run long")
+    return runs.repartition("path", "run").mapInPandas(read, "path string, " + SCHEMA)
+
+
+def volume_shape(path: str) -> tuple[int, int, int]:
+    """Axis lengths of a mounted file, from its directories alone."""
+    with open(local(path), "rb") as file, mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ) as data:
+        found = pages(data)
+    if not found:
+        raise ValueError("the volume has no pages")
+    one = found[0]
+    return (plane_count(found), one.height, one.width) if one.samples == 1 else (one.height, one.width, one.samples)

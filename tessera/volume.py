@@ -86,7 +86,5 @@ class Volume:
 
 def read(spark: SparkSession, path: str) -> Volume:
     """Any supported volume file or group."""
-    from tessera.plans.pipeline import shape_of
-
     found = discover.read(ship(spark), path)
-    return Volume(blocks.to_voxels(found), shape_of(found), path.rstrip("/").rpartition("/")[2].partition(".")[0])
+    return Volume(blocks.to_voxels(found), discover.shape(spark, path), path.rstrip("/").rpartition("/")[2].partition(".")[0])

@@ -17,7 +17,7 @@ from tessera.functions.params import RunParams
 from tessera.plans import pipeline
 from tessera.sinks import archive, tiff
 from tessera.sinks import zarr as zarr_sink
-from tessera.sources import blocks, codec, discover, optional, zarr
+from tessera.sources import blocks, codec, datasource, discover, optional, zarr
 from tessera.sources import tiff as tiff_source
 from tessera.streaming import landing
 
@@ -323,3 +323,153 @@ def test_landing_files_are_handled_once(spark, tmp_path):
         (tmp_path / "in" / f"f{n}.tif").write_bytes(b"x")
         landing.on_landing(spark, str(tmp_path / "in"), str(tmp_path / "state"), lambda p: seen.append(p.rsplit("/", 1)[1])).awaitTermination()
     assert seen == ["f0.tif", "f1.tif"]
+
+
+def floats(shape, dtype="<f4"):
+    return np.random.default_rng(1).standard_normal(shape).astype(dtype)
+
+
+def planes_of(spark, array):
+    return spark.createDataFrame([blocks.block_row(p[None], (z, 0, 0)) for z, p in enumerate(array)], blocks.SCHEMA).repartition(3)
+
+
+@pytest.mark.parametrize("compression", ["none", "deflate", "zstd"])
+@pytest.mark.parametrize(("dtype", "predictor", "bits"), [("<u2", 1, 0), ("<u2", 2, 0), ("<i4", 2, 0), ("<f4", 1, 0), ("<f4", 3, 0), ("<f8", 3, 0), ("<f2", 3, 0), ("<u1", 1, 1), ("<u1", 1, 4), ("<u2", 1, 12), ("<u2", 1, 9)])
+def test_every_encoding_round_trips(tmp_path, dtype, compression, predictor, bits):
+    kind = np.dtype(dtype)
+    array = floats((5, 7), dtype) if kind.kind == "f" else np.random.default_rng(2).integers(0, 1 << (bits or 15), (5, 7)).astype(dtype)
+    data = tiff.packed_plane(array, compression, predictor, bits)
+    page = tiff_source.Page(5, 7, dtype, ((0, len(data)),), "", 1, tiff.COMPRESSIONS[compression], predictor, (5, 7), bits)
+    assert (tiff_source.page_array(data, page) == array).all()
+
+
+@pytest.mark.parametrize(("compression", "dtype", "predictor", "bits"), [("deflate", "<u2", 2, 0), ("zstd", "<f4", 3, 0), ("none", "<u2", 1, 12), ("zstd", "<u2", 1, 0)])
+def test_compressed_bigtiff(spark, tmp_path, compression, dtype, predictor, bits):
+    array = floats((23, 6, 9), dtype) if dtype == "<f4" else (np.arange(23 * 54).reshape(23, 6, 9) % 4000).astype(dtype)
+    path = str(tmp_path / "v.tif")
+    assert tiff.write_tiff(planes_of(spark, array), path, compression, predictor, bits) == 23
+    assert (cube(tiff_source.read_tiff(spark, path).drop("path"), array.shape) == array).all()
+    first = (tmp_path / "v.tif").read_bytes()
+    tiff.write_tiff(planes_of(spark, array).repartition(5), path, compression, predictor, bits)  # other tasks, the same file
+    assert (tmp_path / "v.tif").read_bytes() == first and [p.name for p in tmp_path.iterdir()] == ["v.tif"]
+    assert tiff.write_tiff(planes_of(spark, array).where("z0 < 0"), path, compression) == 0
+    with pytest.raises(ValueError):
+        tiff.write_tiff(planes_of(spark, array), path, "jpeg")
+    with pytest.raises(ValueError):
+        tiff.write_tiff(planes_of(spark, array), path, "zstd", 5 - predictor if predictor > 1 else 3 if dtype != "<f4" else 2)
+
+
+@pytest.mark.parametrize("shape", [(4, 5, 3), (4, 5, 1)])
+def test_samples_in_separate_planes(spark, tmp_path, shape):
+    array = np.arange(np.prod(shape), dtype="<u2").reshape(shape)
+    assert tiff.write_sample_planes(planes_of(spark, array), str(tmp_path / "p.tif"), shape) == shape[2]
+    (page,) = tiff_source.pages((tmp_path / "p.tif").read_bytes())
+    assert page.planar == (shape[2] > 1)
+    if shape[2] > 1:
+        assert (cube(tiff_source.read_tiff(spark, str(tmp_path / "p.tif")).drop("path"), shape) == array).all()
+        assert tiff_source.volume_shape(str(tmp_path / "p.tif")) == shape
+
+
+def test_a_replaced_tiff_is_read_anew(spark, tmp_path):
+    path = str(tmp_path / "v.tif")
+    tiff.write_pages(path, [np.full((8, 8), k, "u2") for k in range(6)])
+    assert tiff_source.read_tiff(spark, path).count() == 6
+    tiff.write_pages(path, [np.full((16, 16), k + 9, "u2") for k in range(3)])
+    assert (cube(tiff_source.read_tiff(spark, path).drop("path"), (3, 16, 16)) == np.arange(9, 12)[:, None, None]).all()
+    assert tiff_source.volume_shape(path) == (3, 16, 16)
+
+
+def test_reads_are_planned_by_bytes(tmp_path):
+    tiff.write_pages(str(tmp_path / "v.tif"), [np.full((40, 40), k, "u2") for k in range(500)])
+    reader = datasource.TiffReader(str(tmp_path / "v.tif"), 320_000)
+    runs = reader.partitions()
+    assert len(runs) == 5 and all(len(r.pages) == 100 for r in runs)
+    got = [b for r in runs for b in reader.read(r)]
+    assert len(got) == 500 and got[321].to_pylist()[0]["z0"] == 321
+    wide = datasource.TiffReader(str(tmp_path / "v.tif"), 1)
+    wide.pushFilters = None
+    wide.tests = [(0, datasource.GreaterThanOrEqual, 490)]
+    assert len(wide.partitions()) == 10 and all(len(r.pages) == 1 for r in wide.partitions())
+    tiff.write_pages(str(tmp_path / "w.tif"), [np.arange(1100 * 600, dtype="u4").reshape(1100, 600)])
+    big = datasource.TiffReader(str(tmp_path / "w.tif"), 1 << 20)
+    parts = [b.to_pylist()[0] for r in big.partitions() for b in big.read(r)]
+    assert [(p["y0"], p["x0"], p["ny"], p["nx"]) for p in parts] == [(0, 0, 512, 512), (0, 512, 512, 88), (512, 0, 512, 512), (512, 512, 512, 88), (1024, 0, 76, 512), (1024, 512, 76, 88)]
+
+
+@pytest.mark.parametrize(("mark", "fill", "dtype"), [(".", 7, "<u2"), ("/", "NaN", "<f4"), (".", None, ">i2")])
+def test_sparse_zarr(spark, tmp_path, mark, fill, dtype):
+    """Chunks that were never written hold the fill value, at the edges too; stray files don't count."""
+    array = np.arange(5 * 6 * 7, dtype=dtype).reshape(5, 6, 7)
+    root = tmp_path / "s.ome.zarr" / "0"
+    root.mkdir(parents=True)
+    (root / ".zarray").write_text(json.dumps({"zarr_format": 2, "shape": [5, 6, 7], "chunks": [2, 3, 4], "dtype": dtype, "compressor": None, "fill_value": fill, "order": "C", "filters": None, "dimension_separator": mark}))
+    want = np.full(array.shape, np.nan if fill == "NaN" else fill or 0, dtype)
+    for z, y, x in ((0, 0, 0), (0, 1, 1), (1, 0, 1)):
+        whole = np.zeros((2, 3, 4), dtype)
+        part = array[2 * z : 2 * z + 2, 3 * y : 3 * y + 3, 4 * x : 4 * x + 4]
+        whole[: part.shape[0], : part.shape[1], : part.shape[2]] = part
+        want[2 * z : 2 * z + 2, 3 * y : 3 * y + 3, 4 * x : 4 * x + 4] = part
+        to = root / mark.join(map(str, (z, y, x)))
+        to.parent.mkdir(parents=True, exist_ok=True)
+        to.write_bytes(whole.tobytes())
+    for stray in ("9.9.9", "0.0", "1.x"):
+        (root / stray).write_bytes(b"stray")
+    group = str(root.parent)
+    assert discover.shape(spark, group) == (5, 6, 7)
+    datasource.register(spark)
+    for got in (zarr.read_zarr(spark, group), spark.read.format("omezarr").option("partition_bytes", 100).load(group)):
+        assert got.count() == 12
+        assert np.array_equal(cube(got, (5, 6, 7)), want.astype(float), equal_nan=True)
+
+
+def test_omezarr_writes_all_or_nothing(spark, tmp_path):
+    datasource.register(spark)
+    shape, path = (20, 30, 40), str(tmp_path / "v.ome.zarr")
+    array = (np.arange(np.prod(shape)) % 60_000).reshape(shape).astype("<u2")
+    zarr_sink.write_zarr(planes_of(spark, array), path, shape, "<u2", "v", 4, missing="error")
+    before = sorted((p.relative_to(tmp_path), p.read_bytes()) for p in tmp_path.rglob("*") if p.is_file())
+    chunked = blocks.rechunk(planes_of(spark, array + 1), shape, (16, 30, 40))
+    writer = chunked.write.format("omezarr").option("shape", "20,30,40")
+    with pytest.raises(Exception, match="exists"):
+        writer.mode("append").save(path)
+
+    def broken(batches):
+        for n, batch in enumerate(batches):
+            if batch.z0.max() >= 16:
+                raise RuntimeError("lost")
+            yield batch
+
+    with pytest.raises(Exception, match="lost"):
+        chunked.mapInPandas(broken, blocks.SCHEMA).write.format("omezarr").option("shape", "20,30,40").mode("overwrite").save(path)
+    with pytest.raises(Exception, match="not a chunk"):
+        planes_of(spark, array).write.format("omezarr").option("shape", "20,30,40").mode("overwrite").save(path)
+    with pytest.raises(Exception, match="were written"):
+        chunked.unionByName(chunked).write.format("omezarr").option("shape", "20,30,40").mode("overwrite").save(path)
+    with pytest.raises(Exception, match="were written"):
+        chunked.where("z0 = 0").write.format("omezarr").option("shape", "20,30,40").option("missing", "error").mode("overwrite").save(path)
+    after = sorted((p.relative_to(tmp_path), p.read_bytes()) for p in tmp_path.rglob("*") if p.is_file())
+    assert before == after  # the group is as it was, and nothing stays beside it
+    chunked.where("z0 = 0").write.format("omezarr").options(shape="20,30,40", fill="5", name="w", pyramid_max="1").mode("overwrite").save(path)
+    want = array + 1
+    want[16:] = 5
+    assert (cube(spark.read.format("omezarr").load(path), shape) == want).all()
+    assert (cube(zarr.read_zarr(spark, path), shape) == want).all()
+    assert zarr.attributes(spark, path)["multiscales"][0]["name"] == "w" and not (tmp_path / "v.ome.zarr" / "1").exists()
+
+
+def test_empty_chunks_can_be_left_out(spark, tmp_path):
+    array = np.zeros((20, 8, 8), "<u2")
+    array[17, 3, 3] = 9
+    zarr_sink.write_zarr(planes_of(spark, array), str(tmp_path / "e.ome.zarr"), array.shape, "<u2", "e", 1, empty="skip")
+    assert sorted(p.name for p in (tmp_path / "e.ome.zarr" / "0").iterdir()) == [".zarray", "1.0.0"]
+    assert (cube(zarr.read_zarr(spark, str(tmp_path / "e.ome.zarr")), array.shape) == array).all()
+
+
+def test_export_formats(spark, tmp_path):
+    zarr_sink.write_zarr(blocks.synthetic_planes(spark, (2, 4, 4), 1), str(tmp_path / "in" / "a.ome.zarr"), (2, 4, 4), "<u2", "a", 1)
+    for wrong in (("foo",), (), ("ozx", "foo")):
+        with pytest.raises(ValueError, match="formats"):
+            pipeline.export(spark, str(tmp_path / "in"), str(tmp_path / "out"), wrong)
+    assert not (tmp_path / "out").exists()
+    got = pipeline.export(spark, str(tmp_path / "in"), str(tmp_path / "out"), ("TIFF",))
+    assert [p.rsplit("/", 1)[1] for p in got] == ["a.ozx", names.MERGED_NAME]
