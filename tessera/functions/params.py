@@ -10,6 +10,7 @@ SWITCHES = {"1": True, "true": True, "yes": True, "on": True, "0": False, "false
 BACKENDS = {"": "cpu_blocked", "none": "cpu_blocked", "gpu": "gpu", "cuda": "gpu", "cpu": "cpu_blocked", "cpu_block": "cpu_blocked", "cpu_blocked": "cpu_blocked"}
 GEOMETRIES = ("top_view", "affine")
 OUTPUT_TYPES = {"uint16": (0, 65535), "float32": None}
+ARITHMETIC = ("float64", "float32")
 EXPORT_FORMATS = ("tiff", "ozx")
 UNSET_WORDS = ("", "-1", "-1.0")
 PYRAMID_FACTORS = (1, 2, 4, 8, 16)
@@ -61,6 +62,7 @@ class RunParams:
     affine_rotate: Any = True
     pyramid_max: int = 16
     export_formats: tuple[str, ...] = field(default=("ozx",))
+    arithmetic: str = "float64"
 
     def __post_init__(self) -> None:
         for name in ("dx", "dz"):
@@ -72,6 +74,8 @@ class RunParams:
             raise ValueError(f"output type must be one of {tuple(OUTPUT_TYPES)}")
         if self.output_type == "float32" and self.geometry != "affine":
             raise ValueError("float32 output needs the affine geometry")
+        if self.arithmetic not in ARITHMETIC:
+            raise ValueError(f"arithmetic must be one of {ARITHMETIC}")
         if self.pyramid_max not in PYRAMID_FACTORS:
             raise ValueError(f"pyramid_max must be one of {PYRAMID_FACTORS}")
         if bad := [f for f in self.export_formats if f.lower() not in EXPORT_FORMATS]:

@@ -38,12 +38,20 @@ def depth_map(spark: SparkSession, view: TopView) -> DataFrame:
     return spark.createDataFrame(rows, "z long, z0 long, z1 long, w double")
 
 
-def depth_resized(volume: DataFrame, view: TopView) -> DataFrame:
-    """Linear interpolation in depth: a weighted sum per output voxel, combined before the shuffle."""
+def depth_resized(volume: DataFrame, view: TopView, antialias: bool = False) -> DataFrame:
+    """Linear interpolation in depth: a weighted sum per output voxel, combined before the shuffle.
+
+    ``antialias``: where depth shrinks, over all source planes under a triangle as wide as the
+    output's spacing, mirrored at the ends; the tap table is still bounded by the source's depth.
+    """
+    source = volume.withColumnRenamed("z", "sz")
+    if antialias:
+        rows = [(k, p, w) for k in range(view.scaled_z) for p, w in view.smoothed_depth(k)]
+        wide = volume.sparkSession.createDataFrame(rows, "z long, sz long, c double")
+        return source.join(F.broadcast(wide), "sz").groupBy("z", "y", "x").agg(F.sum(F.col("c") * F.col("v")).alias("v"))
     taps = depth_map(volume.sparkSession, view)
     both = taps.select("z", F.explode(F.array(F.struct(F.col("z0").alias("sz"), (1 - F.col("w")).alias("c")), F.struct(F.col("z1").alias("sz"), F.col("w").alias("c")))).alias("t"))
     both = both.groupBy("z", F.col("t.sz").alias("sz")).agg(F.sum("t.c").alias("c"))
-    source = volume.withColumnRenamed("z", "sz")
     return source.join(F.broadcast(both), "sz").groupBy("z", "y", "x").agg(F.sum(F.col("c") * F.col("v")).alias("v"))
 
 
@@ -84,23 +92,44 @@ def _taps(at: str) -> F.Column:
     return F.array(F.struct(low.cast("long").alias("i"), (1 - rest).alias("w")), F.struct((low + 1).cast("long").alias("i"), rest.alias("w")))
 
 
-def top_view_volume(volume: DataFrame, view: TopView, rounding: str = "half_even", bypass_single: bool = False) -> DataFrame:
+def _summed(volume: DataFrame, view: TopView) -> DataFrame:
+    """The interpolated frame (z, sy, sx, v): the weighted sum of at most three source planes, in double precision."""
+    taps = volume.sparkSession.createDataFrame(view.taps(), "z long, sz long, shift long, c double")
+    moved = volume.withColumnRenamed("z", "sz").join(F.broadcast(taps), "sz")
+    return moved.groupBy("z", (F.col("y") + F.col("shift")).alias("sy"), F.col("x").alias("sx")).agg(F.sum(F.col("c") * F.col("v")).alias("v"))
+
+
+def _summed_single(volume: DataFrame, view: TopView) -> DataFrame:
+    """The same in single precision, step by step: means of neighbours first, then their weighted sum; one shuffle as well."""
+    taps = volume.sparkSession.createDataFrame(view.single_taps(), "z long, sz long, place int, shift long, first double, second double")
+    moved = volume.withColumnRenamed("z", "sz").join(F.broadcast(taps), "sz")
+    planes = [F.coalesce(F.max(F.when(F.col("place") == i, F.col("v").cast("float"))), F.lit(0.0).cast("float")).alias(f"v{i}") for i in range(3)]
+    found = moved.groupBy("z", (F.col("y") + F.col("shift")).alias("sy"), F.col("x").alias("sx"), "first", "second").agg(F.max(F.col("sz") - F.col("place")).alias("low"), *planes)
+    v0, v1, v2, half = F.col("v0"), F.col("v1"), F.col("v2"), F.lit(0.5).cast("float")
+    last = view.z - 1
+    here = F.when(F.col("low") == last, v0).otherwise(half * (v0 + v1))
+    deeper = F.when(F.col("low") == last, v0).when(F.col("low") == last - 1, v1).otherwise(half * (v1 + v2))
+    return found.select("z", "sy", "sx", (F.col("first").cast("float") * here + F.col("second").cast("float") * deeper).cast("double").alias("v"))
+
+
+def top_view_volume(volume: DataFrame, view: TopView, rounding: str = "half_even", bypass_single: bool = False, arithmetic: str = "float64") -> DataFrame:
     """Fused top view: neighbour mean, depth interpolation and shear in one aggregate, then the rotation as a gather.
 
     The taps of all output planes (at most three source planes each) are one
     small table, bounded by the depth, and are broadcast; their weighted sums combine before
     the only shuffle of voxels. The result is dense: voxels without a source are 0.
-    ``bypass_single``: a volume of one plane passes as it is.
+    ``bypass_single``: a volume of one plane passes as it is. ``arithmetic``: ``float64``, snapped to a
+    millionth, or ``float32``, in which near-ties round as single precision has them.
     """
     if bypass_single and view.z == 1:
         return volume
     spark = volume.sparkSession
-    taps = spark.createDataFrame(view.taps(), "z long, sz long, shift long, c double")
-    moved = volume.withColumnRenamed("z", "sz").join(F.broadcast(taps), "sz")
-    summed = moved.groupBy("z", (F.col("y") + F.col("shift")).alias("sy"), F.col("x").alias("sx")).agg(F.sum(F.col("c") * F.col("v")).alias("v"))
+    single = arithmetic == "float32"
+    summed = _summed_single(volume, view) if single else _summed(volume, view)
     cells = rotation_lookup(spark, view).crossJoin(F.broadcast(spark.range(view.scaled_z).withColumnRenamed("id", "z")))
     found = cells.join(summed, ["z", "sy", "sx"], "left")
-    return found.select("z", "y", "x", to_range(snapped(F.coalesce("v", F.lit(0.0))), rounding).alias("v"))
+    value = F.coalesce("v", F.lit(0.0))
+    return found.select("z", "y", "x", to_range(value if single else snapped(value), rounding).alias("v"))
 
 
 def affine_volume(volume: DataFrame, geometry: Affine, output_type: str = "float32") -> DataFrame:

@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import exprs, geometry, names, params
-from tessera.operators import compare, project, resample
+from tessera.operators import block_resample, compare, project, resample
 from tessera.session import ship
-from tessera.sources import tables
+from tessera.sources import blocks, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -291,6 +291,47 @@ def plane_rotate_bilinear(spark, sf_dir):
     return resample.rotated_bilinear(page, view).select("y", "x", exprs.micro(F.col("v")).alias("v_micro"))
 
 
+SMOOTHED = (
+    "near AS (SELECT k.range AS z, i.range AS i, (k.range + 0.5::DOUBLE) * nz / sz - 0.5::DOUBLE AS c, greatest(nz::DOUBLE / sz, 1.0) AS step, nz FROM frame, range((SELECT sz FROM frame)) k, range(-4 - (SELECT nz FROM frame), 2 * (SELECT nz FROM frame) + 4) i), "
+    "tri AS (SELECT z, ((i % (2 * nz)) + 2 * nz) % (2 * nz) AS turn, nz, greatest(0.0, 1 - abs(i - c) / step) AS w FROM near WHERE abs(i - c) < step), "
+    "wide AS (SELECT z, CASE WHEN turn < nz THEN turn ELSE 2 * nz - 1 - turn END AS p, w / sum(w) OVER (PARTITION BY z) AS c FROM tri)"
+)
+
+
+@query(f"WITH {VE}, {SIZE}, {shear_sql()}, {SMOOTHED} SELECT wide.z, y, x, {micro_sql('sum(c * v)')} AS v_micro FROM wide JOIN ve ON ve.z = p GROUP BY wide.z, y, x")
+def depth_resample_antialiased(spark, sf_dir):
+    """The older depth resize: where depth shrinks, a triangle as wide as the output's spacing."""
+    found = resample.depth_resized(tables.embedding_volume(spark, sf_dir), view_of(spark, sf_dir), antialias=True)
+    return found.select("z", "y", "x", exprs.micro(F.col("v")).alias("v_micro"))
+
+
+def single_sql() -> str:
+    """Top view in FLOAT: weights, means and sums are each rounded to single precision."""
+    return (
+        f"WITH {VE}, {SIZE}, {shear_sql()}, {lookup_sql()}, {DEPTH}, "
+        "moved AS (SELECT z, y + o + (SELECT m FROM frame) AS ry, x AS rx, v::FLOAT AS v FROM ve JOIN off USING (z)), "
+        "twice AS (SELECT z AS p, ry, rx, v FROM moved UNION ALL SELECT z - 1, ry, rx, v FROM moved WHERE z > 0), "
+        "mean AS (SELECT p, ry, rx, (CASE WHEN p = (SELECT max(z) FROM ve) THEN sum(v) ELSE sum(v) * 0.5::DOUBLE END)::FLOAT AS m FROM twice GROUP BY p, ry, rx), "
+        "share AS (SELECT z, z0 AS p, (1.0::DOUBLE - w::FLOAT::DOUBLE)::FLOAT AS c FROM depth UNION ALL SELECT z, z1, w::FLOAT FROM depth), "
+        "summed AS (SELECT s.z, ry, rx, sum(((c::DOUBLE * m::DOUBLE)::FLOAT)::DOUBLE)::FLOAT AS s FROM share s JOIN mean USING (p) GROUP BY ALL), "
+        "cells AS (SELECT d.z, y, x, ry, rx FROM look, depth d) "
+        "SELECT z, y, x, least(greatest(round_even(coalesce(s, 0.0)::DOUBLE, 0), 0.0), 65535.0)::DOUBLE AS v FROM cells LEFT JOIN summed USING (z, ry, rx)"
+    )
+
+
+@query(single_sql())
+def topview_float32(spark, sf_dir):
+    return resample.top_view_volume(tables.embedding_volume(spark, sf_dir), view_of(spark, sf_dir), arithmetic="float32")
+
+
+@query(single_sql())
+def topview_float32_blocks(spark, sf_dir):
+    """The same from planes, as the batch pipeline runs it."""
+    shape = tables.embedding_shape(spark, sf_dir)
+    planes = blocks.from_voxels(tables.embedding_volume(spark, sf_dir), shape, (1, *shape[1:]))
+    return blocks.to_voxels(block_resample.top_view_planes(planes, view_of(spark, sf_dir), arithmetic="float32").drop("k"))
+
+
 @query(top_view_sql("half_even"))
 def topview(spark, sf_dir):
     return resample.top_view_volume(tables.embedding_volume(spark, sf_dir), view_of(spark, sf_dir))

@@ -52,19 +52,19 @@ def resample(spark: SparkSession, source: str, folder: str, params: RunParams) -
     ship(spark)
     volume = discover.read(spark, source)
     shape = discover.shape(spark, source)
-    planes = blocks.planes(volume, shape)
     name = Path(source).name
     is_zarr = name.lower().endswith(".ome.zarr")
     stem = name[:-9] if is_zarr else Path(name).stem
     record, dtype = None, "<u2"
     if params.geometry == "affine":
         record = geometry.affine(shape, params.dx, params.dz, params.angle, params.flip, params.affine_rotate)
-        slabs = block_resample.affine_blocks(planes, record, params.output_type)
+        slabs = block_resample.affine_blocks(volume, record, params.output_type)
         out, size = slabs, record.shape
         dtype = "<f4" if params.output_type == "float32" else "<u2"
     else:
+        planes = blocks.planes(volume, shape)
         view = geometry.top_view(shape, params.dx, params.dz, params.angle, params.flip)
-        out, size = block_resample.top_view_planes(planes, view, params.rounding).drop("k"), view.shape
+        out, size = block_resample.top_view_planes(planes, view, params.rounding, params.arithmetic).drop("k"), view.shape
     Path(folder).mkdir(parents=True, exist_ok=True)
     if is_zarr or record is not None:
         target = str(Path(folder) / f"{stem}.ome.zarr")
@@ -199,6 +199,7 @@ def main(argv: list[str] | None = None) -> int:
     runs.add_argument("--affine-rotate", default="true")
     runs.add_argument("--pyramid-max", type=int, default=16)
     runs.add_argument("--formats", default="ozx")
+    runs.add_argument("--arithmetic", default="float64")
     runs.add_argument("--cell-name", help="sub-folder of the one input, a folder")
     normal = parts.add_parser("normalise", help="bring everything a reader takes in a folder to Zarr groups")
     merged = parts.add_parser("export", help="archives and a merged TIFF of a folder's volumes")
@@ -220,7 +221,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("tessera").getOrCreate()
     try:
         if args.command == "run":
-            params = RunParams(args.dx, args.dz, args.angle, args.flip, args.geometry, args.backend, args.output_type, args.affine_rotate, args.pyramid_max, tuple(args.formats.split(",")))
+            params = RunParams(args.dx, args.dz, args.angle, args.flip, args.geometry, args.backend, args.output_type, args.affine_rotate, args.pyramid_max, tuple(args.formats.split(",")), args.arithmetic)
             if args.cell_name or len(args.inputs) == 1 and names.is_plain_folder(args.inputs[0]):
                 found = run_folder(spark, args.inputs[0], args.output, params, args.cell_name)
             else:

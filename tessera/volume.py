@@ -48,7 +48,7 @@ class Volume:
 
     def top_view(self, params: RunParams) -> Volume:
         view = geometry.top_view(self.shape, params.dx, params.dz, params.angle, params.flip)
-        return self._with(resample.top_view_volume(self.voxels, view, params.rounding), view.shape)
+        return self._with(resample.top_view_volume(self.voxels, view, params.rounding, arithmetic=params.arithmetic), view.shape)
 
     def affine(self, params: RunParams) -> Volume:
         record = geometry.affine(self.shape, params.dx, params.dz, params.angle, params.flip, params.affine_rotate)

@@ -128,3 +128,86 @@ def test_planes_and_voxels_round_trip(spark):
     assert whole.count() == 5 and (cube(blocks.to_voxels(whole), shape) == cube(volume, shape)).all()
     strided = block_resample.pyramid_planes(whole, [1, 2])
     assert (cube(blocks.to_voxels(strided.where("level = 1")), (5, 4, 3)) == cube(volume, shape)[:, ::2, ::2]).all()
+
+
+def single_top_view(v, view):
+    """Single precision with numpy's own float32, voxel by voxel in the published order."""
+    frame = np.zeros((view.z, view.shear_y, view.x), np.float32)
+    for z, o in enumerate(view.offsets):
+        frame[z, o + view.margin : o + view.margin + view.y] = v[z]
+    half = np.float32(0.5)
+    mean = [frame[z] if z == view.z - 1 else half * (frame[z] + frame[z + 1]) for z in range(view.z)]
+    out = []
+    for k in range(view.scaled_z):
+        low, high, w = view.depth(k)
+        w = np.float32(w)
+        out.append(np.float32(1.0 - float(w)) * mean[low] + w * mean[high])
+    t = np.array(out)
+    cy, cx = (view.shear_y - 1) / 2.0, (view.x - 1) / 2.0
+    yy, xx = np.arange(view.shear_y)[:, None] - cy, np.arange(view.x)[None] - cx
+    sy, sx = np.rint(view.cos * yy - view.sin * xx + cy).astype(int), np.rint(view.sin * yy + view.cos * xx + cx).astype(int)
+    inside = (sy >= 0) & (sy < view.shear_y) & (sx >= 0) & (sx < view.x)
+    return np.clip(np.rint(np.where(inside, t[:, np.clip(sy, 0, view.shear_y - 1), np.clip(sx, 0, view.x - 1)], np.float32(0))), 0, 65535)
+
+
+@pytest.mark.parametrize(("shape", "dx", "dz", "angle", "flip", "total"), [((8, 16, 12), 0.168, 0.2, 45, 1, 36_414_892), ((9, 14, 10), 0.108, 0.3, 40, -1, None), ((1, 5, 4), 1, 1, 30, 1, None), ((2, 5, 4), 1, 2, 60, 1, None)])
+def test_single_precision(spark, shape, dx, dz, angle, flip, total):
+    view = g.top_view(shape, dx, dz, angle, flip)
+    volume = tables.synthetic_volume(spark, shape)
+    want = single_top_view(cube(volume, shape), view)
+    voxels = cube(resample.top_view_volume(volume, view, arithmetic="float32"), view.shape)
+    assert (voxels == want).all() and total in (None, int(voxels.sum()))
+    packed = blocks.synthetic_planes(spark, shape, 3)
+    assert (cube(blocks.to_voxels(block_resample.top_view_planes(packed, view, arithmetic="float32").drop("k")), view.shape) == want).all()
+
+
+@pytest.mark.parametrize(("z", "scaled"), [(10, 4), (9, 8), (7, 1), (5, 5), (4, 9), (1, 3), (2, 1)])
+def test_antialiased_depth(spark, z, scaled):
+    view = g.TopView(z, 2, 3, (0,) * z, 0, 2, scaled, 1.0, 0.0)
+    volume = tables.synthetic_volume(spark, (z, 2, 3))
+    got = cube(resample.depth_resized(volume, view, antialias=True), (scaled, 2, 3))
+    v = cube(volume, (z, 2, 3))
+    ratio = scaled / z
+    for k in range(scaled):
+        # the kernel by its published form, over the mirrored axis
+        u = (k + 1) / ratio + 0.5 * (1 - 1 / ratio)
+        shrink = min(ratio, 1.0)
+        taps = [(i, shrink * max(0.0, 1 - abs(shrink * (u - i)))) for i in range(math.floor(u - 2 / shrink) - 1, math.ceil(u + 2 / shrink) + 2)]
+        mirrored = [*range(z), *reversed(range(z))]
+        want = sum(w * v[mirrored[(i - 1) % (2 * z)]] for i, w in taps) / sum(w for _, w in taps)
+        assert np.allclose(got[k], want, rtol=1e-12)
+    if scaled >= z:
+        assert np.allclose(got, cube(resample.depth_resized(volume, view), got.shape), rtol=1e-12)
+
+
+def test_tiles_over_a_block_are_those_that_need_it():
+    for shape, dx, dz, angle, flip, rotate in (((8, 16, 12), 0.168, 0.2, 45, 1, True), ((7, 10, 16), 0.108, 0.3, 40, -1, True), ((9, 12, 5), 0.2, 0.5, 30, 1, False), ((4, 6, 5), 1, 1, 0, 1, True)):
+        a, tile = g.affine(shape, dx, dz, angle, flip, rotate), (3, 4, 5)
+        keys = list(np.ndindex(*block_resample.tile_counts(a, tile)))
+        boxes = {k: block_resample.source_box(a, block_resample.tile_ranges(a, tile, k)) for k in keys}
+        for at in np.ndindex(shape[0], 3, 2):
+            at = (at[0], at[1] * 4, at[2] * 3)
+            size = tuple(min(s, n - p) for s, n, p in zip((1, 4, 3), shape, at, strict=True))
+            if min(size) < 1:
+                continue
+            found = set(block_resample.tiles_over(a, tile, at, size))
+            # every tile with a voxel whose taps reach the block
+            need = set()
+            for k in keys:
+                own = block_resample.tile_ranges(a, tile, k)
+                grid = np.stack(np.meshgrid(*own, indexing="ij"), -1).reshape(-1, 3)
+                f = np.stack([grid @ np.array(row[:3]) + row[3] for row in a.to_source()], -1)
+                low = np.floor(f)
+                weight = lambda d: np.where(np.array(d) == 1, f - low, 1 - (f - low)).min(1) > 1e-9  # noqa: E731, B023
+                if any((weight(d) & ((low + d >= at) & (low + d < np.add(at, size))).all(1)).any() for d in np.ndindex(2, 2, 2)):
+                    need.add(k)
+            assert need <= found
+            assert all(lo < hi for k in need for lo, hi in [(max(b[0], p), min(b[1], p + n)) for b, p, n in zip(boxes[k], at, size, strict=True)])
+
+
+def test_a_block_looks_at_its_own_tiles_only():
+    """The largest geometry in use: a plane's part meets few of thousands of tiles."""
+    a = g.affine((500, 2024, 128), 0.108, 0.3, 45)
+    counts = block_resample.tile_counts(a, (64, 256, 64))
+    seen = [len(list(block_resample.tiles_over(a, (64, 256, 64), (z, y, 0), (1, 256, 128)))) for z in (0, 250, 499) for y in (0, 768, 1792)]
+    assert max(seen) <= 60 and math.prod(counts) > 200
