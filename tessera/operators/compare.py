@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,79 +76,139 @@ def profiles(pairs: DataFrame) -> DataFrame:
 
 
 def gaussian(x: np.ndarray, p: np.ndarray) -> np.ndarray:
-    """amplitude * exp(-(x - centre)^2 / (2 sigma^2)) + base, for p = amplitude, centre, sigma, base."""
-    return p[0] * np.exp(-((x - p[1]) ** 2) / (2 * p[2] ** 2)) + p[3]
+    """amplitude * exp(-(x - centre)^2 / (2 sigma^2)) + base, for p = amplitude, centre, sigma, base; one line or many (rows)."""
+    a, centre, sigma, base = np.moveaxis(np.asarray(p)[..., None], -2, 0)
+    return a * np.exp(-((x - centre) ** 2) / (2 * sigma**2)) + base
 
 
 def _slopes(x: np.ndarray, p: np.ndarray) -> np.ndarray:
-    d = x - p[1]
-    e = np.exp(-(d**2) / (2 * p[2] ** 2))
-    return np.stack([e, p[0] * e * d / p[2] ** 2, p[0] * e * d**2 / p[2] ** 3, np.ones_like(x)], axis=1)
-
-
-def levenberg_marquardt(x: np.ndarray, y: np.ndarray, start: np.ndarray, most: int = 2000) -> np.ndarray | None:
-    """Least-squares Gaussian by damped Gauss-Newton steps; None where it doesn't settle."""
-    p, damp = start.astype(float), 1e-3
-    miss = y - gaussian(x, p)
-    loss = float(miss @ miss)
-    for _ in range(most):
-        j = _slopes(x, p)
-        a, g = j.T @ j, j.T @ miss
-        scale = np.diag(a) + 1e-12
-        try:
-            step = np.linalg.solve(a + np.diag(damp * scale), g)
-        except np.linalg.LinAlgError:
-            return None
-        new = p + step
-        if new[2] == 0 or not np.isfinite(new).all():
-            damp *= 10
-        else:
-            left = y - gaussian(x, new)
-            new_loss = float(left @ left)
-            if new_loss <= loss:
-                small = loss - new_loss <= 1e-15 * max(loss, 1e-300) and np.abs(step).max() <= 1e-10 * (np.abs(p).max() + 1e-10)
-                p, miss, loss, damp = new, left, new_loss, max(damp / 10, 1e-14)
-                if small or loss == 0:
-                    return p
-                continue
-            damp *= 10
-        if damp > 1e14:
-            return p
-    return None
+    a, centre, sigma, _ = np.moveaxis(p[..., None], -2, 0)
+    d = x - centre
+    e = np.exp(-(d**2) / (2 * sigma**2))
+    return np.stack([e, a * e * d / sigma**2, a * e * d**2 / sigma**3, np.ones_like(e)], axis=-1)
 
 
-def fit_profile(x: np.ndarray, y: np.ndarray, pixel: float = 1.0) -> dict[str, float]:
-    """Gaussian through a line: count, fwhm, amplitude, x_offset, sigma, y_offset, r2; NaN under four points.
+def _steps(a: np.ndarray, g: np.ndarray) -> np.ndarray:
+    """Solutions of many small systems; NaN where one is singular."""
+    try:
+        return np.linalg.solve(a, g[..., None])[..., 0]
+    except np.linalg.LinAlgError:
+        if len(a) == 1:
+            return np.full(g.shape, NAN)
+        return np.concatenate([_steps(a[k : k + 1], g[k : k + 1]) for k in range(len(a))])
+
+
+def levenberg_marquardt(x: np.ndarray, y: np.ndarray, known: np.ndarray, start: np.ndarray, most: int = 2000) -> np.ndarray:
+    """Least-squares Gaussians of many lines (rows) at once by damped Gauss-Newton steps; NaN where one doesn't settle.
+
+    Every line has its own damping and leaves when it has settled. Points that aren't ``known`` have no weight.
+    """
+    out = np.full(start.shape, NAN)
+    line = np.arange(len(x))
+    p, damp = start.astype(float), np.full(len(x), 1e-3)
+    with np.errstate(all="ignore"):
+        miss = np.where(known, y - gaussian(x, p), 0.0)
+        loss = (miss**2).sum(axis=1)
+        for _ in range(most):
+            if not len(line):
+                break
+            j = np.where(known[..., None], _slopes(x, p), 0.0)
+            a, g = np.einsum("nmi,nmj->nij", j, j), np.einsum("nmi,nm->ni", j, miss)
+            scale = np.einsum("nii->ni", a) + 1e-12
+            step = _steps(a + np.eye(4) * (damp[:, None] * scale)[:, None, :], g)
+            singular = np.isnan(step).all(axis=1)
+            new = p + step
+            left = np.where(known, y - gaussian(x, new), 0.0)
+            new_loss = (left**2).sum(axis=1)
+            better = (new[:, 2] != 0) & np.isfinite(new).all(axis=1) & (new_loss <= loss)
+            small = (loss - new_loss <= 1e-15 * np.maximum(loss, 1e-300)) & (np.abs(step).max(axis=1) <= 1e-10 * (np.abs(p).max(axis=1) + 1e-10))
+            settled = better & (small | (new_loss == 0))
+            p, miss, loss = np.where(better[:, None], new, p), np.where(better[:, None], left, miss), np.where(better, new_loss, loss)
+            damp = np.where(better, np.maximum(damp / 10, 1e-14), damp * 10)
+            settled |= ~better & ~singular & (damp > 1e14)
+            out[line[settled]] = p[settled]
+            stay = ~settled & ~singular
+            line, x, y, known, p, miss, loss, damp = (v[stay] for v in (line, x, y, known, p, miss, loss, damp))
+    return out
+
+
+NAMES = ("amplitude", "x_offset", "sigma", "y_offset")
+
+
+def fit_profiles(lines: list[tuple[np.ndarray, np.ndarray]], pixel: float = 1.0) -> list[dict[str, float]]:
+    """Gaussians through lines (x, y): count, fwhm, amplitude, x_offset, sigma, y_offset, r2; NaN under four points.
 
     Starts at the range, the index of the maximum, sigma 3 and the minimum. Sigma keeps its sign.
     """
-    known = np.isfinite(x) & np.isfinite(y)
-    x, y = x[known], y[known]
-    names = ("amplitude", "x_offset", "sigma", "y_offset")
-    out = {"count": len(x), "fwhm": NAN, **dict.fromkeys(names, NAN), "r2": NAN}
-    if len(x) < 4:
-        return out
-    p = levenberg_marquardt(x, y, np.array([y.max() - y.min(), float(np.argmax(y)), 3.0, y.min()]))
-    if p is None:
+    known = [np.isfinite(x) & np.isfinite(y) for x, y in lines]
+    lines = [(x[k], y[k]) for (x, y), k in zip(lines, known, strict=True)]
+    out = [{"count": len(x), "fwhm": NAN, **dict.fromkeys(NAMES, NAN), "r2": NAN} for x, _ in lines]
+    long = [i for i, (x, _) in enumerate(lines) if len(x) >= 4]
+    if not long:
         return out
-    rest, total = ((y - gaussian(x, p)) ** 2).sum(), ((y - y.mean()) ** 2).sum()
-    r2 = (1.0 if np.allclose(y, gaussian(x, p)) else NAN) if total == 0 else 1 - rest / total
-    return out | dict(zip(names, map(float, p), strict=True)) | {"fwhm": FWHM * float(p[2]) * pixel, "r2": float(r2)}
+    width = max(len(lines[i][0]) for i in long)
+    x, y, some = np.zeros((len(long), width)), np.zeros((len(long), width)), np.zeros((len(long), width), bool)
+    for row, i in enumerate(long):
+        n = len(lines[i][0])
+        x[row, :n], y[row, :n], some[row, :n] = *lines[i], True
+    start = np.array([[lines[i][1].max() - lines[i][1].min(), float(np.argmax(lines[i][1])), 3.0, lines[i][1].min()] for i in long])
+    for i, p in zip(long, levenberg_marquardt(x, y, some, start), strict=True):
+        if np.isnan(p).any():
+            continue
+        own, values = lines[i]
+        rest, total = ((values - gaussian(own, p)) ** 2).sum(), ((values - values.mean()) ** 2).sum()
+        r2 = (1.0 if np.allclose(values, gaussian(own, p)) else NAN) if total == 0 else 1 - rest / total
+        out[i] |= dict(zip(NAMES, map(float, p), strict=True)) | {"fwhm": FWHM * float(p[2]) * pixel, "r2": float(r2)}
+    return out
+
+
+def fit_profile(x: np.ndarray, y: np.ndarray, pixel: float = 1.0) -> dict[str, float]:
+    """``fit_profiles`` of one line."""
+    return fit_profiles([(np.asarray(x, float), np.asarray(y, float))], pixel)[0]
 
 
 FIT = "count long, fwhm double, amplitude double, x_offset double, sigma double, y_offset double, r2 double"
+#: Values of lines that are fitted together.
+FIT_VALUES = 1 << 18
 
 
 def fit_lines(lines: DataFrame, keys: list[str], pixel: float = 1.0, position: str = "pos", value: str = "v") -> DataFrame:
-    """Fit every group's line; groups are single image lines, so each fits a worker."""
+    """Fit every group's line, many lines at a time; a group is one image line, gathered to an array."""
     kinds = dict(lines.dtypes)
+    points = F.sort_array(F.collect_list(F.struct(F.col(position).cast("double").alias("x"), F.col(value).cast("double").alias("y"))))
+    gathered = lines.groupBy(*keys).agg(points.alias("_line")).select(*keys, F.col("_line.x").alias("_x"), F.col("_line.y").alias("_y"))
+    names = [c.split()[0] for c in FIT.split(", ")]
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = np.cumsum(batch.column(len(keys)).value_lengths().to_numpy()) // FIT_VALUES
+            for run in np.split(np.arange(batch.num_rows), np.flatnonzero(np.diff(sizes)) + 1):
+                part = batch.slice(run[0], len(run)) if len(run) else batch
+                xs, ys = (part.column(len(keys) + k) for k in (0, 1))
+                found = fit_profiles([tuple(v.values.fill_null(NAN).to_numpy() for v in pair) for pair in zip(xs, ys, strict=True)], pixel)
+                values = [pa.array([f[n] for f in found], pa.int64() if n == "count" else pa.float64()) for n in names]
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(keys)], *values], names=[*keys, *names])
 
-    def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(position)
-        found = fit_profile(rows[position].to_numpy(float), rows[value].to_numpy(float), pixel)
-        return pd.DataFrame([{**{k: rows[k].iloc[0] for k in keys}, **found}])
+    return gathered.mapInArrow(fit, ", ".join(f"{k} {kinds[k]}" for k in keys) + ", " + FIT)
 
-    return lines.groupBy(*keys).applyInPandas(fit, ", ".join(f"{k} {kinds[k]}" for k in keys) + ", " + FIT)
+
+def stationary(lines: DataFrame, fits: DataFrame, keys: list[str], position: str = "pos", value: str = "v", tolerance: float = 1e-5) -> DataFrame:
+    """Whether the squared error's gradient is zero at each fit, in columns only: ``keys``, ``count``, ``stationary``.
+
+    Every partial derivative is measured against the lengths of the residual and of the slope, so the
+    test has no unit. Lines without a fit (under four points, or unsettled) have null.
+    """
+    d = F.col(position) - F.col("x_offset")
+    e = F.exp(-d * d / (2 * F.col("sigma") * F.col("sigma")))
+    miss = F.col(value) - (F.col("amplitude") * e + F.col("y_offset"))
+    slopes = [e, F.col("amplitude") * e * d / F.pow("sigma", F.lit(2)), F.col("amplitude") * e * d * d / F.pow("sigma", F.lit(3)), F.lit(1.0)]
+    known = lines.where(finite(F.col(value))).join(fits.select(*keys, "count", *NAMES), keys)
+    sums = [F.sum(miss * s).alias(f"g{i}") for i, s in enumerate(slopes)] + [F.sum(s * s).alias(f"a{i}") for i, s in enumerate(slopes)]
+    summed = known.groupBy(*keys, "count").agg(*sums, F.sum(miss * miss).alias("rest"), F.sum(F.col(value) * F.col(value)).alias("all"), F.first("sigma").alias("sigma"))
+    floor = 1e-20 * F.col("all")  # an exact fit leaves only rounding
+    flat = [F.col(f"g{i}") * F.col(f"g{i}") <= tolerance**2 * F.col(f"a{i}") * F.greatest("rest", floor) + F.lit(1e-300) for i in range(4)]
+    met = flat[0] & flat[1] & flat[2] & flat[3]
+    return summed.select(*keys, "count", F.when(~F.isnan("sigma"), met).alias("stationary"))
 
 
 @dataclass(frozen=True)

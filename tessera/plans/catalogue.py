@@ -525,6 +525,15 @@ def profile_fit(spark, sf_dir):
     return compare.fit_lines(lines.withColumn("v", F.col("r")), ["z", "axis"], DX)
 
 
+@query(f"WITH {VE}, {VC}, {_BOTH}, {_LINES_SQL} SELECT z, axis, count(*) AS count, true AS stationary FROM line GROUP BY z, axis")
+def profile_fit_stationary(spark, sf_dir):
+    """Fits of peaks over the table's values are least-squares fits: the squared error has no slope there."""
+    lines = compare.profiles(compare.paired(*_both(spark, sf_dir)))
+    away = F.col("pos") - F.when(F.col("axis") == "x", 32).otherwise(12)
+    lines = lines.withColumn("v", 100 * F.exp(-away * away / 32) + F.col("r") % 7)
+    return compare.stationary(lines, compare.fit_lines(lines, ["z", "axis"], DX), ["z", "axis"])
+
+
 @query("SELECT s.size, (CASE WHEN s.count >= s.size THEN k.range ELSE round_even(k.range * ((s.size - 1)::DOUBLE / (s.count - 1)), 0)::BIGINT END) AS index FROM (VALUES (10, 4), (500, 32), (3, 7)) s(size, count), range(32) k WHERE k.range < least(s.size, s.count)")
 def sample_pages(spark, sf_dir):
     rows = [(size, i) for size, count in ((10, 4), (500, 32), (3, 7)) for i in geometry.sample_indices(size, count)]

@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.functions.exprs import FWHM
 from tessera.operators import compare
@@ -57,3 +58,29 @@ def test_full_comparison(spark):
 
 def test_json_safe():
     assert compare.json_safe({"a": (1, float("nan")), 2: [np.float64("inf"), np.int64(3)]}) == {"a": [1, None], "2": [None, 3]}
+
+
+def test_many_fits_equal_single_ones_and_are_stationary(spark):
+    draw = np.random.default_rng(2)
+    lines = []
+    for k in range(60):
+        n = int(draw.integers(2, 60))
+        x = np.arange(n, dtype=float)
+        y = compare.gaussian(x, np.array([draw.uniform(-5, 50), draw.uniform(0, n), draw.uniform(1, 5), draw.uniform(-3, 3)])) + draw.normal(0, draw.choice([0, 0.1, 2]), n)
+        if k % 7 == 0:
+            y[0] = np.nan
+        lines.append((x, y))
+    lines += [(np.arange(9.0), np.full(9, 4.0)), (np.arange(0.0), np.arange(0.0))]
+    together = compare.fit_profiles(lines, 0.5)
+    for line, found in zip(lines, together, strict=True):
+        alone = compare.fit_profile(*line, 0.5)
+        assert found["count"] == alone["count"]
+        assert all(found[k] == pytest.approx(alone[k], rel=1e-6, abs=1e-6, nan_ok=True) for k in found)
+    rows = [(k, float(x), None if np.isnan(y) else float(y)) for k, (xs, ys) in enumerate(lines) for x, y in zip(xs, ys, strict=True)]
+    table = spark.createDataFrame(rows, "k int, pos double, v double")
+    fits = compare.fit_lines(table, ["k"])
+    assert {r["k"]: r["count"] for r in fits.collect()} == {k: f["count"] for k, f in enumerate(together) if len(lines[k][0])}
+    checked = {r["k"]: r["stationary"] for r in compare.stationary(table, fits, ["k"]).collect()}
+    assert all(checked[k] is True for k, f in enumerate(together) if not np.isnan(f["sigma"]) and k in checked)
+    moved = compare.stationary(table, fits.withColumn("sigma", F.col("sigma") * 1.01), ["k"]).where("stationary").count()
+    assert moved < 10
