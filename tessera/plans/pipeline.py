@@ -15,7 +15,7 @@ from tessera.functions import geometry, names
 from tessera.functions.params import EXPORT_FORMATS, RunParams, index_triple
 from tessera.operators import block_resample, compare
 from tessera.session import ship
-from tessera.sinks import archive, tiff
+from tessera.sinks import archive, publish, tiff
 from tessera.sinks import zarr as zarr_sink
 from tessera.sources import blocks, discover
 from tessera.sources import zarr as zarr_source
@@ -111,21 +111,29 @@ def export(spark: SparkSession, folder: str, target: str, formats: tuple[str, ..
     return out
 
 
-def run_folder(spark: SparkSession, image_path: str, folder: str, params: RunParams, cell_name: str | None = None) -> list[str]:
+def run_folder(spark: SparkSession, image_path: str, folder: str, params: RunParams, cell_name: str | None = None, keep_staged: bool = True) -> list[str]:
     """``run`` over the volumes of a folder, or of its sub-folder ``cell_name``, in name order."""
-    return run(spark, discover.volumes_in(spark, str(Path(image_path, cell_name or ""))), folder, params)
+    return run(spark, discover.volumes_in(spark, str(Path(image_path, cell_name or ""))), folder, params, keep_staged)
 
 
-def run(spark: SparkSession, sources: list[str], folder: str, params: RunParams) -> list[str]:
-    """Stage, resample and export inputs; the staged name map is kept as a table."""
+def run(spark: SparkSession, sources: list[str], folder: str, params: RunParams, keep_staged: bool = True) -> list[str]:
+    """Stage, resample and export inputs; the staged name map is kept as a table.
+
+    All is made in a draft and published at the end with a manifest, so a run that breaks off leaves
+    the folder as it was. Returns the exported files; without ``keep_staged`` the staged groups go.
+    """
     if not sources:
         raise FileNotFoundError("there is no input")
-    staged = [stage(spark, s, f"{folder}/staged") for s in sources]
-    lines = ["staged_name\toriginal_name", *[f"{Path(t).name}\t{Path(s).name}" for s, t in zip(sources, staged, strict=True)]]
-    Path(folder, "name_map.tsv").write_text("\n".join(lines) + "\n")
-    for path in staged:
-        resample(spark, path, f"{folder}/resampled", params)
-    return export(spark, f"{folder}/resampled", f"{folder}/exported", params.export_formats)
+    with publish.draft_of(folder) as draft:
+        staged = [stage(spark, s, f"{draft}/staged") for s in sources]
+        lines = ["staged_name\toriginal_name", *[f"{Path(t).name}\t{Path(s).name}" for s, t in zip(sources, staged, strict=True)]]
+        (draft / "name_map.tsv").write_text("\n".join(lines) + "\n")
+        for path in staged:
+            resample(spark, path, f"{draft}/resampled", params)
+        exported = export(spark, f"{draft}/resampled", f"{draft}/exported", params.export_formats)
+        about = {"inputs": [Path(s).name for s in sources], "params": asdict(params)}
+        publish.publish(draft, folder, (*(["staged"] if keep_staged else []), "resampled", "exported", "name_map.tsv"), about)
+    return [str(Path(folder, "exported", Path(p).name)) for p in exported]
 
 
 def compare_files(spark: SparkSession, reference: str, candidate: str, level: str = "0", component: str | None = None, tpc: tuple[int, int, int] = (0, 0, 0), report: str | None = None, **options) -> dict:
@@ -200,6 +208,7 @@ def main(argv: list[str] | None = None) -> int:
     runs.add_argument("--pyramid-max", type=int, default=16)
     runs.add_argument("--formats", default="ozx")
     runs.add_argument("--arithmetic", default="float64")
+    runs.add_argument("--drop-staged", action="store_true", help="delete the staged groups once the results are published")
     runs.add_argument("--cell-name", help="sub-folder of the one input, a folder")
     normal = parts.add_parser("normalise", help="bring everything a reader takes in a folder to Zarr groups")
     merged = parts.add_parser("export", help="archives and a merged TIFF of a folder's volumes")
@@ -223,9 +232,9 @@ def main(argv: list[str] | None = None) -> int:
         if args.command == "run":
             params = RunParams(args.dx, args.dz, args.angle, args.flip, args.geometry, args.backend, args.output_type, args.affine_rotate, args.pyramid_max, tuple(args.formats.split(",")), args.arithmetic)
             if args.cell_name or len(args.inputs) == 1 and names.is_plain_folder(args.inputs[0]):
-                found = run_folder(spark, args.inputs[0], args.output, params, args.cell_name)
+                found = run_folder(spark, args.inputs[0], args.output, params, args.cell_name, not args.drop_staged)
             else:
-                found = run(spark, [names.resolved(p) for given in args.inputs for p in names.split_patterns(given)], args.output, params)
+                found = run(spark, [names.resolved(p) for given in args.inputs for p in names.split_patterns(given)], args.output, params, not args.drop_staged)
             print("\n".join(found))
         elif args.command == "normalise":
             print("\n".join(stage(spark, p, args.output) for p in discover.supported_inputs(spark, args.folder)))

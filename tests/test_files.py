@@ -473,3 +473,25 @@ def test_export_formats(spark, tmp_path):
     assert not (tmp_path / "out").exists()
     got = pipeline.export(spark, str(tmp_path / "in"), str(tmp_path / "out"), ("TIFF",))
     assert [p.rsplit("/", 1)[1] for p in got] == ["a.ozx", names.MERGED_NAME]
+
+
+def test_a_run_that_breaks_off_leaves_the_former_output(spark, tmp_path, monkeypatch):
+    source, folder = str(tmp_path / "scan.tif"), tmp_path / "run"
+    files = lambda: {str(p.relative_to(folder)): p.read_bytes() for p in folder.rglob("*") if p.is_file()}
+    tiff.write_pages(source, [(np.arange(20, dtype="u2") + 20 * k).reshape(5, 4) for k in range(3)])
+    pipeline.run(spark, [source], str(folder), RunParams(1, 1, 30))
+    before, manifest = files(), json.loads((folder / "manifest.json").read_text())
+    assert {"staged/scan.ome.zarr", "resampled/scan.ome.zarr", "exported/scan.ozx", "name_map.tsv"} <= set(manifest["items"]) and manifest["params"]["angle"] == 30
+    assert manifest["items"]["exported/scan.ozx"] == (folder / "exported/scan.ozx").stat().st_size
+    tiff.write_pages(source, [np.full((5, 4), 7, "u2")] * 4)
+    with monkeypatch.context() as broken:
+        broken.setattr(pipeline.archive, "export_archives", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            pipeline.run(spark, [source], str(folder), RunParams(1, 1, 30))
+    assert files() == before
+    other = tmp_path / "two.tif"
+    tiff.write_pages(str(other), [np.full((5, 4), 9, "u2")] * 2)
+    pipeline.run(spark, [str(other)], str(folder), RunParams(1, 1, 30), keep_staged=False)
+    after = files()
+    assert all(after[k] == v for k, v in before.items() if "scan" in k)  # other volumes of the folder stay
+    assert "exported/two.ozx" in after and not any(k.startswith("staged/two") for k in after)
