@@ -84,6 +84,17 @@ def recovered_text(text: str, command_line: str) -> str:
     return command_line[start : end + 1] if start >= 0 and end >= 0 else text
 
 
+def given_patterns(inputs: list[str]) -> list[str]:
+    """Patterns of a command's arguments; a bracketed list that the shell cut at its blanks is put together first."""
+    out: list[str] = []
+    while inputs:
+        text = recovered_text(inputs[0], " ".join(inputs))
+        used = next((n for n in range(1, len(inputs) + 1) if len(" ".join(inputs[:n])) >= len(text)), len(inputs))
+        out += split_patterns(text)
+        inputs = inputs[used:]
+    return out
+
+
 def resolved(pattern: str, package: str = ".") -> str:
     """The pattern itself where it is absolute or exists, else below the package's folder where that exists."""
     inside = Path(package, pattern)

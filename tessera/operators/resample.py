@@ -146,8 +146,12 @@ def affine_volume(volume: DataFrame, geometry: Affine, output_type: str = "float
     inside = cells
     for name, n in (("fz", nz), ("fy", ny), ("fx", nx)):
         inside = inside.where((F.col(name) >= -0.5) & (F.col(name) <= n - 0.5))
-    taps = inside.select("z", "y", "x", F.explode(_taps("fz")).alias("a"), "fy", "fx").select("z", "y", "x", "a", F.explode(_taps("fy")).alias("b"), "fx").select("z", "y", "x", "a", "b", F.explode(_taps("fx")).alias("c"))
-    taps = taps.select("z", "y", "x", F.col("a.i").alias("sz"), F.col("b.i").alias("sy"), F.col("c.i").alias("sx"), (F.col("a.w") * F.col("b.w") * F.col("c.w")).alias("w")).where("w > 0")
+    taps = inside.select("z", "y", "x", F.explode(_taps("fz")).alias("a"), "fy", "fx").where("a.w > 0").select("z", "y", "x", "a", F.explode(_taps("fy")).alias("b"), "fx").where("b.w > 0")
+    sx, w = F.col("x"), F.col("a.w") * F.col("b.w")  # a transform about x leaves x as it is: one tap instead of two
+    if geometry.to_source()[2] != (0.0, 0.0, 1.0, 0.0):
+        taps = taps.select("z", "y", "x", "a", "b", F.explode(_taps("fx")).alias("c"))
+        sx, w = F.col("c.i"), w * F.col("c.w")
+    taps = taps.select("z", "y", "x", F.col("a.i").alias("sz"), F.col("b.i").alias("sy"), sx.alias("sx"), w.alias("w")).where("w > 0")
     source = volume.toDF(*[{"z": "sz", "y": "sy", "x": "sx"}.get(c, c) for c in volume.columns])
     parts = taps.join(source, ["sz", "sy", "sx"]).select("z", "y", "x", (F.col("w") * F.col("v")).alias("s"), "w")
     none = grid(spark, geometry.shape).select("z", "y", "x", F.lit(0.0).alias("s"), F.lit(0.0).alias("w"))  # keeps every voxel, without another join

@@ -234,7 +234,7 @@ def main(argv: list[str] | None = None) -> int:
             if args.cell_name or len(args.inputs) == 1 and names.is_plain_folder(args.inputs[0]):
                 found = run_folder(spark, args.inputs[0], args.output, params, args.cell_name, not args.drop_staged)
             else:
-                found = run(spark, [names.resolved(p) for given in args.inputs for p in names.split_patterns(given)], args.output, params, not args.drop_staged)
+                found = run(spark, [names.resolved(p) for p in names.given_patterns(args.inputs)], args.output, params, not args.drop_staged)
             print("\n".join(found))
         elif args.command == "normalise":
             print("\n".join(stage(spark, p, args.output) for p in discover.supported_inputs(spark, args.folder)))

@@ -253,6 +253,8 @@ def test_patterns_from_the_command_line(tmp_path):
     assert names.split_patterns("[a.tif, 'b c.tif', ]") == ["a.tif", "b c.tif"]
     assert names.recovered_text("[a.tif,", "run --input [a.tif, b.tif] --x 1") == "[a.tif, b.tif]"
     assert names.recovered_text("[a]", "none") == "[a]" and names.recovered_text("[a", "none") == "[a"
+    assert names.given_patterns(["[a.tif,", "b c.tif,", "d.tif]", "e.tif", "f.tif,g.tif"]) == ["a.tif", "b c.tif", "d.tif", "e.tif", "f.tif", "g.tif"]
+    assert names.given_patterns([]) == [] and names.given_patterns(["[a", "b"]) == ["a", "b"]
     (tmp_path / "in.tif").write_bytes(b"")
     assert names.resolved("in.tif", str(tmp_path)) == str(tmp_path / "in.tif")
     assert names.resolved("/abs/x.tif", str(tmp_path)) == "/abs/x.tif" and names.resolved("no.tif", str(tmp_path)) == "no.tif"
