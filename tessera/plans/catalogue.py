@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -354,29 +355,25 @@ def max_intensity_projection(spark, sf_dir):
 
 # ---- affine ------------------------------------------------------------------------------------------------
 
-#: Parameter sets (shape, dx, dz, angle, flip, rotate).
-AFFINE_SETS = [
-    ((500, 2024, 128), 0.168, 0.2, 45.0, 1, True), ((500, 2024, 128), 0.168, 0.2, 45.0, 1, False), ((4, 6, 5), 1.0, 1.0, 30.0, 1, True),
-    ((7, 10, 16), 0.108, 0.3, 40.0, -1, True), ((4, 6, 5), 1.0, 1.0, 0.0, 1, True),
-]
+#: Parameter sets (dx, dz, angle, flip, rotate), each for planes of 25 x 64.
+AFFINE_SETS = [(0.168, 0.2, 45.0, 1, True), (0.168, 0.2, 45.0, 1, False), (1.0, 1.0, 30.0, 1, True), (0.108, 0.3, 40.0, -1, True), (1.0, 1.0, 0.0, 1, True)]
+_VOLUMES = "sizes AS (SELECT label, count(*) AS size FROM embeddings WHERE label IS NOT NULL GROUP BY label)"
 
 
-def _affine_rows() -> list[tuple]:
-    rows = []
-    for i, (shape, dx, dz, angle, flip, rotate) in enumerate(AFFINE_SETS):
-        g = geometry.affine(shape, dx, dz, angle, flip, rotate)
-        rows.append((i, *g.shape, *[int(v * 1e6 // 1) for v in (g.matrix[1][1], g.matrix[1][2], g.matrix[2][1], g.matrix[2][2])]))
-    return rows
+def _volumes(spark, sf_dir):
+    """The depths of the volumes that the vectors of each label make."""
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet").where("label IS NOT NULL").groupBy("label").agg(F.count("*").alias("size"))
 
 
 _AFFINE_CORNERS = """
-WITH p(id, nz, ny, nx, dx, dz, c, s, sh) AS (VALUES {rows}),
-k AS (SELECT p.*, (nx - 1) * dx AS lx, (ny - 1) * dx AS ly, (nz - 1) * dz AS lz FROM p),
-m AS (SELECT *, 1.0::DOUBLE AS a11, c AS a22, c * sh - s AS a23, s AS a32, s * sh + c AS a33 FROM k),
-e AS (SELECT id, a22, a23, a32, a33, dx, dz, nx, lx, a22 * i * ly + a23 * j * lz AS y, a32 * i * ly + a33 * j * lz AS z FROM m, (VALUES (0), (1)) u(i), (VALUES (0), (1)) w(j))
-SELECT id::BIGINT AS id, greatest(1, floor((max(z) - min(z)) / any_value(dz) + 1e-12)::BIGINT + 1) AS oz, greatest(1, floor((max(y) - min(y)) / any_value(dx) + 1e-12)::BIGINT + 1) AS oy, any_value(ox) AS ox,
+WITH {volumes}, sets(id, dx, dz, c, s, sh) AS (VALUES {rows}),
+p AS (SELECT label * 10 + id AS id, id AS set, size AS nz, 25 AS ny, dx, dz, c, s, sh FROM sizes, sets),
+k AS (SELECT p.*, (ny - 1) * dx AS ly, (nz - 1) * dz AS lz FROM p),
+m AS (SELECT *, c AS a22, c * sh - s AS a23, s AS a32, s * sh + c AS a33 FROM k),
+e AS (SELECT id, set, a22, a23, a32, a33, dx, dz, a22 * i * ly + a23 * j * lz AS y, a32 * i * ly + a33 * j * lz AS z FROM m, (VALUES (0), (1)) u(i), (VALUES (0), (1)) w(j))
+SELECT id::BIGINT AS id, greatest(1, floor((max(z) - min(z)) / any_value(dz) + 1e-9)::BIGINT + 1) AS oz, greatest(1, floor((max(y) - min(y)) / any_value(dx) + 1e-9)::BIGINT + 1) AS oy, any_value(ox) AS ox,
   floor(any_value(a22) * 1e6)::BIGINT AS m_yy, floor(any_value(a23) * 1e6)::BIGINT AS m_yz, floor(any_value(a32) * 1e6)::BIGINT AS m_zy, floor(any_value(a33) * 1e6)::BIGINT AS m_zz
-FROM e JOIN (VALUES {widths}) x(xid, ox) ON xid = id GROUP BY id
+FROM e JOIN (VALUES {widths}) x(xid, ox) ON xid = set GROUP BY id
 """
 
 
@@ -384,16 +381,27 @@ def _affine_geometry_sql() -> str:
     import math
 
     rows, widths = [], []
-    for i, (shape, dx, dz, angle, flip, rotate) in enumerate(AFFINE_SETS):
+    for i, (dx, dz, angle, flip, rotate) in enumerate(AFFINE_SETS):
         turn = math.radians(-flip * angle if rotate else 0.0)
-        rows.append(f"({i}, {shape[0]}, {shape[1]}, {shape[2]}, {num(dx)}, {num(dz)}, {num(math.cos(turn))}, {num(math.sin(turn))}, {num(flip * math.sin(math.radians(angle)))})")
-        widths.append(f"({i}, {geometry.affine(shape, dx, dz, angle, flip, rotate).shape[2]}::BIGINT)")
-    return _AFFINE_CORNERS.format(rows=", ".join(rows), widths=", ".join(widths))
+        rows.append(f"({i}, {num(dx)}, {num(dz)}, {num(math.cos(turn))}, {num(math.sin(turn))}, {num(flip * math.sin(math.radians(angle)))})")
+        widths.append(f"({i}, {geometry.affine((2, 25, 64), dx, dz, angle, flip, rotate, exact_extent=True).shape[2]}::BIGINT)")
+    return _AFFINE_CORNERS.format(volumes=_VOLUMES, rows=", ".join(rows), widths=", ".join(widths))
 
 
 @query(_affine_geometry_sql())
 def affine_geometry(spark, sf_dir):
-    return spark.createDataFrame(_affine_rows(), "id long, oz long, oy long, ox long, m_yy long, m_yz long, m_zy long, m_zz long")
+    """Output extents and matrices for the volume of every label, by each parameter set."""
+
+    def made(batches):
+        for batch in batches:
+            rows = []
+            for label, size in zip(batch["label"], batch["size"], strict=True):
+                for i, (dx, dz, angle, flip, rotate) in enumerate(AFFINE_SETS):
+                    g = geometry.affine((int(size), 25, 64), dx, dz, angle, flip, rotate, exact_extent=True)
+                    rows.append((label * 10 + i, *g.shape, *[int(v * 1e6 // 1) for v in (g.matrix[1][1], g.matrix[1][2], g.matrix[2][1], g.matrix[2][2])]))
+            yield pd.DataFrame(rows, columns=["id", "oz", "oy", "ox", "m_yy", "m_yz", "m_zy", "m_zz"])
+
+    return _volumes(spark, sf_dir).mapInPandas(made, "id long, oz long, oy long, ox long, m_yy long, m_yz long, m_zy long, m_zz long")
 
 
 def _affine(spark, sf_dir, rotate=True, out="float32", angle=ANGLE, flip=1):
@@ -422,10 +430,16 @@ def affine_flip(spark, sf_dir):
     return _affine(spark, sf_dir, out="uint16", angle=40.0, flip=-1)
 
 
-@query("SELECT s.range AS start, least(s.range + 256, 3584) AS stop, greatest(0, s.range - 1) AS low, least(3584, least(s.range + 256, 3584) + 1) AS high FROM range(0, 3584, 256) s")
+@query(f"WITH {_VOLUMES} SELECT label, s.range AS start, least(s.range + 16, size) AS stop, greatest(0, s.range - 1) AS low, least(size, least(s.range + 16, size) + 1) AS high FROM sizes, range(0, (SELECT max(size) FROM sizes), 16) s WHERE s.range < size")
 def tile_halo_bounds(spark, sf_dir):
-    rows = spark.range(0, 3584, 256).select(F.col("id").alias("start"), F.least(F.col("id") + 256, F.lit(3584)).alias("stop"))
-    return rows.select("start", "stop", F.greatest(F.lit(0).cast("long"), F.col("start") - 1).alias("low"), F.least(F.lit(3584).cast("long"), F.col("stop") + 1).alias("high"))
+    """Tiles of 16 columns of every volume with the source columns that they need."""
+
+    def tiled(batches):
+        for batch in batches:
+            rows = [(label, a, min(a + 16, size), *geometry.tile_halo(a, min(a + 16, size), size)) for label, size in zip(batch["label"], map(int, batch["size"]), strict=True) for a in range(0, size, 16)]
+            yield pd.DataFrame(rows, columns=["label", "start", "stop", "low", "high"])
+
+    return _volumes(spark, sf_dir).mapInPandas(tiled, "label int, start long, stop long, low long, high long")
 
 
 # ---- pyramid -----------------------------------------------------------------------------------------------
@@ -453,13 +467,19 @@ def pyramid_shapes(spark, sf_dir):
     return spark.createDataFrame(rows, "level int, factor int, z long, y long, x long, chunk_y long")
 
 
-@query("SELECT level::VARCHAR AS path, to_json([1, factor, factor])::VARCHAR AS scale FROM (VALUES (0, 1), (1, 2), (2, 4), (3, 8), (4, 16)) l(level, factor)")
+@query(
+    f"WITH {VE}, {SIZE} SELECT level::VARCHAR AS path, to_json([1, factor, factor])::VARCHAR AS scale, to_json([nz, (ny - 1) // factor + 1, (nx - 1) // factor + 1])::VARCHAR AS shape "
+    "FROM dims, (VALUES (0, 1), (1, 2), (2, 4), (3, 8), (4, 16)) l(level, factor)"
+)
 def pyramid_metadata(spark, sf_dir):
-    from tessera.sinks.zarr import multiscales
+    """Scales and shapes that a group of the table's volume would state for its levels."""
+    from tessera.sinks.zarr import level_infos, multiscales
 
-    sets = multiscales("volume", geometry.pyramid_factors(MOST))[0]["datasets"]
-    rows = [(d["path"], [int(v) for v in d["coordinateTransformations"][0]["scale"]]) for d in sets]
-    return spark.createDataFrame(rows, "path string, scale array<int>").select("path", F.to_json("scale").alias("scale"))
+    factors = geometry.pyramid_factors(MOST)
+    sets = multiscales("volume", factors)[0]["datasets"]
+    infos = level_infos(tables.embedding_shape(spark, sf_dir), "<u2", factors, None)
+    rows = [(d["path"], [int(v) for v in d["coordinateTransformations"][0]["scale"]], info["shape"]) for d, info in zip(sets, infos, strict=True)]
+    return spark.createDataFrame(rows, "path string, scale array<int>, shape array<int>").select("path", F.to_json("scale").alias("scale"), F.to_json("shape").alias("shape"))
 
 
 # ---- comparison --------------------------------------------------------------------------------------------
@@ -534,10 +554,16 @@ def profile_fit_stationary(spark, sf_dir):
     return compare.stationary(lines, compare.fit_lines(lines, ["z", "axis"], DX), ["z", "axis"])
 
 
-@query("SELECT s.size, (CASE WHEN s.count >= s.size THEN k.range ELSE round_even(k.range * ((s.size - 1)::DOUBLE / (s.count - 1)), 0)::BIGINT END) AS index FROM (VALUES (10, 4), (500, 32), (3, 7)) s(size, count), range(32) k WHERE k.range < least(s.size, s.count)")
+@query(f"WITH {_VOLUMES} SELECT label, c.count, (CASE WHEN c.count >= size THEN k.range ELSE round_even(k.range * ((size - 1)::DOUBLE / (c.count - 1)), 0)::BIGINT END) AS index FROM sizes, (VALUES (4), (32), (7)) c(count), range(32) k WHERE k.range < least(size, c.count)")
 def sample_pages(spark, sf_dir):
-    rows = [(size, i) for size, count in ((10, 4), (500, 32), (3, 7)) for i in geometry.sample_indices(size, count)]
-    return spark.createDataFrame(rows, "size int, index long")
+    """Evenly spread pages of every volume, for three sizes of the sample."""
+
+    def picked(batches):
+        for batch in batches:
+            rows = [(label, count, i) for label, size in zip(batch["label"], batch["size"], strict=True) for count in (4, 32, 7) for i in geometry.sample_indices(int(size), count)]
+            yield pd.DataFrame(rows, columns=["label", "count", "index"])
+
+    return _volumes(spark, sf_dir).mapInPandas(picked, "label int, count int, index long")
 
 
 _PICKED = "picked AS (SELECT DISTINCT CASE WHEN 8 >= nz - 2 THEN 1 + k.range ELSE 1 + round_even(k.range * ((nz - 3)::DOUBLE / 7), 0)::BIGINT END AS z FROM dims, range(8) k)"
@@ -572,123 +598,135 @@ def merge_shape_check(spark, sf_dir):
 
 # ---- names and parameters ----------------------------------------------------------------------------------
 
-#: Listing of an input folder: name, whether it is a folder.
-LISTING = [
-    ("b.tif", False), ("a.TIFF", False), ("scan.ome.zarr", True), ("Old.OME.ZARR", True), ("x.czi", False), ("y.nd2", False), ("z.lif", False), ("w.h5", False), ("v.hdf5", False),
-    ("pack.ozx", False), ("notes.txt", False), ("folder", True), ("CH1_003.tif", False), ("CH02_7_registered_consistent.tiff", False), ("fake.ome.zarr", False), ("no_suffix", False),
-]
-_FILES = "files(name, is_dir) AS (VALUES " + ", ".join(f"('{n}', {str(d).lower()})" for n, d in LISTING) + ")"
+#: Endings of the files that a listing of acquisitions shows in turn; the third and fourth, and some without one, are folders.
+ENDINGS = [".tif", ".TIFF", ".ome.zarr", ".OME.ZARR", ".czi", ".nd2", ".lif", ".h5", ".hdf5", ".ozx", ".txt", "", ".Ome.Zarr", ".tiff"]
+_NAME = (
+    "(CASE WHEN doc_id % 5 = 0 THEN 'CH' || lpad(cast(doc_id % 4 AS {text}), 2, '0') || '_' || cast(doc_id AS {text}) || CASE WHEN doc_id % 2 = 1 THEN '_registered_consistent' ELSE '' END "
+    "ELSE coalesce(lang, 'xx') || '.' || cast(doc_id AS {text}) END)"
+)
+_IS_DIR = "(doc_id % 14 IN (2, 3) OR doc_id % 14 = 11 AND doc_id % 3 = 0)"
+_FILES = f"files AS (SELECT doc_id AS id, coalesce(source, '') AS folder, {_NAME.format(text='VARCHAR')} || {ENDINGS!r}[doc_id % 14 + 1] AS name, {_IS_DIR} AS is_dir FROM documents)"
 
 
-def _files(spark):
-    return spark.createDataFrame(LISTING, "name string, is_dir boolean")
+def _files(spark, sf_dir):
+    """A listing of acquisitions, a file or folder for each document: ``id``, ``folder``, ``name``, ``is_dir``."""
+    ending = f"element_at(array({', '.join(map(repr, ENDINGS))}), cast(doc_id % 14 + 1 AS int))"
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("doc_id AS id", "coalesce(source, '') AS folder", f"{_NAME.format(text='string')} || {ending} AS name", f"{_IS_DIR} AS is_dir")
 
 
 _STEM = r"CASE WHEN lower(name) LIKE '%.ome.zarr' THEN left(name, length(name) - 9) WHEN name LIKE '_%.%' THEN regexp_replace(name, '\.[^.]*$', '') ELSE name END"
 
 
-@query(f"WITH {_FILES} SELECT name, (row_number() OVER (ORDER BY name))::INTEGER AS position FROM files WHERE (is_dir AND lower(name) LIKE '%.ome.zarr') OR (NOT is_dir AND regexp_matches(lower(name), '\\.tiff?$'))")
+@query(f"WITH {_FILES} SELECT folder, name, (row_number() OVER (PARTITION BY folder ORDER BY name))::INTEGER AS position FROM files WHERE (is_dir AND lower(name) LIKE '%.ome.zarr') OR (NOT is_dir AND regexp_matches(lower(name), '\\.tiff?$'))")
 def catalogue_discover(spark, sf_dir):
     from tessera.sources.discover import image_volumes
 
-    return image_volumes(_files(spark))
+    return image_volumes(_files(spark, sf_dir), "folder")
 
 
 @query(f"WITH {_FILES} SELECT name FROM files WHERE NOT (is_dir AND lower(name) LIKE '%.ome.zarr')")
 def unsupported_inputs(spark, sf_dir):
     """What an archive export must refuse: everything that is no Zarr folder."""
-    files = _files(spark)
+    files = _files(spark, sf_dir)
     return files.join(files.where(names.is_zarr(F.col("name")) & F.col("is_dir")).select("name"), "name", "left_anti").select("name")
 
 
 @query(f"WITH {_FILES} SELECT name, CASE WHEN is_dir THEN CASE WHEN lower(name) LIKE '%.ome.zarr' THEN 'zarr' END ELSE CASE regexp_extract(lower(name), '\\.([^.]*)$', 1) WHEN 'tif' THEN 'tiff' WHEN 'tiff' THEN 'tiff' WHEN 'czi' THEN 'czi' WHEN 'nd2' THEN 'nd2' WHEN 'lif' THEN 'lif' WHEN 'h5' THEN 'hdf5' WHEN 'hdf5' THEN 'hdf5' WHEN 'ozx' THEN 'archive' END END AS kind FROM files")
 def reader_dispatch(spark, sf_dir):
-    return _files(spark).select("name", names.kind(F.col("name"), F.col("is_dir")).alias("kind"))
+    return _files(spark, sf_dir).select("name", names.kind(F.col("name"), F.col("is_dir")).alias("kind"))
 
 
-@query(f"WITH {_FILES} SELECT name, {_STEM} AS stem FROM files")
+@query(f"WITH {_FILES} SELECT name, {_STEM} AS stem, lower(name) LIKE '%.ome.zarr' AS is_zarr FROM files")
 def stem_extract(spark, sf_dir):
-    return _files(spark).select("name", names.stem(F.col("name")).alias("stem"))
+    return _files(spark, sf_dir).select("name", names.stem(F.col("name")).alias("stem"), names.is_zarr(F.col("name")).alias("is_zarr"))
 
 
 @query(f"WITH {_FILES} SELECT name, geometry, {_STEM} || CASE WHEN lower(name) LIKE '%.ome.zarr' OR geometry = 'affine' THEN '.ome.zarr' ELSE '.tif' END AS output FROM files, (VALUES ('top_view'), ('affine')) g(geometry)")
 def output_names(spark, sf_dir):
-    kinds = spark.createDataFrame([("top_view",), ("affine",)], "geometry string")
-    return _files(spark).crossJoin(kinds).select("name", "geometry", names.output_name(F.col("name"), F.col("geometry")).alias("output"))
+    both = _files(spark, sf_dir).select("name", F.explode(F.array(*map(F.lit, params.GEOMETRIES))).alias("geometry"))
+    return both.select("name", "geometry", names.output_name(F.col("name"), F.col("geometry")).alias("output"))
 
 
 @query(f"WITH {_FILES} SELECT name, regexp_matches(name, '(?i)\\.(tif|tiff|czi|nd2|lif|h5|hdf5|ozx|ome\\.zarr)$') AS accepted FROM files")
 def input_contract(spark, sf_dir):
-    return _files(spark).select("name", F.col("name").rlike(names.INPUT_PATTERN).alias("accepted"))
+    return _files(spark, sf_dir).select("name", F.col("name").rlike(names.INPUT_PATTERN).alias("accepted"))
 
 
 @query(f"WITH {_FILES} SELECT channel, count(*) AS files FROM (SELECT regexp_extract(name, '^CH(\\d+)_(\\d+)(?:_registered_consistent)?\\.tiff?$', 1) AS channel FROM files) WHERE channel <> '' GROUP BY channel")
 def channel_extract(spark, sf_dir):
-    found = _files(spark).select(names.channel(F.col("name")).alias("channel")).where("channel <> ''")
+    found = _files(spark, sf_dir).select(names.channel(F.col("name")).alias("channel")).where("channel <> ''")
     return found.groupBy("channel").agg(F.count("*").alias("files"))
 
 
-PATTERNS = ["[a.tif, b.tif]", "'x y.czi' , \"z.nd2\"", "plain.tif", "[ ]", "a,,b", "['q.ome.zarr', r.ozx ]"]
-_PATTERN_ROWS = "p(id, text) AS (VALUES " + ", ".join(f"({i}, '{t.replace(chr(39), chr(39) * 2)}')" for i, t in enumerate(PATTERNS)) + ")"
+#: Ways to write a list of patterns around a name.
+_LISTED = (
+    "CASE id % 6 WHEN 0 THEN '[' || name || ', b.tif]' WHEN 1 THEN chr(39) || 'x ' || name || chr(39) || ' , ' || chr(34) || 'z.nd2' || chr(34) WHEN 2 THEN name WHEN 3 THEN '[ ]' "
+    "WHEN 4 THEN name || ',,b' ELSE '[' || chr(39) || 'q.ome.zarr' || chr(39) || ', ' || name || ' ]' END"
+)
 
 
 @query(
-    f"WITH {_PATTERN_ROWS}, parts AS (SELECT id, unnest(regexp_split_to_array(regexp_replace(trim(text), '^\\[(.*)\\]$', '\\1'), '\\s*,\\s*')) AS part FROM p), "
+    f"WITH {_FILES}, p AS (SELECT id, {_LISTED} AS text FROM files), parts AS (SELECT id, unnest(regexp_split_to_array(regexp_replace(trim(text), '^\\[(.*)\\]$', '\\1'), '\\s*,\\s*')) AS part FROM p), "
     "bare AS (SELECT id, regexp_replace(regexp_replace(trim(part), '^[\\[''\"\\s]+', ''), '[\\]''\"\\s]+$', '') AS pattern FROM parts) SELECT id, pattern FROM bare WHERE pattern <> ''"
 )
 def input_patterns(spark, sf_dir):
-    rows = spark.createDataFrame(list(enumerate(PATTERNS)), "id int, text string")
+    rows = _files(spark, sf_dir).selectExpr("id", f"{_LISTED} AS text")
     return rows.select("id", F.explode(names.input_patterns(F.col("text"))).alias("pattern"))
 
 
-_RUNS = [("a", ["/d/one.tif", "/d/two.tif"], None, "/out"), ("b", None, "/d/three.TIFF", "/out"), ("c", ["scan.ome.zarr"], "/x.tif", "o"), ("d", None, "/d/folder", "o")]
-_RUN_ROWS = "r(run, first, given, output_dir) AS (VALUES " + ", ".join(f"('{n}', '{(i or [p])[0]}', {str(i is not None).lower()}, '{o}')" for n, i, p, o in _RUNS) + ")"
-
-
 @query(
-    f"WITH {_RUN_ROWS}, b AS (SELECT *, regexp_extract(first, '([^/]*)/*$', 1) AS name FROM r) SELECT run, output_dir || '/Top_shear/' || ({_STEM}) || CASE WHEN given OR NOT name LIKE '_%.%' THEN '.ome.zarr' ELSE regexp_extract(name, '(\\.[^.]*)$', 1) END AS output FROM b"
+    f"WITH {_FILES}, b AS (SELECT id, id % 3 = 0 AS given, 'run_' || id % 10 AS output_dir, name FROM files) SELECT id, output_dir || '/Top_shear/' || ({_STEM}) || CASE WHEN given OR NOT name LIKE '_%.%' THEN '.ome.zarr' ELSE regexp_extract(name, '(\\.[^.]*)$', 1) END AS output FROM b"
 )
 def derive_output_path(spark, sf_dir):
-    rows = spark.createDataFrame(_RUNS, "run string, input array<string>, image_path string, output_dir string")
-    return rows.select("run", names.derived_output(F.col("input"), F.col("image_path"), F.col("output_dir")).alias("output"))
+    """Where the run of each acquisition puts its result: the first of its inputs counts, else the image path."""
+    given = F.col("id") % 3 == 0
+    inputs = F.when(given, F.array(F.concat(F.lit("/data/"), "name"), F.lit("/data/second.tif")))
+    rows = _files(spark, sf_dir).select("id", inputs.alias("input"), F.concat(F.lit("/images/"), "name").alias("image_path"), F.concat(F.lit("run_"), (F.col("id") % 10).cast("string")).alias("output_dir"))
+    return rows.select("id", names.derived_output(F.col("input"), F.col("image_path"), F.col("output_dir")).alias("output"))
 
 
-_WORDS = ["true", " Yes ", "ON", "0", "off", "", "maybe", "-1", "-1.0", "gpu", "CUDA", "cpu-blocked", "cpu", "cpu_block"]
-_WORD_ROWS = "w(word) AS (VALUES " + ", ".join(f"('{w}')" for w in _WORDS) + ")"
+_WORDS = ["true", "Yes", "ON", "0", "off", "", "maybe", "-1", "-1.0", "gpu", "CUDA", "cpu-blocked", "cpu", "cpu_block"]
+_SPELT = "repeat(' ', cast(doc_id % 3 AS int)) || CASE WHEN doc_id % 4 = 0 THEN upper({word}) ELSE {word} END || repeat(' ', cast(doc_id % 2 AS int))"
+_WORD_ROWS = f"w AS (SELECT doc_id AS id, {_SPELT.format(word=f'{_WORDS!r}[doc_id % 14 + 1]')} AS word FROM documents)"
 
 
 @query(
-    f"WITH {_WORD_ROWS} SELECT word, CASE WHEN lower(trim(word)) IN ('1', 'true', 'yes', 'on') THEN true WHEN lower(trim(word)) IN ('0', 'false', 'no', 'off', '') THEN false ELSE length(word) > 0 END AS flag, trim(word) NOT IN ('', '-1', '-1.0') AS supplied, "
-    "CASE replace(lower(trim(CASE WHEN word = '' THEN 'cpu_blocked' ELSE word END)), '-', '_') WHEN 'gpu' THEN 'gpu' WHEN 'cuda' THEN 'gpu' WHEN 'cpu' THEN 'cpu_blocked' WHEN 'cpu_block' THEN 'cpu_blocked' WHEN 'cpu_blocked' THEN 'cpu_blocked' END AS backend FROM w"
+    f"WITH {_WORD_ROWS} SELECT id, word, CASE WHEN lower(trim(word)) IN ('1', 'true', 'yes', 'on') THEN true WHEN lower(trim(word)) IN ('0', 'false', 'no', 'off', '') THEN false ELSE length(word) > 0 END AS flag, trim(word) NOT IN ('', '-1', '-1.0') AS supplied, "
+    "CASE replace(lower(trim(CASE WHEN word = '' THEN 'cpu_blocked' ELSE word END)), '-', '_') WHEN 'gpu' THEN 'gpu' WHEN 'cuda' THEN 'gpu' WHEN 'cpu' THEN 'cpu_blocked' WHEN 'cpu_block' THEN 'cpu_blocked' WHEN 'cpu_blocked' THEN 'cpu_blocked' WHEN '' THEN 'cpu_blocked' END AS backend FROM w"
 )
 def param_coercion(spark, sf_dir):
+    """Words that parameters are given in, by document, in several spellings."""
+    spelt = f"element_at(array({', '.join(map(repr, _WORDS))}), cast(doc_id % 14 + 1 AS int))"
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("doc_id AS id", f"{_SPELT.format(word=spelt)} AS word")
     word = F.lower(F.trim("word"))
-    rows = spark.createDataFrame([(w,) for w in _WORDS], "word string")
     aliases = F.create_map(*[F.lit(x) for pair in params.BACKENDS.items() for x in pair])
     return rows.select(
-        "word", F.when(word.isin(*[w for w, on in params.SWITCHES.items() if on]), True).when(word.isin(*[w for w, on in params.SWITCHES.items() if not on]), False).otherwise(F.length("word") > 0).alias("flag"),
+        "id", "word", F.when(word.isin(*[w for w, on in params.SWITCHES.items() if on]), True).when(word.isin(*[w for w, on in params.SWITCHES.items() if not on]), False).otherwise(F.length("word") > 0).alias("flag"),
         (~F.trim("word").isin(*params.UNSET_WORDS)).alias("supplied"),
         F.element_at(aliases, F.regexp_replace(F.when(F.col("word") == "", "cpu_blocked").otherwise(word), "-", "_")).alias("backend"),
     )
 
 
-SHAPES = [[3, 5, 4], [1, 3, 5, 4], [5, 4], [1, 5, 1, 4], [2, 3, 4, 5], [1, 1, 7]]
-_SHAPE_ROWS = "s(id, dims) AS (VALUES " + ", ".join(f"({i}, {d})" for i, d in enumerate(SHAPES)) + ")"
+_DIMS = "1 + doc_id % 2, 1 + doc_id % 3, 5, 1 + doc_id % 4, 1 + doc_id % 5"
 
 
-@query(f"WITH {_SHAPE_ROWS}, k AS (SELECT id, list_filter(dims, lambda d: d <> 1) AS d FROM s) SELECT id, (CASE len(d) WHEN 3 THEN to_json(d) WHEN 2 THEN to_json(list_prepend(1, d)) END)::VARCHAR AS shape FROM k")
+@query(f"WITH s AS (SELECT doc_id AS id, list_slice([{_DIMS}], 1, 2 + doc_id % 4) AS dims FROM documents), k AS (SELECT id, list_filter(dims, lambda d: d <> 1) AS d FROM s) SELECT id, (CASE len(d) WHEN 3 THEN to_json(d) WHEN 2 THEN to_json(list_prepend(1, d)) END)::VARCHAR AS shape FROM k")
 def rank_coercion(spark, sf_dir):
     """Singleton axes go, two axes become one plane, anything else is refused (null here)."""
-    rows = spark.createDataFrame(list(enumerate(SHAPES)), "id int, dims array<int>")
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("doc_id AS id", f"slice(array({_DIMS}), 1, cast(2 + doc_id % 4 AS int)) AS dims")
     kept = F.filter("dims", lambda d: d != 1)
-    shape = F.when(F.size(kept) == 3, kept).when(F.size(kept) == 2, F.concat(F.array(F.lit(1)), kept))
+    shape = F.when(F.size(kept) == 3, kept).when(F.size(kept) == 2, F.concat(F.array(F.lit(1).cast("long")), kept))
     return rows.select("id", F.to_json(shape).alias("shape"))
 
 
-@query("SELECT path, NOT (path LIKE '/%' OR list_contains(string_split(path, '/'), '..')) AS safe FROM (VALUES ('a/b.txt'), ('../x'), ('/etc/x'), ('a/../../b'), ('a..b/c')) m(path)")
+_MEMBER = "CASE id % 5 WHEN 0 THEN 'a/' || name WHEN 1 THEN '../' || name WHEN 2 THEN '/etc/' || name WHEN 3 THEN name || '/../../b' ELSE 'a..b/' || name END"
+
+
+@query(f"WITH {_FILES} SELECT id, path, NOT (path LIKE '/%' OR list_contains(string_split(path, '/'), '..')) AS safe FROM (SELECT id, {_MEMBER} AS path FROM files)")
 def archive_member_check(spark, sf_dir):
-    rows = spark.createDataFrame([(p,) for p in ("a/b.txt", "../x", "/etc/x", "a/../../b", "a..b/c")], "path string")
-    return rows.select("path", (~(F.col("path").startswith("/") | F.array_contains(F.split("path", "/"), ".."))).alias("safe"))
+    """Archive members by acquisition; those that lead outside are unsafe."""
+    rows = _files(spark, sf_dir).selectExpr("id", f"{_MEMBER} AS path")
+    return rows.select("id", "path", (~(F.col("path").startswith("/") | F.array_contains(F.split("path", "/"), ".."))).alias("safe"))
 
 
 @query(f"WITH {VF}, s AS (SELECT z, avg(v) AS m FROM {_HOLES} GROUP BY z) SELECT z, CASE WHEN isfinite(m) THEN {micro_sql('m')} END AS mean_micro FROM s")

@@ -22,11 +22,12 @@ def listing(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(rows, "name string, is_dir boolean, path string")
 
 
-def image_volumes(files: DataFrame) -> DataFrame:
-    """Zarr folders and TIFF files with their position by name (case-sensitive)."""
+def image_volumes(files: DataFrame, *by: str) -> DataFrame:
+    """Zarr folders and TIFF files with their position by name (case-sensitive), in each group ``by`` of a listing."""
     zarr = files.where(names.is_zarr(F.col("name")) & F.col("is_dir"))
     tiff = files.where(~F.col("is_dir") & names.suffix(F.col("name")).isin(*names.TIFF_SUFFIXES))
-    return zarr.unionByName(tiff).select("name", F.row_number().over(Window.orderBy("name")).alias("position"))
+    order = Window.partitionBy(*by).orderBy("name") if by else Window.orderBy("name")
+    return zarr.unionByName(tiff).select(*by, "name", F.row_number().over(order).alias("position"))
 
 
 def volumes_in(spark: SparkSession, folder: str) -> list[str]:
