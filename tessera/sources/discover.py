@@ -57,7 +57,7 @@ def coerce_rank(array: np.ndarray, strict: bool = False) -> np.ndarray:
 
 
 def unpack_archive(path: str, folder: str) -> str:
-    """Extract an archive that holds exactly one Zarr group; its inner name is kept.
+    """Extract an archive that holds exactly one Zarr group, member by member in the session's tasks; its inner name is kept.
 
     A member that would land outside the folder fails the whole archive before
     anything is written.
@@ -71,7 +71,19 @@ def unpack_archive(path: str, folder: str) -> str:
         groups = sorted({n.split("/")[0] for n in members if n.split("/")[0].lower().endswith(names.ZARR_SUFFIX)})
         if len(groups) != 1:
             raise ValueError(f"an archive must hold exactly one Zarr group, not {groups}")
-        found.extractall(root)
+        size = sum(m.file_size for m in found.infolist())
+    files = [n for n in members if not n.endswith("/")]
+
+    def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            with zipfile.ZipFile(path) as found:
+                for name in batch.name:
+                    found.extract(name, root)
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    root.mkdir(parents=True, exist_ok=True)
+    tasks = max(1, min(size // (64 << 20) + 1, len(files)))
+    SparkSession.active().createDataFrame([(n,) for n in files], "name string").repartition(tasks).mapInPandas(extract, "n long").agg(F.sum("n")).first()
     return str(root / groups[0])
 
 

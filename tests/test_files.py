@@ -497,3 +497,40 @@ def test_a_run_that_breaks_off_leaves_the_former_output(spark, tmp_path, monkeyp
     after = files()
     assert all(after[k] == v for k, v in before.items() if "scan" in k)  # other volumes of the folder stay
     assert "exported/two.ozx" in after and not any(k.startswith("staged/two") for k in after)
+
+
+def test_archives_are_packed_and_unpacked_by_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(archive, "TASK_BYTES", 500)
+    group = tmp_path / "big.ome.zarr"
+    for k in range(40):
+        (group / "0" / f"é{k % 7}").mkdir(parents=True, exist_ok=True)
+        (group / "0" / f"é{k % 7}" / f"{k}").write_bytes(bytes([k]) * (k * 11))
+    archive.write_archive(str(group), str(tmp_path / "big.ozx"))
+    archive.write_archive(str(group), str(tmp_path / "big.ozx"))
+    with zipfile.ZipFile(tmp_path / "big.ozx") as z:
+        assert z.testzip() is None and z.namelist() == sorted(z.namelist()) and len(z.namelist()) == 40
+        assert z.read("big.ome.zarr/0/é3/38") == bytes([38]) * 418
+    assert not list(tmp_path.glob("*.writing-*"))
+    out = discover.unpack_archive(str(tmp_path / "big.ozx"), str(tmp_path / "out"))
+    files = lambda root: sorted((str(p.relative_to(root)), p.read_bytes()) for p in Path(root).rglob("*") if p.is_file())
+    assert files(out) == files(group)
+
+
+def test_large_archives_are_marked_as_such(tmp_path):
+    """Sizes and places beyond 32 bits, in a sparse file."""
+    name, size = b"a.ome.zarr/0/0.0.0", 5 << 30
+    small = b"a.ome.zarr/1"
+    path = tmp_path / "large.zip"
+    head = archive._header(name, size, 0)
+    second = len(head) + size
+    end = second + len(archive._header(small, 3, zlib.crc32(b"abc"))) + 3
+    entries = archive._entry(name, size, 0, 0) + archive._entry(small, 3, zlib.crc32(b"abc"), second)
+    with open(path, "wb") as out:
+        out.write(head)
+        out.seek(second)
+        out.write(archive._header(small, 3, zlib.crc32(b"abc")) + b"abc")
+        assert out.tell() == end
+        out.write(entries + archive._end(2, end, len(entries)))
+    with zipfile.ZipFile(path) as z:
+        assert [i.file_size for i in z.infolist()] == [size, 3] and z.read(small.decode()) == b"abc"
+    path.unlink()
