@@ -237,9 +237,9 @@ def count_and_finish(rows: DataFrame, keys_of: KeysOf, finish: Finish, schema: s
             for order, keys in enumerate(keys_of(data, offsets)):
                 own, counts = distinct(keys)
                 of = (own >> _shift(buckets)).astype(np.int64)
-                begin = np.flatnonzero(np.diff(of, prepend=-1))
+                edges = [*np.flatnonzero(np.diff(of, prepend=-1)).tolist(), len(own)]  # a block without keys has none
                 out = []
-                for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(own)], strict=True):
+                for a, b in itertools.pairwise(edges):
                     packed = pack_counts(counts[a:b]) + _pack_keys(own[a:b], np.uint64(of[a]) << _shift(buckets))
                     out.append((order, int(of[a]), block, _squeeze(packed)))
                 if out:

@@ -63,3 +63,10 @@ def test_packets_hold_some_kb_at_any_size():
         assert size < 1 << 30 or 8 * (counting.BLOCK_BYTES // 10) // buckets > 4_000  # a block of 8 MB has some 800,000 keys of an order
         assert size < counting.TASK_BYTES * 16 or counting.tasks_for(size) <= size // counting.TASK_BYTES
     assert counting.tasks_for(10**14) < 10**6
+
+
+def test_blocks_without_keys(spark):
+    rows = spark.createDataFrame([(1, b""), (2, None), (None, b"")], "id long, data binary").repartition(3)
+    types = [pa.int64(), pa.list_(pa.int64()), pa.int64()]
+    got = counting.count_and_finish(rows, keys_of, finish, "id long, often array<bigint>, pairs long", types).collect()
+    assert sorted((r["id"] or 0, r["often"]) for r in got) == [(0, []), (1, []), (2, [])]
