@@ -48,8 +48,6 @@ _TYPES = [pa.int32(), pa.int32(), pa.int64(), pa.binary()]
 BUCKET_BYTES, MOST_BUCKETS = 2 << 20, 1 << 10
 #: Keys of a bucket that are added up in memory at once.
 BUCKET_KEYS = 2_000_000
-#: Level at which rows are compressed: they are the part of the traffic that compresses well.
-ROWS_LEVEL = 6
 #: Text bytes of a task that settles blocks; tasks beyond the most of these take as many times more.
 TASK_BYTES, MANY_TASKS, LARGER = 8 << 20, 2_000, 16
 
@@ -219,13 +217,14 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _TYPES, strict=True)], names=_NAMES)
 
 
-def count_and_finish(rows: DataFrame, keys_of: KeysOf, finish: Finish, schema: str, types: list[pa.DataType], buckets: int | None = None, minimum: int = 1, block_bytes: int = BLOCK_BYTES, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
+def count_and_finish(rows: DataFrame, keys_of: KeysOf, finish: Finish, schema: str, types: list[pa.DataType], buckets: int | None = None, minimum: int = 1, block_bytes: int = BLOCK_BYTES, bucket_keys: int = BUCKET_KEYS, rows_level: int = 1) -> DataFrame:
     """Run ``finish`` on every block with the corpus totals of the block's keys.
 
     ``rows``: an id (long) and a string or binary column, in the same order each time they
     are read (files or a written table; a block whose rows differ between the two reads
     fails the job). ``keys_of`` gives 64-bit hashes, all of whose bits count. ``buckets``: a power of
-    two, ``buckets_for`` the bytes of the rows if not given. Totals under ``minimum`` are answered as 0.
+    two, ``buckets_for`` the bytes of the rows if not given. Totals under ``minimum`` are answered as 0. ``rows_level``:
+    how hard rows are compressed, which costs CPU where traffic is scarce.
     """
     size = size_of(rows)
     buckets = buckets or buckets_for(size)
@@ -274,7 +273,7 @@ def count_and_finish(rows: DataFrame, keys_of: KeysOf, finish: Finish, schema: s
             n = len(ids)
             known = np.array([i is not None for i in ids], np.uint8)
             head = struct.pack("<I", n) + known.tobytes() + np.array([i or 0 for i in ids], "<i8").tobytes() + np.diff(offsets).astype("<i8").tobytes()
-            body = pa.Codec("zstd", compression_level=ROWS_LEVEL).compress(head + data.tobytes(), asbytes=True)
+            body = pa.Codec("zstd", compression_level=rows_level).compress(head + data.tobytes(), asbytes=True)
             yield _batch([(ROWS, len(head) + len(data), block, body)])
 
     def settle(table: pa.Table) -> pa.Table:

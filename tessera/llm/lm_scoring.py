@@ -82,5 +82,5 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", or
         per = np.where(np.diff(at) > 0, per, 0.0)
         return [ids, np.diff(at), per]
 
-    scored = count_and_finish(rows, keys_of, finish, "id long, n_words long, log_score double", [pa.int64(), pa.int64(), pa.float64()])
+    scored = count_and_finish(rows, keys_of, finish, "id long, n_words long, log_score double", [pa.int64(), pa.int64(), pa.float64()], rows_level=6)
     return scored.withColumnRenamed("id", key)
