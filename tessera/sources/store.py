@@ -82,4 +82,7 @@ def _move(store: fs.FileSystem, source: str, target: str) -> None:
         return
     for info in store.get_file_info(fs.FileSelector(source, recursive=True)):
         if info.type == fs.FileType.File:
-            store.move(info.path, target + info.path[len(source) :])
+            to = target + info.path[len(source) :]
+            store.create_dir(posixpath.dirname(to), recursive=True)
+            store.move(info.path, to)
+    store.delete_dir(source)

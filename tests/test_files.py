@@ -11,13 +11,14 @@ import numpy as np
 import pytest
 import yaml
 import zstandard
+from pyarrow import fs
 
 from tessera.functions import names
 from tessera.functions.params import RunParams
 from tessera.plans import pipeline
 from tessera.sinks import archive, tiff
 from tessera.sinks import zarr as zarr_sink
-from tessera.sources import blocks, codec, datasource, discover, optional, zarr
+from tessera.sources import blocks, codec, datasource, discover, optional, store, zarr
 from tessera.sources import tiff as tiff_source
 from tessera.streaming import landing
 
@@ -534,3 +535,17 @@ def test_large_archives_are_marked_as_such(tmp_path):
     with zipfile.ZipFile(path) as z:
         assert [i.file_size for i in z.infolist()] == [size, 3] and z.read(small.decode()) == b"abc"
     path.unlink()
+
+
+def test_stores_without_renames_of_folders(tmp_path, monkeypatch):
+    """The other branch of ``store``, with a file system that isn't the local one."""
+    other = fs.SubTreeFileSystem(str(tmp_path), fs.LocalFileSystem())
+    monkeypatch.setattr(store, "locate", lambda path: (other, path.removeprefix("other://")))
+    for name, data in (("a/0/x", b"new"), ("a/.zattrs", b"{}"), ("b/0/x", b"old"), ("b/0/y", b"gone")):
+        store.write_bytes(f"other://{name}", data, "other://parts")
+    store.replace("other://a", "other://b")
+    assert store.read_bytes("other://b/0/x") == b"new" and store.read_bytes("other://b/.zattrs") == b"{}" and store.read_bytes("other://b/0/y") is None
+    assert not store.exists("other://a") and sorted(p.name for p in tmp_path.iterdir()) == ["b"]
+    store.delete("other://b")
+    store.delete("other://none")
+    assert not store.exists("other://b")
