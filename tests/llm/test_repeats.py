@@ -34,6 +34,51 @@ def test_induced_order_and_common_prefixes(memory):
         check_order(b"\xff".join(p + draw.choice(parts)[:30] + p[:9] for p in parts), depth, memory)
 
 
+@pytest.mark.parametrize("triple", [0, induced.TRIPLE_NAMES])
+def test_long_common_prefixes_are_compared_once(monkeypatch, triple):
+    """Of suffixes whose neighbours move on with them only the last is compared to the end; order and prefixes stay exact."""
+    compared = []
+    plain = induced._common
+    monkeypatch.setattr(induced, "TRIPLE_NAMES", triple)
+    monkeypatch.setattr(induced, "_common", lambda text, a, b, depth: compared.append(len(a)) or plain(text, a, b, depth))
+    draw = random.Random(5)
+    letters = b"abcdefghijklmnopqrstuvwxyz     "
+    parts = [bytes(draw.choice(letters) for _ in range(700)) for _ in range(3)]
+    parts += [parts[0][20:600], parts[1][:350] + b"#" + parts[1][351:], parts[0], b"ab" * 90 + b"z" * 40 + bytes(range(97, 120)) * 5]
+    text = b"\xff".join(parts)
+    check_order(text, 400, 1 << 26)
+    stars = sum(1 for i in range(1, len(text) - 1) if text[i - 1] > text[i] < text[i + 1])
+    assert sum(compared) < 0.7 * stars
+
+
+def test_a_block_is_searched_once_for_counting_and_finishing(monkeypatch):
+    taken, calls = {}, []
+
+    class Taken(Exception):
+        pass
+
+    def take(rows, keys_of, finish, *rest):
+        taken.update(keys_of=keys_of, finish=finish)
+        raise Taken
+
+    plain = repeats.anchors
+    monkeypatch.setattr(repeats, "count_and_finish", take)
+    monkeypatch.setattr(repeats, "anchors", lambda *block: calls.append(len(block[0])) or plain(*block))
+    with pytest.raises(Taken):
+        repeats._candidates(None, 40, 2000)
+    draw = random.Random(9)
+    results = []
+    for n in (300, 300):  # two blocks of one size: the second doesn't get the first one's anchors
+        text = bytes(draw.choice(b"abcdef ") for _ in range(n)) * 2
+        block = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+        own, counts = np.unique(taken["keys_of"](*block)[0], return_counts=True)
+        results.append(taken["finish"]([0], *block, [(own, counts)]))
+        assert all(piece in text for piece in results[-1][2]) and results[-1][2]
+    assert calls == [600, 600]
+    again = taken["finish"]([0], *block, [(own, counts)])  # without a count before it
+    assert again == results[1] and len(calls) == 3
+
+
 def test_shard_larger_than_memory():
     """An in-memory sort takes over 40 bytes a byte of text; with 128 KB of memory, 250 KB of pieces stay far below that."""
     import tracemalloc
@@ -93,6 +138,17 @@ def test_long_documents_in_segments(monkeypatch):
     assert sorted(starts.tolist()) == list(range(len(data) - 399))
 
 
+def test_depth_beyond_a_segment(monkeypatch):
+    draw = random.Random(7)
+    text = bytes(draw.choice(b"abcdefghij ") for _ in range(9000))
+    monkeypatch.setattr(repeats, "SEGMENT_BITS", 9)
+    repeats._powers.clear()
+    first, last, _ = repeats.anchors(np.frombuffer(text, np.uint8), np.array([0, len(text)]), 700)
+    repeats._powers.clear()
+    starts = np.concatenate([np.arange(a, b + 1) for a, b in zip(first, last, strict=True)])
+    assert sorted(starts.tolist()) == list(range(len(text) - 699))
+
+
 def test_reads_in_different_splits_agree(spark, tmp_path):
     """The pieces are written when the query is built; its text is read again when it runs, here in other splits."""
     docs = documents(spark, tmp_path)
