@@ -46,6 +46,20 @@ def _frame_single(rows: pd.DataFrame, view: TopView) -> np.ndarray:
     return np.float32(rows["first"].iloc[0]) * here + np.float32(rows.second.iloc[0]) * deeper
 
 
+def sheared_planes(planes: DataFrame, view: TopView) -> DataFrame:
+    """Whole source planes, each in its place in the sheared frame; 0 elsewhere."""
+
+    def move(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples():
+                frame = np.zeros((1, view.shear_y, view.x), np.dtype(row.dtype))
+                shift = view.offsets[row.z0] + view.margin
+                frame[:, shift : shift + view.y] = block_array(row)
+                yield pd.DataFrame([block_row(frame, (row.z0, 0, 0))])
+
+    return planes.mapInPandas(move, SCHEMA)
+
+
 def top_view_planes(planes: DataFrame, view: TopView, rounding: str = "half_even", arithmetic: str = "float64") -> DataFrame:
     """Output planes (uint16) from source planes; the tap table, bounded by the depth, is broadcast. ``arithmetic`` as in ``top_view_volume``."""
     single = arithmetic == "float32"

@@ -13,6 +13,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from pathlib import Path
+from typing import BinaryIO
 
 import numpy as np
 import pandas as pd
@@ -59,6 +60,19 @@ def _begin(path: str, first: int, size: int) -> None:
         out.truncate(size)
 
 
+#: Bytes that are looked at together for being zeros only.
+RUN = 1 << 12
+
+
+def _put(out: BinaryIO, at: int, data: bytes) -> None:
+    """Bytes in their place in a new file. Runs of zeros aren't written: the file has its length from the start, so they are there already and take no disk."""
+    for first in range(0, len(data), RUN):
+        part = data[first : first + RUN]
+        if part.count(0) < len(part):
+            out.seek(at + first)
+            out.write(part)
+
+
 def write_pages(path: str, arrays: list[np.ndarray]) -> int:
     """Write like 2-D arrays as one file, here and now. Returns the number of pages."""
     stride = _stride(*arrays[0].shape, arrays[0].dtype) if arrays else 0
@@ -124,9 +138,7 @@ def write_tiff(planes: DataFrame, path: str, compression: str = "none", predicto
         for batch in batches:
             with open(draft, "r+b") as out:
                 for row in batch.itertuples():
-                    at, data = _page(block_array(row)[0], int(row.z0), row.z0 + 1 == n)
-                    out.seek(at)
-                    out.write(data)
+                    _put(out, *_page(block_array(row)[0], int(row.z0), row.z0 + 1 == n))
             yield pd.DataFrame({"pages": [len(batch)]})
 
     written = int(planes.mapInPandas(write, "pages long").agg(F.sum("pages")).first()[0] or 0)
