@@ -22,14 +22,15 @@ def sheared(volume: DataFrame, view: TopView) -> DataFrame:
     return volume.join(F.broadcast(offsets), "z").select("z", (F.col("y") + F.col("o") + view.margin).alias("y"), "x", "v")
 
 
-def neighbour_mean(volume: DataFrame, depth: int, saturated: bool = False) -> DataFrame:
-    """Mean of each voxel with the one a plane deeper; the last plane stays. The table must be dense.
+def neighbour_mean(volume: DataFrame, saturated: bool = False) -> DataFrame:
+    """Mean of each voxel with the next deeper one at its place; one without any below it stays, as in the last plane.
 
     ``saturated``: in unsigned 16-bit numbers, whose sum stops at 65535 and whose halves go up.
     """
-    both = F.col("v") + F.lead("v").over(Window.partitionBy("y", "x").orderBy("z"))
+    deeper = F.lead("v").over(Window.partitionBy("y", "x").orderBy("z"))
+    both = F.col("v") + deeper
     mean = to_range(F.least(both, F.lit(65535.0)) / 2, "half_up") if saturated else 0.5 * both
-    return volume.withColumn("v", F.when(F.col("z") == depth - 1, F.col("v")).otherwise(mean))
+    return volume.withColumn("v", F.when(deeper.isNull(), F.col("v")).otherwise(mean))
 
 
 def depth_map(spark: SparkSession, view: TopView) -> DataFrame:

@@ -253,7 +253,7 @@ def shear_volume(spark, sf_dir):
 
 @query(f"WITH {VE} SELECT z, y, x, coalesce((v + lead(v) OVER (PARTITION BY y, x ORDER BY z)) * 0.5::DOUBLE, v) AS v FROM ve")
 def adjacent_slice_mean(spark, sf_dir):
-    return resample.neighbour_mean(tables.embedding_volume(spark, sf_dir), tables.embedding_shape(spark, sf_dir)[0])
+    return resample.neighbour_mean(tables.embedding_volume(spark, sf_dir))
 
 
 @query(f"WITH {VE}, {SIZE}, {shear_sql()}, {DEPTH} SELECT z, z0, z1, {micro_sql('w')} AS w_micro FROM depth")

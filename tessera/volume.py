@@ -44,7 +44,7 @@ class Volume:
         return resample.sheared(self.voxels, geometry.top_view(self.shape, params.dx, params.dz, params.angle, params.flip))
 
     def average_adjacent(self) -> Volume:
-        return self._with(resample.neighbour_mean(self.voxels, self.shape[0]), self.shape)
+        return self._with(resample.neighbour_mean(self.voxels), self.shape)
 
     def top_view(self, params: RunParams) -> Volume:
         view = geometry.top_view(self.shape, params.dx, params.dz, params.angle, params.flip)
