@@ -27,6 +27,14 @@ def embedding_volume(spark: SparkSession, sf_dir: str, raw: bool = False, planes
     )
 
 
+def embedding_lines(spark: SparkSession, sf_dir: str, step: int = 1) -> DataFrame:
+    """The lines of the embedding volume that there are (z, y, known), at every ``step``-th voxel of y and x."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").where("embedding IS NOT NULL")
+    known = F.filter(F.transform("embedding", lambda e: F.struct(F.when(e.isNotNull(), True).alias("there"))), lambda _, i: i % step == 0)["there"]
+    rows = rows.select(F.expr(f"vec_id div {PLANE_ROWS}").alias("z"), (F.col("vec_id") % PLANE_ROWS).alias("y"), known.alias("known"))
+    return rows.where(F.col("y") % step == 0).withColumn("y", F.expr(f"y div {step}"))
+
+
 def candidate_volume(volume: DataFrame) -> DataFrame:
     """A slightly different volume to compare with."""
     return volume.select("z", "y", "x", (F.col("v") + (F.col("z") + F.col("y") + F.col("x")) % 3).alias("v"))
