@@ -42,6 +42,8 @@ def depth_map(spark: SparkSession, view: TopView) -> DataFrame:
 def depth_resized(volume: DataFrame, view: TopView, antialias: bool = False) -> DataFrame:
     """Linear interpolation in depth: a weighted sum per output voxel, combined before the shuffle.
 
+    A voxel needs both of its source voxels; where one is absent the output has none.
+
     ``antialias``: where depth shrinks, over all source planes under a triangle as wide as the
     output's spacing, mirrored at the ends; the tap table is still bounded by the source's depth.
     """
@@ -50,10 +52,13 @@ def depth_resized(volume: DataFrame, view: TopView, antialias: bool = False) ->
         rows = [(k, p, w) for k in range(view.scaled_z) for p, w in view.smoothed_depth(k)]
         wide = volume.sparkSession.createDataFrame(rows, "z long, sz long, c double")
         return source.join(F.broadcast(wide), "sz").groupBy("z", "y", "x").agg(F.sum(F.col("c") * F.col("v")).alias("v"))
-    taps = depth_map(volume.sparkSession, view)
-    both = taps.select("z", F.explode(F.array(F.struct(F.col("z0").alias("sz"), (1 - F.col("w")).alias("c")), F.struct(F.col("z1").alias("sz"), F.col("w").alias("c")))).alias("t"))
-    both = both.groupBy("z", F.col("t.sz").alias("sz")).agg(F.sum("t.c").alias("c"))
-    return source.join(F.broadcast(both), "sz").groupBy("z", "y", "x").agg(F.sum(F.col("c") * F.col("v")).alias("v"))
+    rows = []
+    for k in range(view.scaled_z):
+        z0, z1, w = view.depth(k)
+        rows += [(k, z0, 1.0, 1)] if z0 == z1 else [(k, z0, 1.0 - w, 2), (k, z1, w, 2)]
+    taps = volume.sparkSession.createDataFrame(rows, "z long, sz long, c double, n int")
+    found = source.join(F.broadcast(taps), "sz").groupBy("z", "y", "x").agg(F.sum(F.col("c") * F.col("v")).alias("v"), F.count("v").alias("known"), F.count("*").alias("found"), F.max("n").alias("n"))
+    return found.where("found = n").select("z", "y", "x", F.when(F.col("known") == F.col("n"), F.col("v")).alias("v"))
 
 
 def rotation_lookup(spark: SparkSession, view: TopView) -> DataFrame:
