@@ -30,7 +30,7 @@ def test_means_at_the_end_of_a_partial_plane(spark, gaps, name):
     assert same(spark, gaps, name)
 
 
-FILES = ["archive_round_trip", "stage_tiff_input", "stage_zarr_verbatim", "tiff_round_trip", "tiff_sample_planes", "tiff_12_bits", "zarr_pyramid_level", "zarr_round_trip", "voltiff_pruned", "comparison_open", "float_byte_order", "merge_to_tiff", "omezarr_absent_chunks"]
+FILES = ["archive_round_trip", "stage_tiff_input", "stage_zarr_verbatim", "tiff_round_trip", "tiff_sample_planes", "tiff_12_bits", "zarr_pyramid_level", "zarr_round_trip", "voltiff_pruned", "comparison_open", "float_byte_order", "merge_to_tiff", "omezarr_absent_chunks", "omezarr_round_trip"]
 
 
 @pytest.mark.parametrize("name", FILES)
