@@ -61,23 +61,49 @@ def depth_resized(volume: DataFrame, view: TopView, antialias: bool = False) ->
     return found.where("found = n").select("z", "y", "x", F.when(F.col("known") == F.col("n"), F.col("v")).alias("v"))
 
 
+def _looked_up(view: TopView) -> tuple[F.Column, F.Column]:
+    """Nearest source row and column of a cell (y, x) of the sheared frame, rotated about its centre, half-even."""
+    cy, cx = (view.shear_y - 1) / 2.0, (view.x - 1) / 2.0
+    yy, xx = F.col("y").cast("double") - cy, F.col("x").cast("double") - cx
+    sy = F.rint(F.lit(view.cos) * yy - F.lit(view.sin) * xx + F.lit(cy)).cast("long").alias("sy")
+    return sy, F.rint(F.lit(view.sin) * yy + F.lit(view.cos) * xx + F.lit(cx)).cast("long").alias("sx")
+
+
 def rotation_lookup(spark: SparkSession, view: TopView) -> DataFrame:
     """Nearest source (sy, sx) of every (y, x) of the sheared frame, rotated about its centre, half-even."""
     cells = spark.range(view.shear_y * view.x).select(F.expr(f"id div {view.x}").alias("y"), (F.col("id") % view.x).alias("x"))
-    cy, cx = (view.shear_y - 1) / 2.0, (view.x - 1) / 2.0
-    yy, xx = F.col("y").cast("double") - cy, F.col("x").cast("double") - cx
-    return cells.select(
-        "y", "x", F.rint(F.lit(view.cos) * yy - F.lit(view.sin) * xx + F.lit(cy)).cast("long").alias("sy"),
-        F.rint(F.lit(view.sin) * yy + F.lit(view.cos) * xx + F.lit(cx)).cast("long").alias("sx"),
-    )
+    return cells.select("y", "x", *_looked_up(view))
+
+
+def _read_only(frames: DataFrame, view: TopView, row: F.Column) -> DataFrame:
+    """Without the rows of the sheared frame that no cell looks up."""
+    low, high = view.read_rows()
+    return frames.where((row >= low) & (row < high))
+
+
+def _gathered(source: DataFrame, view: TopView, bands: DataFrame, depth: int, value: F.Column) -> DataFrame:
+    """Every cell (z, y, x) with ``value`` of the voxel (z, sy, sx, v) that it looks up; v is null where there is none.
+
+    ``bands`` (z, low, high), one row per plane and broadcast: the rows of the frame within which a plane has
+    voxels. Cells that look elsewhere are 0 and aren't joined, so the shuffle grows with the source and not with
+    the frame, which is mostly empty in a deep volume.
+    """
+    spark = source.sparkSession
+    within = (F.col("sx") >= 0) & (F.col("sx") < view.x)
+    banded = within & (F.col("sy") >= F.col("low")) & (F.col("sy") < F.col("high"))
+    cells = rotation_lookup(spark, view).where(within).join(F.broadcast(bands), banded).select("z", "y", "x", "sy", "sx")
+    found = cells.join(source, ["z", "sy", "sx"], "left").select("z", "y", "x", value.alias("v"))
+    every = grid(spark, (depth, view.shear_y, view.x)).select("z", "y", "x", *_looked_up(view))
+    empty = every.join(F.broadcast(bands), "z").where(~banded).select("z", "y", "x", F.lit(0.0).alias("v"))
+    return found.unionByName(empty)
 
 
 def rotated_nearest(volume: DataFrame, view: TopView) -> DataFrame:
     """Every plane of a volume in the sheared frame, rotated in (y, x) by nearest neighbour; 0 outside."""
-    spark = volume.sparkSession
-    cells = rotation_lookup(spark, view).crossJoin(F.broadcast(volume.select("z").distinct()))
-    source = volume.select("z", F.col("y").alias("sy"), F.col("x").alias("sx"), "v")
-    return cells.join(source, ["z", "sy", "sx"], "left").select("z", "y", "x", F.coalesce("v", F.lit(0.0)).alias("v"))
+    ends = volume.groupBy("z").agg(F.min("y").alias("low"), (F.max("y") + 1).alias("high"))
+    bands = volume.sparkSession.range(view.z).withColumnRenamed("id", "z").join(ends, "z", "left").fillna(0)
+    source = _read_only(volume, view, F.col("y")).select("z", F.col("y").alias("sy"), F.col("x").alias("sx"), "v")
+    return _gathered(source, view, bands, view.z, F.coalesce("v", F.lit(0.0)))
 
 
 def rotated_bilinear(page: DataFrame, view: TopView) -> DataFrame:
@@ -101,14 +127,14 @@ def _taps(at: str) -> F.Column:
 def _summed(volume: DataFrame, view: TopView) -> DataFrame:
     """The interpolated frame (z, sy, sx, v): the weighted sum of at most three source planes, in double precision."""
     taps = volume.sparkSession.createDataFrame(view.taps(), "z long, sz long, shift long, c double")
-    moved = volume.withColumnRenamed("z", "sz").join(F.broadcast(taps), "sz")
+    moved = _read_only(volume.withColumnRenamed("z", "sz").join(F.broadcast(taps), "sz"), view, F.col("y") + F.col("shift"))
     return moved.groupBy("z", (F.col("y") + F.col("shift")).alias("sy"), F.col("x").alias("sx")).agg(F.sum(F.col("c") * F.col("v")).alias("v"))
 
 
 def _summed_single(volume: DataFrame, view: TopView) -> DataFrame:
     """The same in single precision, step by step: means of neighbours first, then their weighted sum; one shuffle as well."""
     taps = volume.sparkSession.createDataFrame(view.single_taps(), "z long, sz long, place int, shift long, first double, second double")
-    moved = volume.withColumnRenamed("z", "sz").join(F.broadcast(taps), "sz")
+    moved = _read_only(volume.withColumnRenamed("z", "sz").join(F.broadcast(taps), "sz"), view, F.col("y") + F.col("shift"))
     planes = [F.coalesce(F.max(F.when(F.col("place") == i, F.col("v").cast("float"))), F.lit(0.0).cast("float")).alias(f"v{i}") for i in range(3)]
     found = moved.groupBy("z", (F.col("y") + F.col("shift")).alias("sy"), F.col("x").alias("sx"), "first", "second").agg(F.max(F.col("sz") - F.col("place")).alias("low"), *planes)
     v0, v1, v2, half = F.col("v0"), F.col("v1"), F.col("v2"), F.lit(0.5).cast("float")
@@ -122,7 +148,7 @@ def top_view_volume(volume: DataFrame, view: TopView, rounding: str = "half_even
     """Fused top view: neighbour mean, depth interpolation and shear in one aggregate, then the rotation as a gather.
 
     The taps of all output planes (at most three source planes each) are one
-    small table, bounded by the depth, and are broadcast; their weighted sums combine before
+    small table, bounded by the depth, and are broadcast; their weighted sums, of the rows that are looked up, combine before
     the only shuffle of voxels. The result is dense: voxels without a source are 0.
     ``bypass_single``: a volume of one plane passes as it is. ``arithmetic``: ``float64``, snapped to a
     millionth, or ``float32``, in which near-ties round as single precision has them.
@@ -132,10 +158,8 @@ def top_view_volume(volume: DataFrame, view: TopView, rounding: str = "half_even
     spark = volume.sparkSession
     single = arithmetic == "float32"
     summed = _summed_single(volume, view) if single else _summed(volume, view)
-    cells = rotation_lookup(spark, view).crossJoin(F.broadcast(spark.range(view.scaled_z).withColumnRenamed("id", "z")))
-    found = cells.join(summed, ["z", "sy", "sx"], "left")
     value = F.coalesce("v", F.lit(0.0))
-    return found.select("z", "y", "x", to_range(value if single else snapped(value), rounding).alias("v"))
+    return _gathered(summed, view, spark.createDataFrame(view.bands(), "z long, low long, high long"), view.scaled_z, to_range(value if single else snapped(value), rounding))
 
 
 def affine_volume(volume: DataFrame, geometry: Affine, output_type: str = "float32") -> DataFrame:

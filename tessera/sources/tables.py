@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 #: Rows of the embedding volume's planes.
 PLANE_ROWS = 25
 WIDTH = 64
+#: Voxels of a grid that one task makes.
+RUN = 1 << 24
 
 
 def embedding_volume(spark: SparkSession, sf_dir: str, raw: bool = False, planes: tuple[int, int] | None = None) -> DataFrame:
@@ -71,9 +73,9 @@ def synthetic_volume(spark: SparkSession, shape: tuple[int, int, int]) -> DataFr
 
 
 def grid(spark: SparkSession, shape: tuple[int, int, int]) -> DataFrame:
-    """All coordinates of a shape."""
+    """All coordinates of a shape, at most ``RUN`` to a task."""
     z, y, x = shape
-    return spark.range(z * y * x).select(F.expr(f"id div {y * x}").alias("z"), F.expr(f"id div {x} % {y}").alias("y"), (F.col("id") % x).alias("x"))
+    return spark.range(0, z * y * x, 1, max(spark.sparkContext.defaultParallelism, -(-z * y * x // RUN))).select(F.expr(f"id div {y * x}").alias("z"), F.expr(f"id div {x} % {y}").alias("y"), (F.col("id") % x).alias("x"))
 
 
 def dense(cells: DataFrame, shape: tuple[int, int, int]) -> DataFrame:
