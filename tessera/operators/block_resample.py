@@ -7,6 +7,7 @@ Affine: the output is cut into blocks, each resampled from the box of source vox
 
 from __future__ import annotations
 
+import dataclasses
 import itertools
 import math
 from collections.abc import Iterator
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.exprs import SUPPORT
 from tessera.functions.geometry import Affine, TopView, indices_out, tile_halo
-from tessera.sources.blocks import SCHEMA, block_array, block_row, cut
+from tessera.sources.blocks import SCHEMA, block_array, block_row, cut, spread
 
 
 def _rounded(a: np.ndarray, rounding: str, snap: bool = True) -> np.ndarray:
@@ -65,17 +66,32 @@ def top_view_planes(planes: DataFrame, view: TopView, rounding: str = "half_even
     single = arithmetic == "float32"
     taps = planes.sparkSession.createDataFrame(*((view.single_taps(), "k long, z0 long, place int, shift long, first double, second double") if single else (view.taps(), "k long, z0 long, shift long, c double")))
 
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def lookup() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places in the output of the cells that look into the frame, in the order of the frame's rows, and those rows and columns; once a task."""
+        if not found:
+            cy, cx = (view.shear_y - 1) / 2.0, (view.x - 1) / 2.0
+            yy, xx = np.arange(view.shear_y)[:, None] - cy, np.arange(view.x)[None] - cx
+            sy = np.rint(view.cos * yy - view.sin * xx + cy).astype(np.int64)
+            sx = np.rint(view.sin * yy + view.cos * xx + cx).astype(np.int64)
+            at = np.flatnonzero((sy >= 0) & (sy < view.shear_y) & (sx >= 0) & (sx < view.x))
+            at = at[np.argsort(sy.ravel()[at], kind="stable")]
+            found.append((at, sy.ravel()[at], sx.ravel()[at]))
+        return found[0]
+
     def gather(rows: pd.DataFrame) -> pd.DataFrame:
-        frame = _frame_single(rows, view) if single else _frame(rows, view)
-        cy, cx = (view.shear_y - 1) / 2.0, (view.x - 1) / 2.0
-        yy, xx = np.arange(view.shear_y)[:, None] - cy, np.arange(view.x)[None] - cx
-        sy = np.rint(view.cos * yy - view.sin * xx + cy).astype(np.int64)
-        sx = np.rint(view.sin * yy + view.cos * xx + cx).astype(np.int64)
-        inside = (sy >= 0) & (sy < view.shear_y) & (sx >= 0) & (sx < view.x)
-        out = np.where(inside, frame[np.clip(sy, 0, view.shear_y - 1), np.clip(sx, 0, view.x - 1)], 0.0)
-        return pd.DataFrame([block_row(_rounded(out, rounding, not single)[None], (int(rows.k.iloc[0]), 0, 0))])
-
-    return planes.join(F.broadcast(taps), "z0").groupBy("k").applyInPandas(gather, SCHEMA)
+        at, sy, sx = lookup()
+        low, high = int(rows["shift"].min()), int(rows["shift"].max()) + view.y  # the rest of the frame is 0
+        own = slice(*np.searchsorted(sy, (low, high)))
+        near = dataclasses.replace(view, shear_y=high - low)
+        rows = rows.assign(shift=rows["shift"] - low)
+        frame = _frame_single(rows, near) if single else _frame(rows, near)
+        out = np.zeros(view.shear_y * view.x, "<u2")
+        out[at[own]] = _rounded(frame[sy[own] - low, sx[own]], rounding, not single)
+        return pd.DataFrame([block_row(out.reshape(1, view.shear_y, view.x), (int(rows.k.iloc[0]), 0, 0))])
+
+    return spread(planes.join(F.broadcast(taps), "z0"), "k").groupBy("k").applyInPandas(gather, SCHEMA)
 
 
 Box = list[tuple[int, int]]
