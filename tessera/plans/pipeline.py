@@ -47,7 +47,8 @@ def stage(spark: SparkSession, source: str, folder: str, overwrite: bool = False
 def resample(spark: SparkSession, source: str, folder: str, params: RunParams) -> str:
     """Resample one volume with the geometry of ``params``; returns the output path.
 
-    The output is Zarr for a Zarr input or the affine geometry, else TIFF.
+    The output is Zarr for a Zarr input or the affine geometry, else TIFF. Chunks of nothing but zeros, the
+    fill value, aren't stored: most of a deep volume's frame is empty.
     """
     ship(spark)
     volume = discover.read(spark, source)
@@ -68,7 +69,7 @@ def resample(spark: SparkSession, source: str, folder: str, params: RunParams) -
     Path(folder).mkdir(parents=True, exist_ok=True)
     if is_zarr or record is not None:
         target = str(Path(folder) / f"{stem}.ome.zarr")
-        zarr_sink.write_zarr(out, target, size, dtype, stem, params.pyramid_max, geometry=record)
+        zarr_sink.write_zarr(out, target, size, dtype, stem, params.pyramid_max, geometry=record, empty="skip")
     else:
         target = str(Path(folder) / f"{stem}.tif")
         tiff.write_tiff(out, target)

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.sources.blocks import SCHEMA, block_row
+from tessera.sources.blocks import SCHEMA, block_row, spread
 from tessera.sources.codec import decode
 
 #: Metadata keys that a comparison report shows.
@@ -151,4 +151,4 @@ def read_zarr(spark: SparkSession, path: str, level: str = "0", tpc: tuple[int,
     number = (index[0] * grid[1] + index[1]) * grid[2] + index[2]
     own = files.where(F.col("path").rlike(pattern) & inside[0] & inside[1] & inside[2]).withColumn("k", number)
     absent = spark.range(int(np.prod(grid))).select(F.col("id").alias("k")).join(own.select("k"), "k", "left_anti")
-    return own.select("k", "content").mapInPandas(decoded, SCHEMA).unionByName(absent.mapInPandas(filled, SCHEMA))
+    return own.select("k", "content").mapInPandas(decoded, SCHEMA).unionByName(spread(absent, "k").mapInPandas(filled, SCHEMA))
