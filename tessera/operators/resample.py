@@ -166,16 +166,18 @@ def affine_volume(volume: DataFrame, geometry: Affine, output_type: str = "float
     """Affine resampling: up to eight taps per output voxel, weighted by support.
 
     Taps outside the source are dropped and the rest renormalised; a voxel outside
-    the half-voxel domain, or with almost no support, is 0. The result is dense.
+    the half-voxel domain, or with almost no support, is 0. The result is dense; voxels outside the
+    domain, most of a deep volume's, come straight from the grid and aren't shuffled.
     """
     spark = volume.sparkSession
     nz, ny, nx = geometry.source
     cells = grid(spark, geometry.shape)
     for name, (a, b, c, d) in zip(("fz", "fy", "fx"), geometry.to_source(), strict=True):
         cells = cells.withColumn(name, F.lit(a) * F.col("z") + F.lit(b) * F.col("y") + F.lit(c) * F.col("x") + F.lit(d))
-    inside = cells
+    near = F.lit(True)
     for name, n in (("fz", nz), ("fy", ny), ("fx", nx)):
-        inside = inside.where((F.col(name) >= -0.5) & (F.col(name) <= n - 0.5))
+        near = near & (F.col(name) >= -0.5) & (F.col(name) <= n - 0.5)
+    inside = cells.where(near)
     taps = inside.select("z", "y", "x", F.explode(_taps("fz")).alias("a"), "fy", "fx").where("a.w > 0").select("z", "y", "x", "a", F.explode(_taps("fy")).alias("b"), "fx").where("b.w > 0")
     sx, w = F.col("x"), F.col("a.w") * F.col("b.w")  # a transform about x leaves x as it is: one tap instead of two
     if geometry.to_source()[2] != (0.0, 0.0, 1.0, 0.0):
@@ -184,10 +186,11 @@ def affine_volume(volume: DataFrame, geometry: Affine, output_type: str = "float
     taps = taps.select("z", "y", "x", F.col("a.i").alias("sz"), F.col("b.i").alias("sy"), sx.alias("sx"), w.alias("w")).where("w > 0")
     source = volume.toDF(*[{"z": "sz", "y": "sy", "x": "sx"}.get(c, c) for c in volume.columns])
     parts = taps.join(source, ["sz", "sy", "sx"]).select("z", "y", "x", (F.col("w") * F.col("v")).alias("s"), "w")
-    none = grid(spark, geometry.shape).select("z", "y", "x", F.lit(0.0).alias("s"), F.lit(0.0).alias("w"))  # keeps every voxel, without another join
+    none = inside.select("z", "y", "x", F.lit(0.0).alias("s"), F.lit(0.0).alias("w"))  # keeps every voxel, without another join
     sums = parts.unionByName(none).groupBy("z", "y", "x").agg(F.sum("s").alias("s"), F.sum("w").alias("w"))
     full = sums.select("z", "y", "x", F.when(F.col("w") > SUPPORT, F.col("s") / F.col("w")).otherwise(0.0).alias("v"))
-    return full if output_type == "float32" else full.withColumn("v", to_range(snapped(F.col("v")), "half_up"))
+    full = full if output_type == "float32" else full.withColumn("v", to_range(snapped(F.col("v")), "half_up"))
+    return full.unionByName(cells.where(~near).select("z", "y", "x", F.lit(0.0).alias("v")))
 
 
 def pyramid(volume: DataFrame, factors: list[int]) -> DataFrame:
