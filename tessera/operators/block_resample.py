@@ -139,6 +139,7 @@ def affine_blocks(planes: DataFrame, geometry: Affine, output_type: str = "float
     Source blocks meet the tiles over them by an equality join on the tile's key: a block lists its
     own tiles, and every tile is listed once, so those without a source come too. A task holds
     one tile and the box of source voxels under it; no task or closure holds all tiles.
+    NaN voxels count as absent: they give no support.
     """
     nz, ny, nx = geometry.source
     (a0, a1, a2, a3), (b0, b1, b2, b3), (c0, c1, c2, c3) = geometry.to_source()
@@ -172,6 +173,8 @@ def affine_blocks(planes: DataFrame, geometry: Affine, output_type: str = "float
             source = np.zeros([high - low for low, high in box])
             for row in rows.itertuples():
                 source[tuple(slice(a - low, a - low + n) for a, n, (low, _) in zip((row.z0, row.y0, row.x0), (row.nz, row.ny, row.nx), box, strict=True))] = block_array(row)
+            there = ~np.isnan(source)
+            source[~there] = 0.0
             y, x = np.array(own[1])[:, None], np.array(own[2])[None]
             for k, z in enumerate(own[0]):  # one output plane of the block at a time
                 fz, fy, fx = a0 * z + a1 * y + a2 * x + a3, b0 * z + b1 * y + b2 * x + b3, c0 * z + c1 * y + c2 * x + c3
@@ -180,7 +183,7 @@ def affine_blocks(planes: DataFrame, geometry: Affine, output_type: str = "float
                 for iz, wz, in_z in taps(nz, fz, *box[0]):
                     for iy, wy, in_y in taps(ny, fy, *box[1]):
                         for ix, wx, in_x in taps(nx, fx, *box[2]):
-                            w = np.where(in_z & in_y & in_x & ok, wz * wy * wx, 0.0)
+                            w = np.where(in_z & in_y & in_x & ok & there[iz, iy, ix], wz * wy * wx, 0.0)
                             total += w * source[iz, iy, ix]
                             support += w
                 out[k] = np.where(support > SUPPORT, total / np.maximum(support, SUPPORT), 0.0)

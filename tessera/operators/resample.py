@@ -165,7 +165,7 @@ def top_view_volume(volume: DataFrame, view: TopView, rounding: str = "half_even
 def affine_volume(volume: DataFrame, geometry: Affine, output_type: str = "float32") -> DataFrame:
     """Affine resampling: up to eight taps per output voxel, weighted by support.
 
-    Taps outside the source are dropped and the rest renormalised; a voxel outside
+    Taps outside the source, or on absent or NaN voxels, are dropped and the rest renormalised; a voxel outside
     the half-voxel domain, or with almost no support, is 0. The result is dense; voxels outside the
     domain, most of a deep volume's, come straight from the grid and aren't shuffled.
     """
@@ -184,7 +184,7 @@ def affine_volume(volume: DataFrame, geometry: Affine, output_type: str = "float
         taps = taps.select("z", "y", "x", "a", "b", F.explode(_taps("fx")).alias("c"))
         sx, w = F.col("c.i"), w * F.col("c.w")
     taps = taps.select("z", "y", "x", F.col("a.i").alias("sz"), F.col("b.i").alias("sy"), sx.alias("sx"), w.alias("w")).where("w > 0")
-    source = volume.toDF(*[{"z": "sz", "y": "sy", "x": "sx"}.get(c, c) for c in volume.columns])
+    source = volume.where(~F.isnan("v")).toDF(*[{"z": "sz", "y": "sy", "x": "sx"}.get(c, c) for c in volume.columns])
     parts = taps.join(source, ["sz", "sy", "sx"]).select("z", "y", "x", (F.col("w") * F.col("v")).alias("s"), "w")
     none = inside.select("z", "y", "x", F.lit(0.0).alias("s"), F.lit(0.0).alias("w"))  # keeps every voxel, without another join
     sums = parts.unionByName(none).groupBy("z", "y", "x").agg(F.sum("s").alias("s"), F.sum("w").alias("w"))
